@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import months as M
-from tidemark.operators import planner
+from tidemark.functions import keys as K
+from tidemark.operators import classify as classify_op
+from tidemark.operators import earliest as earliest_op
+from tidemark.operators import outcomes, planner
+from tidemark.operators import search as search_op
 from tidemark.plans import recast as R
 from tidemark.sources.tables import load
 
@@ -109,3 +113,90 @@ def subset_limit(spark: SparkSession, d: str) -> DataFrame:
     subset = (load(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
               .select(F.col("l_partkey").alias("p_partkey")))
     return planner.subset_limit(part, subset, ["p_partkey"], R.SUBSET_LIMIT, key="p_partkey")
+
+
+# ------------------------------------------------------------------ landing
+
+def _classified(spark, d, endpoint):
+    r = classify_op.classify(R.responses(spark, d), endpoint)
+    return r.select("source", "response_id", "status_code", "error_class", "ok", "error",
+                    "retriable", "body_head")
+
+
+@register("classify_intraday")
+def classify_intraday(spark: SparkSession, d: str) -> DataFrame:
+    return _classified(spark, d, classify_op.INTRADAY)
+
+
+@register("classify_search")
+def classify_search(spark: SparkSession, d: str) -> DataFrame:
+    return _classified(spark, d, classify_op.SEARCH)
+
+
+@register("classify_monthly")
+def classify_monthly(spark: SparkSession, d: str) -> DataFrame:
+    return _classified(spark, d, classify_op.MONTHLY)
+
+
+# The registered search keywords.
+SEARCH_KEYWORDS = ("brand#1", "ring", "red", "bolt")
+
+
+@register("symbol_search")
+def symbol_search(spark: SparkSession, d: str) -> DataFrame:
+    """S9 over our own dimension: symbol prefix or name substring, per keyword."""
+    part = load(spark, d, "part").select("p_partkey", "p_name", F.col("p_brand").alias("symbol"))
+    return search_op.symbol_search(part, SEARCH_KEYWORDS, symbol_col="symbol", name_col="p_name")
+
+
+@register("retry_outcome")
+def retry_outcome(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.retry_outcome(R.attempts(spark, d), ["user_id", "day"])
+
+
+@register("last_outcome")
+def last_outcome(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.last_outcome(R.requests(spark, d), ["symbol", "day"], "seq")
+
+
+@register("unresolved_pairs")
+def unresolved_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.unresolved_pairs(R.requests(spark, d), ["symbol", "day"], "seq")
+
+
+@register("run_summary")
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.run_summary(R.requests(spark, d), ["symbol", "day"], "seq")
+
+
+@register("error_symbols")
+def error_symbols(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.error_symbols(R.requests(spark, d))
+
+
+@register("earliest_month")
+def earliest_month(spark: SparkSession, d: str) -> DataFrame:
+    return earliest_op.earliest_month(R.monthly_responses(spark, d))
+
+
+@register("bronze_keys")
+def bronze_keys(spark: SparkSession, d: str) -> DataFrame:
+    """F9-F12, F16, F17 over one landed document per order."""
+    o = load(spark, d, "orders")
+    symbol = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    month = M.month_key("o_orderdate")
+    bucket = F.concat(F.lit("bronze-"), F.lower("o_orderstatus"))
+    key = K.bronze_key(symbol, month, "data/bronze")
+    uri = K.object_uri(bucket, key)
+    local_err = F.when(F.col("o_orderstatus") == "F", F.lit("local save failed: disk full"))
+    s3_err = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("s3 save failed: access denied"))
+    return o.select(
+        "o_orderkey",
+        key.alias("bronze_key"),
+        uri.alias("bronze_uri"),
+        K.uri_bucket(uri).alias("parsed_bucket"),
+        K.uri_key(uri).alias("parsed_key"),
+        K.snapshot_file(F.col("o_orderdate").cast("timestamp")).alias("snapshot_file"),
+        K.join_errors(local_err, s3_err).alias("save_error"),
+        F.to_json(F.struct(symbol.alias("symbol"), month.alias("month"),
+                           F.col("o_orderstatus").alias("status"))).alias("doc_json"))

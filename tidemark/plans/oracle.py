@@ -111,3 +111,161 @@ SELECT p_partkey, p_name FROM part
 WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
 ORDER BY p_partkey LIMIT 100
 """
+
+_RESPONSES = """
+ev AS (
+  SELECT 'events' AS source, event_id AS response_id,
+    CAST(CASE WHEN event_type = 'error' THEN
+      CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 503 ELSE 404 END ELSE 200 END AS INTEGER) AS status_code,
+    CASE WHEN event_type = 'view' AND event_id % 5 = 0 THEN 'text/html; charset=utf-8'
+         WHEN event_id % 2 = 0 THEN 'Application/JSON; charset=utf-8'
+         ELSE 'application/json' END AS content_type,
+    CASE WHEN event_type = 'signup' THEN '{"Note": "Thank you for using the API, ' || user_id || '"}'
+         WHEN event_type = 'purchase' AND event_id % 4 = 0
+           THEN '{"Note": "n' || user_id || '", "Error Message": "e' || user_id || '"}'
+         WHEN event_type = 'purchase' THEN '{"Error Message": "Invalid API call ' || user_id || '"}'
+         WHEN event_type = 'view' AND event_id % 7 = 0 THEN '[' || user_id || ']'
+         WHEN event_type = 'click' AND event_id % 11 = 0 THEN '{"Note": null}'
+         ELSE props END AS body
+  FROM events
+  UNION ALL
+  SELECT 'pages', page_id, 200, 'application/json', html FROM pages),
+j AS (SELECT *, json_valid(body) AS jv, CASE WHEN json_valid(body) THEN body ELSE 'null' END AS jb FROM ev)
+"""
+
+
+def _classify_sql(first, second, transport, http_prefix, http_suffix):
+    cls = {"Note": "note", "Error Message": "error_message"}
+    return f"""
+WITH {_RESPONSES},
+c AS (
+  SELECT *, CASE
+    WHEN status_code IS NULL THEN 'transport'
+    WHEN NOT (status_code >= 200 AND status_code < 300) THEN 'http_status'
+    WHEN NOT contains(lower(content_type), 'application/json') THEN 'content_type'
+    WHEN NOT jv THEN 'invalid_json'
+    WHEN json_type(jb) <> 'OBJECT' THEN 'not_object'
+    WHEN json_exists(jb, '$."{first}"') THEN '{cls[first]}'
+    WHEN json_exists(jb, '$."{second}"') THEN '{cls[second]}'
+    ELSE 'ok' END AS error_class
+  FROM j)
+SELECT source, response_id, status_code, error_class, error_class = 'ok' AS ok,
+  CASE error_class
+    WHEN 'transport' THEN '{transport}'
+    WHEN 'http_status' THEN '{http_prefix}' || status_code || '{http_suffix}'
+    WHEN 'content_type' THEN 'Unexpected response format.'
+    WHEN 'invalid_json' THEN 'Invalid JSON from Alpha Vantage API.'
+    WHEN 'not_object' THEN 'Response is not a JSON object.'
+    WHEN 'note' THEN jb->>'$."Note"'
+    WHEN 'error_message' THEN jb->>'$."Error Message"' END AS error,
+  status_code IS NULL OR status_code IN (429, 500, 502, 503, 504) AS retriable,
+  CASE WHEN error_class <> 'ok' THEN substr(body, 1, 300) END AS body_head
+FROM c
+"""
+
+
+ORACLE["classify_intraday"] = _classify_sql(
+    "Note", "Error Message", "Failed to fetch data from Alpha Vantage API.",
+    "Alpha Vantage API returned HTTP ", ".")
+ORACLE["classify_search"] = _classify_sql(
+    "Note", "Error Message", "Network error during symbol search.", "HTTP ", "")
+ORACLE["classify_monthly"] = _classify_sql(
+    "Error Message", "Note", "Failed to fetch monthly adjusted data.", "HTTP ", "")
+
+ORACLE["symbol_search"] = """
+SELECT p_partkey, p_name, p_brand AS symbol, k.keywords,
+  CASE WHEN starts_with(lower(p_brand), k.keywords) THEN 'symbol_prefix' ELSE 'name_contains' END AS match
+FROM part, (VALUES ('brand#1'), ('ring'), ('red'), ('bolt')) AS k(keywords)
+WHERE starts_with(lower(p_brand), k.keywords) OR contains(lower(p_name), k.keywords)
+"""
+
+_RETRIABLE = "(status_code IS NULL OR status_code IN (429, 500, 502, 503, 504))"
+
+ORACLE["retry_outcome"] = f"""
+WITH a AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, event_id AS attempt_seq,
+    CAST(CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 503 ELSE 404 END
+              ELSE 200 END AS INTEGER) AS status_code
+  FROM events),
+g AS (
+  SELECT user_id, day, count(*) AS n_attempts, arg_max(status_code, attempt_seq) AS final_status,
+    count(*) FILTER (WHERE {_RETRIABLE}) AS n_retriable
+  FROM a GROUP BY user_id, day)
+SELECT *, coalesce(final_status >= 200 AND final_status < 300, false) AS final_ok,
+  n_attempts > 4 AS over_budget,
+  (final_status IS NULL OR final_status IN (429, 500, 502, 503, 504)) AND n_attempts < 4 AS stopped_early
+FROM g
+"""
+
+_REQ = """
+r AS (SELECT user_id AS symbol, CAST(ts AS DATE) AS day, event_id AS seq, ts, event_type <> 'error' AS ok
+      FROM events),
+p AS (
+  SELECT symbol, day, count(*) AS n_requests, count(*) FILTER (WHERE ok) AS n_ok,
+    count(*) FILTER (WHERE NOT ok) AS n_error, arg_max(ok, seq) AS last_ok, max(seq) AS last_seq,
+    min(ts) AS first_ts, max(ts) AS last_ts
+  FROM r GROUP BY symbol, day)
+"""
+
+ORACLE["last_outcome"] = f"""
+WITH {_REQ}
+SELECT symbol, day, n_requests, n_ok, n_error, last_ok, last_seq FROM p
+"""
+
+ORACLE["unresolved_pairs"] = f"""
+WITH {_REQ}
+SELECT symbol, day, n_error, last_seq FROM p WHERE NOT last_ok
+"""
+
+ORACLE["run_summary"] = f"""
+WITH {_REQ},
+s AS (
+  SELECT count(DISTINCT symbol) AS total_symbols,
+    CAST(sum(n_requests) AS BIGINT) AS total_requests,
+    CAST(sum(n_ok) AS BIGINT) AS success_requests,
+    CAST(sum(n_error) AS BIGINT) AS error_requests,
+    count(*) FILTER (WHERE NOT last_ok) AS unresolved_error_requests,
+    count(DISTINCT symbol) FILTER (WHERE n_error > 0) AS n_symbols_with_errors,
+    date_diff('microsecond', min(first_ts), max(last_ts)) / 1e6 AS duration_seconds
+  FROM p)
+SELECT true AS ok, 'Data fetching and storing completed.' AS message,
+  total_symbols, total_symbols AS processed_symbols, CAST(0 AS BIGINT) AS skipped_symbols,
+  total_requests, success_requests, error_requests, unresolved_error_requests, n_symbols_with_errors,
+  duration_seconds,
+  CASE WHEN duration_seconds > 0 THEN total_requests / duration_seconds * 60 ELSE 0.0 END AS requests_per_minute,
+  CASE WHEN total_requests > 0 THEN error_requests / total_requests ELSE 0.0 END AS failed_fraction
+FROM s
+"""
+
+ORACLE["error_symbols"] = """
+SELECT DISTINCT user_id AS symbol FROM events WHERE event_type = 'error' ORDER BY symbol
+"""
+
+ORACLE["earliest_month"] = """
+WITH f AS (SELECT o_custkey, min(o_orderdate) AS f FROM orders GROUP BY o_custkey)
+SELECT c.c_name AS symbol, strftime(f.f, '%Y-%m') AS earliest_month, f.f IS NOT NULL AS ok,
+  CASE WHEN f.f IS NOT NULL THEN NULL
+       WHEN c.c_custkey % 2 = 0 THEN 'Invalid API call for C' || c.c_custkey
+       ELSE 'No time series' END AS error
+FROM customer c LEFT JOIN f ON f.o_custkey = c.c_custkey
+"""
+
+_KEY = ("'data/bronze/alpha_vantage/intraday_1min/symbol=C' || o_custkey || '/month=' "
+        "|| strftime(o_orderdate, '%Y-%m') || '/raw.json'")
+
+ORACLE["bronze_keys"] = f"""
+SELECT o_orderkey,
+  {_KEY} AS bronze_key,
+  's3://bronze-' || lower(o_orderstatus) || '/' || {_KEY} AS bronze_uri,
+  'bronze-' || lower(o_orderstatus) AS parsed_bucket,
+  {_KEY} AS parsed_key,
+  'raw_' || strftime(o_orderdate, '%Y-%m-%dT%H-%M-%S')
+    || CASE WHEN strftime(o_orderdate, '%f') <> '000000' THEN '.' || strftime(o_orderdate, '%f') ELSE '' END
+    || '+00-00.json' AS snapshot_file,
+  nullif(concat_ws(' | ',
+    CASE WHEN o_orderstatus = 'F' THEN 'local save failed: disk full' END,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 's3 save failed: access denied' END), '') AS save_error,
+  CAST(json_object('symbol', 'C' || o_custkey, 'month', strftime(o_orderdate, '%Y-%m'),
+                   'status', o_orderstatus) AS VARCHAR) AS doc_json
+FROM orders
+"""

@@ -47,3 +47,73 @@ def landed_months(spark: SparkSession, data_dir: str) -> DataFrame:
           .distinct())
     return (om.join(customer, om.o_custkey == customer.c_custkey)
             .select(F.col("c_name").alias("symbol"), "month"))
+
+
+def responses(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Landed vendor responses: one per event (every class of the chain) and
+    one per page (HTML bodies under a JSON content type)."""
+    e = load(spark, data_dir, "events")
+    et, eid, uid = F.col("event_type"), F.col("event_id"), F.col("user_id").cast("string")
+    status = (F.when(et == "error",
+                     F.when(eid % 3 == 0, F.lit(None)).when(eid % 3 == 1, F.lit(503)).otherwise(F.lit(404)))
+              .otherwise(F.lit(200))).cast("int")
+    ctype = (F.when((et == "view") & (eid % 5 == 0), F.lit("text/html; charset=utf-8"))
+             .when(eid % 2 == 0, F.lit("Application/JSON; charset=utf-8"))
+             .otherwise(F.lit("application/json")))
+    body = (F.when(et == "signup", F.concat(F.lit('{"Note": "Thank you for using the API, '), uid, F.lit('"}')))
+            .when((et == "purchase") & (eid % 4 == 0),
+                  F.concat(F.lit('{"Note": "n'), uid, F.lit('", "Error Message": "e'), uid, F.lit('"}')))
+            .when(et == "purchase", F.concat(F.lit('{"Error Message": "Invalid API call '), uid, F.lit('"}')))
+            .when((et == "view") & (eid % 7 == 0), F.concat(F.lit("["), uid, F.lit("]")))
+            .when((et == "click") & (eid % 11 == 0), F.lit('{"Note": null}'))
+            .otherwise(F.col("props")))
+    from_events = e.select(F.lit("events").alias("source"), eid.alias("response_id"),
+                           status.alias("status_code"), ctype.alias("content_type"), body.alias("body"))
+    from_pages = load(spark, data_dir, "pages").select(
+        F.lit("pages").alias("source"), F.col("page_id").alias("response_id"),
+        F.lit(200).alias("status_code"), F.lit("application/json").alias("content_type"),
+        F.col("html").alias("body"))
+    return from_events.unionByName(from_pages)
+
+
+def attempts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """HTTP attempts: pair = (user, day), sequence = event id."""
+    e = load(spark, data_dir, "events")
+    status = (F.when(F.col("event_type") == "error",
+                     F.when(F.col("event_id") % 2 == 0, F.lit(503)).otherwise(F.lit(404)))
+              .otherwise(F.lit(200))).cast("int")
+    return e.select("user_id", F.to_date("ts").alias("day"), F.col("event_id").alias("attempt_seq"),
+                    status.alias("status_code"))
+
+
+def requests(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Logical requests: one per event, failed when ``event_type = 'error'``."""
+    e = load(spark, data_dir, "events")
+    return e.select(F.col("user_id").alias("symbol"), F.to_date("ts").alias("day"),
+                    F.col("event_id").alias("seq"), F.col("ts"),
+                    (F.col("event_type") != "error").alias("ok"))
+
+
+def monthly_responses(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Monthly-adjusted payloads per customer: a dated series of month-end
+    keys from its orders (pre-aggregated per month, so a document holds one
+    entry per month); customers without orders get an empty series or an
+    error payload."""
+    per_month = (load(spark, data_dir, "orders")
+                 .groupBy("o_custkey", F.last_day("o_orderdate").alias("_d"))
+                 .agg(F.round(F.sum("o_totalprice"), 2).alias("close")))
+    series_key = "Monthly Adjusted Time Series"
+    docs = (per_month.groupBy("o_custkey")
+            .agg(F.map_from_entries(F.collect_list(F.struct(
+                F.date_format("_d", "yyyy-MM-dd"), F.struct(F.col("close").alias("4. close")))))
+                .alias("_series"))
+            .select("o_custkey", F.to_json(F.struct(F.col("_series").alias(series_key))).alias("_doc")))
+    customer = load(spark, data_dir, "customer").select("c_custkey", "c_name")
+    missing = F.when(F.col("c_custkey") % 2 == 0,
+                     F.concat(F.lit('{"Error Message": "Invalid API call for C'),
+                              F.col("c_custkey").cast("string"), F.lit('"}'))) \
+        .otherwise(F.lit('{"' + series_key + '": {}}'))
+    return (customer.join(docs, customer.c_custkey == docs.o_custkey, "left")
+            .select(F.col("c_name").alias("symbol"), F.lit(200).alias("status_code"),
+                    F.lit("application/json").alias("content_type"),
+                    F.coalesce(F.col("_doc"), missing).alias("body")))
