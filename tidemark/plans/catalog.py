@@ -17,7 +17,12 @@ from tidemark.functions import keys as K
 from tidemark.operators import classify as classify_op
 from tidemark.operators import earliest as earliest_op
 from tidemark.operators import outcomes, planner
+from tidemark.operators import completeness as completeness_op
 from tidemark.operators import search as search_op
+from tidemark.operators import silver as silver_op
+from tidemark.session import shared_dir
+from tidemark.sources import bronze, dimension
+from tidemark.sources import silver as silver_sink
 from tidemark.plans import recast as R
 from tidemark.sources.tables import load
 
@@ -200,3 +205,110 @@ def bronze_keys(spark: SparkSession, d: str) -> DataFrame:
         K.join_errors(local_err, s3_err).alias("save_error"),
         F.to_json(F.struct(symbol.alias("symbol"), month.alias("month"),
                            F.col("o_orderstatus").alias("status"))).alias("doc_json"))
+
+
+# ------------------------------------------------------------ bronze/silver
+
+# The overlapping reruns of the rewrite queries.
+FIRST_RUN_LAST_DAY = "2024-01-20"
+SECOND_RUN_FIRST_DAY = "2024-01-15"
+SILVER_RERUN = ("1998-03", "1998-05")
+
+
+@register("bronze_rewrite")
+def bronze_rewrite(spark: SparkSession, d: str) -> DataFrame:
+    """Two overlapping landings; the second replaces the partitions
+    it touches, the rest of the first stays."""
+    docs = (R.event_docs(spark, d)
+            .select("event_id", "body", F.col("event_type").alias("symbol"),
+                    F.date_format("ts", "yyyy-MM-dd").alias("day")))
+    root = shared_dir(spark, "bronze_rewrite")
+    targets = {"primary": f"{root}/primary", "replica": f"{root}/replica"}
+    keys = ("symbol", "day")
+    bronze.save_bronze(docs.where(F.col("day") <= FIRST_RUN_LAST_DAY).withColumn("run", F.lit(1)),
+                       targets, keys)
+    bronze.save_bronze(docs.where(F.col("day") >= SECOND_RUN_FIRST_DAY).withColumn("run", F.lit(2)),
+                       targets, keys)
+    return bronze.read_bronze(spark, targets["primary"]).select("event_id", "symbol", "day", "run")
+
+
+@register("latest_snapshot")
+def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Two appends of snapshots, newest per symbol wins."""
+    e = load(spark, d, "events").select(
+        "user_id", "event_id", "value", F.col("event_type").alias("keywords"),
+        F.col("ts").alias("ingested_at"))
+    path = shared_dir(spark, "snapshots")
+    day = F.date_format("ingested_at", "yyyy-MM-dd")
+    bronze.append_snapshots(e.where(day <= SECOND_RUN_FIRST_DAY), path, "keywords")
+    bronze.append_snapshots(e.where(day > SECOND_RUN_FIRST_DAY), path, "keywords")
+    snaps = bronze.read_bronze(spark, path)
+    latest = silver_op.dedup_latest(snaps, ["user_id"], ["ingested_at", "event_id"])
+    return latest.select("user_id", F.col("event_id").alias("latest_event_id"),
+                         F.col("ingested_at").alias("latest_ts"), F.col("value").alias("latest_value"),
+                         F.col("keywords").alias("latest_keywords"))
+
+
+@register("dim_tags")
+def dim_tags(spark: SparkSession, d: str) -> DataFrame:
+    """JSON tag arrays (empty, one tag, two tags with varying spacing)."""
+    part = load(spark, d, "part")
+    t = F.lower("p_type")
+    first_word = F.split("p_name", " ")[0]
+    tags = (F.when(F.col("p_size") % 3 == 0, F.lit("[]"))
+            .when(F.col("p_size") % 3 == 1, F.concat(F.lit('["'), t, F.lit('"]')))
+            .when(F.col("p_size") % 6 == 5, F.concat(F.lit('["'), t, F.lit('","'), first_word, F.lit('"]')))
+            .otherwise(F.concat(F.lit('["'), t, F.lit('", "'), first_word, F.lit('"]'))))
+    dim = part.select("p_partkey", tags.alias("tags"))
+    return dimension.explode_tags(dim, "tags", "p_partkey")
+
+
+@register("normalize_bars")
+def normalize_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Documents -> typed bars."""
+    bars = silver_op.normalize_bars(R.event_docs(spark, d), keep=["event_id"])
+    return bars.select(
+        "event_id", "symbol", F.col("ts").cast("timestamp_ntz").alias("ts"),
+        *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+        "volume", "trade_date", "month")
+
+
+@register("validate_bars")
+def validate_bars(spark: SparkSession, d: str) -> DataFrame:
+    v = silver_op.validate_bars(R.lineitem_bars(spark, d))
+    return v.select("l_orderkey", "l_linenumber", "is_valid",
+                    F.array_join("violations", ",").alias("violations"))
+
+
+@register("dedup_bars")
+def dedup_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Newest ship date per (order, line); other columns break ties."""
+    li = load(spark, d, "lineitem")
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+             "l_tax", "l_returnflag", "l_linestatus"]
+    return silver_op.dedup_latest(li, ["l_orderkey", "l_linenumber"], order)
+
+
+@register("silver_rewrite")
+def silver_rewrite(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly Silver; a rerun of three months rewrites their whole year."""
+    bars = R.lineitem_bars(spark, d).select("l_orderkey", "l_linenumber", "symbol", "ts")
+    path = shared_dir(spark, "silver")
+    silver_sink.write_yearly(bars.withColumn("run", F.lit(1)), path)
+    start, end = M.require_window(*SILVER_RERUN)
+    silver_sink.rewrite_years(bars, lambda df: df.withColumn("run", F.lit(2)), path, start, end)
+    back = spark.read.parquet(path)
+    return back.select("l_orderkey", "l_linenumber", "symbol", F.col("year").cast("int").alias("year"),
+                       "run")
+
+
+@register("missing_tasks")
+def missing_tasks(spark: SparkSession, d: str) -> DataFrame:
+    tasks = planner.plan_tasks(R.dimension(spark, d), *R.TASK_WINDOW, as_of=R.TASK_AS_OF)
+    return completeness_op.missing_tasks(tasks, R.landed_months(spark, d))
+
+
+@register("completeness")
+def completeness(spark: SparkSession, d: str) -> DataFrame:
+    tasks = planner.plan_tasks(R.dimension(spark, d), *R.TASK_WINDOW, as_of=R.TASK_AS_OF)
+    return completeness_op.completeness(tasks, R.landed_months(spark, d))

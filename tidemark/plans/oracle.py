@@ -269,3 +269,102 @@ SELECT o_orderkey,
                    'status', o_orderstatus) AS VARCHAR) AS doc_json
 FROM orders
 """
+
+ORACLE["bronze_rewrite"] = """
+SELECT event_id, event_type AS symbol, strftime(ts, '%Y-%m-%d') AS day,
+  CASE WHEN strftime(ts, '%Y-%m-%d') >= '2024-01-15' THEN 2 ELSE 1 END AS run
+FROM events
+"""
+
+ORACLE["latest_snapshot"] = """
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS latest_event_id, max(ts) AS latest_ts,
+  arg_max(value, (ts, event_id)) AS latest_value, arg_max(event_type, (ts, event_id)) AS latest_keywords
+FROM events GROUP BY user_id
+"""
+
+ORACLE["dim_tags"] = """
+WITH t AS (
+  SELECT p_partkey,
+    CASE WHEN p_size % 3 = 0 THEN '[]'
+         WHEN p_size % 3 = 1 THEN '["' || lower(p_type) || '"]'
+         WHEN p_size % 6 = 5 THEN '["' || lower(p_type) || '","' || split_part(p_name, ' ', 1) || '"]'
+         ELSE '["' || lower(p_type) || '", "' || split_part(p_name, ' ', 1) || '"]' END AS tags
+  FROM part),
+l AS (SELECT p_partkey, CAST(from_json(tags, '["VARCHAR"]') AS VARCHAR[]) AS arr FROM t),
+x AS (SELECT p_partkey, arr, unnest(generate_series(1, greatest(len(arr), 1))) AS i FROM l)
+SELECT p_partkey,
+  CASE WHEN len(arr) = 0 THEN NULL ELSE CAST(i - 1 AS INTEGER) END AS tag_pos,
+  CASE WHEN len(arr) = 0 THEN NULL ELSE arr[i] END AS tag
+FROM x
+"""
+
+ORACLE["normalize_bars"] = """
+SELECT event_id, user_id AS symbol, ts, value AS open, value AS high, value AS low, value AS close,
+  TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume,
+  CAST(ts AS DATE) AS trade_date, strftime(ts, '%Y-%m') AS month
+FROM events
+"""
+
+ORACLE["validate_bars"] = """
+WITH b AS (
+  SELECT l_orderkey, l_linenumber, 'S' || l_suppkey AS symbol, l_shipdate AS ts,
+    l_extendedprice / l_quantity AS o,
+    (l_extendedprice / l_quantity) * (1 + l_tax - l_discount / 2) AS h,
+    (l_extendedprice / l_quantity) * (1 - l_discount) AS lo,
+    (l_extendedprice / l_quantity) * (1 + l_tax - l_discount * 2) AS c,
+    CAST(l_quantity AS BIGINT) - 10 AS volume,
+    CASE WHEN l_linenumber = 7 THEN strftime(l_shipdate + INTERVAL 1 MONTH, '%Y-%m')
+         ELSE strftime(l_shipdate, '%Y-%m') END AS month
+  FROM lineitem),
+v AS (
+  SELECT l_orderkey, l_linenumber, concat_ws(',',
+    CASE WHEN symbol IS NULL OR ts IS NULL THEN 'null_key' END,
+    CASE WHEN NOT coalesce(o > 0 AND h > 0 AND lo > 0 AND c > 0, false) THEN 'bad_price' END,
+    CASE WHEN coalesce(lo > least(o, c), false) THEN 'low_above_min' END,
+    CASE WHEN coalesce(h < greatest(o, c), false) THEN 'high_below_max' END,
+    CASE WHEN NOT coalesce(volume >= 0, false) THEN 'bad_volume' END,
+    CASE WHEN coalesce(strftime(ts, '%Y-%m') <> month, false) THEN 'month_mismatch' END) AS violations
+  FROM b)
+SELECT l_orderkey, l_linenumber, violations = '' AS is_valid, violations FROM v
+"""
+
+ORACLE["dedup_bars"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+             l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+  FROM lineitem) WHERE rn = 1
+"""
+
+ORACLE["silver_rewrite"] = """
+SELECT l_orderkey, l_linenumber, 'S' || l_suppkey AS symbol, CAST(year(l_shipdate) AS INTEGER) AS year,
+  CASE WHEN year(l_shipdate) = 1998 THEN 2 ELSE 1 END AS run
+FROM lineitem
+"""
+
+_TASKS = f"""
+{_DIM},
+tasks AS (
+  SELECT symbol, strftime(m, '%Y-%m') AS month
+  FROM ann, unnest(generate_series(greatest(DATE '1997-01-01', fm), DATE '1998-06-01', INTERVAL 1 MONTH)) AS g(m)
+  WHERE fm IS NOT NULL AND fm <= DATE '1998-06-01'),
+landed AS (
+  SELECT DISTINCT c.c_name AS symbol, strftime(o.o_orderdate, '%Y-%m') AS month
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey)
+"""
+
+ORACLE["missing_tasks"] = f"""
+WITH {_TASKS}
+SELECT symbol, month FROM tasks EXCEPT SELECT symbol, month FROM landed
+"""
+
+ORACLE["completeness"] = f"""
+WITH {_TASKS},
+f AS (
+  SELECT t.symbol, count(*) AS expected, count(l.symbol) AS present
+  FROM tasks t LEFT JOIN landed l ON l.symbol = t.symbol AND l.month = t.month
+  GROUP BY t.symbol)
+SELECT symbol, expected, present, expected - present AS missing,
+  round(present / expected, 6) AS completeness
+FROM f
+"""

@@ -117,3 +117,34 @@ def monthly_responses(spark: SparkSession, data_dir: str) -> DataFrame:
             .select(F.col("c_name").alias("symbol"), F.lit(200).alias("status_code"),
                     F.lit("application/json").alias("content_type"),
                     F.coalesce(F.col("_doc"), missing).alias("body")))
+
+
+def event_docs(spark: SparkSession, data_dir: str) -> DataFrame:
+    """One vendor-shaped intraday document per event (price = value, volume =
+    ``k`` of ``props``): documents are never packed, so none grows with a hot
+    symbol."""
+    from tidemark.operators.silver import bar_document
+    e = load(spark, data_dir, "events")
+    price = F.col("value")
+    volume = F.get_json_object("props", "$.k").try_cast("bigint")
+    return e.select(F.col("user_id").alias("symbol"), "event_id", "event_type", "ts",
+                    bar_document(F.col("ts"), price, price, price, price, volume).alias("body"))
+
+
+def lineitem_bars(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Bars from line items, built so that every validation rule fires somewhere."""
+    li = load(spark, data_dir, "lineitem")
+    o = F.col("l_extendedprice") / F.col("l_quantity")
+    tax, disc = F.col("l_tax"), F.col("l_discount")
+    part_month = F.when(F.col("l_linenumber") == 7, M.month_key(F.add_months("l_shipdate", 1))) \
+        .otherwise(M.month_key("l_shipdate"))
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
+        F.col("l_shipdate").alias("ts"),
+        o.alias("open"),
+        (o * (F.lit(1) + tax - disc / 2)).alias("high"),
+        (o * (F.lit(1) - disc)).alias("low"),
+        (o * (F.lit(1) + tax - disc * 2)).alias("close"),
+        (F.col("l_quantity").cast("bigint") - 10).alias("volume"),
+        part_month.alias("month"))

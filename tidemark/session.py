@@ -37,7 +37,8 @@ SESSION_CONF = {
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidemark") -> SparkSession:
     """Return the active session (or build a local one) with our settings applied."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
