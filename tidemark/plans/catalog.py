@@ -18,6 +18,7 @@ from tidemark.operators import classify as classify_op
 from tidemark.operators import earliest as earliest_op
 from tidemark.operators import outcomes, planner
 from tidemark.operators import completeness as completeness_op
+from tidemark.operators import gold
 from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
 from tidemark.session import shared_dir
@@ -312,3 +313,93 @@ def missing_tasks(spark: SparkSession, d: str) -> DataFrame:
 def completeness(spark: SparkSession, d: str) -> DataFrame:
     tasks = planner.plan_tasks(R.dimension(spark, d), *R.TASK_WINDOW, as_of=R.TASK_AS_OF)
     return completeness_op.completeness(tasks, R.landed_months(spark, d))
+
+
+# --------------------------------------------------------------------- gold
+
+def _daily(spark, d):
+    return gold.daily_bars(R.bars(spark, d))
+
+
+def _daily_ret(spark, d):
+    return gold.returns(_daily(spark, d))
+
+
+@register("ohlcv_hourly")
+def ohlcv_hourly(spark: SparkSession, d: str) -> DataFrame:
+    return gold.ohlcv(R.bars(spark, d), "hour")
+
+
+@register("ohlcv_daily")
+def ohlcv_daily(spark: SparkSession, d: str) -> DataFrame:
+    return gold.ohlcv(R.bars(spark, d), "day")
+
+
+@register("vwap_daily")
+def vwap_daily(spark: SparkSession, d: str) -> DataFrame:
+    return gold.vwap(R.bars(spark, d), "day")
+
+
+@register("returns")
+def returns(spark: SparkSession, d: str) -> DataFrame:
+    return _daily_ret(spark, d)
+
+
+@register("rolling_stats")
+def rolling_stats(spark: SparkSession, d: str) -> DataFrame:
+    return gold.rolling_stats(_daily(spark, d), 5)
+
+
+@register("rolling_range")
+def rolling_range(spark: SparkSession, d: str) -> DataFrame:
+    return gold.rolling_range(_daily(spark, d), 7)
+
+
+@register("drawdown")
+def drawdown(spark: SparkSession, d: str) -> DataFrame:
+    return gold.drawdown(_daily(spark, d))
+
+
+@register("zscore")
+def zscore(spark: SparkSession, d: str) -> DataFrame:
+    return gold.zscore(_daily(spark, d), 5)
+
+
+@register("vol_regime")
+def vol_regime(spark: SparkSession, d: str) -> DataFrame:
+    return gold.vol_regime(_daily(spark, d), 3, 10)
+
+
+@register("cross_rank")
+def cross_rank(spark: SparkSession, d: str) -> DataFrame:
+    ranked = gold.enrich(_daily_ret(spark, d), R.categories(spark, d).select("symbol", "category"),
+                         "symbol", "inner")
+    return gold.cross_rank(ranked, "category")
+
+
+@register("top_movers")
+def top_movers(spark: SparkSession, d: str) -> DataFrame:
+    return gold.top_movers(_daily_ret(spark, d), 3)
+
+
+@register("dist_features")
+def dist_features(spark: SparkSession, d: str) -> DataFrame:
+    return gold.dist_features(R.bars(spark, d))
+
+
+@register("benchmark_beta")
+def benchmark_beta(spark: SparkSession, d: str) -> DataFrame:
+    r = _daily_ret(spark, d)
+    return gold.benchmark_beta(r, gold.market_index(r))
+
+
+@register("enriched_bars")
+def enriched_bars(spark: SparkSession, d: str) -> DataFrame:
+    e = gold.enrich(R.bars(spark, d), R.categories(spark, d), "symbol", "left")
+    return e.select("event_id", "symbol", "ts", "price", "volume", "category", "nation")
+
+
+@register("metrics_cube")
+def metrics_cube(spark: SparkSession, d: str) -> DataFrame:
+    e = gold.enrich(R.bars(spark, d), R.categories(spark, d), "symbol", "left")
+    return gold.metrics_cube(e, ["category", "event_type"], "price")

@@ -368,3 +368,171 @@ SELECT symbol, expected, present, expected - present AS missing,
   round(present / expected, 6) AS completeness
 FROM f
 """
+
+_BARS = """
+bars AS (
+  SELECT event_id, user_id AS symbol, ts, event_type, value AS price,
+    TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume
+  FROM events),
+daily AS (
+  SELECT symbol, CAST(ts AS DATE) AS trade_date, arg_max(price, ts) AS close,
+    CAST(sum(volume) AS BIGINT) AS volume
+  FROM bars GROUP BY symbol, CAST(ts AS DATE)),
+ret AS (
+  SELECT symbol, trade_date, close, volume,
+    CASE WHEN prev > 0 THEN round(close / prev - 1, 6) END AS ret,
+    CASE WHEN prev > 0 AND close > 0 THEN round(ln(close / prev), 6) END AS log_ret
+  FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY trade_date) AS prev FROM daily))
+"""
+
+
+def _ohlcv(grain: str) -> str:
+    return f"""
+WITH {_BARS}
+SELECT symbol, date_trunc('{grain}', ts) AS bar_start, arg_min(price, ts) AS open, max(price) AS high,
+  min(price) AS low, arg_max(price, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+FROM bars GROUP BY symbol, date_trunc('{grain}', ts)
+"""
+
+
+ORACLE["ohlcv_hourly"] = _ohlcv("hour")
+ORACLE["ohlcv_daily"] = _ohlcv("day")
+
+ORACLE["vwap_daily"] = f"""
+WITH {_BARS}
+SELECT symbol, date_trunc('day', ts) AS bar_start, CAST(sum(volume) AS BIGINT) AS volume,
+  CASE WHEN sum(volume) <> 0 THEN round(sum(price * volume) / sum(volume), 9) END AS vwap
+FROM bars GROUP BY symbol, date_trunc('day', ts)
+"""
+
+ORACLE["returns"] = f"""
+WITH {_BARS}
+SELECT symbol, trade_date, close, volume, ret, log_ret FROM ret
+"""
+
+ORACLE["rolling_stats"] = f"""
+WITH {_BARS}
+SELECT symbol, trade_date, close,
+  CASE WHEN count(close) OVER w = 5 THEN round(avg(close) OVER w, 9) END AS roll_mean,
+  CASE WHEN count(close) OVER w = 5 THEN round(stddev_samp(close) OVER w, 6) END AS roll_std,
+  CASE WHEN count(close) OVER w = 5 THEN min(close) OVER w END AS roll_min,
+  CASE WHEN count(close) OVER w = 5 THEN max(close) OVER w END AS roll_max
+FROM daily
+WINDOW w AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+"""
+
+ORACLE["rolling_range"] = f"""
+WITH {_BARS}
+SELECT symbol, trade_date, close, round(avg(close) OVER w, 9) AS span_mean, count(close) OVER w AS span_n
+FROM daily
+WINDOW w AS (PARTITION BY symbol ORDER BY trade_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)
+"""
+
+ORACLE["drawdown"] = f"""
+WITH {_BARS}
+SELECT symbol, trade_date, close, max(close) OVER w AS running_peak,
+  CASE WHEN max(close) OVER w > 0 THEN round(close / max(close) OVER w - 1, 6) END AS drawdown
+FROM daily
+WINDOW w AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+ORACLE["zscore"] = f"""
+WITH {_BARS}
+SELECT symbol, trade_date, close,
+  CASE WHEN count(close) OVER w = 5 AND stddev_samp(close) OVER w > 0
+       THEN round((close - avg(close) OVER w) / stddev_samp(close) OVER w, 6) END AS zscore
+FROM daily
+WINDOW w AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+"""
+
+ORACLE["vol_regime"] = f"""
+WITH {_BARS},
+v AS (
+  SELECT symbol, trade_date, ret,
+    CASE WHEN count(ret) OVER ws = 3 THEN round(stddev_samp(ret) OVER ws, 6) END AS short_vol,
+    CASE WHEN count(ret) OVER wl = 10 THEN round(stddev_samp(ret) OVER wl, 6) END AS long_vol
+  FROM ret
+  WINDOW ws AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+         wl AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+s AS (
+  SELECT *, CASE WHEN short_vol IS NOT NULL AND long_vol IS NOT NULL THEN
+    CASE WHEN short_vol > long_vol THEN 'high' ELSE 'normal' END END AS state
+  FROM v),
+c AS (
+  SELECT *, CASE WHEN state IS NULL THEN 0
+                 WHEN lag(state) OVER (PARTITION BY symbol ORDER BY trade_date) IS NULL THEN 1
+                 WHEN state <> lag(state) OVER (PARTITION BY symbol ORDER BY trade_date) THEN 1
+                 ELSE 0 END AS chg
+  FROM s)
+SELECT symbol, trade_date, ret, short_vol, long_vol, state,
+  CASE WHEN state IS NOT NULL THEN CAST(sum(chg) OVER (PARTITION BY symbol ORDER BY trade_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END AS regime_id
+FROM c
+"""
+
+ORACLE["cross_rank"] = f"""
+WITH {_BARS},
+c AS (
+  SELECT r.*, cu.c_mktsegment AS category FROM ret r JOIN customer cu ON cu.c_custkey = r.symbol
+  WHERE r.ret IS NOT NULL)
+SELECT trade_date, category, symbol, ret,
+  CAST(rank() OVER w AS INTEGER) AS rnk, round(percent_rank() OVER w, 6) AS pct_rank,
+  CAST(ntile(4) OVER w AS INTEGER) AS quartile
+FROM c
+WINDOW w AS (PARTITION BY trade_date, category ORDER BY ret DESC, symbol)
+"""
+
+ORACLE["top_movers"] = f"""
+WITH {_BARS}
+SELECT trade_date, CAST(row_number() OVER w AS INTEGER) AS mover_rank, symbol, ret
+FROM ret WHERE ret IS NOT NULL
+WINDOW w AS (PARTITION BY trade_date ORDER BY abs(ret) DESC, symbol)
+QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLE["dist_features"] = f"""
+WITH {_BARS},
+m AS (SELECT symbol, avg(price) AS mu FROM bars GROUP BY symbol),
+c AS (
+  SELECT b.symbol, avg(power(price - mu, 2)) AS m2, avg(power(price - mu, 3)) AS m3,
+    avg(power(price - mu, 4)) AS m4
+  FROM bars b JOIN m ON m.symbol = b.symbol GROUP BY b.symbol),
+a AS (
+  SELECT symbol, count(price) AS n, avg(price) AS mean, stddev_samp(price) AS sd,
+    min(price) AS min_value, max(price) AS max_value, quantile_disc(price, 0.5) AS median,
+    count(DISTINCT price) AS n_distinct
+  FROM bars GROUP BY symbol)
+SELECT a.symbol, a.n, round(a.mean, 9) AS mean, round(a.sd, 6) AS stddev,
+  CASE WHEN c.m2 > 0 THEN round(c.m3 / power(c.m2, 1.5), 6) END AS skewness,
+  CASE WHEN c.m2 > 0 THEN round(c.m4 / (c.m2 * c.m2) - 3, 6) END AS kurtosis,
+  a.min_value, a.max_value, a.median, a.n_distinct
+FROM a JOIN c ON c.symbol = a.symbol
+"""
+
+ORACLE["benchmark_beta"] = f"""
+WITH {_BARS},
+mkt AS (SELECT trade_date, avg(ret) AS mkt_ret FROM ret WHERE ret IS NOT NULL GROUP BY trade_date),
+j AS (
+  SELECT r.symbol, r.ret, m.mkt_ret FROM ret r JOIN mkt m ON m.trade_date = r.trade_date
+  WHERE r.ret IS NOT NULL AND m.mkt_ret IS NOT NULL),
+a AS (
+  SELECT symbol, count(*) AS n_days, corr(ret, mkt_ret) AS co, covar_samp(ret, mkt_ret) AS cv,
+    var_samp(mkt_ret) AS va
+  FROM j GROUP BY symbol)
+SELECT symbol, n_days, round(co, 6) AS correlation, CASE WHEN va > 0 THEN round(cv / va, 6) END AS beta
+FROM a WHERE n_days >= 3
+"""
+
+ORACLE["enriched_bars"] = f"""
+WITH {_BARS}
+SELECT b.event_id, b.symbol, b.ts, b.price, b.volume, c.c_mktsegment AS category, c.c_nationkey AS nation
+FROM bars b LEFT JOIN customer c ON c.c_custkey = b.symbol
+"""
+
+ORACLE["metrics_cube"] = f"""
+WITH {_BARS}
+SELECT c.c_mktsegment AS category, b.event_type, GROUPING(c.c_mktsegment, b.event_type) AS gid,
+  count(*) AS n_rows, round(sum(b.price), 6) AS sum_value, round(avg(b.price), 9) AS avg_value
+FROM bars b LEFT JOIN customer c ON c.c_custkey = b.symbol
+GROUP BY CUBE (c.c_mktsegment, b.event_type)
+"""

@@ -134,7 +134,7 @@ def event_docs(spark: SparkSession, data_dir: str) -> DataFrame:
 def lineitem_bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """Bars from line items, built so that every validation rule fires somewhere."""
     li = load(spark, data_dir, "lineitem")
-    o = F.col("l_extendedprice") / F.col("l_quantity")
+    o = F.when(F.col("l_quantity") != 0, F.col("l_extendedprice") / F.col("l_quantity"))
     tax, disc = F.col("l_tax"), F.col("l_discount")
     part_month = F.when(F.col("l_linenumber") == 7, M.month_key(F.add_months("l_shipdate", 1))) \
         .otherwise(M.month_key("l_shipdate"))
@@ -148,3 +148,18 @@ def lineitem_bars(spark: SparkSession, data_dir: str) -> DataFrame:
         (o * (F.lit(1) + tax - disc * 2)).alias("close"),
         (F.col("l_quantity").cast("bigint") - 10).alias("volume"),
         part_month.alias("month"))
+
+
+def bars(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Trades as bars: symbol = user, price = value, volume = ``k`` of ``props``."""
+    e = load(spark, data_dir, "events")
+    return e.select("event_id", F.col("user_id").alias("symbol"), "ts", "event_type",
+                    F.col("value").alias("price"),
+                    F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
+
+
+def categories(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Symbol -> category (market segment) and nation, from customer."""
+    return load(spark, data_dir, "customer").select(
+        F.col("c_custkey").alias("symbol"), F.col("c_mktsegment").alias("category"),
+        F.col("c_nationkey").alias("nation"))
