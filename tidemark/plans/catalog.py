@@ -24,6 +24,7 @@ from tidemark.operators import silver as silver_op
 from tidemark.session import shared_dir
 from tidemark.sources import bronze, dimension
 from tidemark.sources import silver as silver_sink
+from tidemark.streaming import ingest as streaming
 from tidemark.plans import recast as R
 from tidemark.sources.tables import load
 
@@ -403,3 +404,47 @@ def enriched_bars(spark: SparkSession, d: str) -> DataFrame:
 def metrics_cube(spark: SparkSession, d: str) -> DataFrame:
     e = gold.enrich(R.bars(spark, d), R.categories(spark, d), "symbol", "left")
     return gold.metrics_cube(e, ["category", "event_type"], "price")
+
+
+# ---------------------------------------------------------------- streaming
+
+STREAM_DELAY = "1 hour"
+
+
+@register("stream_ingest")
+def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Events through a file stream, classified, landed per trigger."""
+    streaming.use_rocksdb(spark)
+    src = streaming.table_stream(spark, d, "events")
+    resp = R.responses_from_events(src).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    root = shared_dir(spark, "stream-ingest")
+    streaming.land_stream(resp, lambda b: classify_op.classify(b, classify_op.INTRADAY, diagnostics=False),
+                          root)
+    cols = ["response_id", "error_class", "ok", "error"]
+    return (spark.read.parquet(f"{root}/bronze").select(*cols)
+            .unionByName(spark.read.parquet(f"{root}/rejects").select(*cols)))
+
+
+@register("stream_dedup")
+def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """The event file replayed by two sources; each event kept once."""
+    streaming.use_rocksdb(spark)
+    a = streaming.event_time(streaming.table_stream(spark, d, "events"))
+    b = streaming.event_time(streaming.table_stream(spark, d, "events"))
+    out = streaming.dedup_stream(a.unionByName(b), ["event_id"], delay=STREAM_DELAY)
+    root = streaming.run_available_now(out.drop("event_ts"), "dedup")
+    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "ts", "value")
+
+
+@register("stream_ohlcv")
+def stream_ohlcv(spark: SparkSession, d: str) -> DataFrame:
+    """Daily bars per symbol, closed windows only (append mode)."""
+    streaming.use_rocksdb(spark)
+    src = streaming.event_time(streaming.table_stream(spark, d, "events"))
+    bars = src.select(F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
+                      F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
+    agg = streaming.bars_stream(bars, "1 day", delay=STREAM_DELAY)
+    out = agg.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                     "open", "high", "low", "close", "volume", "n_trades")
+    root = streaming.run_available_now(out, "ohlcv")
+    return spark.read.parquet(f"{root}/out")

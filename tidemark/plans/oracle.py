@@ -536,3 +536,41 @@ SELECT c.c_mktsegment AS category, b.event_type, GROUPING(c.c_mktsegment, b.even
 FROM bars b LEFT JOIN customer c ON c.c_custkey = b.symbol
 GROUP BY CUBE (c.c_mktsegment, b.event_type)
 """
+
+ORACLE["stream_ingest"] = f"""
+WITH {_RESPONSES},
+c AS (
+  SELECT *, CASE
+    WHEN status_code IS NULL THEN 'transport'
+    WHEN NOT (status_code >= 200 AND status_code < 300) THEN 'http_status'
+    WHEN NOT contains(lower(content_type), 'application/json') THEN 'content_type'
+    WHEN NOT jv THEN 'invalid_json'
+    WHEN json_type(jb) <> 'OBJECT' THEN 'not_object'
+    WHEN json_exists(jb, '$."Note"') THEN 'note'
+    WHEN json_exists(jb, '$."Error Message"') THEN 'error_message'
+    ELSE 'ok' END AS error_class
+  FROM j WHERE source = 'events')
+SELECT response_id, error_class, error_class = 'ok' AS ok,
+  CASE error_class
+    WHEN 'transport' THEN 'Failed to fetch data from Alpha Vantage API.'
+    WHEN 'http_status' THEN 'Alpha Vantage API returned HTTP ' || status_code || '.'
+    WHEN 'content_type' THEN 'Unexpected response format.'
+    WHEN 'invalid_json' THEN 'Invalid JSON from Alpha Vantage API.'
+    WHEN 'not_object' THEN 'Response is not a JSON object.'
+    WHEN 'note' THEN jb->>'$."Note"'
+    WHEN 'error_message' THEN jb->>'$."Error Message"' END AS error
+FROM c
+"""
+
+ORACLE["stream_dedup"] = """
+SELECT event_id, user_id, ts, value FROM events
+"""
+
+ORACLE["stream_ohlcv"] = f"""
+WITH {_BARS}
+SELECT symbol, date_trunc('day', ts) AS window_start, arg_min(price, ts) AS open, max(price) AS high,
+  min(price) AS low, arg_max(price, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+FROM bars
+GROUP BY symbol, date_trunc('day', ts)
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+"""

@@ -49,10 +49,8 @@ def landed_months(spark: SparkSession, data_dir: str) -> DataFrame:
             .select(F.col("c_name").alias("symbol"), "month"))
 
 
-def responses(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Landed vendor responses: one per event (every class of the chain) and
-    one per page (HTML bodies under a JSON content type)."""
-    e = load(spark, data_dir, "events")
+def responses_from_events(e: DataFrame) -> DataFrame:
+    """One landed response per event, covering every class of the chain."""
     et, eid, uid = F.col("event_type"), F.col("event_id"), F.col("user_id").cast("string")
     status = (F.when(et == "error",
                      F.when(eid % 3 == 0, F.lit(None)).when(eid % 3 == 1, F.lit(503)).otherwise(F.lit(404)))
@@ -67,8 +65,15 @@ def responses(spark: SparkSession, data_dir: str) -> DataFrame:
             .when((et == "view") & (eid % 7 == 0), F.concat(F.lit("["), uid, F.lit("]")))
             .when((et == "click") & (eid % 11 == 0), F.lit('{"Note": null}'))
             .otherwise(F.col("props")))
-    from_events = e.select(F.lit("events").alias("source"), eid.alias("response_id"),
-                           status.alias("status_code"), ctype.alias("content_type"), body.alias("body"))
+    return e.select(F.lit("events").alias("source"), eid.alias("response_id"),
+                    status.alias("status_code"), ctype.alias("content_type"), body.alias("body"),
+                    F.col("ts"))
+
+
+def responses(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Landed vendor responses: one per event and one per page (HTML bodies
+    under a JSON content type)."""
+    from_events = responses_from_events(load(spark, data_dir, "events")).drop("ts")
     from_pages = load(spark, data_dir, "pages").select(
         F.lit("pages").alias("source"), F.col("page_id").alias("response_id"),
         F.lit(200).alias("status_code"), F.lit("application/json").alias("content_type"),
