@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 # The accepted year-month shape. Four digits, a dash, and a
 # month of one or two digits (01-12 or 1-9); year 0000 is not a year.
 YEAR_MONTH_PATTERN = r"^[0-9]{4}-(1[0-2]|0[1-9]|[1-9])$"
+YEAR_MONTH_PATTERN_STRICT = r"^(?!0000)[0-9]{4}-(1[0-2]|0[1-9]|[1-9])$"
 # A full calendar date prefix is required before an event time is parsed, so
 # that a bare month or year is refused rather than read as a timestamp.
 EVENT_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"
-# Leading / trailing whitespace, Unicode aware.
-_STRIP_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters a Python ``str.strip()`` removes (ASCII
+# whitespace, the file/group/record/unit separators and Unicode spaces).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003"
+              "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def col_of(c) -> Column:
@@ -29,22 +32,27 @@ def col_of(c) -> Column:
 
 def strip(c) -> Column:
     """Whitespace strip on both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(col_of(c), _STRIP_PATTERN, "")
+    return F.btrim(col_of(c), F.lit(WHITESPACE))
 
 
 def is_valid_year_month(c) -> Column:
-    """NULL and anything not shaped like ``yyyy-M[M]`` is false."""
-    s = strip(c)
-    ok = s.rlike(YEAR_MONTH_PATTERN) & (F.substring(s, 1, 4) != F.lit("0000"))
-    return F.coalesce(ok, F.lit(False))
+    """NULL and anything not shaped like ``yyyy-M[M]`` is false.
+
+    One regex test on the stripped text: the pattern refuses year 0000 itself.
+    """
+    return F.coalesce(strip(c).rlike(YEAR_MONTH_PATTERN_STRICT), F.lit(False))
 
 
 def month_start(c) -> Column:
-    """First-of-month DATE for a valid year-month text, NULL otherwise."""
+    """First-of-month DATE for a valid year-month text, NULL otherwise.
+
+    ``try_to_date`` on the stripped text padded to a full date; the shape test
+    guards it (the date parser would accept forms the reference refuses).
+    """
     s = strip(c)
-    year = F.substring(s, 1, 4).cast("int")
-    month = F.substring_index(s, "-", -1).cast("int")
-    return F.when(is_valid_year_month(c), F.make_date(year, month, F.lit(1)))
+    return F.when(s.rlike(YEAR_MONTH_PATTERN_STRICT),
+                  F.make_date(F.substring(s, 1, 4).cast("int"),
+                              F.substring_index(s, "-", -1).cast("int"), F.lit(1)))
 
 
 def month_key(d) -> Column:
@@ -64,10 +72,8 @@ def parse_event_time(c, as_of) -> Column:
     to a rejects status instead of silently using ``as_of``.
     """
     s = strip(c)
-    blank = c_is_blank(c)
-    iso = F.regexp_replace(s, "Z$", "+00:00")
-    parsed = F.when(s.rlike(EVENT_TIME_PATTERN), iso.try_cast("timestamp"))
-    return F.when(blank, col_of(as_of)).otherwise(parsed)
+    parsed = F.when(s.rlike(EVENT_TIME_PATTERN), s.try_cast("timestamp"))  # 'Z' is a zone id
+    return F.when(F.coalesce(s == F.lit(""), F.lit(True)), col_of(as_of)).otherwise(parsed)
 
 
 def c_is_blank(c) -> Column:

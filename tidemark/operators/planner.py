@@ -48,28 +48,40 @@ def plan_window(requests: DataFrame, time_col: str = "time", start_col: str = "y
     unless ``ok``.  One blank bound discards the other (Q6).
     """
     as_of = as_of if as_of is not None else F.current_timestamp()
-    now = M.parse_event_time(time_col, as_of)
-    blank = M.c_is_blank(start_col) | M.c_is_blank(end_col)
-    cur = F.trunc(now, "MM")
-    start = F.when(blank, F.add_months(cur, -(months_back - 1))).otherwise(M.month_start(start_col))
-    end = F.when(blank, cur).otherwise(M.month_start(end_col))
-    glue_start = F.make_date(F.year(end) - 1, F.lit(1), F.lit(1))
-    covered = (glue_start <= start) & (end >= end)
-    status = (F.when(now.isNull(), F.lit("invalid_event_time"))
-              .when(start.isNull() | end.isNull(), F.lit("invalid_format"))
-              .when(end < start, F.lit("end_before_start"))
-              .when(~covered, F.lit("not_covered"))
-              .otherwise(F.lit("ok")))
-    ok = status == "ok"
-    return (requests
-            .withColumn("status", status)
+    # Staged columns: each regex / parse runs once per row (Catalyst does not
+    # collapse projections that would duplicate non-cheap expressions).
+    staged = (requests
+              .withColumn("_now", M.parse_event_time(time_col, as_of))
+              .withColumn("_blank", M.c_is_blank(start_col) | M.c_is_blank(end_col))
+              .withColumn("_s_given", M.month_start(start_col))
+              .withColumn("_e_given", M.month_start(end_col)))
+    cur = F.trunc(F.col("_now"), "MM")
+    staged = (staged
+              .withColumn("_start", F.when(F.col("_blank"), F.add_months(cur, -(months_back - 1)))
+                          .otherwise(F.col("_s_given")))
+              .withColumn("_end", F.when(F.col("_blank"), cur).otherwise(F.col("_e_given"))))
+    start, end = F.col("_start"), F.col("_end")
+    staged = staged.withColumn("_glue", F.make_date(F.year(end) - 1, F.lit(1), F.lit(1)))
+    glue = F.col("_glue")
+    # the recompute window ends at the ingest end, so only its start can fail
+    covered = glue <= start
+    staged = staged.withColumn(
+        "status",
+        F.when(F.col("_now").isNull(), F.lit("invalid_event_time"))
+        .when(start.isNull() | end.isNull(), F.lit("invalid_format"))
+        .when(end < start, F.lit("end_before_start"))
+        .when(~covered, F.lit("not_covered"))
+        .otherwise(F.lit("ok")))
+    ok = F.col("status") == "ok"
+    return (staged
             .withColumn("ingest_start", F.when(ok, M.month_key(start)))
             .withColumn("ingest_end", F.when(ok, M.month_key(end)))
-            .withColumn("glue_start", F.when(ok, M.month_key(glue_start)))
+            .withColumn("glue_start", F.when(ok, M.month_key(glue)))
             .withColumn("glue_end", F.when(ok, M.month_key(end)))
-            .withColumn("gold_year_start", F.when(ok, F.date_format(glue_start, "yyyy")))
+            .withColumn("gold_year_start", F.when(ok, F.date_format(glue, "yyyy")))
             .withColumn("gold_year_end", F.when(ok, F.date_format(end, "yyyy")))
-            .withColumn("planned_at_utc", F.when(ok, M.utc_stamp(now))))
+            .withColumn("planned_at_utc", F.when(ok, M.utc_stamp("_now")))
+            .drop("_now", "_blank", "_s_given", "_e_given", "_start", "_end", "_glue"))
 
 
 # --------------------------------------------------------------- plan_batches
@@ -105,11 +117,11 @@ def annotate_symbols(dim: DataFrame, start: str | date, end: str | date, as_of=N
     if isinstance(start, str) or isinstance(end, str):
         start, end = M.require_window(str(start), str(end))
     clamp = F.least(F.lit(end), F.trunc(_lit_date(as_of), "MM"))
-    first = M.month_start(start_date_col)
+    first = F.col("first_month")
     skip = (F.when(first.isNull(), F.lit(SKIP_INVALID_START))
             .when(first > clamp, F.lit(SKIP_STARTS_AFTER_END)))
     return (dim.withColumn(symbol_col, M.strip(symbol_col))
-            .withColumn("first_month", first)
+            .withColumn("first_month", M.month_start(start_date_col))
             .withColumn("skip_reason", skip)
             .withColumn("eff_start", F.greatest(F.lit(start), F.col("first_month")))
             .withColumn("eff_end", clamp))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -12,5 +14,24 @@ def table_path(data_dir: str, name: str) -> str:
     return f"{data_dir.rstrip('/')}/{name}.parquet"
 
 
-def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(data_dir, name))
+def load(spark: SparkSession, data_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    df = spark.read.parquet(table_path(data_dir, name))
+    if spread is None:
+        spread = os.environ.get("TIDEMARK_SPREAD", "1") == "1"
+    return spread_small_input(df) if spread else df
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the session's
+    parallelism (a small file with a single row group is read by one task).
+
+    On a cluster reading large tables the scan already has more partitions
+    than cores and this is a no-op; column pruning and filters still reach
+    the scan because the repartition sits above it.
+    """
+    try:
+        parts = df.rdd.getNumPartitions()
+        target = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: leave the plan alone
+        return df
+    return df.repartition(target) if parts < target else df
