@@ -1,53 +1,77 @@
 """Exact dense row positions without a global window (used by O3 / T1 / T4).
 
 ``row_number() OVER (ORDER BY k)`` without a partition moves every row into
-one task.  Instead the rows are range-partitioned on the order key, sorted
-inside each partition, and numbered by ``monotonically_increasing_id`` (whose
-high bits are the partition index).  One row per partition (a table bounded by
-the partition count, not by the data) carries the partition sizes; their
-running sum gives each partition's offset, which is broadcast back.
+one task.  Instead:
+
+1. boundaries are taken from a bounded, seeded sample of the order key
+   (at most ``MAX_BOUNDS`` values reach the driver);
+2. each row gets the bucket of its key (count of boundaries <= key): a
+   deterministic expression, so a recomputed task lands rows in the same
+   bucket (range-partition sampling is seeded per RDD and may differ between
+   two executions of the same plan);
+3. ``row_number`` inside each bucket (a partitioned window, buckets of about
+   ``rows_per_bucket`` rows) plus the bucket's offset — the running sum over
+   the bucket-count table, one row per bucket, broadcast back.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW_BITS = (1 << 33) - 1
+ROWS_PER_BUCKET = 1_000_000
+MAX_BOUNDS = 4096
+SAMPLES_PER_BUCKET = 32
+
+
+def _bucket_expr(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int):
+    n = df.count()
+    n_buckets = min(MAX_BOUNDS + 1, max(1, math.ceil(n / rows_per_bucket)))
+    if n_buckets == 1:
+        return None
+    key = F.struct(*[F.col(c) for c in order_by])
+    fraction = min(1.0, n_buckets * SAMPLES_PER_BUCKET / max(n, 1))
+    sample = (df.select(key.alias("k")).sample(False, fraction, seed=17)
+              .orderBy("k").limit(n_buckets * SAMPLES_PER_BUCKET).collect())
+    step = max(1, len(sample) // n_buckets)
+    bounds = [r.k for r in sample[step::step]][: n_buckets - 1]
+    if not bounds:
+        return None
+    arr = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(b, order_by)]) for b in bounds])
+    return F.size(F.filter(arr, lambda b: b <= key))
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_idx",
-                   partitions: int | None = None) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``index_col`` = 0-based position of each row in ``order_by`` order.
 
-    ``order_by`` must be a total order (append tie-breakers if the key repeats)
-    so that the numbering is deterministic across task retries.
+    ``order_by`` must be a total order (append tie-breakers if the key repeats).
     """
     cols = [F.col(c) for c in order_by]
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    numbered = (ranged.sortWithinPartitions(*cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_part", F.shiftright(F.col("_mid"), 33))
-                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
-    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    bucket = _bucket_expr(df, order_by, rows_per_bucket)
+    if bucket is None:  # fits one bucket (<= rows_per_bucket rows): no offsets needed
+        pos = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*cols)) - 1
+        return df.withColumn(index_col, pos.cast("bigint"))
+    bucketed = df.withColumn("_bucket", bucket)
+    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
+        "_bucket",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_bucket")
+                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_offset"))
-    # one row per partition: a proven bound, safe to broadcast
-    return (numbered.join(F.broadcast(offsets), "_part")
-            .withColumn(index_col, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_pos"))
-            .drop("_mid", "_part", "_pos", "_offset"))
+    pos = F.row_number().over(Window.partitionBy("_bucket").orderBy(*cols)) - 1
+    # one row per bucket (<= MAX_BOUNDS + 1): a proven bound, safe to broadcast
+    return (bucketed.join(F.broadcast(offsets), "_bucket")
+            .withColumn(index_col, (F.col("_offset") + pos).cast("bigint"))
+            .drop("_bucket", "_offset"))
 
 
 def with_file_order(df: DataFrame, index_col: str = "file_idx") -> DataFrame:
-    """Position in file order for a fresh file scan (T4).
-
-    Parquet exposes ``_metadata.row_index``; the order key is
-    (file path, row index within the file), made dense by ``with_row_index``.
-    """
+    """Position in file order for a fresh Parquet scan (T4): the order key is
+    (file path, row index within the file)."""
     keyed = (df.withColumn("_file", F.col("_metadata.file_path"))
              .withColumn("_row", F.col("_metadata.row_index")))
     return with_row_index(keyed, ["_file", "_row"], index_col).drop("_file", "_row")
