@@ -18,10 +18,12 @@ from tidemark.functions.keys import join_errors
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       mode: str = "overwrite") -> None:
-    """One writer task per partition key, so each partition folder gets one
-    file; ``overwrite`` replaces only the partitions present in ``df``."""
+    """Rows of a partition key are brought together (few files per folder);
+    the ``rebalance`` hint lets AQE split a skewed key over several writer
+    tasks and merge small ones.  ``overwrite`` replaces only the partitions
+    present in ``df``."""
     cols = list(partition_cols)
-    (df.repartition(*cols).write.mode(mode)
+    (df.hint("rebalance", *cols).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(path))
 

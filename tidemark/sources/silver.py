@@ -22,9 +22,10 @@ def write_yearly(df: DataFrame, path: str, ts_col: str = "ts", symbol_col: str =
                  buckets: int = DEFAULT_BUCKETS, sort_cols: Sequence[str] | None = None) -> None:
     year = df[ts_col] if "year" not in df.columns else df["year"]
     out = df if "year" in df.columns else df.withColumn("year", F.year(year))
-    bucket = F.pmod(F.xxhash64(symbol_col), F.lit(buckets))
+    out = out.withColumn("_bucket", F.pmod(F.xxhash64(symbol_col), F.lit(buckets)))
     sort_cols = list(sort_cols) if sort_cols else [symbol_col, ts_col]
-    (out.repartition("year", bucket).sortWithinPartitions(*sort_cols)
+    # rebalance: AQE splits a (year, bucket) holding a hot symbol over several tasks
+    (out.hint("rebalance", "year", "_bucket").sortWithinPartitions(*sort_cols).drop("_bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(path))
 
