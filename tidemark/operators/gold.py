@@ -216,3 +216,13 @@ def enrich(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame
     """Facts with dimension attributes; the dimension is broadcast only
     when its estimated size is under the bound."""
     return facts.join(broadcast_if_small(dim), on, how)
+
+
+def rollup_bars(bars: DataFrame, grain: str, symbol: str = "symbol", start: str = "bar_start") -> DataFrame:
+    """OHLCV bars to a coarser grain from finer bars (equal to building the
+    coarse bars from the base rows)."""
+    coarse = F.date_trunc(grain, F.col(start)).cast(bars.schema[start].dataType)
+    return (bars.groupBy(symbol, coarse.alias("bar_start"))
+            .agg(F.min_by("open", start).alias("open"), F.max("high").alias("high"),
+                 F.min("low").alias("low"), F.max_by("close", start).alias("close"),
+                 F.sum("volume").alias("volume"), F.sum("n_trades").alias("n_trades")))

@@ -182,3 +182,49 @@ def subset_limit(dim: DataFrame, subset: DataFrame | None, order_by: Sequence[st
 
 def now_utc() -> datetime:
     return datetime.now(timezone.utc)
+
+
+# ------------------------------------------------------- plan document / J4
+
+def plan_parameters(spark, time: str | None = None, year_month_start: str | None = None,
+                    year_month_end: str | None = None, as_of=None,
+                    months_back: int = DEFAULT_MONTHS_BACK) -> dict:
+    """The ranges of one planner event (a job parameter, one row).
+
+    Raises ``ValueError`` where the reference raises; returns the window
+    fields of the plan document otherwise.
+    """
+    req = spark.createDataFrame([(time, year_month_start, year_month_end)],
+                                "time string, year_month_start string, year_month_end string")
+    as_of_col = F.to_timestamp(F.lit(as_of)) if isinstance(as_of, str) else as_of
+    r = plan_window(req, as_of=as_of_col, months_back=months_back).first()
+    if r.status != "ok":
+        raise ValueError(f"planner event refused: {r.status}")
+    return {"glue_year_month_start": r.glue_start, "glue_year_month_end": r.glue_end,
+            "gold_year_start": r.gold_year_start, "gold_year_end": r.gold_year_end,
+            "ingest_year_month_start": r.ingest_start, "ingest_year_month_end": r.ingest_end,
+            "planned_at_utc": r.planned_at_utc}
+
+
+def plan_document(batches: DataFrame, params: dict, total_symbols: int, symbols_uri: str) -> DataFrame:
+    """S10 in normalised form: one row per batch carrying the plan fields and
+    the worker event of the batch as JSON text (no global collect)."""
+    event = F.to_json(F.struct(
+        F.col("batch_id"), F.col("symbols").alias("symbols_subset"),
+        F.lit(symbols_uri).alias("symbols_s3_uri"),
+        F.lit(params["ingest_year_month_start"]).alias("year_month_start"),
+        F.lit(params["ingest_year_month_end"]).alias("year_month_end")))
+    return batches.select("batch_id", F.col("n_symbols").cast("bigint").alias("n_symbols"),
+                          event.alias("event_json"),
+                          F.lit(total_symbols).cast("bigint").alias("total_symbols"),
+                          *[F.lit(v).alias(k) for k, v in params.items()])
+
+
+def batch_tasks(dim: DataFrame, batches: DataFrame, start, end, as_of=None, symbol_col: str = "symbol",
+                start_date_col: str = "start_date") -> DataFrame:
+    """Every batch's symbols expanded to tasks in one job (instead of one
+    worker per batch re-reading the dimension).  A symbol repeated in the
+    dimension yields its tasks once per row (Q7)."""
+    members = batches.select("batch_id", F.explode("symbols").alias(symbol_col)).distinct()
+    joined = dim.join(members, symbol_col)
+    return plan_tasks(joined, start, end, as_of, symbol_col, start_date_col, keep=["batch_id"])

@@ -448,3 +448,40 @@ def stream_ohlcv(spark: SparkSession, d: str) -> DataFrame:
                      "open", "high", "low", "close", "volume", "n_trades")
     root = streaming.run_available_now(out, "ohlcv")
     return spark.read.parquet(f"{root}/out")
+
+
+# ------------------------------------------------------------ more planner
+
+# The planner event of the registered plan document.
+PLAN_EVENT_TIME = "2025-12-17T10:00:00Z"
+DIM_URI = "s3://example-bucket/meta/dim_symbol/v1/dim_symbol.csv"
+
+
+@register("plan_document")
+def plan_document(spark: SparkSession, d: str) -> DataFrame:
+    """The plan, one row per batch with the worker event as JSON."""
+    part = load(spark, d, "part").select(F.col("p_name").alias("symbol"), "p_partkey")
+    params = planner.plan_parameters(spark, PLAN_EVENT_TIME)
+    batches = planner.plan_batches(part, ["p_partkey"], R.BATCH_SIZE)
+    return planner.plan_document(batches, params, part.count(), DIM_URI)
+
+
+@register("batch_tasks")
+def batch_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of the customer dimension expanded to tasks in one job."""
+    dim = R.dimension(spark, d)
+    batches = planner.plan_batches(dim.select("symbol", "c_custkey"), ["c_custkey"], R.BATCH_SIZE)
+    return planner.batch_tasks(dim, batches, *R.TASK_WINDOW, as_of=R.TASK_AS_OF).select(
+        "batch_id", "symbol", "month")
+
+
+@register("plan_summary")
+def plan_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Symbols total / skipped / processed and planned requests."""
+    return planner.plan_counts(R.dimension(spark, d), *R.TASK_WINDOW, as_of=R.TASK_AS_OF)
+
+
+@register("ohlcv_rollup")
+def ohlcv_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Daily bars built from hourly bars (must equal daily from base)."""
+    return gold.rollup_bars(gold.ohlcv(R.bars(spark, d), "hour"), "day")

@@ -574,3 +574,41 @@ FROM bars
 GROUP BY symbol, date_trunc('day', ts)
 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """
+
+ORACLE["plan_document"] = """
+WITH p AS (SELECT p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part),
+b AS (
+  SELECT idx // 50 AS batch_id, count(*) AS n_symbols, list(p_name ORDER BY idx) AS syms
+  FROM p GROUP BY idx // 50)
+SELECT batch_id, n_symbols,
+  CAST(json_object('batch_id', batch_id, 'symbols_subset', syms,
+    'symbols_s3_uri', 's3://example-bucket/meta/dim_symbol/v1/dim_symbol.csv',
+    'year_month_start', '2025-11', 'year_month_end', '2025-12') AS VARCHAR) AS event_json,
+  (SELECT count(*) FROM part) AS total_symbols,
+  '2024-01' AS glue_year_month_start, '2025-12' AS glue_year_month_end,
+  '2024' AS gold_year_start, '2025' AS gold_year_end,
+  '2025-11' AS ingest_year_month_start, '2025-12' AS ingest_year_month_end,
+  '2025-12-17T10:00:00Z' AS planned_at_utc
+FROM b
+"""
+
+ORACLE["batch_tasks"] = f"""
+WITH {_DIM},
+b AS (SELECT symbol, (row_number() OVER (ORDER BY c_custkey) - 1) // 50 AS batch_id FROM dim)
+SELECT b.batch_id, a.symbol, strftime(m, '%Y-%m') AS month
+FROM ann a JOIN b ON b.symbol = a.symbol,
+  unnest(generate_series(greatest(DATE '1997-01-01', a.fm), DATE '1998-06-01', INTERVAL 1 MONTH)) AS g(m)
+WHERE a.fm IS NOT NULL AND a.fm <= DATE '1998-06-01'
+"""
+
+ORACLE["plan_summary"] = f"""
+WITH {_DIM}
+SELECT count(*) AS total_symbols,
+  count(*) FILTER (WHERE fm IS NULL OR fm > DATE '1998-06-01') AS skipped_symbols,
+  count(*) FILTER (WHERE fm IS NOT NULL AND fm <= DATE '1998-06-01') AS processed_symbols,
+  CAST(coalesce(sum(date_diff('month', greatest(DATE '1997-01-01', fm), DATE '1998-06-01') + 1)
+    FILTER (WHERE fm IS NOT NULL AND fm <= DATE '1998-06-01'), 0) AS BIGINT) AS total_requests
+FROM ann
+"""
+
+ORACLE["ohlcv_rollup"] = ORACLE["ohlcv_daily"]
