@@ -485,3 +485,33 @@ def plan_summary(spark: SparkSession, d: str) -> DataFrame:
 def ohlcv_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Daily bars built from hourly bars (must equal daily from base)."""
     return gold.rollup_bars(gold.ohlcv(R.bars(spark, d), "hour"), "day")
+
+
+SESSION_GAP = "30 minutes"
+
+
+@register("ohlcv_sessions")
+def ohlcv_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """X4 (batch form of session windows): bars per 30-minute activity session."""
+    return gold.session_bars(R.bars(spark, d), SESSION_GAP)
+
+
+@register("stream_silver")
+def stream_silver(spark: SparkSession, d: str) -> DataFrame:
+    """Stream -> Bronze per batch -> recompute the touched Silver years."""
+    streaming.use_rocksdb(spark)
+    src = streaming.table_stream(spark, d, "events")
+    root = shared_dir(spark, "stream-silver")
+
+    def to_docs(b):
+        return R.docs_from_events(b).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+
+    def to_silver(landed):
+        return silver_op.normalize_bars(landed, keep=["event_id"]).withColumn(
+            "ts", F.col("ts").cast("timestamp_ntz"))
+
+    streaming.recompute_stream(src, root, to_docs, to_silver)
+    out = spark.read.parquet(f"{root}/silver")
+    return out.select("event_id", "symbol", "ts",
+                      *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+                      "volume", "trade_date", "month")

@@ -612,3 +612,19 @@ FROM ann
 """
 
 ORACLE["ohlcv_rollup"] = ORACLE["ohlcv_daily"]
+
+ORACLE["ohlcv_sessions"] = f"""
+WITH {_BARS},
+g AS (
+  SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY symbol ORDER BY ts) IS NULL
+                   OR ts >= lag(ts) OVER (PARTITION BY symbol ORDER BY ts) + INTERVAL 30 MINUTE
+                 THEN 1 ELSE 0 END AS new_session
+  FROM bars),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY symbol ORDER BY ts) AS sid FROM g)
+SELECT symbol, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+  arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close,
+  CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+FROM s GROUP BY symbol, sid
+"""
+
+ORACLE["stream_silver"] = ORACLE["normalize_bars"]

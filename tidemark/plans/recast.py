@@ -128,8 +128,11 @@ def event_docs(spark: SparkSession, data_dir: str) -> DataFrame:
     """One vendor-shaped intraday document per event (price = value, volume =
     ``k`` of ``props``): documents are never packed, so none grows with a hot
     symbol."""
+    return docs_from_events(load(spark, data_dir, "events"))
+
+
+def docs_from_events(e: DataFrame) -> DataFrame:
     from tidemark.operators.silver import bar_document
-    e = load(spark, data_dir, "events")
     price = F.col("value")
     volume = F.get_json_object("props", "$.k").try_cast("bigint")
     return e.select(F.col("user_id").alias("symbol"), "event_id", "event_type", "ts",

@@ -35,12 +35,21 @@ def touched_years(start: date, end: date) -> list[int]:
 
 
 def rewrite_years(source: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
-                  start: date, end: date, ts_col: str = "ts", symbol_col: str = "symbol",
-                  buckets: int = DEFAULT_BUCKETS) -> list[int]:
-    """Recompute and overwrite every year in [start, end] from all source rows
-    of those years (the filter is on the year, so partition pruning applies
-    when ``source`` is partitioned by it)."""
-    years = touched_years(start, end)
+                  start: date | None = None, end: date | None = None, ts_col: str = "ts",
+                  symbol_col: str = "symbol", buckets: int = DEFAULT_BUCKETS,
+                  years: Sequence[int] | None = None) -> list[int]:
+    """Recompute and overwrite every year in [start, end] (or ``years``) from
+    all source rows of those years (the filter is on the year, so partition
+    pruning applies when ``source`` is partitioned by it)."""
+    years = sorted(set(years)) if years is not None else touched_years(start, end)
+    if not years:
+        return []
     part = source.where(F.year(F.col(ts_col)).isin(years))
     write_yearly(transform(part), path, ts_col, symbol_col, buckets)
     return years
+
+
+def write_gold(df: DataFrame, path: str, ts_col: str, symbol_col: str = "symbol",
+               buckets: int = DEFAULT_BUCKETS) -> None:
+    """A Gold data set, laid out as Silver (year partitions, symbol buckets)."""
+    write_yearly(df, path, ts_col, symbol_col, buckets, sort_cols=[symbol_col, ts_col])

@@ -89,13 +89,44 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str = "event_ts",
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def bars_stream(stream: DataFrame, duration: str, slide: str | None = None, symbol: str = "symbol",
-                ts: str = "event_ts", price: str = "price", volume: str = "volume",
-                delay: str = "1 hour") -> DataFrame:
-    """OHLCV per (window, symbol), emitted when the window closes."""
-    win = F.window(ts, duration, slide) if slide else F.window(ts, duration)
+def bars_stream(stream: DataFrame, duration: str | None = None, slide: str | None = None,
+                symbol: str = "symbol", ts: str = "event_ts", price: str = "price", volume: str = "volume",
+                delay: str = "1 hour", session_gap: str | None = None) -> DataFrame:
+    """OHLCV per (window, symbol), emitted when the window closes.
+
+    Tumbling (``duration``), sliding (``duration`` + ``slide``) or session
+    windows (``session_gap``).
+    """
+    if session_gap:
+        win = F.session_window(ts, session_gap)
+    else:
+        win = F.window(ts, duration, slide) if slide else F.window(ts, duration)
     return (stream.withWatermark(ts, delay)
             .groupBy(win.alias("w"), F.col(symbol))
             .agg(F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
                  F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades")))
+
+
+def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame], DataFrame],
+                     to_silver: Callable[[DataFrame], DataFrame], ts_col: str = "ts",
+                     day_col: str = "day") -> str:
+    """Each micro-batch lands its documents in Bronze (idempotent per
+    batch), then every Silver year it touches is recomputed from *all* Bronze
+    rows of that year — late data for an old month rewrites that month's year
+    instead of being dropped by a watermark, and no long state is kept."""
+    from tidemark.sources.silver import rewrite_years
+
+    spark = stream.sparkSession
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        docs = to_docs(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        write_partitioned(docs, f"{root}/bronze", [day_col, "batch_id"])
+        # distinct years of one micro-batch: a handful of values
+        years = [r[0] for r in batch.select(F.year(ts_col)).distinct().collect() if r[0] is not None]
+        # filter on the partition column: only the touched years' folders are read
+        landed = (spark.read.parquet(f"{root}/bronze")
+                  .where(F.substring(F.col(day_col), 1, 4).isin([str(y) for y in years])))
+        rewrite_years(to_silver(landed), lambda d: d, f"{root}/silver", years=years, ts_col=ts_col)
+
+    return run_available_now(stream, "recompute", root, foreach_batch=step)
