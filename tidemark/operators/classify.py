@@ -49,12 +49,12 @@ CLASSES = ("transport", "http_status", "content_type", "invalid_json", "not_obje
            "note", "error_message", "ok")
 
 
-def _chain(endpoint: str, status: Column, ctype: Column, body: Column):
+def _chain(endpoint: str, status: Column, ctype: Column, kind: Column, top: Column):
     msg = MESSAGES[endpoint]
-    kind = P.json_kind(body)
-    note, err = P.has_key(body, P.NOTE_KEY), P.has_key(body, P.ERROR_KEY)
-    first, second = ((err, "error_message", P.ERROR_KEY), (note, "note", P.NOTE_KEY)) \
-        if endpoint == MONTHLY else ((note, "note", P.NOTE_KEY), (err, "error_message", P.ERROR_KEY))
+    note = F.coalesce(F.map_contains_key(top, F.lit(P.NOTE_KEY)), F.lit(False))
+    err = F.coalesce(F.map_contains_key(top, F.lit(P.ERROR_KEY)), F.lit(False))
+    first, second = ((err, "error_message"), (note, "note")) \
+        if endpoint == MONTHLY else ((note, "note"), (err, "error_message"))
     cls = (F.when(status.isNull(), F.lit("transport"))
            .when(~P.is_success_status(status), F.lit("http_status"))
            .when(~P.is_json_content_type(ctype), F.lit("content_type"))
@@ -69,8 +69,8 @@ def _chain(endpoint: str, status: Column, ctype: Column, body: Column):
         "content_type": F.lit(msg["content_type"]),
         "invalid_json": F.lit(msg["invalid_json"]),
         "not_object": F.lit(NOT_OBJECT_MESSAGE),
-        "note": P.key_text(body, P.NOTE_KEY),
-        "error_message": P.key_text(body, P.ERROR_KEY),
+        "note": F.element_at(top, F.lit(P.NOTE_KEY)),
+        "error_message": F.element_at(top, F.lit(P.ERROR_KEY)),
     }
     return cls, text
 
@@ -82,8 +82,12 @@ def classify(df: DataFrame, endpoint: str, status_col: str = "status_code",
     if endpoint not in MESSAGES:
         raise ValueError(f"unknown endpoint {endpoint!r}")
     status, ctype, body = col_of(status_col), col_of(content_type_col), col_of(body_col)
-    cls, text = _chain(endpoint, status, ctype, body)
-    out = df.withColumn("error_class", cls)
+    # staged: each body is parsed once (only 2xx JSON responses are parsed at all)
+    parse = P.is_success_status(status) & P.is_json_content_type(ctype)
+    staged = (df.withColumn("_kind", F.when(parse, P.json_kind(body)))
+              .withColumn("_top", F.when(F.col("_kind") == "object", P.top_level_map(body))))
+    cls, text = _chain(endpoint, status, ctype, F.col("_kind"), F.col("_top"))
+    out = staged.withColumn("error_class", cls)
     c = F.col("error_class")
     err = F.lit(None).cast("string")
     for name, t in text.items():
@@ -93,4 +97,4 @@ def classify(df: DataFrame, endpoint: str, status_col: str = "status_code",
            .withColumn("retriable", P.is_retriable(status)))
     if diagnostics:
         out = out.withColumn("body_head", F.when(c != "ok", clip(body)))
-    return out
+    return out.drop("_kind", "_top")
