@@ -515,3 +515,18 @@ def stream_silver(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", "symbol", "ts",
                       *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
                       "volume", "trade_date", "month")
+
+
+@register("stream_sessions")
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """X4 (session form): activity-session bars, emitted once a session closes."""
+    streaming.use_rocksdb(spark)
+    src = streaming.event_time(streaming.table_stream(spark, d, "events"))
+    bars = src.select(F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
+                      F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
+    agg = streaming.bars_stream(bars, session_gap=SESSION_GAP, delay=STREAM_DELAY)
+    out = agg.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("session_start"),
+                     F.col("w.end").cast("timestamp_ntz").alias("session_end"),
+                     "open", "high", "low", "close", "volume", "n_trades")
+    root = streaming.run_available_now(out, "sessions")
+    return spark.read.parquet(f"{root}/out")

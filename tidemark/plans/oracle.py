@@ -628,3 +628,8 @@ FROM s GROUP BY symbol, sid
 """
 
 ORACLE["stream_silver"] = ORACLE["normalize_bars"]
+
+ORACLE["stream_sessions"] = f"""
+SELECT * FROM ({ORACLE["ohlcv_sessions"]})
+WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+"""
