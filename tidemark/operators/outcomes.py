@@ -35,7 +35,7 @@ def retry_outcome(attempts: DataFrame, keys: Sequence[str], seq: str = "attempt_
 
 
 def last_outcome(requests: DataFrame, keys: Sequence[str], seq: str, ok: str = "ok",
-                 ts: str | None = None) -> DataFrame:
+                 ts: str | None = None, ts_end: str | None = None) -> DataFrame:
     """Per pair, the counts and whether the last request failed."""
     o = F.col(ok)
     aggs = [F.count(F.lit(1)).alias("n_requests"),
@@ -44,7 +44,7 @@ def last_outcome(requests: DataFrame, keys: Sequence[str], seq: str, ok: str = "
             F.max_by(o, F.col(seq)).alias("last_ok"),
             F.max(F.col(seq)).alias("last_seq")]
     if ts:
-        aggs += [F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")]
+        aggs += [F.min(ts).alias("first_ts"), F.max(ts_end or ts).alias("last_ts")]
     return requests.groupBy(*keys).agg(*aggs)
 
 
@@ -62,16 +62,18 @@ def error_symbols(requests: DataFrame, symbol: str = "symbol", ok: str = "ok") -
 
 
 def run_summary(requests: DataFrame, pair_keys: Sequence[str], seq: str, ok: str = "ok",
-                ts: str = "ts", symbol: str = "symbol", total_symbols: DataFrame | None = None) -> DataFrame:
+                ts: str = "ts", symbol: str = "symbol", total_symbols: DataFrame | None = None,
+                ts_end: str | None = None) -> DataFrame:
     """One-row run summary from the per-pair table (one pass, partial aggs).
 
     ``duration_seconds`` is the span between the first and the last request;
     ``requests_per_minute`` is 0 when that span is 0 (P16).  Top-level ``ok`` is
     always true as in the reference (Q9); ``failed_fraction`` is added.
     ``total_symbols`` may be a one-row DataFrame ``(total_symbols, skipped_symbols)``
-    from the plan; otherwise symbols seen in the requests count.
+    from the plan; otherwise symbols seen in the requests count.  ``ts_end``
+    names a column with the end of each request when it differs from ``ts``.
     """
-    pairs = last_outcome(requests, pair_keys, seq, ok, ts)
+    pairs = last_outcome(requests, pair_keys, seq, ok, ts, ts_end)
     s = (pairs.agg(F.count_distinct(symbol).alias("seen_symbols"),
                    F.sum("n_requests").alias("total_requests"),
                    F.sum("n_ok").alias("success_requests"),

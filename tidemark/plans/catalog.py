@@ -21,6 +21,7 @@ from tidemark.operators import completeness as completeness_op
 from tidemark.operators import gold
 from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
+from tidemark.operators import worker
 from tidemark.session import shared_dir
 from tidemark.sources import bronze, dimension
 from tidemark.sources import silver as silver_sink
@@ -530,3 +531,22 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
                      "open", "high", "low", "close", "volume", "n_trades")
     root = streaming.run_available_now(out, "sessions")
     return spark.read.parquet(f"{root}/out")
+
+
+# ------------------------------------------------------------------- worker
+
+def _worker_run(spark, d):
+    return worker.ingest_run(R.dimension(spark, d), R.order_attempts(spark, d), *R.TASK_WINDOW,
+                             as_of=R.TASK_AS_OF)
+
+
+@register("worker_tasks")
+def worker_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """O4 + G9 + P10: every planned task with the outcome of its last attempt."""
+    return _worker_run(spark, d).tasks
+
+
+@register("worker_summary")
+def worker_summary(spark: SparkSession, d: str) -> DataFrame:
+    """S11 of a whole worker run: plan totals and request outcomes."""
+    return _worker_run(spark, d).summary

@@ -633,3 +633,54 @@ ORACLE["stream_sessions"] = f"""
 SELECT * FROM ({ORACLE["ohlcv_sessions"]})
 WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """
+
+_WORKER = f"""
+{_TASKS},
+att AS (
+  SELECT c.c_name AS symbol, strftime(o.o_orderdate, '%Y-%m') AS month, o.o_orderkey AS seq,
+    CASE WHEN o.o_orderstatus = 'O' THEN 503 ELSE 200 END AS status_code, o.o_orderstatus AS st,
+    o.o_orderdate + to_seconds(o.o_orderkey % 86400) AS requested_at
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+fin AS (
+  SELECT symbol, month, count(*) AS n_attempts, arg_max(status_code, seq) AS status_code,
+    arg_max(st, seq) AS st, min(requested_at) AS first_at, arg_max(requested_at, seq) AS last_at
+  FROM att GROUP BY symbol, month),
+wt AS (
+  SELECT t.symbol, t.month,
+    CASE WHEN f.symbol IS NULL THEN 'transport' WHEN f.status_code = 503 THEN 'http_status'
+         WHEN f.st = 'P' THEN 'note' ELSE 'ok' END AS error_class,
+    coalesce(f.n_attempts, 0) AS n_attempts, f.first_at AS first_attempt_at, f.last_at AS last_attempt_at
+  FROM tasks t LEFT JOIN fin f ON f.symbol = t.symbol AND f.month = t.month)
+"""
+
+ORACLE["worker_tasks"] = f"""
+WITH {_WORKER}
+SELECT symbol, month, error_class, error_class = 'ok' AS ok,
+  CASE error_class WHEN 'transport' THEN 'Failed to fetch data from Alpha Vantage API.'
+                   WHEN 'http_status' THEN 'Alpha Vantage API returned HTTP 503.'
+                   WHEN 'note' THEN 'rate limited' END AS error,
+  n_attempts, first_attempt_at, last_attempt_at
+FROM wt
+"""
+
+ORACLE["worker_summary"] = f"""
+WITH {_WORKER},
+pc AS (
+  SELECT count(*) AS total_symbols,
+    count(*) FILTER (WHERE fm IS NULL OR fm > DATE '1998-06-01') AS skipped_symbols
+  FROM ann),
+s AS (
+  SELECT count(*) AS total_requests, count(*) FILTER (WHERE error_class = 'ok') AS success_requests,
+    count(*) FILTER (WHERE error_class <> 'ok') AS error_requests,
+    count(DISTINCT symbol) FILTER (WHERE error_class <> 'ok') AS n_symbols_with_errors,
+    coalesce(date_diff('microsecond', min(first_attempt_at), max(last_attempt_at)) / 1e6, 0.0) AS duration_seconds
+  FROM wt)
+SELECT true AS ok, 'Data fetching and storing completed.' AS message, pc.total_symbols,
+  pc.total_symbols - pc.skipped_symbols AS processed_symbols, pc.skipped_symbols,
+  s.total_requests, s.success_requests, s.error_requests, s.error_requests AS unresolved_error_requests,
+  s.n_symbols_with_errors, s.duration_seconds,
+  CASE WHEN s.duration_seconds > 0 THEN s.total_requests / s.duration_seconds * 60 ELSE 0.0 END
+    AS requests_per_minute,
+  CASE WHEN s.total_requests > 0 THEN s.error_requests / s.total_requests ELSE 0.0 END AS failed_fraction
+FROM pc, s
+"""

@@ -171,3 +171,19 @@ def categories(spark: SparkSession, data_dir: str) -> DataFrame:
     return load(spark, data_dir, "customer").select(
         F.col("c_custkey").alias("symbol"), F.col("c_mktsegment").alias("category"),
         F.col("c_nationkey").alias("nation"))
+
+
+def order_attempts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """HTTP attempts per (customer, month): one per order, sequence = order key;
+    open orders got 503, pending ones a rate-limit note, the rest a series."""
+    o = load(spark, data_dir, "orders")
+    c = load(spark, data_dir, "customer").select("c_custkey", "c_name")
+    st = F.col("o_orderstatus")
+    body = F.when(st == "P", F.lit('{"Note": "rate limited"}')).otherwise(F.lit('{"Time Series (1min)": {}}'))
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .select(F.col("c_name").alias("symbol"), M.month_key("o_orderdate").alias("month"),
+                    F.col("o_orderkey").alias("attempt_seq"),
+                    F.when(st == "O", F.lit(503)).otherwise(F.lit(200)).cast("int").alias("status_code"),
+                    F.lit("application/json").alias("content_type"), body.alias("body"),
+                    F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
+                    .alias("requested_at")))
