@@ -83,7 +83,10 @@ def run_summary(requests: DataFrame, pair_keys: Sequence[str], seq: str, ok: str
                    .alias("n_symbols_with_errors"),
                    F.min("first_ts").alias("_t0"), F.max("last_ts").alias("_t1")))
     if total_symbols is not None:
-        s = s.crossJoin(total_symbols)  # one row x one row
+        # two one-row tables merged by a union and one aggregate (no join)
+        cols = s.columns + [c for c in total_symbols.columns if c not in s.columns]
+        s = (s.unionByName(total_symbols, allowMissingColumns=True)
+             .agg(*[F.max(c).alias(c) for c in cols]))
     else:
         s = (s.withColumn("total_symbols", F.col("seen_symbols"))
              .withColumn("skipped_symbols", F.lit(0).cast("bigint")))
