@@ -48,3 +48,32 @@ def test_hot_key_paths_aggregate_before_the_shuffle(spark, smoke_dir):
     assert "partial_max_by" in _plan(spark, smoke_dir, "returns")  # daily bars before the symbol window
     top = _plan(spark, smoke_dir, "top_movers")
     assert "WindowGroupLimit" in top and "Partial" in top
+
+
+def test_bucketed_rolling_windows_match_brute_force(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import intraday
+    rnd = random.Random(11)
+    rows, t = [], datetime(2025, 1, 1)
+    for i in range(2500):
+        # HOT trades densely; others sparsely, leaving empty and one-row buckets
+        sym = "HOT" if i % 3 else f"S{rnd.randrange(6)}"
+        t += timedelta(seconds=rnd.choice([1, 30, 600, 5000, 40000]))
+        rows.append((i, sym, t, float(rnd.randrange(1, 500))))
+    df = spark.createDataFrame(rows, "id int, symbol string, ts timestamp, price double")
+    got = {r.id: (r.roll_mean, r.roll_min, r.roll_max) for r in
+           intraday.rolling_rows(df, 5, "symbol", "ts", "price", F.date_trunc("hour", "ts")).collect()}
+    span = {r.id: (r.span_mean, r.span_n) for r in
+            intraday.rolling_span(df, 3600, "symbol", "ts", "price", 7200).collect()}
+    pdf = pd.DataFrame(rows, columns=["id", "symbol", "ts", "price"]).sort_values("ts")
+    for _, g in pdf.groupby("symbol"):
+        roll = g["price"].rolling(5)
+        for i, m, lo, hi in zip(g["id"], roll.mean(), roll.min(), roll.max()):
+            want = (None, None, None) if pd.isna(m) else (round(m, 9), lo, hi)
+            assert got[i] == want
+        ts = list(g["ts"])
+        prices = list(g["price"])
+        for k, i in enumerate(g["id"]):
+            inside = [p for t2, p in zip(ts, prices) if ts[k] - timedelta(hours=1) <= t2 <= ts[k]]
+            assert span[i] == (round(sum(inside) / len(inside), 9), len(inside))

@@ -18,7 +18,7 @@ from tidemark.operators import classify as classify_op
 from tidemark.operators import earliest as earliest_op
 from tidemark.operators import outcomes, planner
 from tidemark.operators import completeness as completeness_op
-from tidemark.operators import gold
+from tidemark.operators import gold, intraday
 from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
 from tidemark.operators import worker
@@ -550,3 +550,23 @@ def worker_tasks(spark: SparkSession, d: str) -> DataFrame:
 def worker_summary(spark: SparkSession, d: str) -> DataFrame:
     """S11 of a whole worker run: plan totals and request outcomes."""
     return _worker_run(spark, d).summary
+
+
+# ---------------------------------------------------------------- intraday
+
+ROLL_BARS = 5
+SPAN_SECONDS = 3600
+
+
+@register("rolling_intraday")
+def rolling_intraday(spark: SparkSession, d: str) -> DataFrame:
+    """W2 over raw bars: last 5 bars per symbol, partitioned by (symbol, day)."""
+    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
+    return intraday.rolling_rows(b, ROLL_BARS, "symbol", "ts", "price", F.to_date("ts"))
+
+
+@register("span_intraday")
+def span_intraday(spark: SparkSession, d: str) -> DataFrame:
+    """W3 over raw bars: mean of the last hour per symbol, (symbol, day) partitions."""
+    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
+    return intraday.rolling_span(b, SPAN_SECONDS, "symbol", "ts", "price", 86400)

@@ -684,3 +684,21 @@ SELECT true AS ok, 'Data fetching and storing completed.' AS message, pc.total_s
   CASE WHEN s.total_requests > 0 THEN s.error_requests / s.total_requests ELSE 0.0 END AS failed_fraction
 FROM pc, s
 """
+
+ORACLE["rolling_intraday"] = f"""
+WITH {_BARS}
+SELECT event_id, symbol, ts, price,
+  CASE WHEN count(price) OVER w = 5 THEN round(avg(price) OVER w, 9) END AS roll_mean,
+  CASE WHEN count(price) OVER w = 5 THEN round(stddev_samp(price) OVER w, 6) END AS roll_std,
+  CASE WHEN count(price) OVER w = 5 THEN min(price) OVER w END AS roll_min,
+  CASE WHEN count(price) OVER w = 5 THEN max(price) OVER w END AS roll_max
+FROM bars
+WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+"""
+
+ORACLE["span_intraday"] = f"""
+WITH {_BARS}
+SELECT event_id, symbol, ts, price, round(avg(price) OVER w, 9) AS span_mean, count(price) OVER w AS span_n
+FROM bars
+WINDOW w AS (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
+"""
