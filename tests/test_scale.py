@@ -77,3 +77,30 @@ def test_bucketed_rolling_windows_match_brute_force(spark):
         for k, i in enumerate(g["id"]):
             inside = [p for t2, p in zip(ts, prices) if ts[k] - timedelta(hours=1) <= t2 <= ts[k]]
             assert span[i] == (round(sum(inside) / len(inside), 9), len(inside))
+
+
+def test_bucketed_returns_and_running_match_brute_force(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import intraday
+    rnd = random.Random(23)
+    rows, t = [], datetime(2025, 1, 1)
+    for i in range(1500):
+        sym = "HOT" if i % 4 else f"S{rnd.randrange(5)}"
+        t += timedelta(seconds=rnd.choice([1, 60, 4000, 30000]))
+        rows.append((i, sym, t, float(rnd.randrange(1, 300))))
+    df = spark.createDataFrame(rows, "id int, symbol string, ts timestamp, price double")
+    bucket = F.date_trunc("hour", "ts")
+    ret = {r.id: r.ret for r in intraday.returns(df, "symbol", "ts", "price", bucket).collect()}
+    run = {how: {r.id: r[f"running_{how}"] for r in
+                 intraday.running(df, "symbol", "ts", "price", bucket, how).collect()}
+           for how in ("max", "min", "sum")}
+    pdf = pd.DataFrame(rows, columns=["id", "symbol", "ts", "price"]).sort_values("ts")
+    for _, g in pdf.groupby("symbol"):
+        prev = g["price"].shift(1)
+        for i, c, p in zip(g["id"], g["price"], prev):
+            assert ret[i] == (None if pd.isna(p) else round(c / p - 1, 6))
+        for how, series in (("max", g["price"].cummax()), ("min", g["price"].cummin()),
+                            ("sum", g["price"].cumsum())):
+            for i, v in zip(g["id"], series):
+                assert abs(run[how][i] - v) < 1e-9

@@ -35,15 +35,12 @@ def _stats(value: str, w, n: int | None) -> list[Column]:
             F.when(full, F.max(value).over(w)).alias("roll_max")]
 
 
-def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
-    """Mean / stddev / min / max over the last ``n`` bars of each symbol (NULL
-    until ``n`` bars), computed in (symbol, bucket) partitions."""
-    if n < 1:
-        raise ValueError("n must be >= 1")
+def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column) -> DataFrame:
+    """``df`` plus, for every (symbol, bucket), copies of the last ``n - 1`` rows
+    that precede the bucket; adds ``_b`` (bucket) and ``_halo`` (copy flag)."""
     base = df.withColumn("_b", bucket)
-    if n == 1:
-        w = Window.partitionBy(symbol, "_b").orderBy(ts).rowsBetween(0, 0)
-        return base.select(*df.columns, *_stats(value, w, n))
+    if n <= 1:
+        return base.withColumn("_halo", F.lit(False))
     # bucket positions per symbol: one row per (symbol, bucket), bounded by the calendar
     pos = (base.select(symbol, "_b").distinct()
            .withColumn("_bi", F.row_number().over(Window.partitionBy(symbol).orderBy("_b"))))
@@ -57,12 +54,64 @@ def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket
                                                      .orderBy(F.col(ts).desc())))
               .where(F.col("_rk") <= n - 1).drop("_rk"))
     halo = offers.join(pos, [symbol, "_bi"]).withColumn("_halo", F.lit(True))
-    rows = based.withColumn("_halo", F.lit(False)).unionByName(halo)
+    return based.withColumn("_halo", F.lit(False)).unionByName(halo).drop("_bi")
+
+
+def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+    """Mean / stddev / min / max over the last ``n`` bars of each symbol (NULL
+    until ``n`` bars), computed in (symbol, bucket) partitions."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    rows = with_row_halo(df, n, symbol, ts, bucket)
     w = Window.partitionBy(symbol, "_b").orderBy(ts).rowsBetween(-(n - 1), 0)
     return (rows.select(*df.columns, "_halo", *_stats(value, w, n))
             .where(~F.col("_halo")).drop("_halo"))
 
 
+def returns(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+    """W1 at bar level: simple and log return against the previous bar (a
+    one-row halo carries the previous bucket's last bar)."""
+    rows = with_row_halo(df, 2, symbol, ts, bucket)
+    prev = F.lag(value).over(Window.partitionBy(symbol, "_b").orderBy(ts))
+    c, p = F.col(value), F.col("_prev")
+    return (rows.withColumn("_prev", prev).where(~F.col("_halo"))
+            .select(*df.columns,
+                    F.when(p > 0, F.round(c / p - 1, ROUND)).alias("ret"),
+                    F.when((p > 0) & (c > 0), F.round(F.log(c / p), ROUND)).alias("log_ret")))
+
+
+def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how: str = "max") -> DataFrame:
+    """Running aggregate from the first bar (``max``, ``min`` or ``sum``) as a
+    two-level scan: per-bucket aggregates, their prefix over the per-symbol
+    bucket table (bounded by the calendar), then the running value inside each
+    bucket.  Returns ``df`` with column ``running_<how>``."""
+    agg = {"max": F.max, "min": F.min, "sum": F.sum}[how]
+    base = df.withColumn("_b", bucket)
+    per_bucket = base.groupBy(symbol, "_b").agg(agg(value).alias("_bv"))
+    prior = per_bucket.select(
+        symbol, "_b",
+        agg("_bv").over(Window.partitionBy(symbol).orderBy("_b")
+                        .rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
+    inside = agg(value).over(Window.partitionBy(symbol, "_b").orderBy(ts)
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    if how == "max":
+        combined = F.greatest(F.col("_prior"), F.col("_in"))
+    elif how == "min":
+        combined = F.least(F.col("_prior"), F.col("_in"))
+    else:
+        combined = F.coalesce(F.col("_prior"), F.lit(0)) + F.col("_in")
+    return (base.withColumn("_in", inside).join(prior, [symbol, "_b"])
+            .select(*df.columns, combined.alias(f"running_{how}")))
+
+
+def drawdown(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+    """W4 at bar level: distance of each bar from the running peak."""
+    r = running(df, symbol, ts, value, bucket, "max")
+    peak = F.col("running_max")
+    return r.select(*df.columns, peak.alias("running_peak"),
+                    F.when(peak > 0, F.round(F.col(value) / peak - 1, ROUND)).alias("drawdown"))
+
+
 def rolling_span(df: DataFrame, span_seconds: int, symbol: str, ts: str, value: str,
                  bucket_seconds: int = 86400) -> DataFrame:
     """Mean / count over ``[ts - span, ts]`` (a RANGE frame), computed in

@@ -570,3 +570,17 @@ def span_intraday(spark: SparkSession, d: str) -> DataFrame:
     """W3 over raw bars: mean of the last hour per symbol, (symbol, day) partitions."""
     b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
     return intraday.rolling_span(b, SPAN_SECONDS, "symbol", "ts", "price", 86400)
+
+
+@register("returns_intraday")
+def returns_intraday(spark: SparkSession, d: str) -> DataFrame:
+    """W1 over raw bars, (symbol, day) partitions with a one-bar halo."""
+    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
+    return intraday.returns(b, "symbol", "ts", "price", F.to_date("ts"))
+
+
+@register("drawdown_intraday")
+def drawdown_intraday(spark: SparkSession, d: str) -> DataFrame:
+    """W4 over raw bars: running peak by a two-level scan over (symbol, day)."""
+    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
+    return intraday.drawdown(b, "symbol", "ts", "price", F.to_date("ts"))

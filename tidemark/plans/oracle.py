@@ -702,3 +702,21 @@ SELECT event_id, symbol, ts, price, round(avg(price) OVER w, 9) AS span_mean, co
 FROM bars
 WINDOW w AS (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
 """
+
+ORACLE["returns_intraday"] = f"""
+WITH {_BARS},
+p AS (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY ts) AS prev FROM bars)
+SELECT event_id, symbol, ts, price,
+  CASE WHEN prev > 0 THEN round(price / prev - 1, 6) END AS ret,
+  CASE WHEN prev > 0 AND price > 0 THEN round(ln(price / prev), 6) END AS log_ret
+FROM p
+"""
+
+ORACLE["drawdown_intraday"] = f"""
+WITH {_BARS},
+p AS (SELECT *, max(price) OVER (PARTITION BY symbol ORDER BY ts
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_peak FROM bars)
+SELECT event_id, symbol, ts, price, running_peak,
+  CASE WHEN running_peak > 0 THEN round(price / running_peak - 1, 6) END AS drawdown
+FROM p
+"""
