@@ -3,6 +3,7 @@ small fixture, and the plan properties that keep the hot key off one task."""
 
 import random
 from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 
@@ -10,6 +11,11 @@ import __spark_entry__ as E
 from tidemark.operators import outcomes, silver
 
 
+def half_up(x, digits):
+    """Spark's ``round``: HALF_UP on the exact binary value."""
+    return float(Decimal(x).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
 def _skewed(spark, n=3000, seed=5):
     rnd = random.Random(seed)
     rows = []
@@ -70,13 +76,13 @@ def test_bucketed_rolling_windows_match_brute_force(spark):
     for _, g in pdf.groupby("symbol"):
         roll = g["price"].rolling(5)
         for i, m, lo, hi in zip(g["id"], roll.mean(), roll.min(), roll.max()):
-            want = (None, None, None) if pd.isna(m) else (round(m, 9), lo, hi)
+            want = (None, None, None) if pd.isna(m) else (half_up(m, 9), lo, hi)
             assert got[i] == want
         ts = list(g["ts"])
         prices = list(g["price"])
         for k, i in enumerate(g["id"]):
             inside = [p for t2, p in zip(ts, prices) if ts[k] - timedelta(hours=1) <= t2 <= ts[k]]
-            assert span[i] == (round(sum(inside) / len(inside), 9), len(inside))
+            assert span[i] == (half_up(sum(inside) / len(inside), 9), len(inside))
 
 
 def test_bucketed_returns_and_running_match_brute_force(spark):
@@ -99,7 +105,7 @@ def test_bucketed_returns_and_running_match_brute_force(spark):
     for _, g in pdf.groupby("symbol"):
         prev = g["price"].shift(1)
         for i, c, p in zip(g["id"], g["price"], prev):
-            assert ret[i] == (None if pd.isna(p) else round(c / p - 1, 6))
+            assert ret[i] == (None if pd.isna(p) else half_up(c / p - 1, 6))
         for how, series in (("max", g["price"].cummax()), ("min", g["price"].cummin()),
                             ("sum", g["price"].cumsum())):
             for i, v in zip(g["id"], series):
