@@ -12,22 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import months as M
 from tidemark.functions import keys as K
+from tidemark.functions import months as M
 from tidemark.operators import classify as classify_op
-from tidemark.operators import earliest as earliest_op
-from tidemark.operators import outcomes, planner
 from tidemark.operators import completeness as completeness_op
-from tidemark.operators import gold, intraday
+from tidemark.operators import earliest as earliest_op
+from tidemark.operators import gold, intraday, outcomes, planner, worker
 from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
-from tidemark.operators import worker
+from tidemark.plans import recast as R
 from tidemark.session import shared_dir
 from tidemark.sources import bronze, dimension
 from tidemark.sources import silver as silver_sink
-from tidemark.streaming import ingest as streaming
-from tidemark.plans import recast as R
 from tidemark.sources.tables import load
+from tidemark.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
