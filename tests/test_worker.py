@@ -30,3 +30,4 @@ def test_ingest_run(spark):
     assert s.n_symbols_with_errors == 1 and s.duration_seconds == 62.0
     landed = sorted((r.symbol, r.month) for r in read_bronze(spark, path).collect())
     assert landed == [("AAA", "2025-01"), ("BBB", "2025-03")]  # ZZZ was not planned
+    assert run.landed == {"total_requests": 4, "success_requests": 2, "error_requests": 2}

@@ -9,9 +9,9 @@ transport failure.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import classify as C
@@ -23,6 +23,7 @@ from tidemark.sources.bronze import write_bronze
 class RunResult:
     tasks: DataFrame      # symbol, month, error_class, ok, error, n_attempts, first/last attempt time
     summary: DataFrame    # one row (S11)
+    landed: dict = field(default_factory=dict)  # live counts observed while landing (when written)
 
 
 def ingest_run(dim: DataFrame, attempts: DataFrame, start: str, end: str, as_of=None,
@@ -36,8 +37,15 @@ def ingest_run(dim: DataFrame, attempts: DataFrame, start: str, end: str, as_of=
              .select("symbol", "month", "n_attempts", "_first_ts", "_last.*"))
     per_task = tasks.join(final, ["symbol", "month"], "left")
     classified = C.classify(per_task, endpoint, diagnostics=False)
+    landed = {}
     if bronze_path:
-        write_bronze(classified.where(F.col("ok")).select("symbol", "month", "body", ts), bronze_path)
+        # live form of the summary: counted while the write runs, no second pass
+        obs = Observation("ingest_run")
+        observed = classified.observe(obs, F.count(F.lit(1)).alias("total_requests"),
+                                      F.count_if(F.col("ok")).alias("success_requests"),
+                                      F.count_if(~F.col("ok")).alias("error_requests"))
+        write_bronze(observed.where(F.col("ok")).select("symbol", "month", "body", ts), bronze_path)
+        landed = dict(obs.get)
     status = classified.select("symbol", "month", "error_class", "ok", "error",
                                F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"),
                                F.col("_first_ts").alias("first_attempt_at"), F.col(ts).alias("last_attempt_at"))
@@ -45,4 +53,4 @@ def ingest_run(dim: DataFrame, attempts: DataFrame, start: str, end: str, as_of=
     # one logical request per task: its sequence is irrelevant (a single row per pair)
     summary = outcomes.run_summary(status.withColumn("_seq", F.lit(0)), ["symbol", "month"], "_seq",
                                    ts="first_attempt_at", ts_end="last_attempt_at", total_symbols=counts)
-    return RunResult(status, summary)
+    return RunResult(status, summary, landed)
