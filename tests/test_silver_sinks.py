@@ -118,3 +118,12 @@ def test_dimension_csv_with_doubled_quotes(spark, smoke_dir):
     assert back.where(F.col("first_month").isNull()).count() == cust.where(F.col("c_custkey") % 10 == 0).count()
     tags = dimension.explode_tags(back, "shock_history")
     assert tags.count() == 2 * cust.count()
+
+
+def test_normalize_in_exchange_time_zone(spark):
+    doc = ('{"Time Series (1min)": {"2025-01-02 19:30:00": {"1. open": "1", "2. high": "1", "3. low": "1", '
+           '"4. close": "1", "5. volume": "1"}}}')
+    bars = silver.normalize_bars(spark.createDataFrame([("AAA", doc)], "symbol string, body string"),
+                                 source_tz="America/New_York").first()
+    assert bars.ts == datetime(2025, 1, 3, 0, 30)          # stored in UTC (session zone)
+    assert bars.trade_date == date(2025, 1, 2) and bars.month == "2025-01"

@@ -40,25 +40,29 @@ def bar_document(ts: Column, open_: Column, high: Column, low: Column, close: Co
 
 def normalize_bars(docs: DataFrame, symbol_col: str = "symbol", body_col: str = "body",
                    series_key: str = SERIES_KEY, fields=None, price_type: str = PRICE_TYPE,
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), source_tz: str = "UTC") -> DataFrame:
     """Explode the dated series of each document into typed bars.
 
     Text that does not convert becomes NULL (``try_cast``), for validation to
-    quarantine; ``ts`` is read as UTC.
+    quarantine.  Bar times are wall-clock times in ``source_tz`` (the vendor's
+    zone is a parameter); ``ts`` is stored in UTC and ``trade_date`` is the
+    local trading date.
     """
     f = fields or FIELDS
     bar_t = ", ".join(f"`{v}`: string" for v in f.values())
     parsed = F.from_json(F.col(body_col), f"struct<`{series_key}`: map<string, struct<{bar_t}>>>",
                          {"allowSingleQuotes": "false"})
     exploded = docs.select(symbol_col, *keep, F.explode(parsed[series_key]).alias("_ts", "_bar"))
-    ts = F.try_to_timestamp(F.col("_ts"))
+    wall = F.try_to_timestamp(F.col("_ts"))
+    ts = wall if source_tz == "UTC" else F.to_utc_timestamp(wall, source_tz)
     out = exploded.select(
         symbol_col, *keep, ts.alias("ts"),
         *[F.col("_bar")[f[k]].try_cast(price_type).alias(k) for k in ("open", "high", "low", "close")],
         F.col("_bar")[f["volume"]].try_cast("bigint").alias("volume"))
-    return (out.withColumn("trade_date", F.to_date("ts"))
-            .withColumn("year", F.year("ts"))
-            .withColumn("month", M.month_key("ts")))
+    local = F.col("ts") if source_tz == "UTC" else F.from_utc_timestamp(F.col("ts"), source_tz)
+    return (out.withColumn("trade_date", F.to_date(local))
+            .withColumn("year", F.year(local))
+            .withColumn("month", M.month_key(local)))
 
 
 def violations(symbol: str = "symbol", ts: str = "ts", part_month: str | None = "month") -> Column:
