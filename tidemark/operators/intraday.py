@@ -20,6 +20,8 @@ share of the data.  Rows must be unique per (symbol, ts).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,17 +59,33 @@ def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column) -
     return based.withColumn("_halo", F.lit(False)).unionByName(halo).drop("_bi")
 
 
-def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
-    """Mean / stddev / min / max over the last ``n`` bars of each symbol (NULL
-    until ``n`` bars), computed in (symbol, bucket) partitions."""
+def over_last_rows(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column,
+                   exprs: Callable[[Window], list[Column]]) -> DataFrame:
+    """Any window expressions over the frame of the last ``n`` bars of each
+    symbol (``exprs`` receives the frame), in (symbol, bucket) partitions."""
     if n < 1:
         raise ValueError("n must be >= 1")
     rows = with_row_halo(df, n, symbol, ts, bucket)
     w = Window.partitionBy(symbol, "_b").orderBy(ts).rowsBetween(-(n - 1), 0)
-    return (rows.select(*df.columns, "_halo", *_stats(value, w, n))
+    return (rows.select(*df.columns, "_halo", *exprs(w))
             .where(~F.col("_halo")).drop("_halo"))
 
 
+def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+    """Mean / stddev / min / max over the last ``n`` bars of each symbol (NULL
+    until ``n`` bars), computed in (symbol, bucket) partitions."""
+    return over_last_rows(df, n, symbol, ts, bucket, lambda w: _stats(value, w, n))
+
+
+def zscore(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+    """W5 at bar level: (value - mean of the last n bars) / their stddev; NULL
+    until n bars or when the stddev is 0."""
+    def exprs(w):
+        mean, sd, cnt = F.avg(value).over(w), F.stddev_samp(value).over(w), F.count(value).over(w)
+        return [F.when((cnt == n) & (sd > 0), F.round((F.col(value) - mean) / sd, ROUND)).alias("zscore")]
+    return over_last_rows(df, n, symbol, ts, bucket, exprs)
+
+
 def returns(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
     """W1 at bar level: simple and log return against the previous bar (a
     one-row halo carries the previous bucket's last bar)."""

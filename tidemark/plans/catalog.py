@@ -582,3 +582,10 @@ def drawdown_intraday(spark: SparkSession, d: str) -> DataFrame:
     """W4 over raw bars: running peak by a two-level scan over (symbol, day)."""
     b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
     return intraday.drawdown(b, "symbol", "ts", "price", F.to_date("ts"))
+
+
+@register("zscore_intraday")
+def zscore_intraday(spark: SparkSession, d: str) -> DataFrame:
+    """W5 over raw bars: z-score to the last 5 bars, (symbol, day) partitions."""
+    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
+    return intraday.zscore(b, ROLL_BARS, "symbol", "ts", "price", F.to_date("ts"))

@@ -720,3 +720,12 @@ SELECT event_id, symbol, ts, price, running_peak,
   CASE WHEN running_peak > 0 THEN round(price / running_peak - 1, 6) END AS drawdown
 FROM p
 """
+
+ORACLE["zscore_intraday"] = f"""
+WITH {_BARS}
+SELECT event_id, symbol, ts, price,
+  CASE WHEN count(price) OVER w = 5 AND stddev_samp(price) OVER w > 0
+       THEN round((price - avg(price) OVER w) / stddev_samp(price) OVER w, 6) END AS zscore
+FROM bars
+WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+"""
