@@ -46,8 +46,8 @@ def is_valid_year_month(c) -> Column:
 def month_start(c) -> Column:
     """First-of-month DATE for a valid year-month text, NULL otherwise.
 
-    ``try_to_date`` on the stripped text padded to a full date; the shape test
-    guards it (the date parser would accept forms the reference refuses).
+    Built from the year and month digits under the shape test (a date parser
+    would refuse ``2025-1`` and accept ``0000-01``).
     """
     s = strip(c)
     return F.when(s.rlike(YEAR_MONTH_PATTERN_STRICT),
