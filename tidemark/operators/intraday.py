@@ -60,13 +60,16 @@ def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column) -
 
 
 def over_last_rows(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column,
-                   exprs: Callable[[Window], list[Column]]) -> DataFrame:
-    """Any window expressions over the frame of the last ``n`` bars of each
-    symbol (``exprs`` receives the frame), in (symbol, bucket) partitions."""
+                   exprs: Callable[[Window], list[Column]], frame: bool = True) -> DataFrame:
+    """Any window expressions reaching at most ``n - 1`` bars back, in
+    (symbol, bucket) partitions.  ``exprs`` receives the frame of the last ``n``
+    bars, or (``frame=False``) the ordered partition spec to build its own
+    frames / offsets no wider than that."""
     if n < 1:
         raise ValueError("n must be >= 1")
     rows = with_row_halo(df, n, symbol, ts, bucket)
-    w = Window.partitionBy(symbol, "_b").orderBy(ts).rowsBetween(-(n - 1), 0)
+    spec = Window.partitionBy(symbol, "_b").orderBy(ts)
+    w = spec.rowsBetween(-(n - 1), 0) if frame else spec
     return (rows.select(*df.columns, "_halo", *exprs(w))
             .where(~F.col("_halo")).drop("_halo"))
 
@@ -147,3 +150,38 @@ def rolling_span(df: DataFrame, span_seconds: int, symbol: str, ts: str, value:
             .select(*df.columns, "_halo", F.round(F.avg(value).over(w), ROUND_MEAN).alias("span_mean"),
                     F.count(value).over(w).alias("span_n"))
             .where(~F.col("_halo")).drop("_halo"))
+
+
+def vol_regime(df: DataFrame, short: int, long: int, symbol: str, ts: str, value: str,
+               bucket: Column) -> DataFrame:
+    """W7 at bar level: short against long volatility of bar returns, and a
+    ``regime_id`` counting state changes from the first bar.
+
+    One halo serves the whole chain: a bar's state change looks back at the
+    previous bar's state, whose volatility frame reaches ``long`` returns back,
+    the oldest of which needs one more price — ``long + 1`` preceding bars.
+    Every window runs in the same (symbol, bucket) partitions; the running
+    count is a two-level scan.  Halo rows only feed frames and are dropped.
+    """
+    depth = max(short, long) + 1
+    rows = with_row_halo(df, depth + 1, symbol, ts, bucket)
+    spec = Window.partitionBy(symbol, "_b").orderBy(ts)
+    ws, wl = spec.rowsBetween(-(short - 1), 0), spec.rowsBetween(-(long - 1), 0)
+    prev = F.lag(value).over(spec)
+    r = rows.withColumn("_prev", prev).withColumn(
+        "ret", F.when(F.col("_prev") > 0, F.round(F.col(value) / F.col("_prev") - 1, ROUND)))
+    r = (r.withColumn("short_vol", F.when(F.count("ret").over(ws) == short,
+                                          F.round(F.stddev_samp("ret").over(ws), ROUND)))
+         .withColumn("long_vol", F.when(F.count("ret").over(wl) == long,
+                                        F.round(F.stddev_samp("ret").over(wl), ROUND)))
+         .withColumn("state", F.when(F.col("short_vol").isNotNull() & F.col("long_vol").isNotNull(),
+                                     F.when(F.col("short_vol") > F.col("long_vol"), F.lit("high"))
+                                     .otherwise(F.lit("normal")))))
+    prev_state = F.lag("state").over(spec)
+    r = r.withColumn("_chg", F.when(F.col("state").isNull(), 0).when(prev_state.isNull(), 1)
+                     .when(F.col("state") != prev_state, 1).otherwise(0))
+    cols = [*df.columns, "ret", "short_vol", "long_vol", "state", "_chg"]
+    c = r.where(~F.col("_halo")).select(*cols)
+    out = running(c, symbol, ts, "_chg", bucket, "sum")
+    return (out.withColumn("regime_id", F.when(F.col("state").isNotNull(), F.col("running_sum")))
+            .drop("_chg", "running_sum"))

@@ -589,3 +589,10 @@ def zscore_intraday(spark: SparkSession, d: str) -> DataFrame:
     """W5 over raw bars: z-score to the last 5 bars, (symbol, day) partitions."""
     b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
     return intraday.zscore(b, ROLL_BARS, "symbol", "ts", "price", F.to_date("ts"))
+
+
+@register("vol_regime_intraday")
+def vol_regime_intraday(spark: SparkSession, d: str) -> DataFrame:
+    """W7 over raw bars: 3-bar against 10-bar volatility of bar returns."""
+    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
+    return intraday.vol_regime(b, 3, 10, "symbol", "ts", "price", F.to_date("ts"))

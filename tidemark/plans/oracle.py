@@ -729,3 +729,31 @@ SELECT event_id, symbol, ts, price,
 FROM bars
 WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
 """
+
+ORACLE["vol_regime_intraday"] = f"""
+WITH {_BARS},
+r AS (
+  SELECT *, CASE WHEN prev > 0 THEN round(price / prev - 1, 6) END AS ret
+  FROM (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY ts) AS prev FROM bars)),
+v AS (
+  SELECT event_id, symbol, ts, price, ret,
+    CASE WHEN count(ret) OVER ws = 3 THEN round(stddev_samp(ret) OVER ws, 6) END AS short_vol,
+    CASE WHEN count(ret) OVER wl = 10 THEN round(stddev_samp(ret) OVER wl, 6) END AS long_vol
+  FROM r
+  WINDOW ws AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+         wl AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+s AS (
+  SELECT *, CASE WHEN short_vol IS NOT NULL AND long_vol IS NOT NULL THEN
+    CASE WHEN short_vol > long_vol THEN 'high' ELSE 'normal' END END AS state
+  FROM v),
+c AS (
+  SELECT *, CASE WHEN state IS NULL THEN 0
+                 WHEN lag(state) OVER (PARTITION BY symbol ORDER BY ts) IS NULL THEN 1
+                 WHEN state <> lag(state) OVER (PARTITION BY symbol ORDER BY ts) THEN 1
+                 ELSE 0 END AS chg
+  FROM s)
+SELECT event_id, symbol, ts, price, ret, short_vol, long_vol, state,
+  CASE WHEN state IS NOT NULL THEN CAST(sum(chg) OVER (PARTITION BY symbol ORDER BY ts
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END AS regime_id
+FROM c
+"""
