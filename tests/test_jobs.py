@@ -57,3 +57,23 @@ def test_worker_job_subset_then_limit(spark, dim_uri):
     assert planned <= set(names[5:8]) and names[6] in planned
     with pytest.raises(ValueError):
         worker_job(spark, {**event, "year_month_start": "2025-13"}, attempts)
+
+
+def test_search_and_monthly_jobs(spark):
+    from tidemark.jobs import monthly_job, search_job
+    from tidemark.sources.bronze import read_bronze
+    t = datetime(2025, 1, 1)
+    search = spark.createDataFrame([("ibm", 200, "application/json", '{"bestMatches": []}', t),
+                                    ("ba", 200, "application/json", '{"Note": "n"}', t)],
+                                   "keywords string, status_code int, content_type string, body string, "
+                                   "requested_at timestamp")
+    path = shared_dir(spark, "t-search")
+    out = {r.keywords: r.error_class for r in search_job(search, path).collect()}
+    assert out == {"ibm": "ok", "ba": "note"}
+    assert [r.keywords for r in read_bronze(spark, path).collect()] == ["ibm"]
+    monthly = spark.createDataFrame(
+        [("IBM", 200, "application/json", '{"Monthly Adjusted Time Series": {"2001-03-31": {}, "1999-11-30": {}}}', t),
+         ("XX", 200, "application/json", '{"Error Message": "bad", "Note": "n"}', t)],
+        "symbol string, status_code int, content_type string, body string, requested_at timestamp")
+    got = {r.symbol: (r.error_class, r.earliest_month, r.earliest_error) for r in monthly_job(monthly).collect()}
+    assert got == {"IBM": ("ok", "1999-11", None), "XX": ("error_message", None, "bad")}

@@ -6,6 +6,8 @@
 * ``worker_job(spark, event, attempts)`` — worker event ``{symbols_s3_uri,
   year_month_start, year_month_end, symbols_subset?, limit?}`` plus the landed
   attempts -> per-task status, Bronze landing and the run summary.
+* ``search_job`` / ``monthly_job`` — symbol-search and monthly-adjusted
+  responses classified, snapshots appended, earliest month per symbol.
 
 The dimension URI is read with Spark's file systems (``s3a://``, ``hdfs://``,
 local paths); file order is kept as (file path, position within the file).
@@ -20,7 +22,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import months as M
 from tidemark.operators import planner
+from tidemark.operators.classify import MONTHLY, SEARCH, classify
+from tidemark.operators.earliest import earliest_month
 from tidemark.operators.worker import RunResult, ingest_run
+from tidemark.sources.bronze import append_snapshots
 from tidemark.sources.dimension import check_required, read_dimension_text, typed_dimension
 
 ORDER = ["_file", "_pos"]
@@ -58,3 +63,28 @@ def worker_job(spark: SparkSession, event: Mapping, attempts: DataFrame, bronze_
     limit = event.get("limit")
     dim = planner.subset_limit(dim, subset_df, ORDER, None if limit is None else int(limit))
     return ingest_run(dim.drop(*ORDER), attempts, start, end, as_of, bronze_path)
+
+
+def search_job(responses: DataFrame, snapshot_path: str | None = None) -> DataFrame:
+    """Symbol-search responses ``(keywords, status_code, content_type, body,
+    requested_at)``: classified (search chain); accepted payloads appended as
+    snapshots under ``keywords=`` when a path is given (S5, S9)."""
+    out = classify(responses, SEARCH)
+    if snapshot_path:
+        append_snapshots(out.where(F.col("ok")).select("keywords", "body", F.col("requested_at")
+                                                       .alias("ingested_at")), snapshot_path, "keywords")
+    return out
+
+
+def monthly_job(responses: DataFrame, snapshot_path: str | None = None) -> DataFrame:
+    """Monthly-adjusted responses ``(symbol, status_code, content_type, body,
+    requested_at)``: classified (``Error Message`` before ``Note``); accepted
+    payloads appended under ``symbol=`` (S6, S8) and the earliest month of each
+    (G6) returned alongside."""
+    out = classify(responses, MONTHLY)
+    if snapshot_path:
+        append_snapshots(out.where(F.col("ok")).select("symbol", "body", F.col("requested_at")
+                                                       .alias("ingested_at")), snapshot_path, "symbol")
+    first = earliest_month(responses).select("symbol", "earliest_month",
+                                             F.col("error").alias("earliest_error"))
+    return out.join(first, "symbol", "left")
