@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import months as M
 from tidemark.operators import planner
 from tidemark.operators.classify import MONTHLY, SEARCH, classify
-from tidemark.operators.earliest import earliest_month
+from tidemark.operators.earliest import earliest_columns
 from tidemark.operators.worker import RunResult, ingest_run
 from tidemark.sources.bronze import append_snapshots
 from tidemark.sources.dimension import check_required, read_dimension_text, typed_dimension
@@ -80,11 +80,10 @@ def monthly_job(responses: DataFrame, snapshot_path: str | None = None) -> DataF
     """Monthly-adjusted responses ``(symbol, status_code, content_type, body,
     requested_at)``: classified (``Error Message`` before ``Note``); accepted
     payloads appended under ``symbol=`` (S6, S8) and the earliest month of each
-    (G6) returned alongside."""
+    response (G6) alongside, computed on the same rows (no join)."""
     out = classify(responses, MONTHLY)
     if snapshot_path:
         append_snapshots(out.where(F.col("ok")).select("symbol", "body", F.col("requested_at")
                                                        .alias("ingested_at")), snapshot_path, "symbol")
-    first = earliest_month(responses).select("symbol", "earliest_month",
-                                             F.col("error").alias("earliest_error"))
-    return out.join(first, "symbol", "left")
+    month, _, error = earliest_columns("body")
+    return out.withColumn("earliest_month", month).withColumn("earliest_error", error)

@@ -28,11 +28,15 @@ def earliest_month(responses: DataFrame, symbol: str = "symbol", status_col: str
     cut to ``yyyy-MM`` (``array_min`` of the keys, no sort).
     """
     c = classify(responses, MONTHLY, status_col, content_type_col, body_col, diagnostics=False)
+    month, ok, error = earliest_columns(body_col)
+    return c.select(symbol, month.alias("earliest_month"), ok.alias("ok"), error.alias("error"))
+
+
+def earliest_columns(body_col: str = "body", ok_col: str = "ok", error_col: str = "error"):
+    """(earliest month, ok, error) for rows already classified as monthly."""
     series = series_map(body_col)
     empty = series.isNull() | (F.cardinality(series) == 0)
     first = F.substring(F.array_min(F.map_keys(series)), 1, 7)
-    ok = F.col("ok") & ~empty
-    return c.select(symbol,
-                    F.when(ok, first).alias("earliest_month"),
-                    ok.alias("ok"),
-                    F.when(~F.col("ok"), F.col("error")).when(empty, F.lit(NO_SERIES)).alias("error"))
+    ok = F.col(ok_col) & ~empty
+    error = F.when(~F.col(ok_col), F.col(error_col)).when(empty, F.lit(NO_SERIES))
+    return F.when(ok, first), ok, error
