@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BOUNDS = 4096
+MAX_BOUNDS = 4096  # at most 2 x 4097 x 32 sampled keys reach the driver
 SAMPLES_PER_BUCKET = 32
 
 
@@ -34,10 +34,12 @@ def _bucket_expr(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int):
         return None
     key = F.struct(*[F.col(c) for c in order_by])
     fraction = min(1.0, n_buckets * SAMPLES_PER_BUCKET / max(n, 1))
+    # at most 2x the expected sample reaches the driver; boundaries sit at
+    # evenly spaced positions of the whole (sorted) sample
     sample = (df.select(key.alias("k")).sample(False, fraction, seed=17)
-              .orderBy("k").limit(n_buckets * SAMPLES_PER_BUCKET).collect())
-    step = max(1, len(sample) // n_buckets)
-    bounds = [r.k for r in sample[step::step]][: n_buckets - 1]
+              .orderBy("k").limit(2 * n_buckets * SAMPLES_PER_BUCKET).collect())
+    picks = sorted({int(i * len(sample) / n_buckets) for i in range(1, n_buckets)})
+    bounds = [sample[p].k for p in picks if 0 < p < len(sample)]
     if not bounds:
         return None
     arr = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(b, order_by)]) for b in bounds])
