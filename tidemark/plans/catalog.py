@@ -7,10 +7,12 @@ limits appear only where the limit is the feature (``subset_limit``,
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import keys as K
 from tidemark.functions import months as M
@@ -31,9 +33,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def days_as_timestamps(df: DataFrame) -> DataFrame:
+    """Query boundary: calendar days leave as TIMESTAMP_NTZ at midnight, the
+    convention of the given tables (``o_orderdate``, ``l_shipdate``); the
+    library itself works with DATE."""
+    if not any(isinstance(f.dataType, T.DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.DateType) else F.col(f.name) for f in df.schema.fields])
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def query(spark: SparkSession, d: str) -> DataFrame:
+            return days_as_timestamps(fn(spark, d))
+        QUERIES[name] = query
         return fn
     return deco
 

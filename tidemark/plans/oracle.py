@@ -757,3 +757,17 @@ SELECT event_id, symbol, ts, price, ret, short_vol, long_vol, state,
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END AS regime_id
 FROM c
 """
+
+
+# Calendar days leave the queries as TIMESTAMP at midnight (see
+# ``catalog.days_as_timestamps``); the same columns are cast here.
+DAY_COLUMNS = {
+    "retry_outcome": ["day"], "last_outcome": ["day"], "unresolved_pairs": ["day"],
+    "normalize_bars": ["trade_date"], "stream_silver": ["trade_date"], "returns": ["trade_date"],
+    "rolling_stats": ["trade_date"], "rolling_range": ["trade_date"], "drawdown": ["trade_date"],
+    "zscore": ["trade_date"], "vol_regime": ["trade_date"], "cross_rank": ["trade_date"],
+    "top_movers": ["trade_date"],
+}
+for _name, _cols in DAY_COLUMNS.items():
+    _casts = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in _cols)
+    ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"
