@@ -417,7 +417,7 @@ def enriched_bars(spark: SparkSession, d: str) -> DataFrame:
 @register("metrics_cube")
 def metrics_cube(spark: SparkSession, d: str) -> DataFrame:
     e = gold.enrich(R.bars(spark, d), R.categories(spark, d), "symbol", "left")
-    return gold.metrics_cube(e, ["category", "event_type"], "price")
+    return gold.metrics_cube(e, ["category", "event_type", "nation"], "price")
 
 
 # ---------------------------------------------------------------- streaming

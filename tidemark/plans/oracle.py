@@ -531,10 +531,11 @@ FROM bars b LEFT JOIN customer c ON c.c_custkey = b.symbol
 
 ORACLE["metrics_cube"] = f"""
 WITH {_BARS}
-SELECT c.c_mktsegment AS category, b.event_type, GROUPING(c.c_mktsegment, b.event_type) AS gid,
+SELECT c.c_mktsegment AS category, b.event_type, c.c_nationkey AS nation,
+  GROUPING(c.c_mktsegment, b.event_type, c.c_nationkey) AS gid,
   count(*) AS n_rows, round(sum(b.price), 6) AS sum_value, round(avg(b.price), 9) AS avg_value
 FROM bars b LEFT JOIN customer c ON c.c_custkey = b.symbol
-GROUP BY CUBE (c.c_mktsegment, b.event_type)
+GROUP BY CUBE (c.c_mktsegment, b.event_type, c.c_nationkey)
 """
 
 ORACLE["stream_ingest"] = f"""
