@@ -97,7 +97,7 @@ def plan_batches(dim: DataFrame, order_by: Sequence[str], batch_size: int = DEFA
         raise ValueError("batch_size must be >= 1")
     idx = with_row_index(dim.select(symbol_col, *[c for c in order_by if c != symbol_col]),
                          list(order_by), "_idx")
-    return (idx.withColumn("batch_id", F.floor(F.col("_idx") / batch_size).cast("bigint"))
+    return (idx.withColumn("batch_id", F.expr(f"_idx div {int(batch_size)}").cast("bigint"))
             .groupBy("batch_id")
             .agg(F.array_sort(F.collect_list(F.struct(F.col("_idx"), F.col(symbol_col).alias("s"))))
                  .alias("_items"))
