@@ -110,3 +110,24 @@ def test_bucketed_returns_and_running_match_brute_force(spark):
                             ("sum", g["price"].cumsum())):
             for i, v in zip(g["id"], series):
                 assert abs(run[how][i] - v) < 1e-9
+
+
+def test_exact_sessions_equal_session_window(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import intraday
+    rnd = random.Random(31)
+    rows, t = [], datetime(2025, 1, 1)
+    for i in range(1200):
+        sym = "HOT" if i % 3 else f"S{rnd.randrange(4)}"
+        t += timedelta(seconds=rnd.choice([1, 600, 1800, 1800, 1801, 7200]))  # exact-gap boundaries
+        rows.append((sym, t, float(rnd.randrange(1, 100)), rnd.randrange(5)))
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp, price double, volume int")
+    exact = intraday.session_bars(df, 1800, "symbol", "ts", "price", "volume", F.date_trunc("hour", "ts"))
+    builtin = (df.groupBy("symbol", F.session_window("ts", "30 minutes").alias("s"))
+               .agg(F.min_by("price", "ts").alias("open"), F.max("price").alias("high"),
+                    F.min("price").alias("low"), F.max_by("price", "ts").alias("close"),
+                    F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("n_trades"))
+               .select("symbol", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
+                       "open", "high", "low", "close", "volume", "n_trades"))
+    assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, builtin.collect()))

@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import gold
+from tidemark.operators import gold, intraday
 from tidemark.operators.ordering import with_file_order
 from tidemark.operators.silver import dedup_latest
 from tidemark.session import shared_dir
@@ -49,6 +49,7 @@ def test_session_bars(spark):
          datetime(2025, 1, 1, 10, 30)]
     df = spark.createDataFrame([("A", x, float(i + 1), 1) for i, x in enumerate(t)],
                                "symbol string, ts timestamp, price double, volume int")
-    s = sorted(gold.session_bars(df, "30 minutes").collect(), key=lambda r: r.session_start)
+    s = sorted(intraday.session_bars(df, 1800, "symbol", "ts", "price", "volume", F.to_date("ts")).collect(),
+               key=lambda r: r.session_start)
     assert [(r.n_trades, r.open, r.close) for r in s] == [(3, 1.0, 3.0), (1, 4.0, 4.0)]
     assert s[0].session_end == datetime(2025, 1, 1, 10, 20)

@@ -226,18 +226,3 @@ def rollup_bars(bars: DataFrame, grain: str, symbol: str = "symbol", start: str
             .agg(F.min_by("open", start).alias("open"), F.max("high").alias("high"),
                  F.min("low").alias("low"), F.max_by("close", start).alias("close"),
                  F.sum("volume").alias("volume"), F.sum("n_trades").alias("n_trades")))
-
-
-def session_bars(bars: DataFrame, gap: str, symbol: str = "symbol", ts: str = "ts", price: str = "price",
-                 volume: str = "volume") -> DataFrame:
-    """OHLCV per activity session: a new session starts after ``gap`` without
-    a trade (sessions are merged map-side before the shuffle on symbol)."""
-    win = F.session_window(F.col(ts), gap)
-    t = bars.schema[ts].dataType
-    return (bars.groupBy(symbol, win.alias("s"))
-            .agg(F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
-                 F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
-                 F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades"))
-            .select(symbol, F.col("s.start").cast(t).alias("session_start"),
-                    F.col("s.end").cast(t).alias("session_end"),
-                    "open", "high", "low", "close", "volume", "n_trades"))

@@ -185,3 +185,30 @@ def vol_regime(df: DataFrame, short: int, long: int, symbol: str, ts: str, value
     out = running(c, symbol, ts, "_chg", bucket, "sum")
     return (out.withColumn("regime_id", F.when(F.col("state").isNotNull(), F.col("running_sum")))
             .drop("_chg", "running_sum"))
+
+
+def session_bars(df: DataFrame, gap_seconds: int, symbol: str, ts: str, price: str, volume: str,
+                 bucket: Column) -> DataFrame:
+    """OHLCV per activity session: a session starts at a symbol's first trade
+    and after every pause longer than ``gap_seconds`` (a trade exactly one gap
+    after the previous one continues the session, as ``session_window`` does).
+
+    Exact and hot-key safe: session starts are flagged with a one-trade halo in
+    (symbol, bucket) partitions, numbered by a two-level running count, and the
+    sessions are aggregated with a partial step before the shuffle (a long
+    session of a hot symbol is a single group key, collapsed map-side)."""
+    rows = with_row_halo(df, 2, symbol, ts, bucket)
+    prev = F.lag(ts).over(Window.partitionBy(symbol, "_b").orderBy(ts))
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    gap = F.lit(gap_seconds * 1_000_000)
+    flagged = (rows.withColumn("_new", F.when(prev.isNull() | (us - F.unix_micros(prev.cast("timestamp")) > gap),
+                                              1).otherwise(0))
+               .where(~F.col("_halo")).select(*df.columns, "_new"))
+    numbered = running(flagged, symbol, ts, "_new", bucket, "sum")
+    return (numbered.groupBy(symbol, F.col("running_sum").alias("_session"))
+            .agg(F.min(ts).alias("session_start"),
+                 (F.max(ts) + F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")).alias("session_end"),
+                 F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
+                 F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
+                 F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades"))
+            .drop("_session"))

@@ -502,12 +502,16 @@ def ohlcv_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 SESSION_GAP = "30 minutes"
+SESSION_GAP_SECONDS = 1800
 
 
 @register("ohlcv_sessions")
 def ohlcv_sessions(spark: SparkSession, d: str) -> DataFrame:
-    """X4 (batch form of session windows): bars per 30-minute activity session."""
-    return gold.session_bars(R.bars(spark, d), SESSION_GAP)
+    """X4 (batch form of session windows): bars per 30-minute activity session,
+    numbered exactly over (symbol, day) partitions."""
+    b = R.bars(spark, d)
+    return intraday.session_bars(b, SESSION_GAP_SECONDS, "symbol", "ts", "price", "volume",
+                                 F.to_date("ts"))
 
 
 @register("stream_silver")

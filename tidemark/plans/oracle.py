@@ -618,7 +618,7 @@ ORACLE["ohlcv_sessions"] = f"""
 WITH {_BARS},
 g AS (
   SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY symbol ORDER BY ts) IS NULL
-                   OR ts >= lag(ts) OVER (PARTITION BY symbol ORDER BY ts) + INTERVAL 30 MINUTE
+                   OR ts > lag(ts) OVER (PARTITION BY symbol ORDER BY ts) + INTERVAL 30 MINUTE
                  THEN 1 ELSE 0 END AS new_session
   FROM bars),
 s AS (SELECT *, sum(new_session) OVER (PARTITION BY symbol ORDER BY ts) AS sid FROM g)
