@@ -127,3 +127,15 @@ def test_normalize_in_exchange_time_zone(spark):
                                  source_tz="America/New_York").first()
     assert bars.ts == datetime(2025, 1, 3, 0, 30)          # stored in UTC (session zone)
     assert bars.trade_date == date(2025, 1, 2) and bars.month == "2025-01"
+
+
+def test_beta_to_benchmark_symbols(spark):
+    from tidemark.operators import gold
+    days = [date(2025, 1, d) for d in range(1, 8)]
+    bench = [0.01, -0.02, 0.015, 0.0, 0.03, -0.01, 0.02]
+    rows = [("SPY", d, r) for d, r in zip(days, bench)] + [("X", d, 2 * r) for d, r in zip(days, bench)]
+    daily = spark.createDataFrame(rows, "symbol string, trade_date date, ret double")
+    dim = spark.createDataFrame([("SPY", "benchmark"), ("X", "single_name")], "symbol string, systemic_role string")
+    series = gold.benchmark_from_symbols(daily, dim.where(F.col("systemic_role") == "benchmark"))
+    out = {r.symbol: (r.correlation, r.beta) for r in gold.benchmark_beta(daily, series).collect()}
+    assert out["X"] == (1.0, 2.0) and out["SPY"] == (1.0, 1.0)

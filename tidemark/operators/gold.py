@@ -187,6 +187,14 @@ def market_index(daily_ret: DataFrame, col: str = "ret") -> DataFrame:
     return daily_ret.where(F.col(col).isNotNull()).groupBy("trade_date").agg(F.avg(col).alias("mkt_ret"))
 
 
+def benchmark_from_symbols(daily_ret: DataFrame, benchmarks: DataFrame, symbol: str = "symbol",
+                           col: str = "ret") -> DataFrame:
+    """Benchmark series from the dimension's benchmark-role symbols (e.g.
+    ``systemic_role = 'benchmark'``): their average return per day."""
+    return (daily_ret.join(benchmarks.select(symbol), symbol, "left_semi")
+            .where(F.col(col).isNotNull()).groupBy("trade_date").agg(F.avg(col).alias("mkt_ret")))
+
+
 def benchmark_beta(daily_ret: DataFrame, benchmark: DataFrame, symbol: str = "symbol",
                    col: str = "ret", min_days: int = 3) -> DataFrame:
     """Correlation and beta of each symbol to a benchmark series on
