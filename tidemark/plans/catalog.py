@@ -622,3 +622,17 @@ def vol_regime_intraday(spark: SparkSession, d: str) -> DataFrame:
     """W7 over raw bars: 3-bar against 10-bar volatility of bar returns."""
     b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
     return intraday.vol_regime(b, 3, 10, "symbol", "ts", "price", _bucket())
+
+
+@register("stream_sliding")
+def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
+    """X4 (sliding form): 1-day bars sliding every 12 hours, closed windows only."""
+    streaming.use_rocksdb(spark)
+    src = streaming.event_time(streaming.table_stream(spark, d, "events"))
+    bars = src.select(F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
+                      F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
+    agg = streaming.bars_stream(bars, "1 day", "12 hours", delay=STREAM_DELAY)
+    out = agg.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                     "open", "high", "low", "close", "volume", "n_trades")
+    root = streaming.run_available_now(out, "sliding")
+    return spark.read.parquet(f"{root}/out")

@@ -772,3 +772,16 @@ DAY_COLUMNS = {
 for _name, _cols in DAY_COLUMNS.items():
     _casts = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in _cols)
     ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"
+
+ORACLE["stream_sliding"] = f"""
+WITH {_BARS},
+w AS (
+  SELECT b.*, s.window_start
+  FROM bars b, unnest([time_bucket(INTERVAL 12 HOUR, b.ts),
+                       time_bucket(INTERVAL 12 HOUR, b.ts) - INTERVAL 12 HOUR]) AS s(window_start))
+SELECT symbol, window_start, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low,
+  arg_max(price, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+FROM w
+GROUP BY symbol, window_start
+HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+"""
