@@ -21,17 +21,25 @@ def load(spark: SparkSession, data_dir: str, name: str, spread: bool | None = No
     return spread_small_input(df) if spread else df
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread_small_input(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the session's
     parallelism (a small file with a single row group is read by one task).
 
     On a cluster reading large tables the scan already has more partitions
-    than cores and this is a no-op; column pruning and filters still reach
-    the scan because the repartition sits above it.
+    than cores and this is a no-op; tiny tables (under ``min_bytes``, e.g.
+    dimensions that end up broadcast) are left alone too.  Column pruning and
+    filters still reach the scan because the repartition sits above it.
     """
+    from tidemark.operators.joins import estimated_bytes
     try:
         parts = df.rdd.getNumPartitions()
         target = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - e.g. Spark Connect: leave the plan alone
         return df
+    size = estimated_bytes(df)
+    if size is not None and size < min_bytes:
+        return df
     return df.repartition(target) if parts < target else df
