@@ -68,19 +68,25 @@ def run_available_now(df: DataFrame, name: str, path: str | None = None,
     return root
 
 
+def land_batch(batch: DataFrame, batch_id: int, classify_fn: Callable[[DataFrame], DataFrame],
+               root: str, day_col: str = "day") -> None:
+    """One micro-batch of X1: accepted rows to ``bronze``, the rest to
+    ``rejects``, both under (day, batch_id) with dynamic overwrite — replaying
+    an epoch replaces exactly its own output."""
+    c = classify_fn(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    c.persist()
+    try:
+        write_partitioned(c.where(F.col("ok")), f"{root}/bronze", [day_col, "batch_id"])
+        write_partitioned(c.where(~F.col("ok")), f"{root}/rejects", [day_col, "batch_id"])
+    finally:
+        c.unpersist()
+
+
 def land_stream(stream: DataFrame, classify_fn: Callable[[DataFrame], DataFrame], root: str,
                 day_col: str = "day") -> str:
-    """Classify each micro-batch; accepted rows to ``bronze``, the rest to
-    ``rejects``, both under (day, batch_id) with dynamic overwrite."""
-    def land(batch: DataFrame, batch_id: int) -> None:
-        c = classify_fn(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        c.persist()
-        try:
-            write_partitioned(c.where(F.col("ok")), f"{root}/bronze", [day_col, "batch_id"])
-            write_partitioned(c.where(~F.col("ok")), f"{root}/rejects", [day_col, "batch_id"])
-        finally:
-            c.unpersist()
-    return run_available_now(stream, "land", root, foreach_batch=land)
+    """Classify and land each micro-batch (``land_batch``)."""
+    return run_available_now(stream, "land", root,
+                             foreach_batch=lambda b, i: land_batch(b, i, classify_fn, root, day_col))
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str = "event_ts",
