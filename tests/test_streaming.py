@@ -36,10 +36,9 @@ def test_restart_processes_only_new_files_and_replay_is_idempotent(spark, smoke_
     assert {r.batch_id for r in bronze.select("batch_id").distinct().collect()} == {"0", "1"}  # text partitions
 
     # replaying epoch 1 with the same rows leaves the landed data unchanged
+    before = sorted(map(tuple, bronze.select("response_id", "batch_id").collect()))
     batch = R.responses_from_events(spark.read.parquet(os.path.join(src, "events-2.parquet"))) \
         .withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     S.land_batch(batch, 1, _classify, root)
     again = spark.read.parquet(f"{root}/bronze")
-    assert again.count() == bronze.count()
-    assert sorted(map(tuple, again.select("response_id", "batch_id").collect())) == \
-        sorted(map(tuple, bronze.select("response_id", "batch_id").collect()))
+    assert sorted(map(tuple, again.select("response_id", "batch_id").collect())) == before
