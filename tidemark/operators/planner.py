@@ -224,3 +224,12 @@ def batch_tasks(dim: DataFrame, batches: DataFrame, start, end, as_of=None, symb
     members = batches.select("batch_id", F.explode("symbols").alias(symbol_col)).distinct()
     joined = dim.join(members, symbol_col)
     return plan_tasks(joined, start, end, as_of, symbol_col, start_date_col, keep=["batch_id"])
+
+
+def duplicate_symbols(dim: DataFrame, symbol_col: str = "symbol") -> DataFrame:
+    """Q7 report: symbols listed more than once (after stripping) with their
+    count; they are kept in planning (each row plans its tasks) and the last
+    outcome of a pair wins in accounting."""
+    return (dim.groupBy(M.strip(symbol_col).alias(symbol_col))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .where(F.col("n_rows") > 1))

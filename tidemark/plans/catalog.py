@@ -636,3 +636,10 @@ def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
                      "open", "high", "low", "close", "volume", "n_trades")
     root = streaming.run_available_now(out, "sliding")
     return spark.read.parquet(f"{root}/out")
+
+
+@register("duplicate_symbols")
+def duplicate_symbols(spark: SparkSession, d: str) -> DataFrame:
+    """Q7: repeated symbols of a dimension (part names repeat)."""
+    part = load(spark, d, "part").select(F.col("p_name").alias("symbol"))
+    return planner.duplicate_symbols(part)

@@ -785,3 +785,7 @@ FROM w
 GROUP BY symbol, window_start
 HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """
+
+ORACLE["duplicate_symbols"] = """
+SELECT p_name AS symbol, count(*) AS n_rows FROM part GROUP BY p_name HAVING count(*) > 1
+"""
