@@ -165,16 +165,20 @@ def top_movers(daily_ret: DataFrame, k: int = 3, symbol: str = "symbol", col: st
 
 # ---------------------------------------------------------- distributions
 
-def dist_features(bars: DataFrame, symbol: str = "symbol", col: str = "price") -> DataFrame:
+def dist_features(bars: DataFrame, symbol: str = "symbol", col: str = "price",
+                  exact_distinct: bool = True, median_accuracy: int = 10000) -> DataFrame:
     """Moments (population skewness / excess kurtosis from central
-    moments), median (lower, bounded-memory quantile sketch) and distinct count."""
+    moments), median (lower, bounded-memory quantile sketch) and distinct count
+    (exact: a two-level aggregate over (symbol, value); or HyperLogLog++ with
+    ``exact_distinct=False``, a fixed-size mergeable sketch per symbol)."""
     x = F.col(col)
+    distinct = F.count_distinct(x) if exact_distinct else F.approx_count_distinct(x)
     agg = bars.groupBy(symbol).agg(
         F.count(x).alias("n"), F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_std"),
         F.stddev_pop(x).alias("_sdp"), F.skewness(x).alias("_skew"), F.kurtosis(x).alias("_kurt"),
         F.min(x).alias("min_value"), F.max(x).alias("max_value"),
-        F.percentile_approx(x, 0.5, 10000).alias("median"),
-        F.count_distinct(x).alias("n_distinct"))
+        F.percentile_approx(x, 0.5, median_accuracy).alias("median"),
+        distinct.alias("n_distinct"))
     nz = F.col("_sdp") > 0
     return agg.select(symbol, "n", _rm(F.col("_mean")).alias("mean"), _r(F.col("_std")).alias("stddev"),
                       F.when(nz, _r(F.col("_skew"))).alias("skewness"),
