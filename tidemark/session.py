@@ -72,16 +72,29 @@ def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
     return spark
 
 
+SCRATCH_KEY = "spark.tidemark.scratch.dir"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a scratch folder only when none is set."""
+    """The cluster's checkpoint folder (``spark.checkpoint.dir``).
+
+    ``spark.checkpoint.dir`` is a core setting that cannot change at runtime,
+    so when the session names no folder a scratch folder is made — on a local
+    master only (tests) — and kept under ``spark.tidemark.scratch.dir``.  On a
+    cluster without a shared folder nothing machine-local is invented.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
         sc = None
-    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    current = (spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+               or spark.conf.get(SCRATCH_KEY, None))
     if not current:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        spark.conf.set(SCRATCH_KEY, current)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
