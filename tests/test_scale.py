@@ -131,3 +131,18 @@ def test_exact_sessions_equal_session_window(spark):
                .select("symbol", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                        "open", "high", "low", "close", "volume", "n_trades"))
     assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, builtin.collect()))
+
+
+def test_size_estimate_drives_broadcast_and_spread(spark, smoke_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.joins import broadcast_if_small, estimated_bytes
+    from tidemark.sources.tables import load, table_path
+    part = spark.read.parquet(table_path(smoke_dir, "part"))
+    size = estimated_bytes(part)
+    assert isinstance(size, int) and 0 < size < 1 << 20
+    plan = (spark.range(10).join(broadcast_if_small(part), F.col("id") == F.col("p_partkey"))
+            ._jdf.queryExecution().executedPlan().toString())
+    assert "BroadcastHashJoin" in plan
+    assert "RoundRobinPartitioning" not in load(spark, smoke_dir, "part")._jdf.queryExecution() \
+        .executedPlan().toString()  # tiny tables are not spread

@@ -16,10 +16,10 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer estimate of ``df``'s size (None when unavailable, e.g. Connect)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()  # noqa: SLF001
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # noqa: SLF001
     except Exception:  # noqa: BLE001
         return None
+    return size if isinstance(size, int) else int(size.toString())  # py4j may convert BigInt
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
