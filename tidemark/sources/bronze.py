@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +41,19 @@ def save_bronze(df: DataFrame, targets: Mapping[str, str],
     ``error`` joining the failure texts with `` | ``."""
     keys = df.select(*partition_cols).distinct()
     errors = {}
-    for name, path in targets.items():
-        try:
-            write_bronze(df, path, partition_cols)
-            errors[name] = None
-        except Exception as exc:  # noqa: BLE001 - reported as data, like the reference
-            errors[name] = f"{name} save failed: {str(exc).splitlines()[0][:200]}"
+    many = len(targets) > 1
+    if many:  # computed once for all targets (spills to disk; recomputed from lineage if lost)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, path in targets.items():
+            try:
+                write_bronze(df, path, partition_cols)
+                errors[name] = None
+            except Exception as exc:  # noqa: BLE001 - reported as data, like the reference
+                errors[name] = f"{name} save failed: {str(exc).splitlines()[0][:200]}"
+    finally:
+        if many:
+            df.unpersist()
     msgs = [F.lit(e).cast("string") for e in errors.values()]
     status = keys
     for name, path in targets.items():
