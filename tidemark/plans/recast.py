@@ -6,8 +6,16 @@ The test tables hold no market data, so columns are mapped:
   order month (``NA`` when the customer has no order);
 * bars       — ``events`` (symbol = ``user_id``, price = ``value``, volume =
   ``k`` of ``props``);
-* attempts   — ``events`` (a logical request per event, pair = user x day,
-  sequence = ``event_id``, ``event_type = 'error'`` fails);
+* landed     — (customer, month) pairs with orders;
+* requests / attempts — ``events`` (a logical request or HTTP attempt per
+  event, pair = user x day, sequence = ``event_id``, ``event_type = 'error'``
+  fails); for the worker run, ``orders`` as attempts per (customer, month);
+* responses  — ``events`` shaped to reach every branch of the acceptance chain,
+  plus ``pages`` (HTML bodies under a JSON content type);
+* monthly payloads — each customer's orders packed by month into a dated series;
+* documents  — one vendor-shaped intraday document per event;
+* bars for validation — ``lineitem`` (unit price, tax and discount shape the
+  prices so that every rule fires somewhere);
 * duplicates — ``lineitem`` keyed by (``l_orderkey``, ``l_linenumber``).
 """
 
