@@ -120,7 +120,11 @@ def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame]
     """Each micro-batch lands its documents in Bronze (idempotent per
     batch), then every Silver year it touches is recomputed from *all* Bronze
     rows of that year — late data for an old month rewrites that month's year
-    instead of being dropped by a watermark, and no long state is kept."""
+    instead of being dropped by a watermark, and no long state is kept.
+
+    A trigger costs a year of Bronze (partition-pruned) per touched year, so
+    this suits infrequent triggers (``availableNow`` runs, as the reference's
+    scheduled batches); finer Silver partitions would make it cheaper."""
     from tidemark.sources.silver import rewrite_years
 
     spark = stream.sparkSession
