@@ -151,3 +151,13 @@ def test_silver_rerun_is_idempotent(spark, smoke_dir):
     silver_sink.rewrite_years(bars, lambda d: d, path, years=[1995, 1996, 1997, 1998, 1999, 2000, 2001])
     again = sorted(map(tuple, spark.read.parquet(path).select("l_orderkey", "l_linenumber", "year").collect()))
     assert first == again and len(first) == bars.count()
+
+
+def test_monthly_rewrite_replaces_only_touched_months(spark):
+    rows = [("S1", datetime(2024, m, 1), 1) for m in range(1, 13)]
+    src = spark.createDataFrame(rows, "symbol string, ts timestamp, v int")
+    path = shared_dir(spark, "t-silver-monthly")
+    silver_sink.write_monthly(src, path)
+    silver_sink.rewrite_months(src, lambda d: d.withColumn("v", F.lit(2)), path, ["2024-03", "2024-04"])
+    back = {(r.month, r.v) for r in spark.read.parquet(path).select("month", "v").collect()}
+    assert len(back) == 12 and ("2024-03", 2) in back and ("2024-05", 1) in back

@@ -42,3 +42,20 @@ def test_restart_processes_only_new_files_and_replay_is_idempotent(spark, smoke_
     S.land_batch(batch, 1, _classify, root)
     again = spark.read.parquet(f"{root}/bronze")
     assert sorted(map(tuple, again.select("response_id", "batch_id").collect())) == before
+
+
+def test_recompute_stream_monthly(spark, smoke_dir):
+    from tidemark.operators import silver
+    root = shared_dir(spark, "t-stream-monthly")
+    src = S.table_stream(spark, smoke_dir, "events")
+
+    def to_docs(b):
+        return R.docs_from_events(b).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+
+    def to_silver(landed):
+        return silver.normalize_bars(landed, keep=["event_id"]).drop("month", "year")
+
+    S.recompute_stream(src, root, to_docs, to_silver, period="month")
+    out = spark.read.parquet(f"{root}/silver")
+    assert out.count() == spark.read.parquet(f"{smoke_dir}/events.parquet").count()
+    assert {r.month for r in out.select("month").distinct().collect()} == {"2024-01"}

@@ -18,16 +18,28 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 8
 
 
-def write_yearly(df: DataFrame, path: str, ts_col: str = "ts", symbol_col: str = "symbol",
-                 buckets: int = DEFAULT_BUCKETS, sort_cols: Sequence[str] | None = None) -> None:
-    year = df[ts_col] if "year" not in df.columns else df["year"]
-    out = df if "year" in df.columns else df.withColumn("year", F.year(year))
+def _write_period(out: DataFrame, path: str, period_col: str, ts_col: str, symbol_col: str,
+                  buckets: int, sort_cols: Sequence[str] | None) -> None:
     out = out.withColumn("_bucket", F.pmod(F.xxhash64(symbol_col), F.lit(buckets)))
     sort_cols = list(sort_cols) if sort_cols else [symbol_col, ts_col]
-    # rebalance: AQE splits a (year, bucket) holding a hot symbol over several tasks
-    (out.hint("rebalance", "year", "_bucket").sortWithinPartitions(*sort_cols).drop("_bucket")
+    # rebalance: AQE splits a (period, bucket) holding a hot symbol over several tasks
+    (out.hint("rebalance", period_col, "_bucket").sortWithinPartitions(*sort_cols).drop("_bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year").parquet(path))
+     .partitionBy(period_col).parquet(path))
+
+
+def write_yearly(df: DataFrame, path: str, ts_col: str = "ts", symbol_col: str = "symbol",
+                 buckets: int = DEFAULT_BUCKETS, sort_cols: Sequence[str] | None = None) -> None:
+    """Year partitions (an existing ``year`` column is used as is)."""
+    out = df if "year" in df.columns else df.withColumn("year", F.year(ts_col))
+    _write_period(out, path, "year", ts_col, symbol_col, buckets, sort_cols)
+
+
+def write_monthly(df: DataFrame, path: str, ts_col: str = "ts", symbol_col: str = "symbol",
+                  buckets: int = DEFAULT_BUCKETS, sort_cols: Sequence[str] | None = None) -> None:
+    """``month`` (``yyyy-MM``) partitions, for layouts rewritten a month at a time."""
+    out = df if "month" in df.columns else df.withColumn("month", F.date_format(ts_col, "yyyy-MM"))
+    _write_period(out, path, "month", ts_col, symbol_col, buckets, sort_cols)
 
 
 def touched_years(start: date, end: date) -> list[int]:
@@ -53,3 +65,17 @@ def write_gold(df: DataFrame, path: str, ts_col: str, symbol_col: str = "symbol"
                buckets: int = DEFAULT_BUCKETS) -> None:
     """A Gold data set, laid out as Silver (year partitions, symbol buckets)."""
     write_yearly(df, path, ts_col, symbol_col, buckets, sort_cols=[symbol_col, ts_col])
+
+
+def rewrite_months(source: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
+                   months: Sequence[str], ts_col: str = "ts", symbol_col: str = "symbol",
+                   buckets: int = DEFAULT_BUCKETS) -> list[str]:
+    """Recompute and overwrite the given ``yyyy-MM`` partitions from all source
+    rows of those months."""
+    months = sorted(set(months))
+    if not months:
+        return []
+    part = source.where(F.date_format(F.col(ts_col), "yyyy-MM").isin(months))
+    write_monthly(transform(part).drop("month") if "month" in source.columns else transform(part),
+                  path, ts_col, symbol_col, buckets)
+    return months
