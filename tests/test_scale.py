@@ -146,3 +146,27 @@ def test_size_estimate_drives_broadcast_and_spread(spark, smoke_dir):
     assert "BroadcastHashJoin" in plan
     assert "RoundRobinPartitioning" not in load(spark, smoke_dir, "part")._jdf.queryExecution() \
         .executedPlan().toString()  # tiny tables are not spread
+
+
+def test_bucketed_windows_with_repeated_timestamps(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import intraday
+    rnd = random.Random(41)
+    rows, t = [], datetime(2025, 1, 1)
+    for i in range(1200):
+        sym = "HOT" if i % 3 else "S1"
+        t += timedelta(seconds=rnd.choice([0, 0, 1, 900, 4000]))  # many equal timestamps
+        rows.append((i, sym, t, float(rnd.randrange(1, 100))))
+    df = spark.createDataFrame(rows, "seq int, symbol string, ts timestamp, price double")
+    bucket = F.date_trunc("hour", "ts")
+    got = {r.seq: (r.roll_mean, r.roll_max) for r in
+           intraday.rolling_rows(df, 4, "symbol", "ts", "price", bucket, tiebreak="seq").collect()}
+    run = {r.seq: r.running_sum for r in
+           intraday.running(df, "symbol", "ts", "price", bucket, "sum", tiebreak="seq").collect()}
+    pdf = pd.DataFrame(rows, columns=["seq", "symbol", "ts", "price"]).sort_values(["ts", "seq"])
+    for _, g in pdf.groupby("symbol"):
+        roll = g["price"].rolling(4)
+        for i, m, hi, cs in zip(g["seq"], roll.mean(), roll.max(), g["price"].cumsum()):
+            assert got[i] == ((None, None) if pd.isna(m) else (half_up(m, 9), hi))
+            assert abs(run[i] - cs) < 1e-9

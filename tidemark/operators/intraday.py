@@ -15,7 +15,8 @@ given a *halo* — copies of the rows that precede it and fall inside the frame
   bucket is the rows of the preceding bucket within ``span`` of its start.
 
 Window partitions hold one bucket plus a bounded halo, whatever the symbol's
-share of the data.  Rows must be unique per (symbol, ts).
+share of the data.  Row order is (ts, ``tiebreak``): pass a tie-breaker (a
+trade sequence) when timestamps repeat within a symbol.
 """
 
 from __future__ import annotations
@@ -29,6 +30,11 @@ ROUND_MEAN = 9
 ROUND = 6
 
 
+def _order(ts: str, tiebreak: str | None, desc: bool = False) -> list[Column]:
+    cols = [ts] + ([tiebreak] if tiebreak else [])
+    return [F.col(c).desc() if desc else F.col(c) for c in cols]
+
+
 def _stats(value: str, w, n: int | None) -> list[Column]:
     full = F.count(value).over(w) == n if n else F.lit(True)
     return [F.when(full, F.round(F.avg(value).over(w), ROUND_MEAN)).alias("roll_mean"),
@@ -37,7 +43,8 @@ def _stats(value: str, w, n: int | None) -> list[Column]:
             F.when(full, F.max(value).over(w)).alias("roll_max")]
 
 
-def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column) -> DataFrame:
+def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column,
+                  tiebreak: str | None = None) -> DataFrame:
     """``df`` plus, for every (symbol, bucket), copies of the last ``n - 1`` rows
     that precede the bucket; adds ``_b`` (bucket) and ``_halo`` (copy flag)."""
     base = df.withColumn("_b", bucket)
@@ -48,52 +55,56 @@ def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column) -
            .withColumn("_bi", F.row_number().over(Window.partitionBy(symbol).orderBy("_b"))))
     based = base.join(pos, [symbol, "_b"])
     tail = (based.withColumn("_rd", F.row_number().over(Window.partitionBy(symbol, "_b")
-                                                        .orderBy(F.col(ts).desc())))
+                                                        .orderBy(*_order(ts, tiebreak, True))))
             .where(F.col("_rd") <= n - 1).drop("_rd"))
     offers = (tail.withColumn("_h", F.explode(F.sequence(F.lit(1), F.lit(n - 1))))
               .withColumn("_bi", F.col("_bi") + F.col("_h")).drop("_h", "_b")
               .withColumn("_rk", F.row_number().over(Window.partitionBy(symbol, "_bi")
-                                                     .orderBy(F.col(ts).desc())))
+                                                     .orderBy(*_order(ts, tiebreak, True))))
               .where(F.col("_rk") <= n - 1).drop("_rk"))
     halo = offers.join(pos, [symbol, "_bi"]).withColumn("_halo", F.lit(True))
     return based.withColumn("_halo", F.lit(False)).unionByName(halo).drop("_bi")
 
 
 def over_last_rows(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column,
-                   exprs: Callable[[Window], list[Column]], frame: bool = True) -> DataFrame:
+                   exprs: Callable[[Window], list[Column]], frame: bool = True,
+                   tiebreak: str | None = None) -> DataFrame:
     """Any window expressions reaching at most ``n - 1`` bars back, in
     (symbol, bucket) partitions.  ``exprs`` receives the frame of the last ``n``
     bars, or (``frame=False``) the ordered partition spec to build its own
     frames / offsets no wider than that."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    rows = with_row_halo(df, n, symbol, ts, bucket)
-    spec = Window.partitionBy(symbol, "_b").orderBy(ts)
+    rows = with_row_halo(df, n, symbol, ts, bucket, tiebreak)
+    spec = Window.partitionBy(symbol, "_b").orderBy(*_order(ts, tiebreak))
     w = spec.rowsBetween(-(n - 1), 0) if frame else spec
     return (rows.select(*df.columns, "_halo", *exprs(w))
             .where(~F.col("_halo")).drop("_halo"))
 
 
-def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+def rolling_rows(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column,
+                 tiebreak: str | None = None) -> DataFrame:
     """Mean / stddev / min / max over the last ``n`` bars of each symbol (NULL
     until ``n`` bars), computed in (symbol, bucket) partitions."""
-    return over_last_rows(df, n, symbol, ts, bucket, lambda w: _stats(value, w, n))
+    return over_last_rows(df, n, symbol, ts, bucket, lambda w: _stats(value, w, n), tiebreak=tiebreak)
 
 
-def zscore(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+def zscore(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Column,
+           tiebreak: str | None = None) -> DataFrame:
     """W5 at bar level: (value - mean of the last n bars) / their stddev; NULL
     until n bars or when the stddev is 0."""
     def exprs(w):
         mean, sd, cnt = F.avg(value).over(w), F.stddev_samp(value).over(w), F.count(value).over(w)
         return [F.when((cnt == n) & (sd > 0), F.round((F.col(value) - mean) / sd, ROUND)).alias("zscore")]
-    return over_last_rows(df, n, symbol, ts, bucket, exprs)
+    return over_last_rows(df, n, symbol, ts, bucket, exprs, tiebreak=tiebreak)
 
 
-def returns(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+def returns(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column,
+            tiebreak: str | None = None) -> DataFrame:
     """W1 at bar level: simple and log return against the previous bar (a
     one-row halo carries the previous bucket's last bar)."""
-    rows = with_row_halo(df, 2, symbol, ts, bucket)
-    prev = F.lag(value).over(Window.partitionBy(symbol, "_b").orderBy(ts))
+    rows = with_row_halo(df, 2, symbol, ts, bucket, tiebreak)
+    prev = F.lag(value).over(Window.partitionBy(symbol, "_b").orderBy(*_order(ts, tiebreak)))
     c, p = F.col(value), F.col("_prev")
     return (rows.withColumn("_prev", prev).where(~F.col("_halo"))
             .select(*df.columns,
@@ -101,7 +112,8 @@ def returns(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column) ->
                     F.when((p > 0) & (c > 0), F.round(F.log(c / p), ROUND)).alias("log_ret")))
 
 
-def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how: str = "max") -> DataFrame:
+def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how: str = "max",
+            tiebreak: str | None = None) -> DataFrame:
     """Running aggregate from the first bar (``max``, ``min`` or ``sum``) as a
     two-level scan: per-bucket aggregates, their prefix over the per-symbol
     bucket table (bounded by the calendar), then the running value inside each
@@ -113,7 +125,7 @@ def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how
         symbol, "_b",
         agg("_bv").over(Window.partitionBy(symbol).orderBy("_b")
                         .rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
-    inside = agg(value).over(Window.partitionBy(symbol, "_b").orderBy(ts)
+    inside = agg(value).over(Window.partitionBy(symbol, "_b").orderBy(*_order(ts, tiebreak))
                              .rowsBetween(Window.unboundedPreceding, 0))
     if how == "max":
         combined = F.greatest(F.col("_prior"), F.col("_in"))
@@ -125,9 +137,10 @@ def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how
             .select(*df.columns, combined.alias(f"running_{how}")))
 
 
-def drawdown(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column) -> DataFrame:
+def drawdown(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column,
+             tiebreak: str | None = None) -> DataFrame:
     """W4 at bar level: distance of each bar from the running peak."""
-    r = running(df, symbol, ts, value, bucket, "max")
+    r = running(df, symbol, ts, value, bucket, "max", tiebreak)
     peak = F.col("running_max")
     return r.select(*df.columns, peak.alias("running_peak"),
                     F.when(peak > 0, F.round(F.col(value) / peak - 1, ROUND)).alias("drawdown"))
@@ -153,7 +166,7 @@ def rolling_span(df: DataFrame, span_seconds: int, symbol: str, ts: str, value:
 
 
 def vol_regime(df: DataFrame, short: int, long: int, symbol: str, ts: str, value: str,
-               bucket: Column) -> DataFrame:
+               bucket: Column, tiebreak: str | None = None) -> DataFrame:
     """W7 at bar level: short against long volatility of bar returns, and a
     ``regime_id`` counting state changes from the first bar.
 
@@ -164,8 +177,8 @@ def vol_regime(df: DataFrame, short: int, long: int, symbol: str, ts: str, value
     count is a two-level scan.  Halo rows only feed frames and are dropped.
     """
     depth = max(short, long) + 1
-    rows = with_row_halo(df, depth + 1, symbol, ts, bucket)
-    spec = Window.partitionBy(symbol, "_b").orderBy(ts)
+    rows = with_row_halo(df, depth + 1, symbol, ts, bucket, tiebreak)
+    spec = Window.partitionBy(symbol, "_b").orderBy(*_order(ts, tiebreak))
     ws, wl = spec.rowsBetween(-(short - 1), 0), spec.rowsBetween(-(long - 1), 0)
     prev = F.lag(value).over(spec)
     r = rows.withColumn("_prev", prev).withColumn(
@@ -182,13 +195,13 @@ def vol_regime(df: DataFrame, short: int, long: int, symbol: str, ts: str, value
                      .when(F.col("state") != prev_state, 1).otherwise(0))
     cols = [*df.columns, "ret", "short_vol", "long_vol", "state", "_chg"]
     c = r.where(~F.col("_halo")).select(*cols)
-    out = running(c, symbol, ts, "_chg", bucket, "sum")
+    out = running(c, symbol, ts, "_chg", bucket, "sum", tiebreak)
     return (out.withColumn("regime_id", F.when(F.col("state").isNotNull(), F.col("running_sum")))
             .drop("_chg", "running_sum"))
 
 
 def session_bars(df: DataFrame, gap_seconds: int, symbol: str, ts: str, price: str, volume: str,
-                 bucket: Column) -> DataFrame:
+                 bucket: Column, tiebreak: str | None = None) -> DataFrame:
     """OHLCV per activity session: a session starts at a symbol's first trade
     and after every pause longer than ``gap_seconds`` (a trade exactly one gap
     after the previous one continues the session, as ``session_window`` does).
@@ -197,14 +210,14 @@ def session_bars(df: DataFrame, gap_seconds: int, symbol: str, ts: str, price: s
     (symbol, bucket) partitions, numbered by a two-level running count, and the
     sessions are aggregated with a partial step before the shuffle (a long
     session of a hot symbol is a single group key, collapsed map-side)."""
-    rows = with_row_halo(df, 2, symbol, ts, bucket)
-    prev = F.lag(ts).over(Window.partitionBy(symbol, "_b").orderBy(ts))
+    rows = with_row_halo(df, 2, symbol, ts, bucket, tiebreak)
+    prev = F.lag(ts).over(Window.partitionBy(symbol, "_b").orderBy(*_order(ts, tiebreak)))
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     gap = F.lit(gap_seconds * 1_000_000)
     flagged = (rows.withColumn("_new", F.when(prev.isNull() | (us - F.unix_micros(prev.cast("timestamp")) > gap),
                                               1).otherwise(0))
                .where(~F.col("_halo")).select(*df.columns, "_new"))
-    numbered = running(flagged, symbol, ts, "_new", bucket, "sum")
+    numbered = running(flagged, symbol, ts, "_new", bucket, "sum", tiebreak)
     return (numbered.groupBy(symbol, F.col("running_sum").alias("_session"))
             .agg(F.min(ts).alias("session_start"),
                  (F.max(ts) + F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")).alias("session_end"),
