@@ -170,3 +170,14 @@ def test_bucketed_windows_with_repeated_timestamps(spark):
         for i, m, hi, cs in zip(g["seq"], roll.mean(), roll.max(), g["price"].cumsum()):
             assert got[i] == ((None, None) if pd.isna(m) else (half_up(m, 9), hi))
             assert abs(run[i] - cs) < 1e-9
+
+
+def test_choose_bucket_follows_density(spark):
+    from tidemark.operators import intraday
+    base = datetime(2025, 1, 1)
+    dense = spark.createDataFrame([("A", base + timedelta(seconds=15 * i)) for i in range(20000)],
+                                  "symbol string, ts timestamp")       # 240 rows an hour
+    sparse = spark.createDataFrame([("A", base + timedelta(hours=7 * i)) for i in range(2000)],
+                                   "symbol string, ts timestamp")      # ~3.4 rows a day
+    assert intraday.choose_bucket(dense, "symbol", "ts", 5) == "hour"
+    assert intraday.choose_bucket(sparse, "symbol", "ts", 5) == "month"

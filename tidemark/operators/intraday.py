@@ -225,3 +225,27 @@ def session_bars(df: DataFrame, gap_seconds: int, symbol: str, ts: str, price: s
                  F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades"))
             .drop("_session"))
+
+
+GRANULARITIES = ("hour", "day", "week", "month", "year")
+
+
+def choose_bucket(df: DataFrame, symbol: str, ts: str, n: int, overhead: float = 0.25,
+                  sample_rows: int = 200_000, seed: int = 7) -> str:
+    """Finest time granularity whose median (symbol, bucket) holds enough rows
+    that the halo of an ``n``-bar frame (at most ``(n - 1)^2`` rows) is at most
+    ``overhead`` of the bucket.  Decided on a bounded, seeded sample; the
+    sampled counts are scaled back by the sampling fraction."""
+    total = df.count()
+    if total == 0:
+        return "day"
+    fraction = min(1.0, sample_rows / total)
+    sample = df.select(symbol, ts).sample(False, fraction, seed=seed) if fraction < 1 else df.select(symbol, ts)
+    need = max(1.0, (n - 1) ** 2 / overhead)
+    medians = sample.select(*[F.date_trunc(g, ts).alias(g) for g in GRANULARITIES], symbol)
+    for g in GRANULARITIES:
+        per = medians.groupBy(symbol, g).agg(F.count(F.lit(1)).alias("c"))
+        med = per.agg(F.percentile_approx("c", 0.5)).first()[0]
+        if med is not None and med / fraction >= need:
+            return g
+    return GRANULARITIES[-1]
