@@ -16,6 +16,12 @@ WINDOW_CASES = [
     ("2025-12-17T10:00:00Z", "2025-06", "2025-05", "end_before_start", (None, None), (None, None), (None, None)),
     ("2025-12-17T10:00:00Z", "2025-13", "2025-06", "invalid_format", (None, None), (None, None), (None, None)),
     ("2025-12", "", "", "invalid_event_time", (None, None), (None, None), (None, None)),
+    # lenient month text is canonicalised at the edge
+    ("2025-12-17T10:00:00Z", " 2024-3", "2025-6 ", "ok", ("2024-03", "2025-06"), ("2024-01", "2025-06"),
+     ("2024", "2025")),
+    # Q2: months compare as dates, so 2025-9 precedes 2025-10 (text order would refuse it)
+    ("2025-12-17T10:00:00Z", "2025-9", "2025-10", "ok", ("2025-09", "2025-10"), ("2024-01", "2025-10"),
+     ("2024", "2025")),
 ]
 
 
