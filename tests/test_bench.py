@@ -17,4 +17,4 @@ def test_bench_prints_one_json_line(smoke_dir):
     d = json.loads(lines[0])
     assert d["metric"] and d["unit"] == "sec" and d["sf"] == 0.001 and not d["errors"]
     assert set(d["queries"]) == {"skip_reasons", "plan_tasks"}
-    assert abs(d["value"] - sum(d["queries"].values())) < 1e-6
+    assert abs(d["value"] - sum(d["queries"].values())) < 0.01  # both rounded to ms
