@@ -161,3 +161,12 @@ def test_monthly_rewrite_replaces_only_touched_months(spark):
     silver_sink.rewrite_months(src, lambda d: d.withColumn("v", F.lit(2)), path, ["2024-03", "2024-04"])
     back = {(r.month, r.v) for r in spark.read.parquet(path).select("month", "v").collect()}
     assert len(back) == 12 and ("2024-03", 2) in back and ("2024-05", 1) in back
+
+
+def test_completeness_reports_landed_but_empty(spark):
+    from tidemark.operators.completeness import completeness
+    tasks = spark.createDataFrame([("A", "2025-01"), ("A", "2025-02"), ("A", "2025-03")], "symbol string, month string")
+    landed = spark.createDataFrame([("A", "2025-01"), ("A", "2025-02")], "symbol string, month string")
+    bars = spark.createDataFrame([("A", "2025-01", 1.0)], "symbol string, month string, close double")
+    r = completeness(tasks, landed, bars=bars).first()
+    assert (r.expected, r.present, r.missing, r.empty) == (3, 2, 1, 1)
