@@ -43,7 +43,7 @@ def test_plan_job(spark, dim_uri):
 
 def test_worker_job_subset_then_limit(spark, dim_uri):
     uri, names = dim_uri
-    subset = names[5:60]
+    subset = [f" {n} " for n in names[5:60]]  # padded: stripped like the dimension (Q3)
     attempts = spark.createDataFrame(
         [(names[6], "2025-01", 1, 200, "application/json", '{"Time Series (1min)": {}}', datetime(2025, 3, 1))],
         "symbol string, month string, attempt_seq int, status_code int, content_type string, body string, "

@@ -58,8 +58,9 @@ def worker_job(spark: SparkSession, event: Mapping, attempts: DataFrame, bronze_
     subset = event.get("symbols_subset")
     subset_df = None
     if subset is not None:
-        # the batch's symbol list travels in the event: bounded by the batch size
-        subset_df = spark.createDataFrame([(str(s),) for s in subset], "symbol string")
+        # the batch's symbol list travels in the event: bounded by the batch size;
+        # stripped like the dimension's symbols (Q3)
+        subset_df = spark.createDataFrame([(str(s).strip(),) for s in subset], "symbol string")
     limit = event.get("limit")
     dim = planner.subset_limit(dim, subset_df, ORDER, None if limit is None else int(limit))
     return ingest_run(dim.drop(*ORDER), attempts, start, end, as_of, bronze_path)
