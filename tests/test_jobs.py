@@ -77,3 +77,28 @@ def test_search_and_monthly_jobs(spark):
         "symbol string, status_code int, content_type string, body string, requested_at timestamp")
     got = {r.symbol: (r.error_class, r.earliest_month, r.earliest_error) for r in monthly_job(monthly).collect()}
     assert got == {"IBM": ("ok", "1999-11", None), "XX": ("error_message", None, "bad")}
+
+
+def test_cli_plan_and_worker(spark, dim_uri, tmp_path_factory):
+    import json as _json
+
+    from tidemark.__main__ import main
+    uri, names = dim_uri
+    folder = shared_dir(spark, "t-cli")
+    event_path = tmp_path_factory.mktemp("events") / "plan.json"
+    event_path.write_text(_json.dumps({"symbols_s3_uri": uri, "batch_size": 100, "time": "2025-12-17T10:00:00Z"}))
+    main(["plan", "--event", str(event_path), "--out", f"{folder}/plan"])
+    assert spark.read.json(f"{folder}/plan").count() == math.ceil(len(names) / 100)
+    attempts = spark.createDataFrame(
+        [(names[0], "2025-11", 1, 200, "application/json", '{"Time Series (1min)": {}}', datetime(2025, 12, 1))],
+        "symbol string, month string, attempt_seq int, status_code int, content_type string, body string, "
+        "requested_at timestamp")
+    attempts.write.parquet(f"{folder}/attempts")
+    worker_event = tmp_path_factory.mktemp("events") / "worker.json"
+    worker_event.write_text(_json.dumps({"symbols_s3_uri": uri, "year_month_start": "2025-11",
+                                         "year_month_end": "2025-12", "symbols_subset": names[:2]}))
+    main(["worker", "--event", str(worker_event), "--attempts", f"{folder}/attempts",
+          "--bronze", f"{folder}/bronze", "--out", f"{folder}/run", "--as-of", "2025-12-17"])
+    summary = spark.read.json(f"{folder}/run/summary").first()
+    assert summary.total_symbols == 2 and summary.success_requests == 1
+    assert spark.read.parquet(f"{folder}/bronze").count() == 1
