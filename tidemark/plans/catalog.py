@@ -24,7 +24,7 @@ from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
 from tidemark.plans import recast as R
 from tidemark.session import shared_dir
-from tidemark.sources import bronze, dimension
+from tidemark.sources import bronze, dimension, landing
 from tidemark.sources import silver as silver_sink
 from tidemark.sources.tables import load
 from tidemark.streaming import ingest as streaming
@@ -643,3 +643,18 @@ def duplicate_symbols(spark: SparkSession, d: str) -> DataFrame:
     """Q7: repeated symbols of a dimension (part names repeat)."""
     part = load(spark, d, "part").select(F.col("p_name").alias("symbol"))
     return planner.duplicate_symbols(part)
+
+
+@register("landed_raw_bars")
+def landed_raw_bars(spark: SparkSession, d: str) -> DataFrame:
+    """S7/S12 through files: the latest document per (symbol, day) key lands as
+    one raw JSON file (overwrite semantics), is read back whole and normalised."""
+    docs = (R.event_docs(spark, d)
+            .select(F.col("event_type").alias("symbol"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+                    "event_id", "body"))
+    latest = silver_op.dedup_latest(docs, ["symbol", "day"], ["event_id"])
+    path = shared_dir(spark, "landed-raw")
+    landing.land_raw(latest, path, ("symbol", "day"))
+    bars = silver_op.normalize_bars(landing.read_landed(spark, path), keep=["day"])
+    return bars.select("symbol", "day", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                       F.col("close").cast("double").alias("close"), "volume")

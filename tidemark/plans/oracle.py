@@ -789,3 +789,10 @@ HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL
 ORACLE["duplicate_symbols"] = """
 SELECT p_name AS symbol, count(*) AS n_rows FROM part GROUP BY p_name HAVING count(*) > 1
 """
+
+ORACLE["landed_raw_bars"] = """
+SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d') AS day, arg_max(ts, event_id) AS ts,
+  arg_max(value, event_id) AS close,
+  arg_max(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), event_id) AS volume
+FROM events GROUP BY event_type, strftime(ts, '%Y-%m-%d')
+"""
