@@ -3,10 +3,13 @@
 * ``land_stream``  — X1: file source -> classify -> Bronze / rejects on each
   trigger.  Each micro-batch lands under ``(day, batch_id)`` partitions with
   dynamic overwrite, so a replayed epoch replaces exactly its own output.
+* ``recompute_stream`` — X2: land each micro-batch, then recompute the Silver
+  years (or months) it touches from all their Bronze rows: late data rewrites
+  its period instead of being dropped, and no long state is kept.
 * ``dedup_stream`` — X3: ``dropDuplicatesWithinWatermark`` on the bar key.
-* ``bars_stream``  — X4: tumbling (or sliding) OHLCV windows, append mode:
-  a window is emitted once the watermark passes its end, so the last open
-  window is never emitted early.
+* ``bars_stream``  — X4: tumbling, sliding or session OHLCV windows, append
+  mode: a window is emitted once the watermark passes its end, so the last
+  open window is never emitted early.
 State lives in the RocksDB state store; checkpoints and outputs go below the
 shared checkpoint folder.
 """
