@@ -239,13 +239,14 @@ def bronze_rewrite(spark: SparkSession, d: str) -> DataFrame:
             .select("event_id", "body", F.col("event_type").alias("symbol"),
                     F.date_format("ts", "yyyy-MM-dd").alias("day")))
     root = shared_dir(spark, "bronze_rewrite")
-    targets = {"primary": f"{root}/primary", "replica": f"{root}/replica"}
+    # the two sinks of the reference: a local copy and the object store
+    targets = {"local": f"{root}/local", "s3": f"{root}/s3"}
     keys = ("symbol", "day")
     bronze.save_bronze(docs.where(F.col("day") <= FIRST_RUN_LAST_DAY).withColumn("run", F.lit(1)),
                        targets, keys)
     bronze.save_bronze(docs.where(F.col("day") >= SECOND_RUN_FIRST_DAY).withColumn("run", F.lit(2)),
                        targets, keys)
-    return bronze.read_bronze(spark, targets["primary"]).select("event_id", "symbol", "day", "run")
+    return bronze.read_bronze(spark, targets["s3"]).select("event_id", "symbol", "day", "run")
 
 
 @register("latest_snapshot")
