@@ -3,7 +3,7 @@ small fixture, and the plan properties that keep the hot key off one task."""
 
 import random
 from datetime import datetime, timedelta
-from decimal import ROUND_HALF_UP, Decimal
+import math
 
 import pandas as pd
 
@@ -12,8 +12,12 @@ from tidemark.operators import outcomes, silver
 
 
 def half_up(x, digits):
-    """Spark's ``round``: HALF_UP on the exact binary value."""
-    return float(Decimal(x).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+    """The library's output rounding: sign(x) * round-half-away(|x| * 10^d) / 10^d
+    in double arithmetic."""
+    scale = float(10 ** digits)
+    v = abs(x) * scale
+    r = math.floor(v) + (1.0 if v - math.floor(v) >= 0.5 else 0.0)
+    return math.copysign(1.0, x) * r / scale if x != 0 else 0.0 * x
 
 
 def _skewed(spark, n=3000, seed=5):

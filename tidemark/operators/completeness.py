@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import round_half_away
+
 
 def missing_tasks(tasks: DataFrame, landed: DataFrame, keys: Sequence[str] = ("symbol", "month")) -> DataFrame:
     """Planned pairs with nothing landed (left anti join on the pair)."""
@@ -32,4 +34,4 @@ def completeness(tasks: DataFrame, landed: DataFrame, keys: Sequence[str] = ("sy
         aggs.append(F.count_if(F.col("_present").isNotNull() & F.col("_bars").isNull()).alias("empty"))
     return (flagged.groupBy(by).agg(*aggs)
             .withColumn("missing", F.col("expected") - F.col("present"))
-            .withColumn("completeness", F.round(F.col("present") / F.col("expected"), 6)))
+            .withColumn("completeness", round_half_away(F.col("present") / F.col("expected"), 6)))

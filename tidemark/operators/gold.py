@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import round_half_away
 from tidemark.operators.joins import broadcast_if_small
 
 # Outputs are rounded so that engines agreeing up to summation order agree
@@ -26,11 +27,11 @@ ROUND_MEAN = 9
 
 
 def _r(c: Column) -> Column:
-    return F.round(c, ROUND)
+    return round_half_away(c, ROUND)
 
 
 def _rm(c: Column) -> Column:
-    return F.round(c, ROUND_MEAN)
+    return round_half_away(c, ROUND_MEAN)
 
 
 # --------------------------------------------------------------------- bars

@@ -26,6 +26,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import round_half_away
+
 ROUND_MEAN = 9
 ROUND = 6
 
@@ -37,8 +39,8 @@ def _order(ts: str, tiebreak: str | None, desc: bool = False) -> list[Column]:
 
 def _stats(value: str, w, n: int | None) -> list[Column]:
     full = F.count(value).over(w) == n if n else F.lit(True)
-    return [F.when(full, F.round(F.avg(value).over(w), ROUND_MEAN)).alias("roll_mean"),
-            F.when(full, F.round(F.stddev_samp(value).over(w), ROUND)).alias("roll_std"),
+    return [F.when(full, round_half_away(F.avg(value).over(w), ROUND_MEAN)).alias("roll_mean"),
+            F.when(full, round_half_away(F.stddev_samp(value).over(w), ROUND)).alias("roll_std"),
             F.when(full, F.min(value).over(w)).alias("roll_min"),
             F.when(full, F.max(value).over(w)).alias("roll_max")]
 
@@ -95,7 +97,7 @@ def zscore(df: DataFrame, n: int, symbol: str, ts: str, value: str, bucket: Colu
     until n bars or when the stddev is 0."""
     def exprs(w):
         mean, sd, cnt = F.avg(value).over(w), F.stddev_samp(value).over(w), F.count(value).over(w)
-        return [F.when((cnt == n) & (sd > 0), F.round((F.col(value) - mean) / sd, ROUND)).alias("zscore")]
+        return [F.when((cnt == n) & (sd > 0), round_half_away((F.col(value) - mean) / sd, ROUND)).alias("zscore")]
     return over_last_rows(df, n, symbol, ts, bucket, exprs, tiebreak=tiebreak)
 
 
@@ -108,8 +110,8 @@ def returns(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column,
     c, p = F.col(value), F.col("_prev")
     return (rows.withColumn("_prev", prev).where(~F.col("_halo"))
             .select(*df.columns,
-                    F.when(p > 0, F.round(c / p - 1, ROUND)).alias("ret"),
-                    F.when((p > 0) & (c > 0), F.round(F.log(c / p), ROUND)).alias("log_ret")))
+                    F.when(p > 0, round_half_away(c / p - 1, ROUND)).alias("ret"),
+                    F.when((p > 0) & (c > 0), round_half_away(F.log(c / p), ROUND)).alias("log_ret")))
 
 
 def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how: str = "max",
@@ -143,7 +145,7 @@ def drawdown(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column,
     r = running(df, symbol, ts, value, bucket, "max", tiebreak)
     peak = F.col("running_max")
     return r.select(*df.columns, peak.alias("running_peak"),
-                    F.when(peak > 0, F.round(F.col(value) / peak - 1, ROUND)).alias("drawdown"))
+                    F.when(peak > 0, round_half_away(F.col(value) / peak - 1, ROUND)).alias("drawdown"))
 
 
 def rolling_span(df: DataFrame, span_seconds: int, symbol: str, ts: str, value: str,
@@ -160,7 +162,7 @@ def rolling_span(df: DataFrame, span_seconds: int, symbol: str, ts: str, value:
             .withColumn("_b", F.col("_b") + 1).withColumn("_halo", F.lit(True)))
     w = Window.partitionBy(symbol, "_b").orderBy("_us").rangeBetween(-span_seconds * 1_000_000, 0)
     return (base.unionByName(halo)
-            .select(*df.columns, "_halo", F.round(F.avg(value).over(w), ROUND_MEAN).alias("span_mean"),
+            .select(*df.columns, "_halo", round_half_away(F.avg(value).over(w), ROUND_MEAN).alias("span_mean"),
                     F.count(value).over(w).alias("span_n"))
             .where(~F.col("_halo")).drop("_halo"))
 
@@ -182,11 +184,11 @@ def vol_regime(df: DataFrame, short: int, long: int, symbol: str, ts: str, value
     ws, wl = spec.rowsBetween(-(short - 1), 0), spec.rowsBetween(-(long - 1), 0)
     prev = F.lag(value).over(spec)
     r = rows.withColumn("_prev", prev).withColumn(
-        "ret", F.when(F.col("_prev") > 0, F.round(F.col(value) / F.col("_prev") - 1, ROUND)))
+        "ret", F.when(F.col("_prev") > 0, round_half_away(F.col(value) / F.col("_prev") - 1, ROUND)))
     r = (r.withColumn("short_vol", F.when(F.count("ret").over(ws) == short,
-                                          F.round(F.stddev_samp("ret").over(ws), ROUND)))
+                                          round_half_away(F.stddev_samp("ret").over(ws), ROUND)))
          .withColumn("long_vol", F.when(F.count("ret").over(wl) == long,
-                                        F.round(F.stddev_samp("ret").over(wl), ROUND)))
+                                        round_half_away(F.stddev_samp("ret").over(wl), ROUND)))
          .withColumn("state", F.when(F.col("short_vol").isNotNull() & F.col("long_vol").isNotNull(),
                                      F.when(F.col("short_vol") > F.col("long_vol"), F.lit("high"))
                                      .otherwise(F.lit("normal")))))
