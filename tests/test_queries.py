@@ -75,3 +75,11 @@ def test_filters_and_pruning_reach_the_scan(spark, smoke_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
     assert "ReadSchema: struct<l_partkey:bigint,l_returnflag:string>" in plan
+
+
+def test_oracles_read_only_the_given_views():
+    import re
+    for name, sql in E.oracle_sql().items():
+        assert not re.search(r"read_parquet|read_csv|read_json|'/|\.parquet", sql, re.I), name
+        used = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)\b", sql, re.I))
+        assert used & set(TABLES), name
