@@ -170,3 +170,14 @@ def test_completeness_reports_landed_but_empty(spark):
     bars = spark.createDataFrame([("A", "2025-01", 1.0)], "symbol string, month string, close double")
     r = completeness(tasks, landed, bars=bars).first()
     assert (r.expected, r.present, r.missing, r.empty) == (3, 2, 1, 1)
+
+
+def test_cube_matches_direct_cube_with_nulls(spark):
+    from tidemark.operators import gold
+    rows = [("a", "x", 1.0), ("a", "y", None), ("b", "x", 2.5), ("b", "x", None), ("c", "z", None)]
+    df = spark.createDataFrame(rows, "d1 string, d2 string, v double")
+    got = sorted(map(tuple, gold.metrics_cube(df, ["d1", "d2"], "v").collect()), key=str)
+    direct = (df.cube("d1", "d2").agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n_rows"),
+                                      F.round(F.sum("v"), 6).alias("sum_value"),
+                                      F.round(F.avg("v"), 9).alias("avg_value")))
+    assert got == sorted(map(tuple, direct.collect()), key=str)

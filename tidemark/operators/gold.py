@@ -219,10 +219,17 @@ def benchmark_beta(daily_ret: DataFrame, benchmark: DataFrame, symbol: str = "sy
 # ------------------------------------------------------------- metrics cube
 
 def metrics_cube(facts: DataFrame, dims: Sequence[str], value: str) -> DataFrame:
-    """Subtotals over every subset of ``dims`` with ``grouping_id``."""
-    return (facts.cube(*dims)
-            .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n_rows"),
-                 _r(F.sum(value)).alias("sum_value"), _rm(F.avg(value)).alias("avg_value")))
+    """Subtotals over every subset of ``dims`` with ``grouping_id``.
+
+    The facts are first aggregated at the finest grain (partial aggregation,
+    one row per dimension combination); the cube's 2^k expansion then runs on
+    that small table instead of on every fact row."""
+    fine = facts.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"),
+                                    F.count(value).alias("_nv"))
+    return (fine.cube(*dims)
+            .agg(F.grouping_id().alias("gid"), F.sum("_n").alias("n_rows"),
+                 _r(F.sum("_s")).alias("sum_value"),
+                 F.when(F.sum("_nv") > 0, _rm(F.sum("_s") / F.sum("_nv"))).alias("avg_value")))
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
