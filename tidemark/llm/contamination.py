@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.store import ship_package
 from tidemark.llm.textblocks import ALNUM, blocks, ranges, strings, words
 
 WINDOW = 10
@@ -273,6 +274,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     windows (sorted as strings), their digest, ``contaminated`` and the merged
     removal ``spans`` (word positions)."""
     spark = documents.sparkSession
+    ship_package(spark)
     shared = [spark.sparkContext.broadcast(p) for p in _phrase_blocks(benchmark, item_col, item_text_col, window)]
     id_type = documents.schema[id_col].dataType
     schema = T.StructType([

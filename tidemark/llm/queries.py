@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.contamination import contamination
+from tidemark.llm.neardup import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +19,13 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         .drop("items", "spans")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
