@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.contamination import contamination
+from tidemark.llm.licenses import licenses
 from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.quality import quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +21,22 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         .drop("items", "spans")
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(_table(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents")).drop("lost")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_license_scans": op2_license_scans,
+    "op3_quality_rules": op3_quality_rules,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
 }
 
