@@ -5,13 +5,13 @@ same runs of the license templates; a hit votes for the diagonal (place in the
 text minus place in the template).  Votes are counted per document, template and
 diagonal; diagonals of one template that lie closer than a fifth of its length
 are merged, which lets words be missing or added; a merged span is verified by
-the share of template words that its votes cover.  Each vote itself is verified
-on the words, not only on the hash.  Where spans of several templates overlap,
+the share of template words that its votes cover.  Each vote is verified by a
+second, independent hash of its words in the reverse order (96 bits in all).  Where spans of several templates overlap,
 those with the largest share stay.  A phrase whose runs all vote on one
 diagonal stands there word for word: these are the base places.
 
-The template table is a parameter (a few hundred runs), so the join needs no
-shuffle of the documents; only votes are shuffled.  All steps are DataFrame
+The template table is a parameter; up to ``BROADCAST_RUNS`` runs are broadcast, so
+that the join needs no shuffle of the documents and only votes are shuffled.  All steps are DataFrame
 functions.
 
 Rows: one result row per row of the documents (repeated rows give equal
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.store import stored
+
 GRAM = 3
 #: Phrases that must stand word for word, and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -49,6 +51,8 @@ TEMPLATES = (
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 )
 MIN_SHARE = 0.75
+#: Template runs that may be broadcast (some 100 bytes each).
+BROADCAST_RUNS = 50_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -74,7 +78,10 @@ def _grams(spark, phrases, templates):
     gram = [f"g{k}" for k in range(GRAM)]
     schema = "template int, label string, base boolean, length int, slack int, place int, " \
         + ", ".join(f"{g} string" for g in gram)
-    return spark.createDataFrame(rows, schema).withColumn("gram", F.xxhash64(*gram))
+    table = spark.createDataFrame(rows, schema) \
+        .withColumns({"gram": F.xxhash64(*gram), "proof": F.hash(*gram[::-1])}).drop(*gram)
+    # the table's size is known here: broadcast up to a bound, sort and merge beyond it
+    return F.broadcast(table) if len(rows) <= BROADCAST_RUNS else table.hint("merge")
 
 
 def license_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
@@ -85,16 +92,19 @@ def license_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
         .where(F.col("text").isNotNull())
     words = source.select("id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("words")) \
         .where(F.size("words") >= GRAM)
-    hashes = F.transform(F.sequence(F.lit(0), F.size("words") - GRAM),
-                         lambda i: F.xxhash64(*(F.get(F.col("words"), i + k) for k in range(GRAM))))
-    runs = words.select("id", "text_hash", "words", F.posexplode(hashes).alias("at", "gram"))
-    same = [F.get(F.col("words"), F.col("at") + k) == F.col(f"g{k}") for k in range(GRAM)]
-    votes = runs.join(_grams(documents.sparkSession, phrases, templates), "gram") \
-        .where(same[0] & same[1] & same[2]) \
+    def run(i):
+        own = [F.get(F.col("words"), i + k) for k in range(GRAM)]
+        return F.struct(F.xxhash64(*own).alias("gram"), F.hash(*own[::-1]).alias("proof"))
+
+    # the outer form: the inner one adds filters that compute the whole array again
+    runs = words.select("id", "text_hash", F.posexplode_outer(F.transform(
+        F.sequence(F.lit(0), F.size("words") - GRAM), run)).alias("at", "run")) \
+        .select("id", "text_hash", "at", "run.gram", "run.proof")
+    votes = runs.join(_grams(documents.sparkSession, phrases, templates), ["gram", "proof"]) \
         .select("id", "text_hash", "template", "label", "base", "length", "slack", "place", "at")
     keys = ["id", "text_hash", "template", "label", "base", "length", "slack"]
-    lines = votes.groupBy(*keys, (F.col("at") - F.col("place")).alias("diagonal")) \
-        .agg(F.collect_set("place").alias("places"))
+    lines = stored(votes.groupBy(*keys, (F.col("at") - F.col("place")).alias("diagonal"))
+                   .agg(F.collect_set("place").alias("places")), "votes")
 
     base = lines.where(F.col("base") & (F.size("places") == F.col("length") - GRAM + 1)) \
         .select("id", "text_hash", "template", "label", "base", F.col("diagonal").alias("start"), F.lit(1.0).alias("share"))
