@@ -19,3 +19,9 @@ def split_words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text that isn't null."""
     return let(F.btrim(text, F.lit(BLANKS)), lambda t: F.when(t == "", F.array().cast("array<string>"))
                .otherwise(F.split(t, BLANK + "+")))
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, every other character as it stands."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.translate(text, upper, upper.lower())

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.contamination import contamination
 from tidemark.llm.licenses import licenses
+from tidemark.llm.linededup import line_dedup
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import quality
 
@@ -33,11 +35,17 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup(_table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_license_scans": op2_license_scans,
     "op3_quality_rules": op3_quality_rules,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
 }
 
 ORACLE: dict[str, str] = {}
