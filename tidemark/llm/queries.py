@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from tidemark.llm.licenses import licenses
 from tidemark.llm.linededup import line_dedup
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import quality
+from tidemark.llm.tokenfiles import read_tokens, write_tokens
+from tidemark.session import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,12 +43,19 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "token-files")
+    manifest = write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, folder, manifest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_license_scans": op2_license_scans,
     "op3_quality_rules": op3_quality_rules,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLE: dict[str, str] = {}

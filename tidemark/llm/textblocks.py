@@ -144,4 +144,7 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenation of ``arange(s, s + l)`` over all pairs."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
+    kind = np.int32 if total < 1 << 31 and (not len(starts) or int(starts.max()) < 1 << 31) else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
