@@ -14,6 +14,8 @@ from tidemark.llm.linededup import line_dedup
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import quality
 from tidemark.llm.tokenfiles import read_tokens, write_tokens
+from tidemark.llm.urlfilter import judge_urls
+from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import shared_dir
 
 
@@ -34,6 +36,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents")).drop("lost")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages")).drop("score")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
@@ -49,13 +55,21 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, folder, manifest)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "warc")
+    manifest = write_warc(_table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder, manifest).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_license_scans": op2_license_scans,
     "op3_quality_rules": op3_quality_rules,
+    "op4_url_filters": op4_url_filters,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op9_token_files": op9_token_files,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {}
