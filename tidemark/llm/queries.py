@@ -12,6 +12,7 @@ from tidemark.llm.contamination import contamination
 from tidemark.llm.licenses import licenses
 from tidemark.llm.linededup import line_dedup
 from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality
 from tidemark.llm.tokenfiles import read_tokens, write_tokens
 from tidemark.llm.urlfilter import judge_urls
@@ -49,6 +50,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "token-files")
     manifest = write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
 }
