@@ -15,6 +15,7 @@ from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality
 from tidemark.llm.tokenfiles import read_tokens, write_tokens
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urlfilter import judge_urls
 from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import shared_dir
@@ -54,6 +55,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "token-files")
     manifest = write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
 }
