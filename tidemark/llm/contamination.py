@@ -302,3 +302,20 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 ], names=[f.name for f in schema])
 
     return documents.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
+
+
+def uncontaminated(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                   item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The documents, in all their columns, without a window of any test item."""
+    spark = documents.sparkSession
+    ship_package(spark)
+    shared = [spark.sparkContext.broadcast(p) for p in _phrase_blocks(benchmark, item_col, item_text_col, window)]
+    at = documents.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for part in blocks(batch, at):
+                _, _, found = scan(strings(part.column(at)), [b.value for b in shared])
+                yield part.filter(pa.array([not items for items in found], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -154,13 +154,16 @@ def line_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_repeated_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            chars_col: str | None = "n_chars", min_chars: int = MIN_CHARS,
                            batches: int = BATCHES) -> DataFrame:
-    """The documents, in all their columns, without the lines that another one owns.
-    A text that loses all its lines is empty."""
+    """The documents, in all their columns, without the lines that another one owns;
+    a document that loses all its words to others goes."""
     columns = documents.columns
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row")) \
         .select("_row", F.col("_row")[id_col].alias("id"),
                 F.coalesce(F.col("_row")[text_col].cast("string"), F.lit("")).alias("text"))
-    kept = _joined(rows, min_chars, batches).select("_row", _kept(F.col("text"), F.col("_dropped")).alias("_kept"))
+    left = F.struct(F.col("_dropped").isNull().alias("whole"), _kept(F.col("text"), F.col("_dropped")).alias("text"))
+    some = F.filter(F.array(left), lambda x: x["whole"] | x["text"].rlike(r"[^\x20\x09-\x0D]"))
+    kept = _joined(rows, min_chars, batches).select("_row", F.explode_outer(some).alias("_left")) \
+        .where(F.col("_left").isNotNull()).select("_row", F.col("_left.text").alias("_kept"))
     new = {text_col: F.col("_kept")}
     if chars_col in columns:
         new[chars_col] = F.length("_kept").cast(documents.schema[chars_col].dataType)

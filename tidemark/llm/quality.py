@@ -108,8 +108,10 @@ def cleaned(documents: DataFrame, text_col: str = "text", chars_col: str | None
         .select("_row", inner.alias("_text"), split_words(inner).alias("_words"))
     words, text = F.col("_words"), F.col("_text")
     rows = rows.select("_row", "_text", F.size(words).alias("n_words"), _repeat_words(words).alias("n_repeat_words")) \
-        .where(~base_failed()).select("_row", "_text", kept_text(text).alias("_kept"))
-    rows = rows.where(F.length("_kept") >= (1 - max_lost) * F.length("_text"))
+        .where(~base_failed())
+    # as a generator, so that the filter doesn't compute the kept text once more
+    enough = F.filter(F.array(kept_text(text)), lambda kept: F.length(kept) >= (1 - max_lost) * F.length("_text"))
+    rows = rows.select("_row", F.explode_outer(enough).alias("_kept")).where(F.col("_kept").isNotNull())
     new = {text_col: F.col("_kept")}
     if chars_col in columns:
         new[chars_col] = F.length("_kept").cast(documents.schema[chars_col].dataType)
