@@ -80,8 +80,8 @@ def _measures(words: Column, text: Column) -> dict[str, Column]:
     }
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+def _base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
 
 
 def quality(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -94,9 +94,10 @@ def quality(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     judged = rows.select("id", *(c.alias(k) for k, c in _measures(F.col("words"), F.col("text")).items()),
                          F.when(F.length("text") == 0, F.lit(0.0))
                          .otherwise(1 - F.length(kept_text(F.col("text"))) / F.length("text")).alias("lost"))
+    failed = _base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                         "n_repeat_words", base_failed().alias("base_failed"), "lost",
-                         (~base_failed() & (F.col("lost") <= max_lost)).alias("kept"))
+                         "n_repeat_words", failed.alias("base_failed"), "lost",
+                         (~failed & (F.col("lost") <= max_lost)).alias("kept"))
 
 
 def cleaned(documents: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars",
@@ -104,14 +105,13 @@ def cleaned(documents: DataFrame, text_col: str = "text", chars_col: str | None
     """The documents that the rules keep, without their failing lines, in all their columns."""
     columns = documents.columns
     inner = F.coalesce(F.col("_row")[text_col].cast("string"), F.lit(""))
-    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row")) \
-        .select("_row", inner.alias("_text"), split_words(inner).alias("_words"))
-    words, text = F.col("_words"), F.col("_text")
-    rows = rows.select("_row", "_text", F.size(words).alias("n_words"), _repeat_words(words).alias("n_repeat_words")) \
-        .where(~base_failed())
-    # as a generator, so that the filter doesn't compute the kept text once more
-    enough = F.filter(F.array(kept_text(text)), lambda kept: F.length(kept) >= (1 - max_lost) * F.length("_text"))
-    rows = rows.select("_row", F.explode_outer(enough).alias("_kept")).where(F.col("_kept").isNotNull())
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row")).select("_row", inner.alias("_text"))
+    text = F.col("_text")
+    enough = F.filter(F.array(kept_text(text)), lambda kept: F.length(kept) >= (1 - max_lost) * F.length(text))
+    # bound variables and a generator: a filter would be pushed below and compute each part again and again
+    kept = let(split_words(text), lambda words: F.when(
+        ~_base_failed(F.size(words), _repeat_words(words)), enough))
+    rows = rows.select("_row", F.explode_outer(kept).alias("_kept")).where(F.col("_kept").isNotNull())
     new = {text_col: F.col("_kept")}
     if chars_col in columns:
         new[chars_col] = F.length("_kept").cast(documents.schema[chars_col].dataType)
