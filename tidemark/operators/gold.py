@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_away
-from tidemark.operators.joins import broadcast_if_small
+from tidemark.operators.joins import join_dimension
 
 # Outputs are rounded so that engines agreeing up to summation order agree
 # exactly.  Averages keep 9 decimals: a mean of cent prices is a fraction with
@@ -50,8 +50,10 @@ def vwap(bars: DataFrame, grain: str = "day", symbol: str = "symbol", ts: str =
          price: str = "price", volume: str = "volume") -> DataFrame:
     """Volume-weighted average price; NULL when the period's volume is 0."""
     start = F.date_trunc(grain, F.col(ts)).cast(bars.schema[ts].dataType)
+    # sums in DECIMAL don't depend on the order of addition
+    exact = F.col(price).cast("decimal(18,6)") * F.col(volume).cast("decimal(18,0)")
     return (bars.groupBy(symbol, start.alias("bar_start"))
-            .agg(F.sum(F.col(price) * F.col(volume)).alias("_pv"), F.sum(volume).alias("volume"))
+            .agg(F.sum(exact).cast("double").alias("_pv"), F.sum(volume).alias("volume"))
             .select(symbol, "bar_start", "volume",
                     F.when(F.col("volume") != 0, _rm(F.col("_pv") / F.col("volume"))).alias("vwap")))
 
@@ -144,14 +146,16 @@ def vol_regime(daily: DataFrame, short: int = 3, long: int = 10, symbol: str = "
 
 def cross_rank(daily_ret: DataFrame, group: str = "category", symbol: str = "symbol",
                col: str = "ret", buckets: int = 4) -> DataFrame:
-    """Rank of each symbol's value within its (day, group); groups are
-    bounded by the number of symbols of a group, not by the data volume."""
-    w = Window.partitionBy("trade_date", group).orderBy(F.col(col).desc(), F.col(symbol))
+    """Rank of each symbol's value within its (day, group), equal values
+    with equal ranks; the quartile breaks ties by symbol.  Groups are bounded by
+    the number of symbols of a group, not by the data volume."""
+    w = Window.partitionBy("trade_date", group).orderBy(F.col(col).desc())
+    total = Window.partitionBy("trade_date", group).orderBy(F.col(col).desc(), F.col(symbol))
     base = daily_ret.where(F.col(col).isNotNull())
     return base.select("trade_date", group, symbol, col,
                        F.rank().over(w).alias("rnk"),
                        _r(F.percent_rank().over(w)).alias("pct_rank"),
-                       F.ntile(buckets).over(w).alias("quartile"))
+                       F.ntile(buckets).over(total).alias("quartile"))
 
 
 def top_movers(daily_ret: DataFrame, k: int = 3, symbol: str = "symbol", col: str = "ret") -> DataFrame:
@@ -166,25 +170,30 @@ def top_movers(daily_ret: DataFrame, k: int = 3, symbol: str = "symbol", col: st
 
 # ---------------------------------------------------------- distributions
 
-def dist_features(bars: DataFrame, symbol: str = "symbol", col: str = "price",
-                  exact_distinct: bool = True, median_accuracy: int = 10000) -> DataFrame:
-    """Moments (population skewness / excess kurtosis from central
-    moments), median (lower, bounded-memory quantile sketch) and distinct count
-    (exact: a two-level aggregate over (symbol, value); or HyperLogLog++ with
-    ``exact_distinct=False``, a fixed-size mergeable sketch per symbol)."""
+def dist_features(bars: DataFrame, symbol: str = "symbol", col: str = "price") -> DataFrame:
+    """Moments (population skewness / excess kurtosis from central moments),
+    the lower median and the distinct count, all exact: medians come from the
+    histogram (symbol, value) -> count, which is also the grain of the distinct
+    count."""
     x = F.col(col)
-    distinct = F.count_distinct(x) if exact_distinct else F.approx_count_distinct(x)
-    agg = bars.groupBy(symbol).agg(
+    moments = bars.groupBy(symbol).agg(
         F.count(x).alias("n"), F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_std"),
         F.stddev_pop(x).alias("_sdp"), F.skewness(x).alias("_skew"), F.kurtosis(x).alias("_kurt"),
-        F.min(x).alias("min_value"), F.max(x).alias("max_value"),
-        F.percentile_approx(x, 0.5, median_accuracy).alias("median"),
-        distinct.alias("n_distinct"))
+        F.min(x).alias("min_value"), F.max(x).alias("max_value"))
+    histogram = bars.where(x.isNotNull()).groupBy(symbol, x.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(symbol).orderBy("_value")
+    total = Window.partitionBy(symbol)
+    ranked = histogram.select(symbol, "_value", F.sum("_n").over(order).alias("_upto"),
+                              F.sum("_n").over(total).alias("_all"))
+    middle = ranked.groupBy(F.col(symbol).alias("_symbol")).agg(
+        F.min(F.when(2 * F.col("_upto") >= F.col("_all"), F.col("_value"))).alias("median"),
+        F.count(F.lit(1)).alias("n_distinct"))
+    agg = moments.join(middle, F.col(symbol).eqNullSafe(F.col("_symbol")), "left")
     nz = F.col("_sdp") > 0
     return agg.select(symbol, "n", _rm(F.col("_mean")).alias("mean"), _r(F.col("_std")).alias("stddev"),
                       F.when(nz, _r(F.col("_skew"))).alias("skewness"),
-                      F.when(nz, _r(F.col("_kurt"))).alias("kurtosis"),
-                      "min_value", "max_value", "median", "n_distinct")
+                      F.when(nz, _r(F.col("_kurt"))).alias("kurtosis"), "min_value", "max_value", "median",
+                      F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
 
 
 def market_index(daily_ret: DataFrame, col: str = "ret") -> DataFrame:
@@ -203,17 +212,26 @@ def benchmark_from_symbols(daily_ret: DataFrame, benchmarks: DataFrame, symbol:
 def benchmark_beta(daily_ret: DataFrame, benchmark: DataFrame, symbol: str = "symbol",
                    col: str = "ret", min_days: int = 3) -> DataFrame:
     """Correlation and beta of each symbol to a benchmark series on
-    equal trade dates.  The benchmark has one row per day: its size is bounded
-    by the calendar, so it is broadcast."""
+    equal trade dates; NULL for a symbol with fewer than ``min_days`` of them."""
     j = (daily_ret.where(F.col(col).isNotNull())
-         .join(F.broadcast(benchmark.where(F.col("mkt_ret").isNotNull())), "trade_date"))
+         .join(benchmark.where(F.col("mkt_ret").isNotNull()), "trade_date"))
     agg = j.groupBy(symbol).agg(F.count(F.lit(1)).alias("n_days"),
                                 F.corr(col, "mkt_ret").alias("_corr"),
                                 F.covar_samp(col, "mkt_ret").alias("_cov"),
                                 F.var_samp("mkt_ret").alias("_var"))
-    return (agg.where(F.col("n_days") >= min_days)
-            .select(symbol, "n_days", _r(F.col("_corr")).alias("correlation"),
-                    F.when(F.col("_var") > 0, _r(F.col("_cov") / F.col("_var"))).alias("beta")))
+    enough = F.col("n_days") >= min_days
+    return agg.select(symbol, "n_days", F.when(enough, _r(F.col("_corr"))).alias("correlation"),
+                      F.when(enough & (F.col("_var") > 0), _r(F.col("_cov") / F.col("_var"))).alias("beta"))
+
+
+def against_benchmark(bars: DataFrame, benchmark: DataFrame, symbol: str = "symbol", ts: str = "bar_start",
+                      price: str = "close") -> DataFrame:
+    """J6 at bar level: every bar beside the benchmark's bar at the same ``ts`` (NULL
+    where the benchmark has none) and the ratio of the two prices."""
+    other = benchmark.select(F.col(ts).alias("_ts"), F.col(price).alias("benchmark_price"))
+    joined = bars.select(symbol, ts, price).join(other, F.col(ts) == F.col("_ts"), "left").drop("_ts")
+    return joined.withColumn("ratio", F.when(F.col("benchmark_price") != 0,
+                                             _rm(F.col(price) / F.col("benchmark_price"))))
 
 
 # ------------------------------------------------------------- metrics cube
@@ -233,9 +251,8 @@ def metrics_cube(facts: DataFrame, dims: Sequence[str], value: str) -> DataFrame
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
-    """Facts with dimension attributes; the dimension is broadcast only
-    when its estimated size is under the bound."""
-    return facts.join(broadcast_if_small(dim), on, how)
+    """Facts with dimension attributes."""
+    return join_dimension(facts, dim, on, how)
 
 
 def rollup_bars(bars: DataFrame, grain: str, symbol: str = "symbol", start: str = "bar_start") -> DataFrame:

@@ -1,33 +1,14 @@
-"""Dimension joins with a size-checked broadcast.
+"""Dimension joins.
 
-A side is broadcast only when the optimizer's size estimate for it is below a
-bound; beyond it the planner's shuffle join is used (and AQE may still convert
-to a broadcast from *measured* sizes at runtime).
+No hint: the planner broadcasts a side by its own bound, and AQE again by the
+size it has measured; beyond it the shuffle join with skew splitting is used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer estimate of ``df``'s size (None when unavailable, e.g. Connect)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # noqa: SLF001
-    except Exception:  # noqa: BLE001
-        return None
-    return size if isinstance(size, int) else int(size.toString())  # py4j may convert BigInt
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     """Enrich facts with dimension attributes."""
-    return fact.join(broadcast_if_small(dim, max_bytes), on, how)
+    return fact.join(dim, on, how)

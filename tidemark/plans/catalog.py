@@ -22,6 +22,7 @@ from tidemark.operators import earliest as earliest_op
 from tidemark.operators import gold, intraday, outcomes, planner, worker
 from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
+from tidemark.operators.ordering import with_file_order
 from tidemark.plans import recast as R
 from tidemark.session import shared_dir
 from tidemark.sources import bronze, dimension, landing
@@ -229,6 +230,8 @@ def bronze_keys(spark: SparkSession, d: str) -> DataFrame:
 FIRST_RUN_LAST_DAY = "2024-01-20"
 SECOND_RUN_FIRST_DAY = "2024-01-15"
 SILVER_RERUN = ("1998-03", "1998-05")
+GOLD_RERUN_YEAR = 1997
+BENCHMARK_SYMBOL = 1
 
 
 @register("bronze_rewrite")
@@ -389,7 +392,7 @@ def vol_regime(spark: SparkSession, d: str) -> DataFrame:
 @register("cross_rank")
 def cross_rank(spark: SparkSession, d: str) -> DataFrame:
     ranked = gold.enrich(_daily_ret(spark, d), R.categories(spark, d).select("symbol", "category"),
-                         "symbol", "inner")
+                         "symbol", "left")
     return gold.cross_rank(ranked, "category")
 
 
@@ -421,6 +424,81 @@ def metrics_cube(spark: SparkSession, d: str) -> DataFrame:
     return gold.metrics_cube(e, ["category", "event_type", "nation"], "price")
 
 
+@register("bars_against_benchmark")
+def bars_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly bars beside the bars of the benchmark symbol at the same hour."""
+    hourly = gold.ohlcv(R.bars(spark, d), "hour")
+    return gold.against_benchmark(hourly, hourly.where(F.col("symbol") == BENCHMARK_SYMBOL))
+
+
+@register("dim_csv")
+def dim_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The dimension written as CSV with its columns in another order, found
+    again by their header names, and planned."""
+    path = shared_dir(spark, "dim-csv")
+    R.dimension(spark, d).select("start_date", F.lit("x").alias("note"), "symbol") \
+        .write.option("header", True).option("escape", '"').csv(path)
+    dim = dimension.read_dimension(spark, path)
+    return planner.plan_tasks(dim, *R.TASK_WINDOW, as_of=R.TASK_AS_OF).select("symbol", "month")
+
+
+@register("file_order")
+def file_order(spark: SparkSession, d: str) -> DataFrame:
+    """T4: position of each row of the part table in file order."""
+    return with_file_order(load(spark, d, "part"), "pos").select("p_partkey", "pos")
+
+
+@register("bronze_status")
+def bronze_status(spark: SparkSession, d: str) -> DataFrame:
+    """The status of each key after a save to two targets, and what each target holds."""
+    docs = R.event_docs(spark, d).select("event_id", "body", F.col("event_type").alias("symbol"),
+                                         F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    root = shared_dir(spark, "bronze-status")
+    targets = {"local": f"{root}/local", "s3": f"{root}/s3"}
+    out = bronze.save_bronze(docs, targets, ("symbol", "day")).select("symbol", "day", "ok")
+    for name, path in targets.items():
+        held = bronze.read_bronze(spark, path).groupBy("symbol", "day").agg(F.count("*").alias(f"n_{name}"))
+        out = out.join(held, ["symbol", "day"], "left")
+    return out
+
+
+@register("monthly_snapshots")
+def monthly_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Two appends under ``symbol=``; how many snapshots each symbol has, and the newest."""
+    e = load(spark, d, "events").select(F.col("event_type").alias("symbol"), "event_id", "value",
+                                        F.col("ts").alias("ingested_at"))
+    path = shared_dir(spark, "monthly-snapshots")
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        bronze.append_snapshots(e.where(part), path, "symbol")
+    snaps = bronze.read_bronze(spark, path)
+    newest = silver_op.dedup_latest(snaps, ["symbol"], ["ingested_at", "event_id"])
+    counts = snaps.groupBy("symbol").agg(F.count("*").alias("n_snapshots"))
+    return newest.join(counts, "symbol").select("symbol", "n_snapshots", F.col("event_id").alias("latest_event_id"),
+                                                F.col("value").alias("latest_value"))
+
+
+@register("dedup_reingested")
+def dedup_reingested(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and their re-ingested form (returned lines, a later run) in one union,
+    the later run wins."""
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag") \
+        .distinct()
+    again = li.where(F.col("l_returnflag") == "R").withColumn("l_quantity", -F.col("l_quantity"))
+    both = silver_op.union_reingested(li.withColumn("run", F.lit(1)), again.withColumn("run", F.lit(2)))
+    return silver_op.dedup_latest(both, ["l_orderkey", "l_linenumber"], ["run", "l_quantity", "l_returnflag"])
+
+
+@register("gold_rewrite")
+def gold_rewrite(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly order totals per customer written as Gold, one year written again."""
+    o = load(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("symbol"),
+                                         F.col("o_orderdate").alias("ts")).agg(F.count("*").alias("n_orders"))
+    path = shared_dir(spark, "gold")
+    silver_sink.write_gold(o.withColumn("run", F.lit(1)), path, "ts")
+    silver_sink.write_gold(o.where(F.year("ts") == GOLD_RERUN_YEAR).withColumn("run", F.lit(2)), path, "ts")
+    return spark.read.parquet(path).select("symbol", "ts", "n_orders", "run")
+
+
 # ---------------------------------------------------------------- streaming
 
 STREAM_DELAY = "1 hour"

@@ -401,7 +401,8 @@ ORACLE["ohlcv_daily"] = _ohlcv("day")
 ORACLE["vwap_daily"] = f"""
 WITH {_BARS}
 SELECT symbol, date_trunc('day', ts) AS bar_start, CAST(sum(volume) AS BIGINT) AS volume,
-  CASE WHEN sum(volume) <> 0 THEN round(sum(price * volume) / sum(volume), 9) END AS vwap
+  CASE WHEN sum(volume) <> 0 THEN
+    round(CAST(sum(CAST(price AS DECIMAL(18,6)) * CAST(volume AS DECIMAL(18,0))) AS DOUBLE) / sum(volume), 9) END AS vwap
 FROM bars GROUP BY symbol, date_trunc('day', ts)
 """
 
@@ -473,13 +474,13 @@ FROM c
 ORACLE["cross_rank"] = f"""
 WITH {_BARS},
 c AS (
-  SELECT r.*, cu.c_mktsegment AS category FROM ret r JOIN customer cu ON cu.c_custkey = r.symbol
+  SELECT r.*, cu.c_mktsegment AS category FROM ret r LEFT JOIN customer cu ON cu.c_custkey = r.symbol
   WHERE r.ret IS NOT NULL)
 SELECT trade_date, category, symbol, ret,
   CAST(rank() OVER w AS INTEGER) AS rnk, round(percent_rank() OVER w, 6) AS pct_rank,
-  CAST(ntile(4) OVER w AS INTEGER) AS quartile
+  CAST(ntile(4) OVER (PARTITION BY trade_date, category ORDER BY ret DESC, symbol) AS INTEGER) AS quartile
 FROM c
-WINDOW w AS (PARTITION BY trade_date, category ORDER BY ret DESC, symbol)
+WINDOW w AS (PARTITION BY trade_date, category ORDER BY ret DESC)
 """
 
 ORACLE["top_movers"] = f"""
@@ -519,8 +520,9 @@ a AS (
   SELECT symbol, count(*) AS n_days, corr(ret, mkt_ret) AS co, covar_samp(ret, mkt_ret) AS cv,
     var_samp(mkt_ret) AS va
   FROM j GROUP BY symbol)
-SELECT symbol, n_days, round(co, 6) AS correlation, CASE WHEN va > 0 THEN round(cv / va, 6) END AS beta
-FROM a WHERE n_days >= 3
+SELECT symbol, n_days, CASE WHEN n_days >= 3 THEN round(co, 6) END AS correlation,
+  CASE WHEN n_days >= 3 AND va > 0 THEN round(cv / va, 6) END AS beta
+FROM a
 """
 
 ORACLE["enriched_bars"] = f"""
@@ -796,3 +798,41 @@ SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d') AS day, arg_max(ts, event_
   arg_max(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), event_id) AS volume
 FROM events GROUP BY event_type, strftime(ts, '%Y-%m-%d')
 """
+
+ORACLE["dim_csv"] = ORACLE["plan_tasks"]
+
+ORACLE["file_order"] = "SELECT p_partkey, row_number() OVER () - 1 AS pos FROM part"
+
+ORACLE["bronze_status"] = """
+SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d') AS day, true AS ok, count(*) AS n_local, count(*) AS n_s3
+FROM events GROUP BY 1, 2
+"""
+
+ORACLE["monthly_snapshots"] = """
+SELECT event_type AS symbol, count(*) AS n_snapshots, arg_max(event_id, (ts, event_id)) AS latest_event_id,
+  arg_max(value, (ts, event_id)) AS latest_value
+FROM events GROUP BY event_type
+"""
+
+ORACLE["dedup_reingested"] = """
+WITH li AS (SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem),
+u AS (
+  SELECT *, 1 AS run FROM li
+  UNION ALL SELECT l_orderkey, l_linenumber, -l_quantity, l_returnflag, 2 FROM li WHERE l_returnflag = 'R')
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY run DESC, l_quantity DESC, l_returnflag DESC) AS rn FROM u) WHERE rn = 1
+"""
+
+ORACLE["gold_rewrite"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS symbol, o_orderdate AS ts, count(*) AS n_orders,
+  CASE WHEN year(o_orderdate) = 1997 THEN 2 ELSE 1 END AS run
+FROM orders GROUP BY o_custkey, o_orderdate
+"""
+
+ORACLE["bars_against_benchmark"] = f"""
+WITH h AS ({ORACLE["ohlcv_hourly"]})
+SELECT h.symbol, h.bar_start, h.close, b.close AS benchmark_price,
+  CASE WHEN b.close <> 0 THEN round(h.close / b.close, 9) END AS ratio
+FROM h LEFT JOIN h b ON b.symbol = 1 AND b.bar_start = h.bar_start
+"""

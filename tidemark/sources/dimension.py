@@ -1,7 +1,8 @@
 """Symbol dimension reader.
 
-The file is a header CSV with doubled quotes inside quoted fields; every
-column is read as text (no inference: ``yyyy-MM`` would become a timestamp)
+The file is a header CSV with doubled quotes inside quoted fields.  Columns are
+found by their header names, in whatever order and whatever others there are;
+every column is read as text (no inference: ``yyyy-MM`` would become a timestamp)
 and then projected to types.
 """
 
@@ -23,10 +24,11 @@ TAG_COLUMNS = ("bubble_history", "narrative_exposure", "shock_history")
 REQUIRED = ("symbol", "start_date")
 
 
-def read_dimension_text(spark: SparkSession, path: str, columns: Sequence[str] = DIM_COLUMNS) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("multiLine", False).option("mode", "PERMISSIVE").csv(path))
+def read_dimension_text(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of the header as text; files whose headers differ are refused
+    by the reader (``enforceSchema`` off checks every file against the first)."""
+    return (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+            .option("escape", '"').option("multiLine", False).option("mode", "PERMISSIVE").csv(path))
 
 
 def check_required(df: DataFrame, required: Sequence[str] = REQUIRED) -> None:
