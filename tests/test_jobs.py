@@ -13,7 +13,7 @@ from tidemark.sources.tables import load
 
 @pytest.fixture(scope="module")
 def dim_uri(spark, smoke_dir):
-    cust = load(spark, smoke_dir, "customer", spread=False).orderBy("c_custkey")
+    cust = load(spark, smoke_dir, "customer").orderBy("c_custkey")
     dim = cust.select(F.col("c_name").alias("symbol"), F.col("c_name").alias("name"),
                       *[F.lit("x").alias(c) for c in ("asset_type", "market", "category", "risk_group",
                                                      "liquidity_class", "systemic_role", "narrative_role")],

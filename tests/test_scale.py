@@ -137,19 +137,16 @@ def test_exact_sessions_equal_session_window(spark):
     assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, builtin.collect()))
 
 
-def test_size_estimate_drives_broadcast_and_spread(spark, smoke_dir):
+def test_scans_and_dimension_joins_carry_no_hint(spark, smoke_dir):
     from pyspark.sql import functions as F
 
-    from tidemark.operators.joins import broadcast_if_small, estimated_bytes
-    from tidemark.sources.tables import load, table_path
-    part = spark.read.parquet(table_path(smoke_dir, "part"))
-    size = estimated_bytes(part)
-    assert isinstance(size, int) and 0 < size < 1 << 20
-    plan = (spark.range(10).join(broadcast_if_small(part), F.col("id") == F.col("p_partkey"))
-            ._jdf.queryExecution().executedPlan().toString())
-    assert "BroadcastHashJoin" in plan
-    assert "RoundRobinPartitioning" not in load(spark, smoke_dir, "part")._jdf.queryExecution() \
-        .executedPlan().toString()  # tiny tables are not spread
+    from tidemark.operators.joins import join_dimension
+    from tidemark.sources.tables import load
+    part = load(spark, smoke_dir, "part")
+    joined = join_dimension(spark.range(10).withColumn("p_partkey", F.col("id")), part, "p_partkey")
+    for df in (part, joined):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionBy" not in plan and "Repartition " not in plan and "strategy=" not in plan
 
 
 def test_bucketed_windows_with_repeated_timestamps(spark):
