@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import silver
 from tidemark.session import shared_dir
+import pytest
 from tidemark.sources import bronze, dimension
 from tidemark.sources import silver as silver_sink
 from tidemark.sources.tables import load
@@ -120,6 +121,59 @@ def test_dimension_csv_with_doubled_quotes(spark, smoke_dir):
     assert tags.count() == 2 * cust.count()
 
 
+def test_dimension_columns_are_found_by_name(spark):
+    path = shared_dir(spark, "t-dim-names")
+    rows = spark.createDataFrame([("2001-01", "x", "007"), ("2020-05", "y", "B")], "start_date string, other string, symbol string")
+    rows.coalesce(1).write.option("header", True).csv(path)
+    back = dimension.read_dimension(spark, path)
+    assert sorted((r.symbol, str(r.first_month), r.other) for r in back.collect()) == \
+        [("007", "2001-01-01", "x"), ("B", "2020-05-01", "y")]
+    path = shared_dir(spark, "t-dim-short")
+    rows.select("symbol", "other").coalesce(1).write.option("header", True).csv(path)
+    with pytest.raises(ValueError, match="start_date"):
+        dimension.read_dimension(spark, path)
+
+
+def test_rewrite_in_another_time_zone_keeps_other_years(spark):
+    from datetime import datetime, timedelta
+
+    from tidemark.sources import silver as sink
+    start = datetime(2024, 12, 31, 12)
+    stamps = [start + timedelta(hours=3 * k) for k in range(14)]  # UTC; New York's year begins five hours later
+    raw = spark.createDataFrame([("A", t, k) for k, t in enumerate(stamps)], "symbol string, ts timestamp, k int")
+
+    def local(df):
+        day = F.to_date(F.from_utc_timestamp("ts", "America/New_York"))
+        return df.withColumn("trade_date", day).withColumn("year", F.year(day))
+
+    for layout in ("year", "month"):
+        path = shared_dir(spark, "t-zone")
+        if layout == "year":
+            sink.write_yearly(local(raw), path)
+            sink.rewrite_years(raw, local, path, years=[2025])
+        else:
+            sink.write_monthly(local(raw).withColumn("month", F.date_format("trade_date", "yyyy-MM")), path)
+            sink.rewrite_months(raw, local, path, ["2025-01"])
+        assert sorted(r.k for r in spark.read.parquet(path).collect()) == list(range(14)), layout
+
+
+def test_silver_files_are_sorted(spark, smoke_dir):
+    import pyarrow.parquet as pq
+
+    from tidemark.sources import silver as sink
+    li = load(spark, smoke_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("symbol"),
+                                                   F.col("l_shipdate").alias("ts"))
+    path = shared_dir(spark, "t-sorted")
+    sink.write_yearly(li, path)
+    import glob
+    files = glob.glob(path.removeprefix("file:") + "/year=*/*.parquet")
+    assert files
+    for name in files:
+        rows = pq.ParquetFile(name).read().to_pydict()
+        keys = list(zip(rows["symbol"], rows["ts"]))
+        assert keys == sorted(keys), name
+
+
 def test_normalize_in_exchange_time_zone(spark):
     doc = ('{"Time Series (1min)": {"2025-01-02 19:30:00": {"1. open": "1", "2. high": "1", "3. low": "1", '
            '"4. close": "1", "5. volume": "1"}}}')
