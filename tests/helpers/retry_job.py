@@ -37,8 +37,7 @@ write_bronze(docs, path)
 back = read_bronze(spark, path)
 ids = [r.event_id for r in back.select("event_id").collect()]
 
-idx = with_row_index(events.select("event_id", flaky(F.col("event_id")).alias("k")), ["event_id"], "i",
-                     rows_per_bucket=100)
+idx = with_row_index(events.select("event_id", flaky(F.col("event_id")).alias("k")), ["event_id"], "i")
 positions = sorted(r.i for r in idx.collect())
 print(json.dumps({"n": events.count(), "landed": len(ids), "distinct": len(set(ids)),
                   "dense": positions == list(range(len(positions)))}))

@@ -86,7 +86,7 @@ def test_chunks(spark):
 def test_row_index_is_dense_over_many_partitions(spark):
     from tidemark.operators.ordering import with_row_index
     df = spark.range(0, 5000).withColumn("k", (F.col("id") * 7919) % 5003).repartition(13)
-    idx = with_row_index(df, ["k"], "i", rows_per_bucket=400).collect()
+    idx = with_row_index(df, ["k"], "i").collect()
     pairs = sorted((r.k, r.i) for r in idx)
     assert [i for _, i in pairs] == list(range(5000))
 
@@ -97,10 +97,3 @@ def test_subset_then_limit(spark):
     out = planner.subset_limit(dim, subset, ["pos"], 2)
     assert [r.symbol for r in out.collect()] == ["B", "D"]
     assert planner.subset_limit(dim, None, ["pos"], 0).count() == 0
-
-
-def test_row_index_buckets_are_balanced(spark):
-    from tidemark.operators.ordering import _bucket_expr
-    df = spark.range(0, 20000).withColumn("k", (F.col("id") * 7919) % 20011)
-    sizes = [r["count"] for r in df.withColumn("b", _bucket_expr(df, ["k"], 1000)).groupBy("b").count().collect()]
-    assert len(sizes) >= 15 and max(sizes) < 3 * 1000

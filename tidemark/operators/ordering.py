@@ -1,79 +1,46 @@
-"""Exact dense row positions without a global window (used by O3 / T1 / T4).
+"""Exact dense row positions without a global window over rows (used by O3 / T1 / T4).
 
-``row_number() OVER (ORDER BY k)`` without a partition moves every row into
-one task.  Instead:
-
-1. boundaries are taken from a bounded, seeded sample of the order key
-   (at most ``MAX_BOUNDS`` values reach the driver);
-2. each row gets the bucket of its key (count of boundaries <= key): a
-   deterministic expression, so a recomputed task lands rows in the same
-   bucket (range-partition sampling is seeded per RDD and may differ between
-   two executions of the same plan);
-3. ``row_number`` inside each bucket (a partitioned window, buckets of about
-   ``rows_per_bucket`` rows) plus the bucket's offset — the running sum over
-   the bucket-count table, one row per bucket, broadcast back.
+``row_number() OVER (ORDER BY k)`` without a partition moves every row into one
+task.  Instead the rows are range-partitioned and sorted, and written once below
+the shared folder, which freezes their order: file k of the copy holds the k-th
+range.  A row's position is then its index in its file (the scan's own metadata)
+plus the rows of all files before, a running sum over one row per file.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BOUNDS = 4096  # at most 2 x 4097 x 32 sampled keys reach the driver
-SAMPLES_PER_BUCKET = 32
+from tidemark.session import shared_dir
 
 
-def _bucket_expr(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int):
-    n = df.count()
-    n_buckets = min(MAX_BOUNDS + 1, max(1, math.ceil(n / rows_per_bucket)))
-    if n_buckets == 1:
-        return None
-    key = F.struct(*[F.col(c) for c in order_by])
-    fraction = min(1.0, n_buckets * SAMPLES_PER_BUCKET / max(n, 1))
-    # at most 2x the expected sample reaches the driver; boundaries sit at
-    # evenly spaced positions of the whole (sorted) sample
-    sample = (df.select(key.alias("k")).sample(False, fraction, seed=17)
-              .orderBy("k").limit(2 * n_buckets * SAMPLES_PER_BUCKET).collect())
-    picks = sorted({int(i * len(sample) / n_buckets) for i in range(1, n_buckets)})
-    bounds = [sample[p].k for p in picks if 0 < p < len(sample)]
-    if not bounds:
-        return None
-    arr = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(b, order_by)]) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= key))
+def _positions(scan: DataFrame, index_col: str, file_order: Column) -> DataFrame:
+    keyed = scan.withColumn("_file", F.col("_metadata.file_path")).withColumn("_row", F.col("_metadata.row_index"))
+    sizes = keyed.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    before = Window.orderBy(file_order, "_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (keyed.join(offsets, "_file")
+            .withColumn(index_col, (F.col("_offset") + F.col("_row")).cast("bigint"))
+            .drop("_file", "_row", "_offset"))
 
 
-def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_idx",
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_idx") -> DataFrame:
     """Add ``index_col`` = 0-based position of each row in ``order_by`` order.
 
     ``order_by`` must be a total order (append tie-breakers if the key repeats).
     """
+    spark = df.sparkSession
     cols = [F.col(c) for c in order_by]
-    bucket = _bucket_expr(df, order_by, rows_per_bucket)
-    if bucket is None:  # fits one bucket (<= rows_per_bucket rows): no offsets needed
-        pos = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*cols)) - 1
-        return df.withColumn(index_col, pos.cast("bigint"))
-    bucketed = df.withColumn("_bucket", bucket)
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_bucket",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_bucket")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_offset"))
-    pos = F.row_number().over(Window.partitionBy("_bucket").orderBy(*cols)) - 1
-    # one row per bucket (<= MAX_BOUNDS + 1): a proven bound, safe to broadcast
-    return (bucketed.join(F.broadcast(offsets), "_bucket")
-            .withColumn(index_col, (F.col("_offset") + pos).cast("bigint"))
-            .drop("_bucket", "_offset"))
+    path = shared_dir(spark, "ordered")
+    df.repartitionByRange(*cols).sortWithinPartitions(*cols).write.parquet(path)
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("bigint")
+    return _positions(spark.read.schema(df.schema).parquet(path), index_col, number)
 
 
 def with_file_order(df: DataFrame, index_col: str = "file_idx") -> DataFrame:
-    """Position in file order for a fresh Parquet scan (T4): the order key is
-    (file path, row index within the file)."""
-    keyed = (df.withColumn("_file", F.col("_metadata.file_path"))
-             .withColumn("_row", F.col("_metadata.row_index")))
-    return with_row_index(keyed, ["_file", "_row"], index_col).drop("_file", "_row")
+    """Position in file order (T4) for a Parquet scan that nothing has been filtered
+    from: files by path, rows by their index within the file."""
+    return _positions(df, index_col, F.col("_file"))
