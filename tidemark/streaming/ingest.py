@@ -17,6 +17,7 @@ shared checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +35,19 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 def table_stream(spark: SparkSession, data_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """A given table as a stream over its folder (one table picked by glob)."""
-    schema = spark.read.parquet(table_path(data_dir, name)).schema
-    reader = (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet"))
+    """A given table as a stream: over its own folder, or, where the table is a
+    single file (which Spark does not stream), over the data folder with a glob.
+    A table without files is an error, not an empty stream."""
+    path = table_path(data_dir, name)
+    table = spark.read.parquet(path)
+    files = table.inputFiles()
+    if not files:
+        raise ValueError(f"{path} holds no files to stream")
+    reader = spark.readStream.schema(table.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(data_dir)
+    single = len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(data_dir) if single else reader.parquet(path)
 
 
 def event_time(df: DataFrame, col: str = "ts", out: str = "event_ts") -> DataFrame:
@@ -139,12 +147,18 @@ def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame]
     def step(batch: DataFrame, batch_id: int) -> None:
         docs = to_docs(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         write_partitioned(docs, f"{root}/bronze", [day_col, "batch_id"])
-        # distinct periods of one micro-batch: a handful of values
-        touched = [r[0] for r in batch.select(F.date_format(ts_col, fmt)).distinct().collect()
+        # distinct periods of one micro-batch: a handful of values.  The Silver rows tell the
+        # period: in another time zone it can differ from that of the batch's own stamps.
+        silver = to_silver(docs)
+        day = "trade_date" if "trade_date" in silver.columns else ts_col
+        touched = [r[0] for r in silver.select(F.date_format(day, fmt)).distinct().collect()
                    if r[0] is not None]
-        # filter on the partition column: only the touched periods' folders are read
-        landed = (spark.read.parquet(f"{root}/bronze")
-                  .where(F.substring(F.col(day_col), 1, width).isin(touched)))
+        # filter on the partition column: only the folders of the touched periods, and of
+        # the days beside them (time zones), are read
+        bronze = spark.read.parquet(f"{root}/bronze")
+        landed = bronze.where(reduce(lambda a, b: a | b, [
+            F.substring(F.date_format(F.date_add(F.to_date(day_col), shift), "yyyy-MM-dd"), 1, width).isin(touched)
+            for shift in (-1, 0, 1)])) if touched else bronze.limit(0)
         if period == "year":
             rewrite_years(to_silver(landed), lambda d: d, f"{root}/silver",
                           years=[int(y) for y in touched], ts_col=ts_col)
