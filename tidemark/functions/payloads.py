@@ -1,9 +1,10 @@
 """Vendor payload checks on raw body text.
 
 Validity is tested with ``try_parse_json`` (strict JSON: single quotes, NaN
-and repeated keys refused); a body that has text after the top-level object
-is caught by requiring the stripped body to end with ``}`` or ``]``.  Key
-presence is key presence: ``{"Note": null}`` has the key ``Note``.
+and repeated keys refused).  The parser stops after the first value, so the body
+is parsed as a member of an object with a second member behind it: text after
+the value breaks that object or gives it other keys.  Key presence is key
+presence: ``{"Note": null}`` has the key ``Note``.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ JSON_CONTENT_TYPE = "application/json"
 def json_kind(body) -> Column:
     """'object' / 'array' / 'scalar' for valid JSON, NULL for invalid text."""
     b = col_of(body)
-    schema = F.schema_of_variant(F.try_parse_json(b))
-    tail = F.substring(strip(b), -1, 1)
-    return (F.when(schema.isNull(), F.lit(None))
-            .when(schema.startswith("OBJECT"), F.when(tail == "}", F.lit("object")))
-            .when(schema.startswith("ARRAY"), F.when(tail == "]", F.lit("array")))
+    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), b, F.lit(',"end":0}')))
+    schema = F.schema_of_variant(wrapped)  # keys are sorted in it
+    inner = F.regexp_extract(schema, r"^OBJECT<end: BIGINT, v: (\w+)", 1)
+    keys = F.json_object_keys(F.concat(F.lit('{"v":'), b, F.lit(',"end":0}')))
+    whole = (F.try_variant_get(wrapped, "$.end", "int") == 0) & (F.size(keys) == 2)
+    return (F.when(schema.isNull() | ~F.coalesce(whole, F.lit(False)), F.lit(None))
+            .when(inner == "OBJECT", F.lit("object")).when(inner == "ARRAY", F.lit("array"))
             .otherwise(F.lit("scalar")))
 
 
