@@ -37,7 +37,7 @@ def main(argv=None) -> None:
         event = json.load(fh)
     spark = get_session()
     if args.cmd == "plan":
-        plan_job(spark, event).coalesce(1).write.mode("overwrite").json(args.out)
+        plan_job(spark, event).write.mode("overwrite").json(args.out)
     else:
         attempts = spark.read.parquet(args.attempts)
         run = worker_job(spark, event, attempts, bronze_path=args.bronze, as_of=args.as_of)

@@ -10,12 +10,9 @@ from tidemark.functions.months import col_of
 # The Bronze layout below the prefix, and the raw file name.
 BRONZE_SOURCE = "alpha_vantage"
 INTRADAY_DATASET = "intraday_1min"
-SEARCH_DATASET = "symbol_search"
-MONTHLY_DATASET = "monthly_adjusted"
 RAW_FILE = "raw.json"
 URI_PATTERN = r"^s3://([^/]*)/(.*)$"
 # Diagnostic clips of a response body.
-CLIP_SHORT = 200
 CLIP_LONG = 300
 
 
