@@ -24,9 +24,9 @@ from tidemark.llm.native import BLANK, let, split_words
 SYMBOLS = r"[#*$%&|<>]"
 SENTENCE_MARKS = r"[.!?:;…。！？]"
 SEPARATORS = r"[|»›·•]"
-BOILERPLATE = (r"(?i)\b(all rights reserved|cookie policy|privacy policy|terms of (use|service)|accept cookies|"
-               r"click here|sign (up|in)|log ?in|subscribe|read more|skip to content|enable javascript|"
-               r"share (this|on)|lorem ipsum)\b")
+BOILERPLATE = (r"(?i)(^|[^a-z0-9])(all rights reserved|cookie policy|privacy policy|terms of (use|service)|"
+               r"accept cookies|click here|sign (up|in)|log ?in|subscribe|read more|skip to content|"
+               r"enable javascript|share (this|on)|lorem ipsum)($|[^a-z0-9])")
 BOILERPLATE_WORDS = 12
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT, MAX_LOST = 10, 20, 0.5

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.contamination import contamination
+from tidemark.llm import quality as quality_rules
+from tidemark.llm.contamination import WINDOW, contamination
 from tidemark.llm.licenses import licenses
 from tidemark.llm.linededup import line_dedup
 from tidemark.llm.neardup import near_duplicates
@@ -84,4 +85,102 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+places AS (
+  SELECT item, w, least(len(w), {WINDOW}) AS k, unnest(generate_series(1, greatest(len(w) - {WINDOW} + 1, 1))) AS i
+  FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM places),
+sizes AS (SELECT DISTINCT k FROM win),
+runs AS (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, sizes),
+hits AS (
+  SELECT r.doc_id, r.i, r.k, win.item FROM runs r JOIN win ON win.k = r.k AND win.g = array_to_string(r.w[r.i:r.i + r.k - 1], ' ')),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hits)
+  GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_FAILS = rf"""(
+  len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) > 0 AND (
+  4 * len(regexp_extract_all(l, '{quality_rules.SYMBOLS}')) > len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
+  OR 2 * len(regexp_extract_all(l, '!')) >= len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
+  OR (len(regexp_extract_all(l, '{quality_rules.SEPARATORS}')) >= 2 AND len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
+      < 4 * (len(regexp_extract_all(l, '{quality_rules.SEPARATORS}')) + 1))
+  OR (len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) <= {quality_rules.BOILERPLATE_WORDS}
+      AND regexp_matches(l, '{quality_rules.BOILERPLATE}'))
+  OR (len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 4
+      AND NOT regexp_matches(l, '{quality_rules.SENTENCE_MARKS}'))))"""
+
+ORACLE["op3_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)),
+again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(generate_series(i, i + 4)) AS p FROM again WHERE n > 1) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '{quality_rules.SYMBOLS}')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS filled,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, length(t) AS chars,
+    length(array_to_string(list_filter(string_split(t, chr(10)), lambda l: NOT {_FAILS}), chr(10))) AS kept_chars
+  FROM d LEFT JOIN repeats USING (doc_id)),
+f AS (SELECT *, n_words < {quality_rules.MIN_WORDS}
+  OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(filled) - len(list_distinct(filled)) AS BIGINT) AS n_dup_lines,
+  n_repeat_words, base_failed,
+  NOT base_failed AND CASE WHEN chars = 0 THEN 0 ELSE 1 - kept_chars / chars END <= {quality_rules.MAX_LOST} AS kept
+FROM f
+"""
+
+ORACLE["op5_minhash_near_dedup"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n_shingles + y.n_shingles - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, r) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT e.b, reach.r FROM reach JOIN both_ways e ON e.a = reach.node),
+c AS (SELECT node AS doc_id, min(r) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE["op6_line_dedup"] = f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS place FROM documents),
+k AS (SELECT *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+o AS (SELECT *, min(doc_id) OVER (PARTITION BY key) < doc_id AND length(key) >= 10 AS dropped FROM k)
+SELECT doc_id, count(*) AS n_lines, count_if(dropped) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN NOT dropped THEN line END, chr(10) ORDER BY place), '')) AS kept_sha256
+FROM o GROUP BY doc_id
+"""
+
+ORACLE["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+o AS (SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS owner FROM p)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM o
+"""
