@@ -182,3 +182,24 @@ def test_choose_bucket_follows_density(spark):
                                    "symbol string, ts timestamp")      # ~3.4 rows a day
     assert intraday.choose_bucket(dense, "symbol", "ts", 5) == "hour"
     assert intraday.choose_bucket(sparse, "symbol", "ts", 5) == "month"
+
+
+def test_bucketed_windows_keep_null_keys(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import intraday
+    rnd = random.Random(43)
+    rows = [(rnd.choice(["A", "B", None]), datetime(2025, 1, 1) + timedelta(minutes=k) if rnd.random() < 0.95 else None,
+             k, float(rnd.randrange(1, 99))) for k in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp, event_id int, price double")
+    w = Window.partitionBy("symbol").orderBy("ts", "event_id")
+    bucket = F.date_trunc("hour", "ts")
+    got = intraday.returns(df, "symbol", "ts", "price", bucket, "event_id").select("event_id", "ret").collect()
+    plain = df.withColumn("p", F.lag("price").over(w)).select("event_id", F.round(F.col("price") / F.col("p") - 1, 6))
+    key = lambda r: r[0]
+    assert [(r[0], None if r[1] is None else round(r[1], 5)) for r in sorted(got, key=key)] == \
+        [(r[0], None if r[1] is None else round(r[1], 5)) for r in sorted(plain.collect(), key=key)]
+    peak = {r.event_id: r.running_peak for r in intraday.drawdown(df, "symbol", "ts", "price", bucket, "event_id").collect()}
+    full = w.rowsBetween(Window.unboundedPreceding, 0)
+    assert peak == {r.event_id: r.m for r in df.withColumn("m", F.max("price").over(full)).collect()}

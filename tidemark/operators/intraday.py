@@ -7,10 +7,10 @@ given a *halo* — copies of the rows that precede it and fall inside the frame
 — so every frame is complete, and halo rows are dropped after the window.
 
 * rows frame of ``n`` bars: the halo of bucket ``i`` is the last ``n - 1`` rows
-  before it.  Each bucket contributes its last ``n - 1`` rows ("tail"); a tail
-  row is offered to the next ``n - 1`` non-empty buckets (every non-empty bucket
-  holds at least one row, so that reaches far enough) and each bucket keeps the
-  latest ``n - 1`` offers.  Extra rows: at most ``(n - 1)^2`` per bucket.
+  before it.  Each bucket's last ``n - 1`` rows are gathered into an array, a
+  window over this small table (one row per bucket) hands each bucket the arrays
+  before it, and their last ``n - 1`` rows are added to the bucket: two scans,
+  no join, and rows with a NULL symbol or time stay (a NULL time sorts first).
 * time-span frame: with buckets at least as long as the span, the halo of a
   bucket is the rows of the preceding bucket within ``span`` of its start.
 
@@ -52,20 +52,19 @@ def with_row_halo(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column,
     base = df.withColumn("_b", bucket)
     if n <= 1:
         return base.withColumn("_halo", F.lit(False))
-    # bucket positions per symbol: one row per (symbol, bucket), bounded by the calendar
-    pos = (base.select(symbol, "_b").distinct()
-           .withColumn("_bi", F.row_number().over(Window.partitionBy(symbol).orderBy("_b"))))
-    based = base.join(pos, [symbol, "_b"])
-    tail = (based.withColumn("_rd", F.row_number().over(Window.partitionBy(symbol, "_b")
-                                                        .orderBy(*_order(ts, tiebreak, True))))
-            .where(F.col("_rd") <= n - 1).drop("_rd"))
-    offers = (tail.withColumn("_h", F.explode(F.sequence(F.lit(1), F.lit(n - 1))))
-              .withColumn("_bi", F.col("_bi") + F.col("_h")).drop("_h", "_b")
-              .withColumn("_rk", F.row_number().over(Window.partitionBy(symbol, "_bi")
-                                                     .orderBy(*_order(ts, tiebreak, True))))
-              .where(F.col("_rk") <= n - 1).drop("_rk"))
-    halo = offers.join(pos, [symbol, "_bi"]).withColumn("_halo", F.lit(True))
-    return based.withColumn("_halo", F.lit(False)).unionByName(halo).drop("_bi")
+    # each bucket's last rows as one bounded array (the row limit is taken before the shuffle)
+    latest = Window.partitionBy(symbol, "_b").orderBy(*_order(ts, tiebreak, True))
+    tails = (base.withColumn("_rd", F.row_number().over(latest)).where(F.col("_rd") <= n - 1)
+             .groupBy(symbol, "_b")
+             .agg(F.sort_array(F.collect_list(F.struct((-F.col("_rd")).alias("k"), F.struct(*df.columns).alias("r"))))
+                  .alias("_tail")))
+    # the rows before a bucket: every bucket holds one at least, so n - 1 buckets reach far enough
+    before = Window.partitionBy(symbol).orderBy("_b").rowsBetween(-(n - 1), -1)
+    reach = F.flatten(F.collect_list("_tail").over(before))
+    halo = (tails.select("_b", reach.alias("_reach"))
+            .select("_b", F.explode(F.slice("_reach", F.greatest(F.size("_reach") - n + 2, F.lit(1)), n - 1)).alias("_x"))
+            .select(*[F.col("_x.r")[c].alias(c) for c in df.columns], "_b", F.lit(True).alias("_halo")))
+    return base.withColumn("_halo", F.lit(False)).unionByName(halo)
 
 
 def over_last_rows(df: DataFrame, n: int, symbol: str, ts: str, bucket: Column,
@@ -135,7 +134,9 @@ def running(df: DataFrame, symbol: str, ts: str, value: str, bucket: Column, how
         combined = F.least(F.col("_prior"), F.col("_in"))
     else:
         combined = F.coalesce(F.col("_prior"), F.lit(0)) + F.col("_in")
-    return (base.withColumn("_in", inside).join(prior, [symbol, "_b"])
+    prior = prior.withColumnsRenamed({symbol: "_symbol", "_b": "_bucket"})
+    same = F.col(symbol).eqNullSafe(F.col("_symbol")) & F.col("_b").eqNullSafe(F.col("_bucket"))
+    return (base.withColumn("_in", inside).join(prior, same, "left")
             .select(*df.columns, combined.alias(f"running_{how}")))
 
 
