@@ -31,7 +31,8 @@ def ingest_run(dim: DataFrame, attempts: DataFrame, start: str, end: str, as_of=
                seq: str = "attempt_seq", ts: str = "requested_at") -> RunResult:
     """``attempts``: symbol, month, attempt_seq, status_code, content_type, body, requested_at."""
     tasks = planner.plan_tasks(dim, start, end, as_of).select("symbol", "month")
-    final = (attempts.groupBy("symbol", "month")
+    # only planned pairs are aggregated; the bodies of all others are never shuffled by pair
+    final = (attempts.join(tasks, ["symbol", "month"], "left_semi").groupBy("symbol", "month")
              .agg(F.max_by(F.struct("status_code", "content_type", "body", ts), F.col(seq)).alias("_last"),
                   F.count(F.lit(1)).alias("n_attempts"), F.min(ts).alias("_first_ts"))
              .select("symbol", "month", "n_attempts", "_first_ts", "_last.*"))
