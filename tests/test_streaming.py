@@ -3,6 +3,7 @@
 import os
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import classify as C
@@ -59,3 +60,20 @@ def test_recompute_stream_monthly(spark, smoke_dir):
     out = spark.read.parquet(f"{root}/silver")
     assert out.count() == spark.read.parquet(f"{smoke_dir}/events.parquet").count()
     assert {r.month for r in out.select("month").distinct().collect()} == {"2024-01"}
+
+
+def test_streams_read_folder_tables(spark, smoke_dir, tmp_path):
+    """Every registered stream over a table in a folder of several files equals the single-file result."""
+    import __spark_entry__ as E
+    events = spark.read.parquet(f"{smoke_dir}/events.parquet")
+    for name in os.listdir(smoke_dir):
+        if name != "events.parquet":
+            (tmp_path / name).symlink_to(f"{smoke_dir}/{name}")
+    events.repartition(5, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_ingest", "stream_silver"):
+        q = E.queries()[name]
+        assert sorted(map(str, q(spark, str(tmp_path)).collect())) == sorted(map(str, q(spark, smoke_dir).collect())), name
+    empty = tmp_path / "none"
+    (empty / "events.parquet").mkdir(parents=True)
+    with pytest.raises(Exception):
+        S.table_stream(spark, str(empty), "events")
