@@ -3,8 +3,8 @@ r"""Line deduplication over levelled sorted runs of line hashes.
 The store keeps each known line key once, as a 128-bit hash with its first
 owner, in runs that are bucketed and sorted by the hash.  Batches arrive in the
 order of their ids.  A batch reduces its lines to one row per key (the smallest
-id), merge-anti-joins every run (both sides are bucketed alike, so a run is
-never shuffled), and adds what is left as a new run of level 0.  ``fan_in`` runs
+id), merge-anti-joins every run (runs are bucketed by the join's key, so that they
+need not be shuffled), and adds what is left as a new run of level 0.  ``fan_in`` runs
 of a level are compacted into one of the next, so there are logarithmically many
 runs to join.  A line stays where its document owns its key.
 
@@ -45,12 +45,19 @@ class LineRuns:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = shared_dir(spark, "line-runs")
         self.levels: list[list[str]] = []
+        self.names: list[str] = []
+
+    def forget(self) -> None:
+        """Take the runs out of the session's catalog; their files stay below ``path``."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def _write(self, keys: DataFrame, level: int) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.names.append(name)
         keys.repartition(self.buckets, *HASH).write.bucketBy(self.buckets, *HASH).sortBy(*HASH) \
             .option("path", f"{self.path}/level-{level}/{name}").format("parquet").saveAsTable(name)
         return name
@@ -121,6 +128,8 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, batches: int
         kept = own.select(*HASH, F.struct(F.col("owner.unknown"), F.col("owner.id")).alias("owner"))
         out = batch.join(kept.hint("merge"), [*HASH, "owner"], "left_anti").select("owner", "text_hash", "at")
         lost = out if lost is None else lost.union(out)
+    lost = stored(lost, "lines-lost")
+    store.forget()
     places = lost.distinct().groupBy("owner", "text_hash").agg(F.sort_array(F.collect_list("at")).alias("dropped"))
     return places.select(F.col("owner.id").alias("id"), "text_hash", "dropped")
 
