@@ -21,7 +21,7 @@ def duck(smoke_dir):
 def test_one_query_per_operator_and_the_pipeline():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert [int(x) for x in (3, 6, 5, 1, 7)] and len(corpus_pipeline.STAGES) == 5
+    assert len(corpus_pipeline.STAGES) == 5
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.native import BLANK, let, split_words
+from tidemark.llm.native import let, split_words
 
 SYMBOLS = r"[#*$%&|<>]"
 SENTENCE_MARKS = r"[.!?:;…。！？]"
