@@ -1,4 +1,4 @@
-"""Connected components of a link table by smallest-label propagation with shortcuts."""
+"""Connected components of a link table by contraction."""
 
 from __future__ import annotations
 
@@ -11,21 +11,30 @@ from tidemark.llm.store import stored
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over the undirected links.
 
-    Every round takes the smallest label among the neighbours and then the label
-    of that label, so chains shorten by half or better; aggregates are partial,
-    so a node with very many links is no hot spot.  Stops when nothing changes.
+    In every round each node takes its smallest neighbour or itself as its label,
+    and the links are contracted to links between labels; what is left shrinks by
+    half or better, and a star is done at once.  Then the labels of the rounds are
+    joined back to front.  Labels come from partial aggregates and links that have
+    become equal are dropped before the next round, so a node with very many links
+    is no hot spot.
     """
-    both = stored(links.select(F.col(a).alias("node"), F.col(b).alias("other"))
-                  .union(links.select(F.col(b), F.col(a))).where("node != other").distinct(), "links")
-    labels = stored(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")), "labels")
+    edges = stored(links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct(),
+                   "links")
+    rounds = []
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), F.col("component").alias("near")), "other") \
-            .groupBy("node").agg(F.min("near").alias("near"))
-        new = labels.join(near, "node").select("node", F.least("component", "near").alias("label"),
-                                               F.col("component").alias("old"))
-        jump = labels.select(F.col("node").alias("label"), F.col("component").alias("next"))
-        labels = stored(new.join(jump, "label", "left").select(
-            "node", F.coalesce("next", "label").alias("component"), "old"), "labels")
-        if labels.where("component != old").isEmpty():
-            return labels.select("node", "component")
-        labels = labels.select("node", "component")
+        near = edges.select(F.col("b").alias("node"), F.col("a").alias("near")) \
+            .union(edges.select(F.col("a").alias("node"), F.col("a").alias("near")))
+        labels = stored(near.groupBy("node").agg(F.min("near").alias("label")), "labels")
+        rounds.append(labels)
+        ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab"]
+        moved = edges.join(ends[0], "a").join(ends[1], "b") \
+            .select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b"))
+        edges = stored(moved.where("a < b").distinct(), "links")
+        if edges.isEmpty():
+            break
+    out = rounds.pop().withColumnRenamed("label", "component")
+    while rounds:
+        earlier = rounds.pop()
+        later = out.select(F.col("node").alias("label"), F.col("component").alias("_later"))
+        out = earlier.join(later, "label", "left").select("node", F.coalesce("_later", "label").alias("component"))
+    return out

@@ -10,10 +10,14 @@ distance is 19 on average, shares a key but for a chance of 4e-8.
 
 Links are confirmed on the full sets.  Documents with equal sets form a class,
 represented by its smallest id; only representatives are joined.  First every
-representative is held against the smallest one that shares a bucket with it;
-then, in the buckets that still hold two or more components, all pairs of
-different components are confirmed, so no link between different texts is lost
-while a group of copies is never expanded into all its pairs.
+representative is held against the smallest one that shares a bucket with it.
+Buckets that then still hold several components are worked off in blocks of
+bounded size: a task compares two blocks with matrix operations and returns a
+spanning forest of what is close, never all pairs.  Close signatures gather the
+members into families, and in a family every member outside the largest
+component is held, on full sets and again block by block, against all members.
+So no link between different texts is lost, no group is expanded into its pairs,
+and no task holds more than two blocks.
 
 Rows: one result row per row of the documents.  A document without words (null,
 empty or blank text) has an empty set and is linked with nothing; so is a row
@@ -25,7 +29,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -37,7 +43,9 @@ CHUNK = SLOTS // CHUNKS
 #: Pairs whose signatures differ in more slots are not confirmed: a pair of
 #: similarity 0.8 gets there with a chance below 1e-9 (6.7 standard deviations).
 FAR_APART = 45
-_PART = 1 << 15
+#: Members of a bucket in a block, shingles of a family's members in a block.
+BUCKET_BLOCK, FAMILY_BLOCK = 1024, 100_000
+_PART, _COLUMNS = 1 << 15, 1 << 13
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -189,6 +197,111 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
 
 
+def _links(near: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
+    """Links (a, b) of a spanning forest of the graph between the rows and the columns
+    of ``near``; ``ids`` names first the rows and then the columns.  Every node is
+    linked to the smallest id of its tree, so other blocks give the same links."""
+    rows, columns = near.shape
+    order = pc.array_sort_indices(ids).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    own = place.copy()
+    left, right = place[:rows], place[rows:]
+    far = rows + columns
+    while True:
+        new = np.minimum(left, np.where(near, right[None, :], far).min(axis=1, initial=far))
+        right = np.minimum(right, np.where(near, new[:, None], far).min(axis=0, initial=far))
+        if (new == left).all():
+            break
+        left = new
+    label = np.concatenate([left, right])
+    node = np.flatnonzero(label != own)
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(order[label[node]])), ids.take(pa.array(node))],
+                                      names=["a", "b"])
+
+
+def _block_pairs(blocks_of: DataFrame, group: str) -> DataFrame:
+    """All pairs of blocks of a group, each once: ``x`` and ``y`` hold their members."""
+    x = blocks_of.select(group, F.col("block").alias("i"), F.col("members").alias("x"), F.col("query").alias("qx"))
+    y = blocks_of.select(group, F.col("block").alias("j"), F.col("members").alias("y"), F.col("query").alias("qy"))
+    # blocks of like members shrink when shuffled: a side that looks small isn't
+    return x.join(y.hint("merge"), group).where("i <= j AND (qx OR qy)").select("x", "y")
+
+
+def _close_forest(members: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the members of a bucket whose signatures differ in
+    at most FAR_APART slots; members: key, id, blocks (into how many to cut the bucket)."""
+    id_type = members.schema["id"].dataType.simpleString()
+    signed = members.join(representatives, "id") \
+        .groupBy("key", F.pmod(F.hash("id"), "blocks").alias("block")) \
+        .agg(F.collect_list(F.struct("id", "signature")).alias("members")).withColumn("query", F.lit(True))
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = batch.column(0)[k].values, batch.column(1)[k].values
+                ids = pa.concat_arrays([x.field(0), y.field(0)])
+                left, right = _binary_rows(x.field(1)), _binary_rows(y.field(1))
+                near = np.empty((len(left), len(right)), bool)
+                for r in range(len(left)):
+                    near[r] = (left[r] != right).sum(axis=1) <= FAR_APART
+                yield _links(near, ids)
+
+    return _block_pairs(signed, "key").mapInArrow(run, f"a {id_type}, b {id_type}").where("a != b").distinct()
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all sets of ``x`` with all of ``y``."""
+    a, b = np.concatenate(x), np.concatenate(y)
+    shared = np.intersect1d(a, b)
+    out = np.zeros((len(x), len(y)), np.float32)
+
+    def places(sets, values):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        hit = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        return owner[hit], at[hit]
+
+    (own_a, at_a), (own_b, at_b) = places(x, a), places(y, b)
+    for first in range(0, len(shared), _COLUMNS):
+        left, right = (np.zeros((len(s), min(_COLUMNS, len(shared) - first)), np.float32) for s in (x, y))
+        for matrix, own, at in ((left, own_a, at_a), (right, own_b, at_b)):
+            part = (at >= first) & (at < first + _COLUMNS)
+            matrix[own[part], at[part] - first] = 1
+        out += left @ right.T
+    return out
+
+
+def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of each family, from the full sets."""
+    id_type = families.schema["id"].dataType.simpleString()
+    members = families.join(labels.withColumnRenamed("node", "id"), "id", "left") \
+        .select("family", "id", F.coalesce("component", "id").alias("component"))
+    sized = members.groupBy("family", "component").agg(F.count("*").alias("n")) \
+        .groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                               F.count("*").alias("parts")).where("parts > 1").select("family", "largest")
+    members = members.join(sized, "family").withColumn("query", F.col("component") != F.col("largest")).join(sets, "id")
+    members = stored(members.select("family", "id", "query", "set"), "family-sets")
+    cut = members.groupBy("family").agg(F.sum(F.size("set")).alias("total")) \
+        .select("family", F.ceil(F.col("total") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    blocked = members.join(cut, "family") \
+        .groupBy("family", F.struct("query", F.pmod(F.hash("id"), "blocks").alias("k")).alias("block")) \
+        .agg(F.collect_list(F.struct("id", "set")).alias("members"), F.first("query").alias("query"))
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = batch.column(0)[k].values, batch.column(1)[k].values
+                ids = pa.concat_arrays([x.field(0), y.field(0)])
+                left, right = ([np.asarray(s) for s in side.field(1).to_numpy(zero_copy_only=False)] for side in (x, y))
+                common = _common(left, right)
+                total = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])
+                common = common.astype(np.int64)
+                yield _links(100 * common >= percent * (total - common), ids)
+
+    return _block_pairs(blocked, "family").mapInArrow(run, f"a {id_type}, b {id_type}").where("a != b").distinct()
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: ``n_shingles``, ``component_id`` (the smallest id reachable over links of
@@ -214,15 +327,15 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     links = stored(_confirmed(star, sets, percent), "links")
     labels = components(links)
 
-    # buckets that still hold several components: all pairs between them
+    # buckets that still hold several components
     labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left") \
         .select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
-        .where("low < high").select("key")
-    rest = stored(labelled.join(mixed, "key", "left_semi"), "rest")
-    pairs = rest.alias("p").join(rest.alias("q"), F.expr("p.key = q.key AND p.component < q.component")) \
-        .select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct()
-    more = _confirmed(stored(_close(pairs, representatives), "close"), sets, percent)
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                        F.count("*").alias("n")) \
+        .where("low < high").select("key", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
+    near = _close_forest(members.join(mixed, "key"), representatives)
+    families = components(near).withColumnRenamed("node", "id").withColumnRenamed("component", "family")
+    more = _family_links(families, labels, sets, percent)
     labels = components(links.select("a", "b").union(more))
 
     component = labels.select(F.col("node").alias("class"), "component")
@@ -233,3 +346,18 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 .alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def without_near_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                        percent: int = 80) -> DataFrame:
+    """The documents, in all their columns, that represent their component, and those
+    with a null id; of rows that repeat an id the one with the smallest text stays."""
+    columns = documents.columns
+    kept = near_duplicates(documents, id_col, text_col, shingle, percent).where("kept") \
+        .select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
+    rows = rows.select("_row", F.col("_row")[id_col].alias("_id"), F.col("_row")[text_col].cast("string").alias("_text"))
+    known = rows.join(kept, "_id", "left_semi") \
+        .withColumn("_place", F.row_number().over(W.partitionBy("_id").orderBy("_text"))).where("_place = 1")
+    return known.select("_row").union(rows.where("_id IS NULL").select("_row")) \
+        .select(*(F.col("_row")[c].alias(c) for c in columns))
