@@ -284,8 +284,10 @@ def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
     members = stored(members.select("family", "id", "query", "set"), "family-sets")
     cut = members.groupBy("family").agg(F.sum(F.size("set")).alias("total")) \
         .select("family", F.ceil(F.col("total") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    # dealt out by block, as the rows lie by family after the join: a family may hold a third of all rows
     blocked = members.join(cut, "family") \
-        .groupBy("family", F.struct("query", F.pmod(F.hash("id"), "blocks").alias("k")).alias("block")) \
+        .select("family", "id", "set", "query", F.struct("query", F.pmod(F.hash("id"), "blocks").alias("k")).alias("block")) \
+        .repartition("family", "block").groupBy("family", "block") \
         .agg(F.collect_list(F.struct("id", "set")).alias("members"), F.first("query").alias("query"))
 
     def run(batches):
