@@ -1,12 +1,15 @@
 """Each operator against a brute-force version, on rows with nulls, empty and
 repeated texts, ties, empty tables and extra columns whose names clash."""
 
+import contextlib
 import hashlib
 import random
 import re
+import threading
 import zlib
 
 import numpy as np
+import psutil
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -223,6 +226,29 @@ def test_near_duplicates_brute_force(spark, monkeypatch):
     assert neardup.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_many_short_unlinked_texts_in_one_family(spark):
+    """Texts that differ in their last word alone: similarity 6 / 8, one family, no link."""
+    peak, done = [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.05):
+            for p in psutil.Process().children(recursive=True):
+                with contextlib.suppress(psutil.Error):
+                    if "python" in p.name():
+                        peak[0] = max(peak[0], p.memory_info().rss)
+    rows = [(k, f"one two three four five six seven eight nine last{k}") for k in range(5000)]
+    rows += [(9000, rows[17][1] + " "), (9001, rows[17][1].upper())]
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        out = neardup.near_duplicates(docs(spark, rows), shingle=4).collect()
+    finally:
+        done.set()
+        watcher.join()
+    assert {r.doc_id: r.component_id for r in out} == {i: 17 if i >= 9000 else i for i, _ in rows}
+    assert peak[0] < 500e6, peak  # one matrix of all members has 25 million cells
+
+
 def test_pigeonhole_guarantee():
     rnd = np.random.default_rng(5)
     one = rnd.integers(0, 1 << 16, (50, neardup.SLOTS), dtype=np.uint16)

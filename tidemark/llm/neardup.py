@@ -43,8 +43,9 @@ CHUNK = SLOTS // CHUNKS
 #: Pairs whose signatures differ in more slots are not confirmed: a pair of
 #: similarity 0.8 gets there with a chance below 1e-9 (6.7 standard deviations).
 FAR_APART = 45
-#: Members of a bucket in a block, shingles of a family's members in a block.
-BUCKET_BLOCK, FAMILY_BLOCK = 1024, 100_000
+#: Members of a bucket in a block, shingles of a family's members in a block, and
+#: members of a family in a block: texts may be short, a block pair is a dense matrix.
+BUCKET_BLOCK, FAMILY_BLOCK, FAMILY_MEMBERS = 1024, 100_000, 1000
 _PART, _COLUMNS = 1 << 15, 1 << 13
 
 
@@ -282,10 +283,11 @@ def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
                                F.count("*").alias("parts")).where("parts > 1").select("family", "largest")
     members = members.join(sized, "family").withColumn("query", F.col("component") != F.col("largest")).join(sets, "id")
     members = stored(members.select("family", "id", "query", "set"), "family-sets")
-    cut = members.groupBy("family").agg(F.sum(F.size("set")).alias("total")) \
-        .select("family", F.ceil(F.col("total") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    cut = members.groupBy("family", "query").agg(F.sum(F.size("set")).alias("total"), F.count("*").alias("n")) \
+        .select("family", "query", F.ceil(F.greatest(F.col("total") / FAMILY_BLOCK, F.col("n") / FAMILY_MEMBERS))
+                .cast("int").alias("blocks"))
     # dealt out by block, as the rows lie by family after the join: a family may hold a third of all rows
-    blocked = members.join(cut, "family") \
+    blocked = members.join(cut, ["family", "query"]) \
         .select("family", "id", "set", "query", F.struct("query", F.pmod(F.hash("id"), "blocks").alias("k")).alias("block")) \
         .repartition("family", "block").groupBy("family", "block") \
         .agg(F.collect_list(F.struct("id", "set")).alias("members"), F.first("query").alias("query"))
