@@ -62,6 +62,40 @@ def test_recompute_stream_monthly(spark, smoke_dir):
     assert {r.month for r in out.select("month").distinct().collect()} == {"2024-01"}
 
 
+def test_recompute_stream_takes_the_newest_valid_bar(spark, tmp_path):
+    """Twelve overlapping deliveries, one a batch: batch 11 wins over 9, an invalid bar over none."""
+    from datetime import datetime
+
+    from tidemark.operators import silver
+    src, root = tmp_path / "src", shared_dir(spark, "t-stream-overlap")
+    ts = datetime(2024, 1, 31, 23, 59)
+    for k in range(12):
+        rows = [("A", ts, float(k + 1)), (f"S{k}", ts, 5.0)] + [("A", ts, -1.0)] * (k in (3, 11))
+        spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, price double").coalesce(1) \
+            .write.mode("append").parquet(str(src))
+
+    def to_docs(b):
+        p = F.col("price")
+        return b.select("symbol", "ts", F.date_format("ts", "yyyy-MM-dd").alias("day"),
+                        silver.bar_document(F.col("ts"), p, p, p, p, F.lit(1)).alias("body"))
+
+    def to_silver(landed):  # the vendor's zone is an hour behind UTC: stored as 1 February, traded in January
+        return silver.normalize_bars(landed, keep=["batch_id"], source_tz="-01:00")
+
+    stream = spark.readStream.schema("symbol string, ts timestamp_ntz, price double") \
+        .option("maxFilesPerTrigger", 1).parquet(str(src))
+    S.recompute_stream(stream, root, to_docs, to_silver, period="month")
+    got = {r.symbol: (float(r.open), r.month) for r in spark.read.parquet(f"{root}/silver").collect()}
+    assert spark.read.parquet(f"{root}/silver").count() == 13
+    assert got == {"A": (12.0, "2024-01")} | {f"S{k}": (5.0, "2024-01") for k in range(12)}
+    bad = spark.read.parquet(f"{root}/quarantine").collect()
+    assert sorted((r.batch_id, tuple(r.violations)) for r in bad) == [("11", ("bad_price",)), ("3", ("bad_price",))]
+
+    with pytest.raises(Exception, match="batch_id"):  # which one is the newest?
+        S.recompute_stream(stream, shared_dir(spark, "t-stream-refused"), to_docs,
+                           lambda b: to_silver(b).drop("batch_id"), period="month")
+
+
 def test_streams_read_folder_tables(spark, smoke_dir, tmp_path):
     """Every registered stream over a table in a folder of several files equals the single-file result."""
     import __spark_entry__ as E

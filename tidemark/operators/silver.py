@@ -65,8 +65,10 @@ def normalize_bars(docs: DataFrame, symbol_col: str = "symbol", body_col: str =
             .withColumn("month", M.month_key(local)))
 
 
-def violations(symbol: str = "symbol", ts: str = "ts", part_month: str | None = "month") -> Column:
-    """Array of rule names a bar breaks (empty when valid)."""
+def violations(symbol: str = "symbol", ts: str = "ts", part_month: str | None = "month",
+               day: str | None = None) -> Column:
+    """Array of rule names a bar breaks (empty when valid).  ``day`` is the local
+    trading date, where the partition month is a local one and ``ts`` is UTC."""
     o, h, lo, c = (F.col(x) for x in ("open", "high", "low", "close"))
     rules = [
         (F.col(symbol).isNull() | F.col(ts).isNull(), "null_key"),
@@ -76,14 +78,14 @@ def violations(symbol: str = "symbol", ts: str = "ts", part_month: str | None =
         (~F.coalesce(F.col("volume") >= 0, F.lit(False)), "bad_volume"),
     ]
     if part_month:
-        rules.append((F.coalesce(M.month_key(ts) != F.col(part_month), F.lit(False)), "month_mismatch"))
+        rules.append((F.coalesce(M.month_key(day or ts) != F.col(part_month), F.lit(False)), "month_mismatch"))
     arr = F.array(*[F.when(cond, F.lit(name)) for cond, name in rules])
     return F.filter(arr, lambda x: x.isNotNull())
 
 
 def validate_bars(bars: DataFrame, symbol: str = "symbol", ts: str = "ts",
-                  part_month: str | None = "month") -> DataFrame:
-    return (bars.withColumn("violations", violations(symbol, ts, part_month))
+                  part_month: str | None = "month", day: str | None = None) -> DataFrame:
+    return (bars.withColumn("violations", violations(symbol, ts, part_month, day))
             .withColumn("is_valid", F.size("violations") == 0))
 
 

@@ -595,19 +595,34 @@ def ohlcv_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 @register("stream_silver")
 def stream_silver(spark: SparkSession, d: str) -> DataFrame:
-    """Stream -> Bronze per batch -> recompute the touched Silver years."""
+    """Stream -> Bronze per batch -> recompute the touched Silver years.
+
+    The first run delivers all events, those of a month's second half with a
+    provisional price.  The second run delivers that half again, as it is, and
+    repeats some bars with an invalid price.  Silver holds each bar once."""
     streaming.use_rocksdb(spark)
-    src = streaming.table_stream(spark, d, "events")
-    root = shared_dir(spark, "stream-silver")
+    root, again = shared_dir(spark, "stream-silver"), shared_dir(spark, "stream-silver-again")
+    events = load(spark, d, "events")
+    late, broken = F.dayofmonth("ts") > 15, F.col("event_id") % 50 == 0
+    value = events.schema["value"].dataType
+    events.limit(0).write.parquet(again)
+
+    def deliveries():
+        first = streaming.table_stream(spark, d, "events") \
+            .withColumn("value", F.when(late, F.col("value") + 1).otherwise(F.col("value")).cast(value))
+        return first.unionByName(spark.readStream.schema(events.schema).parquet(again))
 
     def to_docs(b):
         return R.docs_from_events(b).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
 
     def to_silver(landed):
-        return silver_op.normalize_bars(landed, keep=["event_id"]).withColumn(
+        return silver_op.normalize_bars(landed, keep=["event_id", "batch_id"]).withColumn(
             "ts", F.col("ts").cast("timestamp_ntz"))
 
-    streaming.recompute_stream(src, root, to_docs, to_silver)
+    streaming.recompute_stream(deliveries(), root, to_docs, to_silver)
+    invalid = events.where(broken).withColumn("value", (-F.abs("value") - 1).cast(value))
+    events.where(late).unionByName(invalid).write.mode("append").parquet(again)
+    streaming.recompute_stream(deliveries(), root, to_docs, to_silver)
     out = spark.read.parquet(f"{root}/silver")
     return out.select("event_id", "symbol", "ts",
                       *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],

@@ -5,7 +5,8 @@
   dynamic overwrite, so a replayed epoch replaces exactly its own output.
 * ``recompute_stream`` — X2: land each micro-batch, then recompute the Silver
   years (or months) it touches from all their Bronze rows: late data rewrites
-  its period instead of being dropped, and no long state is kept.
+  its period instead of being dropped, and no long state is kept.  Bars that are
+  delivered again replace the older ones, invalid bars go to a quarantine.
 * ``dedup_stream`` — X3: ``dropDuplicatesWithinWatermark`` on the bar key.
 * ``bars_stream``  — X4: tumbling, sliding or session OHLCV windows, append
   mode: a window is emitted once the watermark passes its end, so the last
@@ -127,16 +128,23 @@ def bars_stream(stream: DataFrame, duration: str | None = None, slide: str | Non
 
 def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame], DataFrame],
                      to_silver: Callable[[DataFrame], DataFrame], ts_col: str = "ts",
-                     day_col: str = "day", period: str = "year") -> str:
+                     day_col: str = "day", period: str = "year", symbol_col: str = "symbol") -> str:
     """Each micro-batch lands its documents in Bronze (idempotent per
     batch), then every Silver year it touches is recomputed from *all* Bronze
     rows of that year — late data for an old month rewrites that month's year
     instead of being dropped by a watermark, and no long state is kept.
 
+    Bars are validated (P17) and then deduplicated by (symbol, ts), the newest
+    ``batch_id`` winning (W8): an overlapping delivery replaces what it repeats, and
+    an invalid bar replaces nothing.  Invalid bars of each batch are kept below
+    ``quarantine``, with their violations.  ``to_silver`` has to pass ``batch_id`` on;
+    if it doesn't, a period landed by more than one batch is refused.
+
     A trigger costs a year of Bronze (partition-pruned) per touched year, so
     yearly Silver suits infrequent triggers (``availableNow`` runs, as the
     reference's scheduled batches); ``period="month"`` keeps Silver in month
     partitions and recomputes only the touched months."""
+    from tidemark.operators.silver import dedup_latest, split_valid, validate_bars
     from tidemark.sources.silver import rewrite_months, rewrite_years
 
     if period not in ("year", "month"):
@@ -144,12 +152,21 @@ def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame]
     spark = stream.sparkSession
     width, fmt = (4, "yyyy") if period == "year" else (7, "yyyy-MM")
 
+    def checked(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+        month, day = ("month" if "month" in bars.columns else None), ("trade_date" if "trade_date" in bars.columns else None)
+        return split_valid(validate_bars(bars, symbol_col, ts_col, month, day))
+
+    def newest(bars: DataFrame) -> DataFrame:
+        return dedup_latest(checked(bars)[0], [symbol_col, ts_col], ["batch_id"] if "batch_id" in bars.columns else [])
+
     def step(batch: DataFrame, batch_id: int) -> None:
         docs = to_docs(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         write_partitioned(docs, f"{root}/bronze", [day_col, "batch_id"])
         # distinct periods of one micro-batch: a handful of values.  The Silver rows tell the
         # period: in another time zone it can differ from that of the batch's own stamps.
         silver = to_silver(docs)
+        write_partitioned(checked(silver)[1].withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                          f"{root}/quarantine", ["batch_id"])
         day = "trade_date" if "trade_date" in silver.columns else ts_col
         touched = [r[0] for r in silver.select(F.date_format(day, fmt)).distinct().collect()
                    if r[0] is not None]
@@ -159,10 +176,15 @@ def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame]
         landed = bronze.where(reduce(lambda a, b: a | b, [
             F.substring(F.date_format(F.date_add(F.to_date(day_col), shift), "yyyy-MM-dd"), 1, width).isin(touched)
             for shift in (-1, 0, 1)])) if touched else bronze.limit(0)
+        # a partition column is text when read back
+        landed = landed.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        if "batch_id" not in silver.columns and landed.where(F.col("batch_id") != batch_id).head(1):
+            raise ValueError("to_silver must keep batch_id: it tells which of several deliveries is the newest")
         if period == "year":
-            rewrite_years(to_silver(landed), lambda d: d, f"{root}/silver",
-                          years=[int(y) for y in touched], ts_col=ts_col)
+            rewrite_years(to_silver(landed), newest, f"{root}/silver",
+                          years=[int(y) for y in touched], ts_col=ts_col, symbol_col=symbol_col)
         else:
-            rewrite_months(to_silver(landed), lambda d: d, f"{root}/silver", touched, ts_col=ts_col)
+            rewrite_months(to_silver(landed), newest, f"{root}/silver", touched, ts_col=ts_col,
+                           symbol_col=symbol_col)
 
     return run_available_now(stream, "recompute", root, foreach_batch=step)
