@@ -13,6 +13,7 @@ import psutil
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tidemark.llm import components, contamination, licenses, linededup, neardup, pieces, quality, textblocks
 from tidemark.llm import tokenfiles, toxicity, urlfilter, warc
 from tidemark.session import shared_dir
@@ -249,6 +250,19 @@ def test_many_short_unlinked_texts_in_one_family(spark):
     assert peak[0] < 500e6, peak  # one matrix of all members has 25 million cells
 
 
+def test_block_pairs_spread_over_tasks(spark):
+    """All pairs of the blocks of one group that hold a query block, each once and not in one task."""
+    rows = [(7, k, [k], 4, 12, k < 4) for k in range(12)]
+    blocks_of = spark.createDataFrame(rows, "family int, block int, members array<int>, queries int, blocks int, query boolean")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = neardup._block_pairs(blocks_of, "family").select("x", "y", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted((r.x[0], r.y[0]) for r in out) == [(i, j) for i in range(12) for j in range(i, 12) if i < 4]
+    assert len({r.task for r in out}) == 8  # as many as the session has shuffle partitions
+
+
 def test_pigeonhole_guarantee():
     rnd = np.random.default_rng(5)
     one = rnd.integers(0, 1 << 16, (50, neardup.SLOTS), dtype=np.uint16)

@@ -222,11 +222,16 @@ def _links(near: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
 
 
 def _block_pairs(blocks_of: DataFrame, group: str) -> DataFrame:
-    """All pairs of blocks of a group, each once: ``x`` and ``y`` hold their members."""
-    x = blocks_of.select(group, F.col("block").alias("i"), F.col("members").alias("x"), F.col("query").alias("qx"))
-    y = blocks_of.select(group, F.col("block").alias("j"), F.col("members").alias("y"), F.col("query").alias("qy"))
+    """All pairs of blocks of a group of which one is a query block, each once: ``x`` and
+    ``y`` hold their members.  The first ``queries`` of a group's ``blocks`` are query
+    blocks.  A block goes to every pair it takes part in, and each pair has its own key."""
+    n, last = F.col("block"), F.when(F.col("block") < F.col("queries"), F.col("blocks")).otherwise(F.col("queries")) - 1
+    other = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    dealt = blocks_of.select(group, "block", "members", F.explode(other).alias("other"))
+    x = dealt.where(n <= F.col("other")).select(group, n.alias("i"), F.col("other").alias("j"), F.col("members").alias("x"))
+    y = dealt.where(n >= F.col("other")).select(group, F.col("other").alias("i"), n.alias("j"), F.col("members").alias("y"))
     # blocks of like members shrink when shuffled: a side that looks small isn't
-    return x.join(y.hint("merge"), group).where("i <= j AND (qx OR qy)").select("x", "y")
+    return x.join(y.hint("merge"), [group, "i", "j"]).select("x", "y")
 
 
 def _close_forest(members: DataFrame, representatives: DataFrame) -> DataFrame:
@@ -234,8 +239,8 @@ def _close_forest(members: DataFrame, representatives: DataFrame) -> DataFrame:
     at most FAR_APART slots; members: key, id, blocks (into how many to cut the bucket)."""
     id_type = members.schema["id"].dataType.simpleString()
     signed = members.join(representatives, "id") \
-        .groupBy("key", F.pmod(F.hash("id"), "blocks").alias("block")) \
-        .agg(F.collect_list(F.struct("id", "signature")).alias("members")).withColumn("query", F.lit(True))
+        .groupBy("key", "blocks", F.pmod(F.hash("id"), "blocks").alias("block")) \
+        .agg(F.collect_list(F.struct("id", "signature")).alias("members")).withColumn("queries", F.col("blocks"))
 
     def run(batches):
         for batch in batches:
@@ -285,12 +290,16 @@ def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
     members = stored(members.select("family", "id", "query", "set"), "family-sets")
     cut = members.groupBy("family", "query").agg(F.sum(F.size("set")).alias("total"), F.count("*").alias("n")) \
         .select("family", "query", F.ceil(F.greatest(F.col("total") / FAMILY_BLOCK, F.col("n") / FAMILY_MEMBERS))
-                .cast("int").alias("blocks"))
+                .cast("int").alias("own"))
+    each = [F.coalesce(F.max(F.when(side, F.col("own"))), F.lit(0)) for side in (F.col("query"), ~F.col("query"))]
+    cut = cut.groupBy("family").agg(each[0].alias("queries"), each[1].alias("others"))
+    place = F.when(F.col("query"), F.pmod(F.hash("id"), "queries")) \
+        .otherwise(F.col("queries") + F.pmod(F.hash("id"), "others"))
     # dealt out by block, as the rows lie by family after the join: a family may hold a third of all rows
-    blocked = members.join(cut, ["family", "query"]) \
-        .select("family", "id", "set", "query", F.struct("query", F.pmod(F.hash("id"), "blocks").alias("k")).alias("block")) \
-        .repartition("family", "block").groupBy("family", "block") \
-        .agg(F.collect_list(F.struct("id", "set")).alias("members"), F.first("query").alias("query"))
+    blocked = members.join(cut, "family") \
+        .select("family", "id", "set", "queries", (F.col("queries") + F.col("others")).alias("blocks"), place.alias("block")) \
+        .repartition("family", "block").groupBy("family", "block", "queries", "blocks") \
+        .agg(F.collect_list(F.struct("id", "set")).alias("members"))
 
     def run(batches):
         for batch in batches:
