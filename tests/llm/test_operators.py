@@ -250,6 +250,18 @@ def test_many_short_unlinked_texts_in_one_family(spark):
     assert peak[0] < 500e6, peak  # one matrix of all members has 25 million cells
 
 
+def test_ids_repeated_with_different_texts(spark):
+    """A link that runs through an id's several texts counts, also for its empty text."""
+    rnd = random.Random(8)
+    t = [sentence(rnd, 60) for _ in range(5)]
+    rows = [(5, t[0]), (5, t[1]), (3, t[0]), (7, t[1] + " more"), (5, ""), (5, None), (11, t[2]), (11, t[3]), (10, t[3]),
+            (12, t[2] + " more"), (12, t[4]), (13, t[4]), (20, ""), (20, None), (21, "one two"), (21, " ")]
+    out = neardup.near_duplicates(docs(spark, rows), shingle=4).collect()
+    want = brute_components(rows, 4)
+    assert {want[i] for i in (3, 5, 7)} == {3} and {want[i] for i in (10, 11, 12, 13)} == {10}
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == sorted((i, want[i], want[i] == i) for i, _ in rows)
+
+
 def test_block_pairs_spread_over_tasks(spark):
     """All pairs of the blocks of one group that hold a query block, each once and not in one task."""
     rows = [(7, k, [k], 4, 12, k < 4) for k in range(12)]

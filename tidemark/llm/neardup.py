@@ -315,6 +315,19 @@ def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
     return _block_pairs(blocked, "family").mapInArrow(run, f"a {id_type}, b {id_type}").where("a != b").distinct()
 
 
+def _own_classes(digests: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, a, b) of the ids repeated with different texts: the smallest representative
+    of the classes that an id's texts belong to, and each of these representatives."""
+    text = F.struct("digest_a", "digest_b", "n_shingles")
+    repeated = digests.where("id IS NOT NULL").groupBy("id").agg(F.min(text).alias("low"), F.max(text).alias("high")) \
+        .where("low != high").select("id")
+    among = digests.where("n_shingles > 0").join(stored(repeated, "repeated"), "id", "left_semi") \
+        .select(F.col("id").alias("row_id"), "digest_a", "digest_b", "n_shingles").distinct()
+    of_row = stored(among.join(classes, ["digest_a", "digest_b", "n_shingles"])
+                    .select(F.col("row_id").alias("id"), F.col("id").alias("b")).distinct(), "own-classes")
+    return of_row.join(of_row.groupBy("id").agg(F.min("b").alias("a")), "id").select("id", "a", "b")
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: ``n_shingles``, ``component_id`` (the smallest id reachable over links of
@@ -349,14 +362,21 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     near = _close_forest(members.join(mixed, "key"), representatives)
     families = components(near).withColumnRenamed("node", "id").withColumnRenamed("component", "family")
     more = _family_links(families, labels, sets, percent)
-    labels = components(links.select("a", "b").union(more))
+    own = _own_classes(digests, classes)
+    labels = components(links.select("a", "b").union(more).union(own.select("a", "b")))
 
     component = labels.select(F.col("node").alias("class"), "component")
     by_class = classes.withColumnRenamed("id", "class").join(component, "class", "left") \
         .select("digest_a", "digest_b", "n_shingles", F.coalesce("component", "class").alias("component_id"))
-    out = digests.drop("signature").join(by_class, ["digest_a", "digest_b", "n_shingles"], "left") \
+    filled, rows = F.expr("n_shingles > 0 OR id IS NULL"), digests.drop("signature")
+    # an empty text shares the component of its id's other texts
+    of_id = own.groupBy("id").agg(F.min("a").alias("class")).join(component, "class", "left") \
+        .select("id", F.coalesce("component", "class").alias("component_id"))
+    out = rows.where(filled).join(by_class, ["digest_a", "digest_b", "n_shingles"], "left") \
         .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-                .alias("component_id"))
+                .alias("component_id")) \
+        .union(rows.where(~filled).join(of_id, "id", "left")
+               .select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
