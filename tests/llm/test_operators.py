@@ -301,6 +301,16 @@ def test_components(spark):
         assert {r.node: r.component for r in got} == {x: top(x) for x in parent}
 
 
+def test_components_of_a_long_chain(spark, monkeypatch):
+    """A chain of ascending ids takes rounds by the logarithm of its length."""
+    tables, stored = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, name: tables.append(name) or stored(df, name))
+    edges = spark.range(1, 100).selectExpr("id AS a", "id + 1 AS b")
+    got = components.components(edges).collect()
+    assert {r.node: r.component for r in got} == dict.fromkeys(range(1, 101), 1)
+    assert tables.count("labels") <= 20
+
+
 # ---- 6 lines ------------------------------------------------------------------
 
 def brute_lines(rows, smallest=10):
