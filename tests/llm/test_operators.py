@@ -428,6 +428,17 @@ def test_windows_cover_every_word():
         assert covered == set(range(n)) and len(document) >= 1
 
 
+def test_toxicity_trains_on_one_row_of_an_id(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "Model", lambda texts, labels, prior: taken.append((texts, labels)))
+    free = [r.id for r in spark.range(60).where(~toxicity.held_out("id")).limit(6).collect()]
+    known = spark.createDataFrame([(i, k % 2) for k, i in enumerate(free)], "doc_id bigint, toxic int")
+    rows = [(i, f"text {i}") for i in free] + [(free[1], f"copy {k}") for k in range(300)] + [(free[2], None)]
+    toxicity.train(docs(spark, rows), known, sample=3)
+    (texts, labels), = taken
+    assert sorted(zip(texts, labels)) == sorted(("copy 0" if k == 1 else f"text {i}", k % 2) for k, i in enumerate(free))
+
+
 def test_toxicity_learns_planted_words(spark):
     rnd = random.Random(10)
     bad = ["vilebad", "vilest", "wretchy", "scummer"]

@@ -392,7 +392,8 @@ def held_out(id_col: str):
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from up to ``sample`` labelled documents of each class that aren't held out."""
+    """A model from up to ``sample`` labelled documents of each class that aren't held out;
+    an id with several rows is learned from its smallest text."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")) \
         .where("id IS NOT NULL AND label IS NOT NULL").where(~held_out("id")) \
         .groupBy("id").agg(F.max("label").cast("int").alias("label"))
@@ -404,7 +405,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         part = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "text").collect()  # 2 * sample ids
+        .join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")) \
+        .orderBy(F.xxhash64("id"), "id").collect()  # 2 * sample rows
     return Model([r["text"] or "" for r in rows], [r["label"] for r in rows], prior)
 
 
