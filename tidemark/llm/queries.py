@@ -12,9 +12,12 @@ from tidemark.llm import quality as quality_rules
 from tidemark.llm.contamination import WINDOW, contamination
 from tidemark.llm.licenses import licenses
 from tidemark.llm.linededup import line_dedup
+from tidemark.llm.merkle import FAN, lower_cased, verified
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality
+from tidemark.llm.spellings import spelling_variants
+from tidemark.llm.substrings import passage_dedup
 from tidemark.llm.tokenfiles import read_tokens, write_tokens
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urlfilter import judge_urls
@@ -72,6 +75,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(spark, folder, manifest).drop("url")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return verified(documents, altered=lower_cased(documents))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_license_scans": op2_license_scans,
@@ -83,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -184,3 +203,123 @@ SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_dig
   CASE WHEN owner <> page_id THEN owner END AS refers_to
 FROM o
 """
+
+
+#: The table of CRC-32, and the checksum of a list of byte values.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(
+  list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS t)"""
+
+
+def _crc32(codes: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295, {codes}),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"""
+
+
+_DIGITS = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _tree_levels(name: str, group: str, bottom: str, levels: int) -> str:
+    """CTEs of a tree: per level and node its digest and its siblings, ending in (group, digest)."""
+    out = [f"{name}0 AS ({bottom})"]
+    for k in range(levels):
+        out.append(f"""{name}s{k} AS (
+  SELECT *, list(h) OVER w AS run, CAST(pos % {FAN} AS BIGINT) AS own, count(*) OVER (PARTITION BY {group}) AS size
+  FROM {name}{k} WINDOW w AS (PARTITION BY {group}, pos // {FAN} ORDER BY pos
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))""")
+        out.append(f"""{name}{k + 1} AS (
+  SELECT DISTINCT {group}, CASE WHEN size > 1 THEN pos // {FAN} ELSE 0 END AS pos,
+    CASE WHEN size > 1 THEN sha256(array_to_string(run, '')) ELSE h END AS h FROM {name}s{k})""")
+    return ",\n".join(out)
+
+
+#: Levels that are written out in the SQL of a source's tree and of the tree of subroots.
+_SOURCE_LEVELS, _ROOT_LEVELS = 6, 3
+
+
+def _path_columns(name: str, levels: int, pos: str, on: str) -> tuple[str, str]:
+    """(joins, the list of (left, right) of each level) for a node at ``pos``."""
+    joins, path = [], []
+    for k in range(levels):
+        at = f"{name}s{k}"
+        joins.append(f"JOIN {at} ON {on.format(at)} AND {at}.pos = CASE WHEN {at}.size > 1 THEN {pos} // {FAN ** k} ELSE 0 END")
+        path.append(f"""CASE WHEN {at}.size > 1 THEN {{'l': array_to_string({at}.run[:{at}.own], ''),
+    'r': array_to_string({at}.run[{at}.own + 2:], '')}} END""")
+    return "\n".join(joins), ", ".join(path)
+
+
+_OWN_JOINS, _OWN_PATH = _path_columns("n", _SOURCE_LEVELS, "l.pos", "{}.tree = l.tree")
+_TOP_JOINS, _TOP_PATH = _path_columns("r", _ROOT_LEVELS, "t.pos", "{}.top = 0")
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32(_DIGITS)} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+    END AS altered FROM documents, crc),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+{_tree_levels("n", "tree", "SELECT tree, pos, leaf AS h FROM l", _SOURCE_LEVELS)},
+tops AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos FROM n{_SOURCE_LEVELS}),
+{_tree_levels("r", "top", "SELECT 0 AS top, pos, h FROM tops", _ROOT_LEVELS)},
+above AS (SELECT t.tree, t.h AS subroot, [{_TOP_PATH}] AS path FROM tops t {_TOP_JOINS}),
+proofs AS (
+  SELECT l.doc_id, l.leaf, l.altered, subroot, list_filter(list_concat([{_OWN_PATH}], path), lambda x: x IS NOT NULL) AS path
+  FROM l JOIN above USING (tree) {_OWN_JOINS}),
+folded AS (
+  SELECT *, list_reduce(list_prepend({{'l': coalesce(altered, leaf), 'r': ''}}, path),
+    lambda x, y: {{'l': sha256(y.l || x.l || y.r), 'r': ''}}).l AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, r{_ROOT_LEVELS}.h AS root,
+  sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) AS proof_sha256,
+  folded_root, folded_root = r{_ROOT_LEVELS}.h AS verified
+FROM folded, r{_ROOT_LEVELS}
+"""
+
+ORACLE["op12_substring_dedup"] = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+places AS (SELECT doc_id, row, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d),
+windows AS (SELECT doc_id, row, i, md5(array_to_string(w[i:i + 49], ' ')) AS g FROM places),
+again AS (SELECT *, min(doc_id) OVER (PARTITION BY g) < doc_id AS gone FROM windows),
+removed AS (SELECT row, list(DISTINCT p) AS places
+  FROM (SELECT row, unnest(generate_series(i, i + 49)) AS p FROM again WHERE gone) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, k: NOT list_contains(coalesce(places, []), k)), ' ')) AS kept_sha256
+FROM d LEFT JOIN removed USING (row)
+"""
+
+_BYTES = """list_transform(generate_series(1, strlen(s)), lambda k: CAST('0x' || substr(hex(encode(s)), 2 * k - 1, 2) AS BIGINT))"""
+
+ORACLE["op13_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+  GROUP BY ALL),
+checked AS (SELECT run, c, {_crc32(_BYTES)} AS h FROM runs, crc),
+spelt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+  FROM checked),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+holes AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS swapped,
+    substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM holes a JOIN holes b ON a.swapped = b.swapped AND a.word <> b.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.cut
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.cut),
+near AS (
+  SELECT a AS word, count(*) AS n_near, min({{'m': -w.n, 'b': b}}) AS best FROM pairs JOIN words w ON w.word = b GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 5 * n THEN best.b END AS form,
+    CASE WHEN -best.m >= 5 * n THEN -best.m END AS form_n FROM words LEFT JOIN near USING (word)),
+chain(word, place) AS (
+  SELECT word, word FROM formed UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.place
+  WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.place AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed e ON e.word = c.place AND e.form IS NULL
+"""
