@@ -19,7 +19,7 @@ def duck(smoke_dir):
 
 
 def test_one_query_per_operator_and_the_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert len(corpus_pipeline.STAGES) == 5
 
