@@ -118,7 +118,7 @@ def _common_anchors(documents: DataFrame, window: int, gram: int) -> np.ndarray:
                      .groupBy("key").agg(F.sum("n").alias("n"), F.sum("runs").alias("runs")), "anchors")
     total = counted.agg(F.sum("runs")).first()[0] or 0
     hot = counted.where(F.col("n") * SHARES > total).select("key").collect()  # at most SHARES rows
-    return np.sort(np.array([r["key"] for r in hot], np.int64)).view(_U)
+    return np.sort(np.array([r["key"] for r in hot], np.int64).view(_U))
 
 
 def _runs(part: pa.RecordBatch, window: int, gram: int, hot: np.ndarray) -> pa.RecordBatch:
