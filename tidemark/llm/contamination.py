@@ -6,7 +6,10 @@ doubling; every document ends in a terminator of its own), the
 Burrows-Wheeler sequence in a wavelet matrix, and every ``SAMPLE``-th suffix
 position.  All benchmark windows are searched backwards at once, occurrences
 are located by walking to the next sampled position, and the word spans of a
-document are merged.  One pass over the documents, no shuffle.
+document are merged.  One pass over the documents, no shuffle.  The benchmark lies in
+files of about ``BENCHMARK_BLOCK_BYTES`` of text below the shared folder; a task searches
+its shard for one file's windows after the other and holds one at a time, so neither the
+driver nor a worker ever holds the whole benchmark.
 
 Rows: every row of the documents gives one row, repeated rows included.  A null
 or empty text has no words (``n_words`` 0, not contaminated); a null id stays
@@ -22,18 +25,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.files import locate
 from tidemark.llm.store import ship_package
 from tidemark.llm.textblocks import ALNUM, blocks, ranges, strings, words
+from tidemark.session import shared_dir
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 SAMPLE = 32
-#: Benchmark text per broadcast block; a larger benchmark is searched block by block.
-BENCHMARK_BLOCK_BYTES = 16 << 20
+#: Benchmark text in a file, on average, and so in a worker's memory at once.
+BENCHMARK_BLOCK_BYTES = 4 << 20
 
 
 class FMIndex:
@@ -205,14 +211,35 @@ def _segments(offsets: np.ndarray, limit: int, overlap: int) -> Iterator[list[tu
         yield shard
 
 
-def scan(texts: pa.StringArray, phrases: list[Phrases], shard_words: int = SHARD_WORDS):
+class PhraseFiles:
+    """The windows of a benchmark in files, read one after the other at each iteration."""
+
+    #: The last file that was read; a benchmark of one file is read once by a worker.
+    _last: tuple[tuple, Phrases] | None = None
+
+    def __init__(self, uris: list[str], window: int):
+        self.uris, self.window = uris, window
+
+    def __iter__(self) -> Iterator[Phrases]:
+        for uri in self.uris:
+            if PhraseFiles._last is None or PhraseFiles._last[0] != (uri, self.window):
+                PhraseFiles._last = None
+                fs, path = locate(uri)
+                with fs.open_input_file(path) as source:
+                    table = pq.read_table(source)
+                PhraseFiles._last = ((uri, self.window), Phrases(table.column("item").to_pylist(),
+                                                                 table.column("text").to_pylist(), self.window))
+            yield PhraseFiles._last[1]
+
+
+def scan(texts: pa.StringArray, phrases: list[Phrases] | PhraseFiles, shard_words: int = SHARD_WORDS):
     """(word offsets, hit mask over all words, per document the hit items)."""
     flat, offsets = words(texts, ALNUM)
     encoded = flat.dictionary_encode()
     ids, dictionary = encoded.indices.to_numpy(), encoded.dictionary
     change = np.zeros(len(ids) + 1, np.int64)
     found: list[set] = [set() for _ in range(len(texts))]
-    overlap = max((p.window for p in phrases), default=1) - 1
+    overlap = (phrases.window if isinstance(phrases, PhraseFiles) else max((p.window for p in phrases), default=1)) - 1
     for shard in _segments(offsets, max(shard_words, 2 * overlap + 2), overlap):
         doc, first, end = (np.array(x, np.int64) for x in zip(*shard))
         count = len(shard)
@@ -254,17 +281,16 @@ def _spans(mask: np.ndarray) -> list[dict]:
     return [{"first_word": int(a), "end_word": int(b)} for a, b in zip(edges[::2], edges[1::2])]
 
 
-def _phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list[Phrases]:
+def phrase_files(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> PhraseFiles:
+    """The test items written in as many files as their size asks for; rows that repeat an
+    item and its text count once.  Only the files' names pass through the driver."""
+    spark = benchmark.sparkSession
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")) \
-        .where("item IS NOT NULL AND text IS NOT NULL")
+        .where("item IS NOT NULL AND text IS NOT NULL").distinct()
     size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    count = -(-size // BENCHMARK_BLOCK_BYTES)
-    out = []
-    for k in range(count):
-        part = rows.where(F.pmod(F.xxhash64("item"), F.lit(count)) == k).collect()
-        if part:
-            out.append(Phrases([r["item"] for r in part], [r["text"] for r in part], window))
-    return out
+    path = shared_dir(spark, "benchmark")
+    rows.repartition(max(1, -(-size // BENCHMARK_BLOCK_BYTES)), F.xxhash64("item", "text")).write.parquet(path)
+    return PhraseFiles(sorted(spark.read.schema(rows.schema).parquet(path).inputFiles()) if size else [], window)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -273,9 +299,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     of ``window`` item words, or of a whole shorter item), ``items`` with occurring
     windows (sorted as strings), their digest, ``contaminated`` and the merged
     removal ``spans`` (word positions)."""
-    spark = documents.sparkSession
-    ship_package(spark)
-    shared = [spark.sparkContext.broadcast(p) for p in _phrase_blocks(benchmark, item_col, item_text_col, window)]
+    ship_package(documents.sparkSession)
+    phrases = phrase_files(benchmark, item_col, item_text_col, window)
     id_type = documents.schema[id_col].dataType
     schema = T.StructType([
         T.StructField(id_col, id_type), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
@@ -288,7 +313,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
         spans_type = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64())]))
         for batch in batches:
             for part in blocks(batch, 1):
-                offsets, hit, found = scan(strings(part.column(1)), [b.value for b in shared])
+                offsets, hit, found = scan(strings(part.column(1)), phrases)
                 totals = np.concatenate([[0], np.cumsum(hit)])
                 n_hit = totals[offsets[1:]] - totals[offsets[:-1]]
                 items = [sorted(x) for x in found]
@@ -307,15 +332,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
 def uncontaminated(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                    item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents, in all their columns, without a window of any test item."""
-    spark = documents.sparkSession
-    ship_package(spark)
-    shared = [spark.sparkContext.broadcast(p) for p in _phrase_blocks(benchmark, item_col, item_text_col, window)]
+    ship_package(documents.sparkSession)
+    phrases = phrase_files(benchmark, item_col, item_text_col, window)
     at = documents.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
             for part in blocks(batch, at):
-                _, _, found = scan(strings(part.column(at)), [b.value for b in shared])
+                _, _, found = scan(strings(part.column(at)), phrases)
                 yield part.filter(pa.array([not items for items in found], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
