@@ -9,7 +9,7 @@ distance is missed.  With 96 slots in 16 chunks a pair of similarity 0.8, whose
 distance is 19 on average, shares a key but for a chance of 4e-8.
 
 Links are confirmed on the full sets.  Documents with equal sets form a class,
-represented by its smallest id; only representatives are joined.  First every
+represented by its smallest id and numbered; only representatives are joined.  First every
 representative is held against the smallest one that shares a bucket with it.
 Buckets that then still hold several components are worked off in blocks of
 bounded size: a task compares two blocks with matrix operations and returns a
@@ -31,12 +31,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.store import ship_package, stored
 from tidemark.llm.textblocks import SPACED_LOWER, blocks, hashes, mix, strings, words
+from tidemark.operators.ordering import with_row_index
 
 SLOTS, CHUNKS = 96, 16
 CHUNK = SLOTS // CHUNKS
@@ -122,7 +122,7 @@ def _binary_rows(column: pa.Array) -> np.ndarray:
 
 
 def _digests(documents: DataFrame, shingle: int) -> DataFrame:
-    """(id, n_shingles, digest of the set, signature) of every row."""
+    """(id, text_key, n_shingles, digest of the set, signature) of every row (id, text, text_key)."""
     id_type = documents.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -132,13 +132,13 @@ def _digests(documents: DataFrame, shingle: int) -> DataFrame:
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(values ^ np.uint64(salt)), dtype=np.uint64)])
                         for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(ends), pa.int64()),
+                    [part.column(0), part.column(2), pa.array(np.diff(ends), pa.int64()),
                      *(_signed(s[ends[1:]] - s[ends[:-1]]) for s in sums),
                      pa.array([x.tobytes() for x in signatures(values, ends)], pa.binary())],
-                    names=["id", "n_shingles", "digest_a", "digest_b", "signature"])
+                    names=["id", "text_key", "n_shingles", "digest_a", "digest_b", "signature"])
 
     return documents.mapInArrow(
-        run, f"id {id_type}, n_shingles bigint, digest_a bigint, digest_b bigint, signature binary")
+        run, f"id {id_type}, text_key bigint, n_shingles bigint, digest_a bigint, digest_b bigint, signature binary")
 
 
 def _keyed(representatives: DataFrame) -> DataFrame:
@@ -175,8 +175,8 @@ def _close(pairs: DataFrame, representatives: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(id, set) of the wanted documents, from their whole texts."""
-    id_type = documents.schema["id"].dataType.simpleString()
+    """(id, set) of the wanted texts (id, text_key, node), from their whole texts; the node
+    is the set's id."""
 
     def run(batches):
         for batch in batches:
@@ -186,7 +186,8 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(values))],
                     names=["id", "set"])
 
-    return documents.join(wanted, "id", "left_semi").mapInArrow(run, f"id {id_type}, set array<bigint>")
+    return documents.join(wanted, ["id", "text_key"]).select("node", "text") \
+        .mapInArrow(run, "id bigint, set array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -315,82 +316,129 @@ def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
     return _block_pairs(blocked, "family").mapInArrow(run, f"a {id_type}, b {id_type}").where("a != b").distinct()
 
 
-def _own_classes(digests: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, a, b) of the ids repeated with different texts: the smallest representative
-    of the classes that an id's texts belong to, and each of these representatives."""
-    text = F.struct("digest_a", "digest_b", "n_shingles")
-    repeated = digests.where("id IS NOT NULL").groupBy("id").agg(F.min(text).alias("low"), F.max(text).alias("high")) \
-        .where("low != high").select("id")
-    among = digests.where("n_shingles > 0").join(stored(repeated, "repeated"), "id", "left_semi") \
-        .select(F.col("id").alias("row_id"), "digest_a", "digest_b", "n_shingles").distinct()
-    of_row = stored(among.join(classes, ["digest_a", "digest_b", "n_shingles"])
-                    .select(F.col("row_id").alias("id"), F.col("id").alias("b")).distinct(), "own-classes")
-    return of_row.join(of_row.groupBy("id").agg(F.min("b").alias("a")), "id").select("id", "a", "b")
+_SET = ["digest_a", "digest_b", "n_shingles"]
+#: A class with more than this part of all rows is hot.
+SHARES = 1024
+
+
+class _Clusters:
+    """The classes of equal sets of a table, numbered, and the links between them.
+
+    ``digests`` has a row per document, ``twice`` the (id, text_key) of rows that are equal
+    in both.  ``classes`` has a row per set: the smallest id that has it, the key of a text
+    of that id with it, how many rows have it, its signature and its ``node``.  Nodes are
+    numbered in order of ids, so a component's smallest node has its smallest id.  Two
+    classes may share an id, where rows repeat it with different texts, but no node."""
+
+    def __init__(self, documents: DataFrame, id_col: str, text_col: str, shingle: int, percent: int):
+        ship_package(documents.sparkSession)
+        source = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+            .withColumn("text_key", F.xxhash64("text"))
+        self.digests = stored(_digests(source, shingle), "digests")
+        known = self.digests.where("id IS NOT NULL")
+        self.twice = stored(known.groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "twice")
+        sets = stored(known.where("n_shingles > 0").groupBy(_SET)
+                      .agg(F.min(F.struct("id", "text_key")).alias("first"), F.count("*").alias("rows"),
+                           F.min("signature").alias("signature")).select(*_SET, "first.*", "rows", "signature"), "sets-seen")
+        numbered = with_row_index(sets.select("id", *_SET), ["id", *_SET], "node").drop("id")
+        self.classes = stored(sets.join(numbered, _SET), "classes")
+        self.links = self._linked(source, shingle, percent)
+
+    def _linked(self, source: DataFrame, shingle: int, percent: int) -> DataFrame:
+        """Links (a, b) between nodes that connect all that is similar."""
+        representatives = self.classes.select(F.col("node").alias("id"), "signature")
+        keyed = _keyed(representatives)
+        shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+        members = stored(keyed.join(shared.select("key", "first"), "key").distinct(), "members")
+
+        # every representative against the smallest one it shares a bucket with
+        star = _close(members.where("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
+                      representatives)
+        star = stored(star.groupBy("b").agg(F.min("a").alias("a")), "star")
+        wanted = self.classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi") \
+            .select("id", "text_key", "node")
+        sets = stored(_sets(_once(source.where("id IS NOT NULL"), self.twice), wanted, shingle), "sets")
+        links = stored(_confirmed(star, sets, percent), "links")
+        labels = components(links)
+
+        # buckets that still hold several components
+        labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left") \
+            .select("key", "id", F.coalesce("component", "id").alias("component"))
+        mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                            F.count("*").alias("n")) \
+            .where("low < high").select("key", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
+        near = _close_forest(members.join(mixed, "key"), representatives)
+        families = components(near).withColumnRenamed("node", "id").withColumnRenamed("component", "family")
+        return stored(links.select("a", "b").union(_family_links(families, labels, sets, percent)), "all-links")
+
+    def own(self) -> DataFrame:
+        """Links (id, a, b) between the nodes of each id whose rows have different sets."""
+        text = F.struct(*_SET)
+        repeated = self.digests.where("id IS NOT NULL").groupBy("id") \
+            .agg(F.min(text).alias("low"), F.max(text).alias("high")).where("low != high").select("id")
+        among = self.digests.where("n_shingles > 0").join(stored(repeated, "repeated"), "id", "left_semi") \
+            .select("id", *_SET).distinct()
+        of_row = stored(among.join(self.classes.select(*_SET, "node"), _SET).select("id", F.col("node").alias("b")),
+                        "own-classes")
+        return of_row.join(of_row.groupBy("id").agg(F.min("b").alias("a")), "id").select("id", "a", "b")
+
+
+def _once(rows: DataFrame, twice: DataFrame) -> DataFrame:
+    """Rows (id, text, text_key), equal ones once."""
+    keys = ["id", "text_key"]
+    return rows.join(twice, keys, "left_anti").unionByName(rows.join(twice, keys, "left_semi").dropDuplicates(keys))
+
+
+def _of_class(rows: DataFrame, classes: DataFrame, total: int) -> DataFrame:
+    """``rows`` beside the ``component_id`` of their set's class.  Hot classes, fewer than
+    ``SHARES`` by their definition, are looked up where the rows lie; all other keys of the
+    join hold less than one part in ``SHARES`` of the rows."""
+    hot = classes.where(F.col("rows") * SHARES > total).select(*_SET, F.col("component_id").alias("_hot"))
+    tagged = rows.join(F.broadcast(hot), _SET, "left")
+    cold = tagged.where("_hot IS NULL").drop("_hot") \
+        .join(classes.where(F.col("rows") * SHARES <= total).select(*_SET, "component_id"), _SET)
+    return cold.unionByName(tagged.where("_hot IS NOT NULL").withColumnRenamed("_hot", "component_id"))
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: ``n_shingles``, ``component_id`` (the smallest id reachable over links of
     similarity ``percent`` / 100 or more, itself included) and ``kept``."""
-    ship_package(documents.sparkSession)
-    source = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    digests = stored(_digests(source, shingle), "digests")
-    classes = digests.where("n_shingles > 0 AND id IS NOT NULL").groupBy("digest_a", "digest_b", "n_shingles") \
-        .agg(F.min("id").alias("id"))
-    representatives = stored(digests.join(classes, ["digest_a", "digest_b", "n_shingles", "id"], "left_semi")
-                             .select("id", "signature"), "representatives")
-
-    keyed = _keyed(representatives)
-    shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    members = stored(keyed.join(shared.select("key", "first"), "key").distinct(), "members")
-
-    # every representative against the smallest one it shares a bucket with
-    star = _close(members.where("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
-                  representatives)
-    star = stored(star.groupBy("b").agg(F.min("a").alias("a")), "star")
-    wanted = members.select("id").distinct()
-    sets = stored(_sets(source.where("id IS NOT NULL"), wanted, shingle), "sets")
-    links = stored(_confirmed(star, sets, percent), "links")
-    labels = components(links)
-
-    # buckets that still hold several components
-    labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left") \
-        .select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.count("*").alias("n")) \
-        .where("low < high").select("key", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
-    near = _close_forest(members.join(mixed, "key"), representatives)
-    families = components(near).withColumnRenamed("node", "id").withColumnRenamed("component", "family")
-    more = _family_links(families, labels, sets, percent)
-    own = _own_classes(digests, classes)
-    labels = components(links.select("a", "b").union(more).union(own.select("a", "b")))
-
-    component = labels.select(F.col("node").alias("class"), "component")
-    by_class = classes.withColumnRenamed("id", "class").join(component, "class", "left") \
-        .select("digest_a", "digest_b", "n_shingles", F.coalesce("component", "class").alias("component_id"))
-    filled, rows = F.expr("n_shingles > 0 OR id IS NULL"), digests.drop("signature")
+    clusters = _Clusters(documents, id_col, text_col, shingle, percent)
+    own, classes = clusters.own(), clusters.classes
+    labels = components(clusters.links.union(own.select("a", "b")))
+    names = classes.select(F.col("node").alias("component"), F.col("id").alias("component_id"))
+    component = stored(labels.join(names, "component").select("node", "component_id"), "component-ids")
+    by_class = stored(classes.join(component, "node", "left")
+                      .select(*_SET, "rows", F.coalesce("component_id", "id").alias("component_id")), "by-class")
+    rows, filled = clusters.digests.select("id", *_SET), F.expr("n_shingles > 0 AND id IS NOT NULL")
+    out = _of_class(rows.where(filled), by_class, rows.count()).select("id", "n_shingles", "component_id")
     # an empty text shares the component of its id's other texts
-    of_id = own.groupBy("id").agg(F.min("a").alias("class")).join(component, "class", "left") \
-        .select("id", F.coalesce("component", "class").alias("component_id"))
-    out = rows.where(filled).join(by_class, ["digest_a", "digest_b", "n_shingles"], "left") \
-        .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-                .alias("component_id")) \
-        .union(rows.where(~filled).join(of_id, "id", "left")
-               .select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
-                      F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    of_id = own.groupBy("id").agg(F.min("a").alias("node")).join(component, "node").select("id", "component_id")
+    bare = rows.where(~filled).join(of_id, "id", "left") \
+        .select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    return out.unionByName(bare).select(F.col("id").alias(id_col), "n_shingles", "component_id",
+                                        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def without_near_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                         percent: int = 80) -> DataFrame:
-    """The documents, in all their columns, that represent their component, and those
-    with a null id; of rows that repeat an id the one with the smallest text stays."""
+    """The documents, in all their columns, without near-copies: of the texts that links
+    connect, the one with the smallest id stays (of several such of that id, one).  Texts
+    that nothing links stay, whether or not another row repeats their id; so do empty
+    texts and rows with a null id.  Of rows equal in id and text one stays."""
     columns = documents.columns
-    kept = near_duplicates(documents, id_col, text_col, shingle, percent).where("kept") \
-        .select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
+    clusters = _Clusters(documents, id_col, text_col, shingle, percent)
+    labels = components(clusters.links)
+    kept = clusters.classes.join(labels, "node", "left").where("component IS NULL OR component = node").select("id", "text_key")
+    empty = clusters.digests.where("n_shingles = 0 AND id IS NOT NULL").select("id", "text_key").distinct()
+    kept = stored(kept.union(empty), "kept-texts")
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
-    rows = rows.select("_row", F.col("_row")[id_col].alias("_id"), F.col("_row")[text_col].cast("string").alias("_text"))
-    known = rows.join(kept, "_id", "left_semi") \
-        .withColumn("_place", F.row_number().over(W.partitionBy("_id").orderBy("_text"))).where("_place = 1")
-    return known.select("_row").union(rows.where("_id IS NULL").select("_row")) \
-        .select(*(F.col("_row")[c].alias(c) for c in columns))
+    rows = rows.select("_row", F.col("_row")[id_col].alias("id"),
+                       F.xxhash64(F.col("_row")[text_col].cast("string")).alias("text_key"))
+    keys = ["id", "text_key"]
+    known = rows.join(kept, keys, "left_semi")
+    copies = known.join(clusters.twice, keys, "left_semi").groupBy(keys) \
+        .agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return known.join(clusters.twice, keys, "left_anti").select("_row").union(copies.select("_row")) \
+        .union(rows.where("id IS NULL").select("_row")).select(*(F.col("_row")[c].alias(c) for c in columns))
