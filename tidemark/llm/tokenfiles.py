@@ -10,12 +10,16 @@ names of their own per attempt; only those of committed tasks are in the
 manifest, so a lost executor leaves nothing behind that counts.
 
 Equal words get equal ids whatever surrounds them (white space separates the
-vocabulary's words), so the library encodes each distinct word of a block once,
-and the ids are gathered for all places.
+vocabulary's words), so the library encodes each distinct word once, as a stem and the
+punctuation behind it, and a worker remembers the pieces in flat arrays; the ids are
+gathered for all places.  A vocabulary of another kind is refused.
 
 Rows: one document per row; a null text is empty and holds the end id alone.
-Rows are ordered by id (null first), rows that repeat an id by their text.  An
-empty table gives an empty manifest and no documents.
+Rows are ordered by id (null first), rows that repeat an id by the first 32 characters
+of their texts (null first) and then by the texts' hashes, so that one id's rows are
+spread over tasks like any others.  Texts are encoded whole, whatever their length.
+An empty table gives an empty manifest and no documents.  Only the id and the text
+column are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -32,19 +36,55 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.files import locate, make_folder, mapped, span
 from tidemark.llm.store import ship_package, stored
-from tidemark.llm.textblocks import SPACED, blocks, ranges, strings, words
+from tidemark.llm.textblocks import SPACED, blocks, ranges, raw, strings, words
 
 END_ID = 2
 #: Text that is encoded at once.
 BLOCK_BYTES = 12 << 20
-#: Words that a worker remembers between blocks.
-CACHE_WORDS = 350_000
+#: Pieces of words that a worker remembers between blocks.
+CACHE_WORDS = 1_000_000
 _TRAILING = ",.!?;:"
 _BETWEEN = "\x01"
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+#: Texts on which a vocabulary must behave as ``WordEncoder`` takes it to.
+_PROBES = ["", "A b", "Word, word. WORD!? x;:y don't (a) [b] {c}", "\u00c9t\u00e9 \u00dcBER caf\u00e9, \u0130I \u00df.",
+           "a,b.c !x? 12.5 3,4. 5! a1, 1a; \u00e9.", "tab\tnew\nline\r\x0b\x0c x", "x_y- -z ... ,,, a... \u4e2d\u6587\u3002 \U0001f600!",
+           "<|endoftext|> a <| b |>", "a\u00a0b\u2003c\u3000d e\u0301"]
+
+
+class _Pieces:
+    """Known pieces of words: their strings, and the ids of all of them in one array."""
+
+    def __init__(self, dtype: np.dtype):
+        self.known = pa.array([], pa.string())
+        self.ids, self.begin = np.zeros(0, dtype), np.zeros(1, np.int64)
+
+    def find(self, pieces: pa.StringArray, encode) -> np.ndarray:
+        """The places of ``pieces`` (distinct) among the known ones; ``encode`` gives (ids,
+        lengths) of those that are new.  Beyond ``CACHE_WORDS`` the older ones are forgotten."""
+        at = pc.index_in(pieces, value_set=self.known)
+        if not at.null_count:
+            return at.to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(self.known) + at.null_count > CACHE_WORDS:
+            self.__init__(self.ids.dtype)
+            at = pa.nulls(len(pieces), pa.int32())
+        new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        fresh = pieces.take(pa.array(new))
+        ids, lengths = encode(fresh)
+        out = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        out[new] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, fresh])
+        self.ids = np.concatenate([self.ids, ids])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lengths)])
+        return out
 
 
 class WordEncoder:
-    """Encodes whole texts with a word-wise tokenizer of the tokenizers library."""
+    """Encodes whole texts with a word-wise, lower-casing tokenizer of the tokenizers
+    library; any other is refused."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,67 +93,65 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.between = self._library(_BETWEEN)
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pieces = _Pieces(self.dtype)
+        self._check(path)
+
+    def _check(self, path: str) -> None:
+        ids, counts = self.encode(pa.array(_PROBES), 0)
+        ends = np.cumsum(counts)
+        for text, e, n in zip(_PROBES, ends.tolist(), counts.tolist()):
+            if ids[e - n:e - 1].tolist() != self._library(text).tolist():
+                raise ValueError(f"{path} is no vocabulary of lower-case words that end at white space")
 
     def _library(self, text: str) -> np.ndarray:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, self.dtype)
 
-    def _learn(self, unknown: list[str]) -> None:
-        """Ids of words that aren't remembered yet, encoded together with a separator between them."""
-        if len(self.between) != 1:
-            self.cache.update((w, self._library(w).tobytes()) for w in unknown)
-            return
-        odd = [w for w in unknown if _BETWEEN in w]
-        self.cache.update((w, self._library(w).tobytes()) for w in odd)
-        plain = [w for w in unknown if _BETWEEN not in w] if odd else unknown
-        for first in range(0, len(plain), 20_000):
-            part = plain[first:first + 20_000]
-            ids = self._library(f" {_BETWEEN} ".join(part))
-            cuts = np.flatnonzero(ids == self.between[0]).tolist()
-            raw, size = ids.tobytes(), self.dtype.itemsize
-            for word, a, b in zip(part, [-1, *cuts], [*cuts, len(ids)]):
-                self.cache[word] = raw[(a + 1) * size:b * size]
-
-    def _of_words(self, distinct: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
-            self.older, self.cache = self.cache, {}
-        known, older = self.cache, self.older
-        missing = [w for w in distinct if w not in known]
-        again = [w for w in missing if w in older]
-        known.update((w, older[w]) for w in again)
-        if again:
-            missing = [w for w in missing if w not in known]
-        unknown, parts = {}, []
-        for word in missing:
-            # punctuation after a plain letter is a word of its own to the vocabulary
-            stem = word.rstrip(_TRAILING)
-            rest = ""
-            if stem and len(stem) != len(word) and stem[-1].isascii() and stem[-1].isalpha():
-                rest = word[len(stem):]
-                if rest not in known:
-                    unknown[rest] = None
-            else:
-                stem = word
-            if stem.isascii():
-                stem = stem.lower()
-            if stem not in known:
-                unknown[stem] = None
-            parts.append((word, stem, rest))
-        self._learn(list(unknown))
-        known.update([(w, known[s] + known[r] if r else known[s]) for w, s, r in parts])
-        return [known[w] for w in distinct]
+    def _learnt(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids) of pieces: encoded together, with a separator between them."""
+        odd = pc.match_substring(pieces, _BETWEEN).to_numpy(zero_copy_only=False)
+        if len(self.between) != 1 or odd.any():
+            each = [self._library(p) for p in pieces.to_pylist()]
+            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+        ids, lengths = [], []
+        for first in range(0, len(pieces), 20_000):
+            part = self._library(f" {_BETWEEN} ".join(pieces.slice(first, 20_000).to_pylist()))
+            cut = part == self.between[0]
+            ends = np.flatnonzero(np.append(cut, True))
+            lengths.append(np.diff(ends, prepend=-1) - 1)
+            ids.append(part[~cut])
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _of_words(self, distinct: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct words, the number of each one's ids)."""
+        # punctuation after a plain letter is a piece of its own to the vocabulary
+        bare = pc.ascii_rtrim(distinct, characters=_TRAILING)
+        size, whole = (pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (bare, distinct))
+        offsets, data = raw(bare)
+        last = np.zeros(len(bare), np.uint8)
+        last[size > 0] = data[offsets[1:][size > 0] - 1]
+        cut = (size < whole) & _PLAIN[last]
+        stems = pc.if_else(pa.array(cut), bare, distinct)
+        stems = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
+        offsets, data = raw(distinct)
+        rests = pa.array([data[a:b].tobytes().decode() for a, b in zip((offsets[:-1] + size)[cut].tolist(),
+                                                                       offsets[1:][cut].tolist())], pa.string())
+        coded = pa.concat_arrays([stems, rests]).dictionary_encode()
+        at = self.pieces.find(coded.dictionary, self._learnt)[coded.indices.to_numpy()]
+        # a word is its stem and, where there is one, its rest
+        second = np.cumsum(cut) - 1
+        order = np.argsort(np.concatenate([2 * np.arange(len(distinct)), 2 * np.flatnonzero(cut) + 1]), kind="stable")
+        lengths = np.diff(self.pieces.begin)[at]
+        per_word = lengths[:len(distinct)].copy()
+        per_word[cut] += lengths[len(distinct):][second[cut]]
+        return self.pieces.ids[ranges(self.pieces.begin[at[order]], lengths[order])], per_word
 
     def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, the number of ids of each text with its end id)."""
         flat, offsets = words(texts, SPACED)
         encoded = flat.dictionary_encode()
-        per_word = self._of_words(encoded.dictionary.to_pylist())
+        pool, lengths = self._of_words(encoded.dictionary)
         at = encoded.indices.to_numpy()
-        size = self.dtype.itemsize
-        lengths = np.fromiter((len(x) // size for x in per_word), np.int64, len(per_word))
-        pool = np.frombuffer(b"".join(per_word), self.dtype)
         begin = np.concatenate([[0], np.cumsum(lengths)])
         own = lengths[at]
         before = np.concatenate([[0], np.cumsum(own)])
@@ -152,7 +190,9 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, id_col: str
     make_folder(folder)
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text") \
+    # an id that many rows repeat, or no id at all, is cut by the texts' beginnings and hashes
+    order = ["id", F.substring("text", 1, 32), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text") \
         .select("id", "text", F.spark_partition_id().alias("part"))
 
     def run(batches):
