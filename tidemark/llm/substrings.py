@@ -49,7 +49,7 @@ SHARES = 4096
 #: Windows in one row at most (a text that repeats one line has very long runs).
 RUN = 4096
 #: Text that is hashed at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 _BASE = 0xD1342543DE82EF95
 _U = np.uint64
 
@@ -249,7 +249,8 @@ def _applied(documents: DataFrame, id_col: str, text_col: str, window: int, gram
     spans = repeated_passages(documents, id_col, text_col, window, gram)
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"))
     rows = rows.select("_row", F.col("_row")[id_col].alias("id"), F.col("_row")[text_col].cast("string").alias("_text"))
-    return rows.withColumn("text_key", F.xxhash64("id", "_text")).join(spans, ["id", "text_key"], "left") \
+    # one plan at every size: the table of spans grows with the documents
+    return rows.withColumn("text_key", F.xxhash64("id", "_text")).join(spans.hint("merge"), ["id", "text_key"], "left") \
         .select("_row", F.col("id").alias("_id"), "_text",
                 F.coalesce("spans", F.array().cast(SPANS)).alias("_spans"))
 
