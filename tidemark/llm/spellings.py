@@ -49,9 +49,9 @@ TYPO = 199
 GROUP = 2048
 #: Rows of a tile, and cells of a comparison at once.
 TILE = 256
-CELLS = 4 << 20
+CELLS = 2 << 20
 #: Text that is counted at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
