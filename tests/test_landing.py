@@ -2,12 +2,15 @@
 
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
 from tidemark.operators import classify as C
 from tidemark.operators import outcomes
 from tidemark.operators.earliest import earliest_month
+from tidemark.session import shared_dir
 
 BOTH = '{"Note": "n", "Error Message": "e"}'
 CLASS_CASES = [
@@ -130,3 +133,22 @@ def test_keys(spark):
     assert (r.b, r.key, r.nb) == ("b", "k1/k2.csv", None)
     assert r.fs == "2025-12-17T10-00-00.123456+00-00" and r.fs0 == "2025-12-17T10-00-00+00-00"
     assert (r.e1, r.e2, r.e0) == ("a", "a | b", None)
+
+
+def test_a_body_is_parsed_once(spark, smoke_dir):
+    import __spark_entry__ as E
+    from tidemark.plans import recast as R
+    from tidemark.operators import classify as C
+    one = R.responses_from_events(spark.read.parquet(f"{smoke_dir}/events.parquet"))
+    for endpoint in (C.INTRADAY, C.SEARCH, C.MONTHLY):
+        plan = C.classify(one, endpoint)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1 and "from_json" not in plan
+    plan = E.queries()["earliest_month"](spark, smoke_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_landing_refuses_two_documents_of_a_key(spark):
+    from tidemark.sources import landing
+    docs = spark.createDataFrame([("a", "2024-01", "{}"), ("a", "2024-01", "[]")], "symbol string, month string, body string")
+    with pytest.raises(ValueError, match="one document per key"):
+        landing.land_raw(docs, shared_dir(spark, "t-twice"))

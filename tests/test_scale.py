@@ -1,14 +1,16 @@
 """Skew: a key holding a third of all rows.  Results against brute force on a
 small fixture, and the plan properties that keep the hot key off one task."""
 
+import datetime as dt
+import math
 import random
 from datetime import datetime, timedelta
-import math
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from tidemark.operators import outcomes, silver
+from tidemark.operators import gold, intraday, outcomes, silver
 
 
 def half_up(x, digits):
@@ -173,15 +175,42 @@ def test_bucketed_windows_with_repeated_timestamps(spark):
             assert abs(run[i] - cs) < 1e-9
 
 
-def test_choose_bucket_follows_density(spark):
-    from tidemark.operators import intraday
-    base = datetime(2025, 1, 1)
-    dense = spark.createDataFrame([("A", base + timedelta(seconds=15 * i)) for i in range(20000)],
-                                  "symbol string, ts timestamp")       # 240 rows an hour
-    sparse = spark.createDataFrame([("A", base + timedelta(hours=7 * i)) for i in range(2000)],
-                                   "symbol string, ts timestamp")      # ~3.4 rows a day
-    assert intraday.choose_bucket(dense, "symbol", "ts", 5) == "hour"
-    assert intraday.choose_bucket(sparse, "symbol", "ts", 5) == "month"
+def test_row_buckets_spread_a_hot_symbol(spark):
+    rows = [(i, "HOT" if i % 3 else f"s{i % 50}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=20 * i), float(i % 97))
+            for i in range(3000)] + [(-1, None, None, 1.0), (-2, "HOT", None, 2.0), (-3, None, dt.datetime(2024, 1, 1), 3.0)]
+    df = spark.createDataFrame(rows, "event_id int, symbol string, ts timestamp_ntz, price double")
+    bucketed = intraday.with_row_buckets(df, rows=100)
+    sizes = bucketed.groupBy("symbol", intraday.BUCKET).count().collect()
+    slot = df.groupBy("symbol", F.date_trunc("minute", "ts")).count().agg({"count": "max"}).first()[0]
+    assert max(r["count"] for r in sizes) < 100 + slot
+    assert sum(r.symbol == "HOT" for r in sizes) >= 2000 // (100 + slot)
+    assert sorted(map(str, bucketed.drop(intraday.BUCKET).collect())) == sorted(map(str, df.collect()))
+    # buckets follow one another in time
+    spans = bucketed.where("symbol = 'HOT' AND ts IS NOT NULL").groupBy(intraday.BUCKET) \
+        .agg(F.min("ts").alias("a"), F.max("ts").alias("b")).orderBy(intraday.BUCKET).collect()
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+    # the windows don't depend on the bucket size
+    def rolled(n):
+        out = intraday.in_row_buckets(df, lambda b, bucket: intraday.rolling_rows(
+            b, 4, "symbol", "ts", "price", bucket, "event_id"), rows=n)
+        return sorted(map(str, out.collect()))
+    assert rolled(7) == rolled(250) == rolled(10 ** 6)
+
+
+def test_open_and_close_do_not_depend_on_partitioning(spark):
+    at = dt.datetime(2024, 1, 1, 10)
+    rows = [(k, "S", at, float(p), 1) for k, p in ((3, 9), (1, 5), (2, 7))] + [(9, "S", at, 6.0, 1)]
+    seen = set()
+    for n in (1, 2, 3, 4):
+        df = spark.createDataFrame(rows, "event_id int, symbol string, ts timestamp_ntz, price double, volume bigint") \
+            .repartition(n, "price" if n % 2 else "event_id")
+        for tiebreak in ("event_id", None):
+            bar, = gold.ohlcv(df, "hour", tiebreak=tiebreak).collect()
+            day, = gold.daily_bars(df, tiebreak=tiebreak).collect()
+            session, = intraday.session_bars(df, 60, "symbol", "ts", "price", "volume", F.date_trunc("hour", "ts"),
+                                             tiebreak).collect()
+            seen.add((tiebreak, bar.open, bar.close, day.close, session.open, session.close))
+    assert seen == {("event_id", 5.0, 6.0, 6.0, 5.0, 6.0), (None, 5.0, 9.0, 9.0, 5.0, 9.0)}
 
 
 def test_bucketed_windows_keep_null_keys(spark):

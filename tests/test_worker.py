@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from tidemark.operators.worker import ingest_run
+from tidemark.operators.worker import ingest_run, last_attempts
 from tidemark.session import shared_dir
 from tidemark.sources.bronze import read_bronze
 
@@ -31,3 +31,24 @@ def test_ingest_run(spark):
     landed = sorted((r.symbol, r.month) for r in read_bronze(spark, path).collect())
     assert landed == [("AAA", "2025-01"), ("BBB", "2025-03")]  # ZZZ was not planned
     assert run.landed == {"total_requests": 4, "success_requests": 2, "error_requests": 2}
+
+
+def test_last_attempts_shuffle_no_body_that_decides_nothing(spark):
+    path = shared_dir(spark, "t-attempts")
+    rows = [("AAA", f"2025-0{m}", k, 200 if k == 3 else 503, "application/json", f"body {m} {k}", datetime(2025, m, k))
+            for m in range(1, 6) for k in (1, 2, 3)] + [("AAA", "2025-02", 4, 404, "text/html", "late page", datetime(2025, 2, 9))]
+    spark.createDataFrame(rows, "symbol string, month string, attempt_seq int, status_code int, content_type string, "
+                          "body string, requested_at timestamp").write.partitionBy("month").parquet(path)
+    attempts = spark.read.parquet(path)
+    tasks = spark.createDataFrame([("AAA", "2025-02"), ("AAA", "2025-03")], "symbol string, month string")
+    final = last_attempts(attempts, tasks, "2025-02", "2025-04")
+    got = {r.month: (r.attempt_seq, r.status_code, r.body, r.n_attempts) for r in final.collect()}
+    assert got == {"2025-02": (4, 404, None, 4), "2025-03": (3, 200, "body 3 3", 3)}
+    again = last_attempts(attempts, tasks, "2025-02", "2025-04")
+    plan = again._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in again._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert all("PartitionFilters: [isnotnull(month" in line and "2025-02" in line for line in scans), scans
+    assert sum("body" in line for line in scans) == 1  # and that one reads accepted responses alone
+    assert all("status_code" in line.split("PushedFilters")[1] for line in scans if "body" in line)
+    packed = [line for line in plan.splitlines() if "max(struct" in line]
+    assert packed and not any("body" in line for line in packed)

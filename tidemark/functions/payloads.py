@@ -1,10 +1,10 @@
-"""Vendor payload checks on raw body text.
+"""Vendor payload checks on landed bodies.
 
-Validity is tested with ``try_parse_json`` (strict JSON: single quotes, NaN
-and repeated keys refused).  The parser stops after the first value, so the body
-is parsed as a member of an object with a second member behind it: text after
-the value breaks that object or gives it other keys.  Key presence is key
-presence: ``{"Note": null}`` has the key ``Note``.
+A body is parsed once, into a VARIANT (``document``); its kind, keys and series are read
+from that column.  Validity is strict JSON: single quotes, NaN and repeated keys are
+refused.  The parser stops after the first value, so the body is parsed as a member of an
+object with a second member behind it: text after the value breaks that object or gives
+it other keys.  Key presence is key presence: ``{"Note": null}`` has the key ``Note``.
 """
 
 from __future__ import annotations
@@ -23,30 +23,35 @@ RETRIABLE_STATUS = (429, 500, 502, 503, 504)
 JSON_CONTENT_TYPE = "application/json"
 
 
-def json_kind(body) -> Column:
-    """'object' / 'array' / 'scalar' for valid JSON, NULL for invalid text."""
-    b = col_of(body)
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), b, F.lit(',"end":0}')))
-    schema = F.schema_of_variant(wrapped)  # keys are sorted in it
-    inner = F.regexp_extract(schema, r"^OBJECT<end: BIGINT, v: (\w+)", 1)
-    keys = F.json_object_keys(F.concat(F.lit('{"v":'), b, F.lit(',"end":0}')))
-    whole = (F.try_variant_get(wrapped, "$.end", "int") == 0) & (F.size(keys) == 2)
-    return (F.when(schema.isNull() | ~F.coalesce(whole, F.lit(False)), F.lit(None))
-            .when(inner == "OBJECT", F.lit("object")).when(inner == "ARRAY", F.lit("array"))
-            .otherwise(F.lit("scalar")))
+def document(body) -> Column:
+    """The parsed body as the member ``v`` of a VARIANT object; NULL if it isn't one JSON value."""
+    return F.try_parse_json(F.concat(F.lit('{"v":'), col_of(body), F.lit(',"end":0}')))
 
 
-def top_level_map(body) -> Column:
-    """Top-level object as ``map<string,string>`` (nested values stay JSON text)."""
-    return F.from_json(col_of(body), "map<string,string>", {"allowSingleQuotes": "false"})
+def json_kind(doc, body) -> Column:
+    """'object' / 'array' / 'scalar' for a parsed body, NULL for invalid text."""
+    members = F.map_keys(F.try_variant_get(col_of(doc), "$", "map<string,variant>"))
+    first = F.substring(F.ltrim(col_of(body), F.lit(" \t\r\n")), 1, 1)
+    return F.when(F.size(members) == 2, F.when(first == "{", F.lit("object")).when(first == "[", F.lit("array"))
+                  .otherwise(F.lit("scalar")))
 
 
-def has_key(body, key: str) -> Column:
-    return F.coalesce(F.map_contains_key(top_level_map(body), F.lit(key)), F.lit(False))
+def _path(key: str) -> str:
+    return f"$.v['{key}']"
 
 
-def key_text(body, key: str) -> Column:
-    return F.element_at(top_level_map(body), F.lit(key))
+def has_key(doc, key: str) -> Column:
+    return F.try_variant_get(col_of(doc), _path(key), "variant").isNotNull()
+
+
+def key_text(doc, key: str) -> Column:
+    """The member as text (nested values as JSON text); NULL for a JSON null."""
+    return F.try_variant_get(col_of(doc), _path(key), "string")
+
+
+def key_names(doc, key: str) -> Column:
+    """The keys of a member that is an object; NULL for any other."""
+    return F.map_keys(F.try_variant_get(col_of(doc), _path(key), "map<string,variant>"))
 
 
 def is_success_status(status) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import months as M
 from tidemark.operators import planner
-from tidemark.operators.classify import MONTHLY, SEARCH, classify
+from tidemark.operators.classify import DOCUMENT, MONTHLY, SEARCH, classify
 from tidemark.operators.earliest import earliest_columns
 from tidemark.operators.worker import RunResult, ingest_run
 from tidemark.sources.bronze import append_snapshots
@@ -82,9 +82,9 @@ def monthly_job(responses: DataFrame, snapshot_path: str | None = None) -> DataF
     requested_at)``: classified (``Error Message`` before ``Note``); accepted
     payloads appended under ``symbol=`` (S6, S8) and the earliest month of each
     response (G6) alongside, computed on the same rows (no join)."""
-    out = classify(responses, MONTHLY)
+    out = classify(responses, MONTHLY, keep_document=True)
     if snapshot_path:
         append_snapshots(out.where(F.col("ok")).select("symbol", "body", F.col("requested_at")
                                                        .alias("ingested_at")), snapshot_path, "symbol")
-    month, _, error = earliest_columns("body")
-    return out.withColumn("earliest_month", month).withColumn("earliest_error", error)
+    month, _, error = earliest_columns()
+    return out.withColumn("earliest_month", month).withColumn("earliest_error", error).drop(DOCUMENT)

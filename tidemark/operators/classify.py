@@ -49,10 +49,12 @@ CLASSES = ("transport", "http_status", "content_type", "invalid_json", "not_obje
            "note", "error_message", "ok")
 
 
-def _chain(endpoint: str, status: Column, ctype: Column, kind: Column, top: Column):
+DOCUMENT = "_document"
+
+
+def _chain(endpoint: str, status: Column, ctype: Column, kind: Column, doc: Column):
     msg = MESSAGES[endpoint]
-    note = F.coalesce(F.map_contains_key(top, F.lit(P.NOTE_KEY)), F.lit(False))
-    err = F.coalesce(F.map_contains_key(top, F.lit(P.ERROR_KEY)), F.lit(False))
+    note, err = P.has_key(doc, P.NOTE_KEY), P.has_key(doc, P.ERROR_KEY)
     first, second = ((err, "error_message"), (note, "note")) \
         if endpoint == MONTHLY else ((note, "note"), (err, "error_message"))
     cls = (F.when(status.isNull(), F.lit("transport"))
@@ -69,24 +71,26 @@ def _chain(endpoint: str, status: Column, ctype: Column, kind: Column, top: Colu
         "content_type": F.lit(msg["content_type"]),
         "invalid_json": F.lit(msg["invalid_json"]),
         "not_object": F.lit(NOT_OBJECT_MESSAGE),
-        "note": F.element_at(top, F.lit(P.NOTE_KEY)),
-        "error_message": F.element_at(top, F.lit(P.ERROR_KEY)),
+        "note": P.key_text(doc, P.NOTE_KEY),
+        "error_message": P.key_text(doc, P.ERROR_KEY),
     }
     return cls, text
 
 
 def classify(df: DataFrame, endpoint: str, status_col: str = "status_code",
              content_type_col: str = "content_type", body_col: str = "body",
-             diagnostics: bool = True) -> DataFrame:
-    """Add ``error_class, ok, error, retriable`` (and ``body_head`` for failures)."""
+             diagnostics: bool = True, keep_document: bool = False) -> DataFrame:
+    """Add ``error_class, ok, error, retriable`` (and ``body_head`` for failures).
+    ``keep_document`` keeps the parsed body, a VARIANT column ``_document``, for readers of
+    its other members."""
     if endpoint not in MESSAGES:
         raise ValueError(f"unknown endpoint {endpoint!r}")
     status, ctype, body = col_of(status_col), col_of(content_type_col), col_of(body_col)
-    # staged: each body is parsed once (only 2xx JSON responses are parsed at all)
+    # each body is parsed once (only 2xx JSON responses are parsed at all)
     parse = P.is_success_status(status) & P.is_json_content_type(ctype)
-    staged = (df.withColumn("_kind", F.when(parse, P.json_kind(body)))
-              .withColumn("_top", F.when(F.col("_kind") == "object", P.top_level_map(body))))
-    cls, text = _chain(endpoint, status, ctype, F.col("_kind"), F.col("_top"))
+    staged = (df.withColumn(DOCUMENT, F.when(parse, P.document(body)))
+              .withColumn("_kind", P.json_kind(DOCUMENT, body)))
+    cls, text = _chain(endpoint, status, ctype, F.col("_kind"), F.col(DOCUMENT))
     out = staged.withColumn("error_class", cls)
     c = F.col("error_class")
     err = F.lit(None).cast("string")
@@ -97,4 +101,4 @@ def classify(df: DataFrame, endpoint: str, status_col: str = "status_code",
            .withColumn("retriable", P.is_retriable(status)))
     if diagnostics:
         out = out.withColumn("body_head", F.when(c != "ok", clip(body)))
-    return out.drop("_kind", "_top")
+    return out.drop("_kind") if keep_document else out.drop("_kind", DOCUMENT)

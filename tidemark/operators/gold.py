@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_away
+from tidemark.operators.distribution import PERCENTILES, distribution, value_range
 from tidemark.operators.joins import join_dimension
 
 # Outputs are rounded so that engines agreeing up to summation order agree
@@ -36,13 +37,22 @@ def _rm(c: Column) -> Column:
 
 # --------------------------------------------------------------------- bars
 
+def trade_order(ts: str, price: str, tiebreak: str | None = None) -> Column:
+    """What open and close are the first and last of: time, then the trade's own number.
+    Without one, trades of one time are ordered by price, so that the result never depends
+    on how the rows are partitioned."""
+    return F.struct(ts, *([tiebreak] if tiebreak else []), price)
+
+
 def ohlcv(bars: DataFrame, grain: str, symbol: str = "symbol", ts: str = "ts", price: str = "price",
-          volume: str = "volume") -> DataFrame:
-    """OHLCV per (symbol, bar_start) at ``grain`` ('minute', 'hour', 'day', 'month', ...)."""
+          volume: str = "volume", tiebreak: str | None = None) -> DataFrame:
+    """OHLCV per (symbol, bar_start) at ``grain`` ('minute', 'hour', 'day', 'month', ...);
+    open and close in ``trade_order``."""
     start = F.date_trunc(grain, F.col(ts)).cast(bars.schema[ts].dataType)
+    order = trade_order(ts, price, tiebreak)
     return (bars.groupBy(symbol, start.alias("bar_start"))
-            .agg(F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
-                 F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
+            .agg(F.min_by(price, order).alias("open"), F.max(price).alias("high"),
+                 F.min(price).alias("low"), F.max_by(price, order).alias("close"),
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades")))
 
 
@@ -59,10 +69,10 @@ def vwap(bars: DataFrame, grain: str = "day", symbol: str = "symbol", ts: str =
 
 
 def daily_bars(bars: DataFrame, symbol: str = "symbol", ts: str = "ts", price: str = "price",
-               volume: str = "volume") -> DataFrame:
+               volume: str = "volume", tiebreak: str | None = None) -> DataFrame:
     """Daily close / volume per symbol and trade date (base of the windows)."""
     return (bars.groupBy(symbol, F.to_date(ts).alias("trade_date"))
-            .agg(F.max_by(price, ts).alias("close"), F.sum(volume).alias("volume")))
+            .agg(F.max_by(price, trade_order(ts, price, tiebreak)).alias("close"), F.sum(volume).alias("volume")))
 
 
 def _w(symbol: str) -> Window:
@@ -147,15 +157,36 @@ def vol_regime(daily: DataFrame, short: int = 3, long: int = 10, symbol: str = "
 def cross_rank(daily_ret: DataFrame, group: str = "category", symbol: str = "symbol",
                col: str = "ret", buckets: int = 4) -> DataFrame:
     """Rank of each symbol's value within its (day, group), equal values
-    with equal ranks; the quartile breaks ties by symbol.  Groups are bounded by
-    the number of symbols of a group, not by the data volume."""
-    w = Window.partitionBy("trade_date", group).orderBy(F.col(col).desc())
-    total = Window.partitionBy("trade_date", group).orderBy(F.col(col).desc(), F.col(symbol))
-    base = daily_ret.where(F.col(col).isNotNull())
-    return base.select("trade_date", group, symbol, col,
-                       F.rank().over(w).alias("rnk"),
-                       _r(F.percent_rank().over(w)).alias("pct_rank"),
-                       F.ntile(buckets).over(total).alias("quartile"))
+    with equal ranks; the quartile breaks ties by symbol.
+
+    Ranks are counted in two levels: how many values of the (day, group) lie in each value
+    range, summed up over the ranges, and the rank inside the range.  A group of any size is
+    spread over as many tasks as its values have ranges."""
+    keys = ["trade_date", group]
+    base = daily_ret.where(F.col(col).isNotNull()).select("trade_date", group, symbol, col,
+                                                         value_range(F.col(col)).alias("_range"))
+    counts = base.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_own")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*[f"_{k}" for k in keys])
+    above = whole.orderBy(F.col("_own").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bounds = counts.select(*[f"_{k}" for k in keys], "_own", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"),
+                           F.sum("_n").over(whole).alias("_all"))
+    same = F.col("_range") == F.col("_own")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = Window.partitionBy(*keys, "_range")
+    by_value = inside.orderBy(F.col(col).desc())
+    placed = base.join(bounds, same).select(
+        "*", (F.col("_above") + F.rank().over(by_value)).cast("int").alias("rnk"),
+        (F.col("_above") + F.row_number().over(inside.orderBy(F.col(col).desc(), F.col(symbol))) - 1).alias("_place"))
+    # tiles: the first (all % buckets) hold one row more than the others
+    each, more = F.floor(F.col("_all") / buckets), F.col("_all") % buckets
+    large = more * (each + 1)
+    tile = F.when(F.col("_place") < large, F.floor(F.col("_place") / (each + 1))) \
+        .otherwise(more + F.floor((F.col("_place") - large) / F.greatest(each, F.lit(1))))
+    percent = F.when(F.col("_all") > 1, (F.col("rnk") - 1) / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    return placed.select("trade_date", group, symbol, col, "rnk", _r(percent).alias("pct_rank"),
+                         (tile + 1).cast("int").alias("quartile"))
 
 
 def top_movers(daily_ret: DataFrame, k: int = 3, symbol: str = "symbol", col: str = "ret") -> DataFrame:
@@ -171,29 +202,15 @@ def top_movers(daily_ret: DataFrame, k: int = 3, symbol: str = "symbol", col: st
 # ---------------------------------------------------------- distributions
 
 def dist_features(bars: DataFrame, symbol: str = "symbol", col: str = "price") -> DataFrame:
-    """Moments (population skewness / excess kurtosis from central moments),
-    the lower median and the distinct count, all exact: medians come from the
-    histogram (symbol, value) -> count, which is also the grain of the distinct
-    count."""
-    x = F.col(col)
-    moments = bars.groupBy(symbol).agg(
-        F.count(x).alias("n"), F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_std"),
-        F.stddev_pop(x).alias("_sdp"), F.skewness(x).alias("_skew"), F.kurtosis(x).alias("_kurt"),
-        F.min(x).alias("min_value"), F.max(x).alias("max_value"))
-    histogram = bars.where(x.isNotNull()).groupBy(symbol, x.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(symbol).orderBy("_value")
-    total = Window.partitionBy(symbol)
-    ranked = histogram.select(symbol, "_value", F.sum("_n").over(order).alias("_upto"),
-                              F.sum("_n").over(total).alias("_all"))
-    middle = ranked.groupBy(F.col(symbol).alias("_symbol")).agg(
-        F.min(F.when(2 * F.col("_upto") >= F.col("_all"), F.col("_value"))).alias("median"),
-        F.count(F.lit(1)).alias("n_distinct"))
-    agg = moments.join(middle, F.col(symbol).eqNullSafe(F.col("_symbol")), "left")
-    nz = F.col("_sdp") > 0
-    return agg.select(symbol, "n", _rm(F.col("_mean")).alias("mean"), _r(F.col("_std")).alias("stddev"),
-                      F.when(nz, _r(F.col("_skew"))).alias("skewness"),
-                      F.when(nz, _r(F.col("_kurt"))).alias("kurtosis"), "min_value", "max_value", "median",
-                      F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
+    """G12 over all time, one row per symbol: see ``distribution``."""
+    return distribution(bars, [symbol], col)
+
+
+def period_features(bars: DataFrame, grain: str = "month", symbol: str = "symbol", ts: str = "ts",
+                    col: str = "price") -> DataFrame:
+    """G12 by period: the exact features and percentiles per (symbol, period)."""
+    period = F.to_date(F.date_trunc(grain, F.col(ts))).alias("period")
+    return distribution(bars.select(symbol, period, col), [symbol, "period"], col, PERCENTILES)
 
 
 def market_index(daily_ret: DataFrame, col: str = "ret") -> DataFrame:
@@ -211,17 +228,52 @@ def benchmark_from_symbols(daily_ret: DataFrame, benchmarks: DataFrame, symbol:
 
 def benchmark_beta(daily_ret: DataFrame, benchmark: DataFrame, symbol: str = "symbol",
                    col: str = "ret", min_days: int = 3) -> DataFrame:
-    """Correlation and beta of each symbol to a benchmark series on
-    equal trade dates; NULL for a symbol with fewer than ``min_days`` of them."""
-    j = (daily_ret.where(F.col(col).isNotNull())
-         .join(benchmark.where(F.col("mkt_ret").isNotNull()), "trade_date"))
-    agg = j.groupBy(symbol).agg(F.count(F.lit(1)).alias("n_days"),
-                                F.corr(col, "mkt_ret").alias("_corr"),
-                                F.covar_samp(col, "mkt_ret").alias("_cov"),
-                                F.var_samp("mkt_ret").alias("_var"))
-    enough = F.col("n_days") >= min_days
-    return agg.select(symbol, "n_days", F.when(enough, _r(F.col("_corr"))).alias("correlation"),
-                      F.when(enough & (F.col("_var") > 0), _r(F.col("_cov") / F.col("_var"))).alias("beta"))
+    """Correlation and beta of each symbol to a benchmark series on equal trade
+    dates.  Every symbol has a row: with fewer than ``min_days`` such dates both are NULL,
+    and without spread in the returns so is what would divide by it."""
+    return co_features(comoments(daily_ret, benchmark, None, symbol, col), [symbol], min_days)
+
+
+#: Decimal digits of returns in co-moment sums, which makes them exact in any order.
+STATE_DIGITS = 9
+
+
+def comoments(daily_ret: DataFrame, benchmark: DataFrame, grain: str | None = "month", symbol: str = "symbol",
+              col: str = "ret") -> DataFrame:
+    """G13 states per symbol (and period): the number of days on which both series have a
+    return, their sums, squares, products and extremes.  States add up: any months make a
+    year and any years a range, without another pass over the days."""
+    digits = f"decimal(18,{STATE_DIGITS})"
+    both = F.col(col).isNotNull() & F.col("mkt_ret").isNotNull()
+    x = F.when(both, F.col(col).cast(digits))
+    y = F.when(both, round_half_away(F.col("mkt_ret"), STATE_DIGITS).cast(digits))
+    period = [] if grain is None else [F.to_date(F.date_trunc(grain, "trade_date")).alias("period")]
+    return (daily_ret.join(benchmark.select("trade_date", "mkt_ret"), "trade_date", "left")
+            .select(symbol, *period, x.alias("_x"), y.alias("_y"))
+            .groupBy(symbol, *["period"] * len(period))
+            .agg(F.count("_x").alias("n"), F.sum("_x").alias("sx"), F.sum("_y").alias("sy"),
+                 *[F.sum((F.col(a) * F.col(b)).cast("decimal(38,18)")).alias(name)
+                   for a, b, name in (("_x", "_x", "sxx"), ("_y", "_y", "syy"), ("_x", "_y", "sxy"))],
+                 F.min("_x").alias("x_low"), F.max("_x").alias("x_high"),
+                 F.min("_y").alias("y_low"), F.max("_y").alias("y_high")))
+
+
+def merge_comoments(states: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Co-moment states of coarser groups."""
+    return states.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+                                     *[F.min(c).alias(c) for c in ("x_low", "y_low")],
+                                     *[F.max(c).alias(c) for c in ("x_high", "y_high")])
+
+
+def co_features(states: DataFrame, keys: Sequence[str], min_days: int = 3) -> DataFrame:
+    """``n_days``, ``correlation`` and ``beta`` of co-moment states."""
+    n, sx, sy, sxx, syy, sxy = (F.col(c).cast("double") for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
+    cov, var_x, var_y = n * sxy - sx * sy, n * sxx - sx * sx, n * syy - sy * sy
+    beta = (F.col("n") >= min_days) & (F.col("y_low") < F.col("y_high"))
+    correlation = beta & (F.col("x_low") < F.col("x_high"))
+    return states.select(*keys, F.col("n").alias("n_days"),
+                         F.when(correlation, _r(cov / F.sqrt(var_x) / F.sqrt(var_y))).alias("correlation"),
+                         F.when(beta, _r(cov / var_y)).alias("beta"))
 
 
 def against_benchmark(bars: DataFrame, benchmark: DataFrame, symbol: str = "symbol", ts: str = "bar_start",

@@ -1,5 +1,5 @@
-"""Exact rolling windows over raw (intraday) bars without per-symbol partitions
-(W2, W3 at bar level).
+"""Exact windows over raw (intraday) bars without per-symbol partitions
+(W1-W5, W7 and sessions at bar level).
 
 A window partitioned by symbol alone puts a symbol's whole history in one
 task.  Here windows are partitioned by (symbol, time bucket); each bucket is
@@ -14,9 +14,11 @@ given a *halo* — copies of the rows that precede it and fall inside the frame
 * time-span frame: with buckets at least as long as the span, the halo of a
   bucket is the rows of the preceding bucket within ``span`` of its start.
 
-Window partitions hold one bucket plus a bounded halo, whatever the symbol's
-share of the data.  Row order is (ts, ``tiebreak``): pass a tie-breaker (a
-trade sequence) when timestamps repeat within a symbol.
+``with_row_buckets`` cuts every symbol into buckets of about equally many rows, from
+counts per time slot, so window partitions hold a bounded number of rows plus a bounded
+halo, whatever the symbol's share of the data; any ascending function of the time may
+serve as well.  Row order is (ts, ``tiebreak``): pass a tie-breaker (a trade sequence)
+when timestamps repeat within a symbol.
 """
 
 from __future__ import annotations
@@ -27,11 +29,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_away
+from tidemark.operators.gold import trade_order
 
 ROUND_MEAN = 9
 ROUND = 6
 
 
+#: Rows of a bucket: a window partition that sorts in memory.
+BUCKET_ROWS = 50_000
+BUCKET = "_rows_bucket"
+
+
+def with_row_buckets(df: DataFrame, symbol: str = "symbol", ts: str = "ts", rows: int = BUCKET_ROWS,
+                     slot: str = "minute") -> DataFrame:
+    """``df`` with ``_rows_bucket``: consecutive time slots of a symbol, ``rows`` rows in all and
+    less than one slot's rows beyond that.  The slots' counts are a partial aggregate, and
+    their prefix sums a window over one row per slot; rows find their bucket by
+    (symbol, slot), so that no key of the join holds more than a slot.  A NULL time is a
+    slot of its own, before all others."""
+    if rows < 1:
+        raise ValueError("rows must be >= 1")
+    slotted = df.withColumn("_slot", F.date_trunc(slot, F.col(ts)))
+    counts = slotted.groupBy(F.col(symbol).alias("_symbol"), F.col("_slot").alias("_at")) \
+        .agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("_symbol").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    bounds = counts.select("_symbol", "_at",
+                           F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0)) / rows).cast("bigint").alias(BUCKET))
+    same = F.col(symbol).eqNullSafe(F.col("_symbol")) & F.col("_slot").eqNullSafe(F.col("_at"))
+    return slotted.join(bounds, same).select(*df.columns, BUCKET)
+
+
+def in_row_buckets(df: DataFrame, run: Callable[[DataFrame, Column], DataFrame], symbol: str = "symbol", ts: str = "ts",
+                   rows: int = BUCKET_ROWS, slot: str = "minute") -> DataFrame:
+    """``run(df, bucket)`` over row-balanced buckets, without the bucket column in its result."""
+    return run(with_row_buckets(df, symbol, ts, rows, slot), F.col(BUCKET)).drop(BUCKET)
+
+
 def _order(ts: str, tiebreak: str | None, desc: bool = False) -> list[Column]:
     cols = [ts] + ([tiebreak] if tiebreak else [])
     return [F.col(c).desc() if desc else F.col(c) for c in cols]
@@ -221,34 +254,11 @@ def session_bars(df: DataFrame, gap_seconds: int, symbol: str, ts: str, price: s
                                               1).otherwise(0))
                .where(~F.col("_halo")).select(*df.columns, "_new"))
     numbered = running(flagged, symbol, ts, "_new", bucket, "sum", tiebreak)
+    order = trade_order(ts, price, tiebreak)
     return (numbered.groupBy(symbol, F.col("running_sum").alias("_session"))
             .agg(F.min(ts).alias("session_start"),
                  (F.max(ts) + F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")).alias("session_end"),
-                 F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
-                 F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
+                 F.min_by(price, order).alias("open"), F.max(price).alias("high"),
+                 F.min(price).alias("low"), F.max_by(price, order).alias("close"),
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades"))
             .drop("_session"))
-
-
-GRANULARITIES = ("hour", "day", "week", "month", "year")
-
-
-def choose_bucket(df: DataFrame, symbol: str, ts: str, n: int, overhead: float = 0.25,
-                  sample_rows: int = 200_000, seed: int = 7) -> str:
-    """Finest time granularity whose median (symbol, bucket) holds enough rows
-    that the halo of an ``n``-bar frame (at most ``(n - 1)^2`` rows) is at most
-    ``overhead`` of the bucket.  Decided on a bounded, seeded sample; the
-    sampled counts are scaled back by the sampling fraction."""
-    total = df.count()
-    if total == 0:
-        return "day"
-    fraction = min(1.0, sample_rows / total)
-    sample = df.select(symbol, ts).sample(False, fraction, seed=seed) if fraction < 1 else df.select(symbol, ts)
-    need = max(1.0, (n - 1) ** 2 / overhead)
-    medians = sample.select(*[F.date_trunc(g, ts).alias(g) for g in GRANULARITIES], symbol)
-    for g in GRANULARITIES:
-        per = medians.groupBy(symbol, g).agg(F.count(F.lit(1)).alias("c"))
-        med = per.agg(F.percentile_approx("c", 0.5)).first()[0]
-        if med is not None and med / fraction >= need:
-            return g
-    return GRANULARITIES[-1]

@@ -19,7 +19,7 @@ from tidemark.functions import months as M
 from tidemark.operators import classify as classify_op
 from tidemark.operators import completeness as completeness_op
 from tidemark.operators import earliest as earliest_op
-from tidemark.operators import gold, intraday, outcomes, planner, worker
+from tidemark.operators import distribution, gold, intraday, outcomes, planner, worker
 from tidemark.operators import search as search_op
 from tidemark.operators import silver as silver_op
 from tidemark.operators.ordering import with_file_order
@@ -29,6 +29,7 @@ from tidemark.sources import bronze, dimension, landing
 from tidemark.sources import silver as silver_sink
 from tidemark.sources.tables import load
 from tidemark.streaming import ingest as streaming
+from tidemark.streaming import live, sink, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -245,10 +246,9 @@ def bronze_rewrite(spark: SparkSession, d: str) -> DataFrame:
     # the two sinks of the reference: a local copy and the object store
     targets = {"local": f"{root}/local", "s3": f"{root}/s3"}
     keys = ("symbol", "day")
-    bronze.save_bronze(docs.where(F.col("day") <= FIRST_RUN_LAST_DAY).withColumn("run", F.lit(1)),
-                       targets, keys)
-    bronze.save_bronze(docs.where(F.col("day") >= SECOND_RUN_FIRST_DAY).withColumn("run", F.lit(2)),
-                       targets, keys)
+    for run, rows in ((1, docs.where(F.col("day") <= FIRST_RUN_LAST_DAY)),
+                      (2, docs.where(F.col("day") >= SECOND_RUN_FIRST_DAY))):
+        bronze.require_saved(bronze.save_bronze(rows.withColumn("run", F.lit(run)), targets, keys))
     return bronze.read_bronze(spark, targets["s3"]).select("event_id", "symbol", "day", "run")
 
 
@@ -337,7 +337,7 @@ def completeness(spark: SparkSession, d: str) -> DataFrame:
 # --------------------------------------------------------------------- gold
 
 def _daily(spark, d):
-    return gold.daily_bars(R.bars(spark, d))
+    return gold.daily_bars(R.bars(spark, d), tiebreak="event_id")
 
 
 def _daily_ret(spark, d):
@@ -346,12 +346,12 @@ def _daily_ret(spark, d):
 
 @register("ohlcv_hourly")
 def ohlcv_hourly(spark: SparkSession, d: str) -> DataFrame:
-    return gold.ohlcv(R.bars(spark, d), "hour")
+    return gold.ohlcv(R.bars(spark, d), "hour", tiebreak="event_id")
 
 
 @register("ohlcv_daily")
 def ohlcv_daily(spark: SparkSession, d: str) -> DataFrame:
-    return gold.ohlcv(R.bars(spark, d), "day")
+    return gold.ohlcv(R.bars(spark, d), "day", tiebreak="event_id")
 
 
 @register("vwap_daily")
@@ -406,12 +406,58 @@ def dist_features(spark: SparkSession, d: str) -> DataFrame:
     return gold.dist_features(R.bars(spark, d))
 
 
+@register("dist_monthly")
+def dist_monthly(spark: SparkSession, d: str) -> DataFrame:
+    """G12 by period: exact features and percentiles per (symbol, month)."""
+    return gold.period_features(R.bars(spark, d), "month").withColumnRenamed("period", "month")
+
+
+def _sketch_months(spark, d):
+    days = distribution.day_sketches(R.bars(spark, d))
+    return distribution.merge_sketches(days, ["symbol", F.to_date(F.date_trunc("month", "trade_date")).alias("month")])
+
+
+@register("dist_sketches")
+def dist_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """G12 by period from mergeable sketches: day sketches merged to months, each held
+    against the exact values of its (symbol, month): whether percentiles and distinct
+    counts keep to the stated errors."""
+    sketches = _sketch_months(spark, d)
+    features = distribution.sketch_features(sketches)
+    bars = R.bars(spark, d).select("symbol", F.to_date(F.date_trunc("month", "ts")).alias("month"), "price")
+    return distribution.sketch_errors(bars, features, ["symbol", "month"], "price")
+
+
+@register("dist_sketches_yearly")
+def dist_sketches_yearly(spark: SparkSession, d: str) -> DataFrame:
+    """The month sketches merged once more, to years: counts add up as the bars do."""
+    years = distribution.merge_sketches(_sketch_months(spark, d),
+                                        ["symbol", F.year("month").cast("bigint").alias("year")])
+    features = distribution.sketch_features(years, {"p00": 0, "p100": 100})
+    return features.select("symbol", "year", "n", F.col("p00").alias("min_value"), F.col("p100").alias("max_value"))
+
+
 @register("benchmark_beta")
 def benchmark_beta(spark: SparkSession, d: str) -> DataFrame:
+    """One row per symbol, with returns or without."""
     r = _daily_ret(spark, d)
     return gold.benchmark_beta(r, gold.market_index(r))
 
 
+@register("benchmark_beta_periods")
+def benchmark_beta_periods(spark: SparkSession, d: str) -> DataFrame:
+    """G13 by period: monthly co-moment states, and the years and all time merged from them."""
+    r = _daily_ret(spark, d)
+    states = gold.comoments(r, gold.market_index(r), "month")
+    monthly = gold.co_features(states, ["symbol", "period"]).withColumn("grain", F.lit("month"))
+    yearly = gold.merge_comoments(states, ["symbol", F.to_date(F.date_trunc("year", "period")).alias("period")])
+    yearly = gold.co_features(yearly, ["symbol", "period"]).withColumn("grain", F.lit("year"))
+    ever = gold.co_features(gold.merge_comoments(states, ["symbol"]), ["symbol"]) \
+        .withColumn("period", F.lit(None).cast("date")).withColumn("grain", F.lit("all"))
+    return monthly.unionByName(yearly).unionByName(ever).select("symbol", "grain", "period", "n_days", "correlation",
+                                                                "beta")
+
+
 @register("enriched_bars")
 def enriched_bars(spark: SparkSession, d: str) -> DataFrame:
     e = gold.enrich(R.bars(spark, d), R.categories(spark, d), "symbol", "left")
@@ -427,7 +473,7 @@ def metrics_cube(spark: SparkSession, d: str) -> DataFrame:
 @register("bars_against_benchmark")
 def bars_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
     """Hourly bars beside the bars of the benchmark symbol at the same hour."""
-    hourly = gold.ohlcv(R.bars(spark, d), "hour")
+    hourly = gold.ohlcv(R.bars(spark, d), "hour", tiebreak="event_id")
     return gold.against_benchmark(hourly, hourly.where(F.col("symbol") == BENCHMARK_SYMBOL))
 
 
@@ -534,9 +580,9 @@ def stream_ohlcv(spark: SparkSession, d: str) -> DataFrame:
     """Daily bars per symbol, closed windows only (append mode)."""
     streaming.use_rocksdb(spark)
     src = streaming.event_time(streaming.table_stream(spark, d, "events"))
-    bars = src.select(F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
+    bars = src.select("event_id", F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
                       F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
-    agg = streaming.bars_stream(bars, "1 day", delay=STREAM_DELAY)
+    agg = streaming.bars_stream(bars, "1 day", delay=STREAM_DELAY, tiebreak="event_id")
     out = agg.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                      "open", "high", "low", "close", "volume", "n_trades")
     root = streaming.run_available_now(out, "ohlcv")
@@ -577,7 +623,7 @@ def plan_summary(spark: SparkSession, d: str) -> DataFrame:
 @register("ohlcv_rollup")
 def ohlcv_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Daily bars built from hourly bars (must equal daily from base)."""
-    return gold.rollup_bars(gold.ohlcv(R.bars(spark, d), "hour"), "day")
+    return gold.rollup_bars(gold.ohlcv(R.bars(spark, d), "hour", tiebreak="event_id"), "day")
 
 
 SESSION_GAP = "30 minutes"
@@ -587,15 +633,35 @@ SESSION_GAP_SECONDS = 1800
 @register("ohlcv_sessions")
 def ohlcv_sessions(spark: SparkSession, d: str) -> DataFrame:
     """X4 (batch form of session windows): bars per 30-minute activity session,
-    numbered exactly over (symbol, week) partitions."""
-    b = R.bars(spark, d)
-    return intraday.session_bars(b, SESSION_GAP_SECONDS, "symbol", "ts", "price", "volume",
-                                 F.date_trunc("week", "ts"))
+    numbered exactly over row-balanced buckets."""
+    return intraday.in_row_buckets(R.bars(spark, d), lambda b, bucket: intraday.session_bars(
+        b, SESSION_GAP_SECONDS, "symbol", "ts", "price", "volume", bucket, "event_id"))
+
+
+def _late():
+    """Events that are first delivered with a provisional price, and then again."""
+    return F.dayofmonth("ts") > 15
+
+
+def _broken(events):
+    """Bars that are delivered once more with an invalid price."""
+    return events.where(F.col("event_id") % 50 == 0) \
+        .withColumn("value", (-F.abs("value") - 1).cast(events.schema["value"].dataType))
+
+
+def _first_delivery(spark, d, events):
+    value = F.when(_late(), F.col("value") + 1).otherwise(F.col("value"))
+    return streaming.table_stream(spark, d, "events").withColumn("value", value.cast(events.schema["value"].dataType))
+
+
+def _silver_columns(df):
+    return df.select("event_id", "symbol", "ts", *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+                     "volume", "trade_date", "month")
 
 
 @register("stream_silver")
 def stream_silver(spark: SparkSession, d: str) -> DataFrame:
-    """Stream -> Bronze per batch -> recompute the touched Silver years.
+    """Stream -> Bronze per batch -> recompute the touched Silver months.
 
     The first run delivers all events, those of a month's second half with a
     provisional price.  The second run delivers that half again, as it is, and
@@ -603,14 +669,10 @@ def stream_silver(spark: SparkSession, d: str) -> DataFrame:
     streaming.use_rocksdb(spark)
     root, again = shared_dir(spark, "stream-silver"), shared_dir(spark, "stream-silver-again")
     events = load(spark, d, "events")
-    late, broken = F.dayofmonth("ts") > 15, F.col("event_id") % 50 == 0
-    value = events.schema["value"].dataType
     events.limit(0).write.parquet(again)
 
     def deliveries():
-        first = streaming.table_stream(spark, d, "events") \
-            .withColumn("value", F.when(late, F.col("value") + 1).otherwise(F.col("value")).cast(value))
-        return first.unionByName(spark.readStream.schema(events.schema).parquet(again))
+        return _first_delivery(spark, d, events).unionByName(spark.readStream.schema(events.schema).parquet(again))
 
     def to_docs(b):
         return R.docs_from_events(b).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
@@ -619,14 +681,93 @@ def stream_silver(spark: SparkSession, d: str) -> DataFrame:
         return silver_op.normalize_bars(landed, keep=["event_id", "batch_id"]).withColumn(
             "ts", F.col("ts").cast("timestamp_ntz"))
 
-    streaming.recompute_stream(deliveries(), root, to_docs, to_silver)
-    invalid = events.where(broken).withColumn("value", (-F.abs("value") - 1).cast(value))
-    events.where(late).unionByName(invalid).write.mode("append").parquet(again)
-    streaming.recompute_stream(deliveries(), root, to_docs, to_silver)
+    streaming.recompute_stream(deliveries(), root, to_docs, to_silver, period="month")
+    events.where(_late()).unionByName(_broken(events)).write.mode("append").parquet(again)
+    streaming.recompute_stream(deliveries(), root, to_docs, to_silver, period="month")
+    return _silver_columns(spark.read.parquet(f"{root}/silver"))
+
+
+@register("stream_upsert")
+def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """X2 with keyed state: three overlapping deliveries, the newest valid version of each bar
+    upserted into Silver; equal to the recomputed form."""
+    streaming.use_rocksdb(spark)
+    root, again = shared_dir(spark, "stream-upsert"), shared_dir(spark, "stream-upsert-again")
+    events = load(spark, d, "events")
+    later = events.withColumn("version", F.lit(2))
+    later.limit(0).write.parquet(again)
+
+    def bars():
+        raw = _first_delivery(spark, d, events).withColumn("version", F.lit(1)) \
+            .unionByName(spark.readStream.schema(later.schema).parquet(again))
+        docs = R.docs_from_events(raw, keep=["version"])
+        valid, _ = silver_op.split_valid(silver_op.validate_bars(
+            silver_op.normalize_bars(docs, keep=["event_id", "version"]), day="trade_date"))
+        return valid.withColumnRenamed("ts", "event_ts").drop("year")
+
+    upsert.upsert_stream(bars(), root, "version")
+    for version, rows in ((2, events.where(_late())), (3, _broken(events))):
+        rows.withColumn("version", F.lit(version)).write.mode("append").parquet(again)
+        upsert.upsert_stream(bars(), root, "version")
     out = spark.read.parquet(f"{root}/silver")
-    return out.select("event_id", "symbol", "ts",
-                      *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
-                      "volume", "trade_date", "month")
+    return _silver_columns(out.withColumn("ts", F.col("event_ts").cast("timestamp_ntz")))
+
+
+@register("stream_summary")
+def stream_summary(spark: SparkSession, d: str) -> DataFrame:
+    """S11 live: the summary of a streaming ingest from its observed metrics."""
+    streaming.use_rocksdb(spark)
+    responses = R.responses_from_events(streaming.table_stream(spark, d, "events"))
+    root = shared_dir(spark, "stream-summary")
+    live.land_observed(classify_op.classify(responses, classify_op.INTRADAY, diagnostics=False), root)
+    return live.live_summary(spark, root)
+
+
+#: A target that no file system serves.
+UNREACHABLE = "nosuch://bucket/bronze"
+
+
+@register("stream_save_log")
+def stream_save_log(spark: SparkSession, d: str) -> DataFrame:
+    """S4 as a streaming sink: the log while one of two targets can't be reached, and after
+    what it missed has been written to it alone; with the rows that each target holds."""
+    streaming.use_rocksdb(spark)
+    root = shared_dir(spark, "stream-save")
+    docs = R.docs_from_events(streaming.table_stream(spark, d, "events")) \
+        .withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts")
+    targets = {"local": f"{root}/local", "s3": UNREACHABLE}
+
+    def state(phase, targets):
+        held = None
+        for name, path in targets.items():
+            if path != UNREACHABLE:
+                rows = bronze.read_bronze(spark, path).select(F.lit(name).alias("target"))
+                held = rows if held is None else held.unionByName(rows)
+        counts = held.groupBy("target").agg(F.count(F.lit(1)).alias("n_rows"))
+        log = sink.save_log(spark, root).groupBy("target").agg(F.bool_and("ok").alias("ok"))
+        return spark.createDataFrame(log.join(counts, "target", "left").select(  # two rows
+            F.lit(phase).alias("phase"), "target", "ok", F.coalesce("n_rows", F.lit(0)).alias("n_rows")).collect(),
+            "phase string, target string, ok boolean, n_rows bigint")
+
+    sink.save_stream(docs, targets, root)
+    before = state("run", targets)
+    targets["s3"] = f"{root}/s3"
+    sink.retry_failed(spark, targets, root)
+    return before.unionByName(state("retry", targets))
+
+
+@register("bronze_status_failed")
+def bronze_status_failed(spark: SparkSession, d: str) -> DataFrame:
+    """S4, the failing branch: one of two targets can't be reached; every key's status says
+    so, and the other target holds its documents."""
+    docs = R.event_docs(spark, d).select("event_id", "body", F.col("event_type").alias("symbol"),
+                                         F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    local = f"{shared_dir(spark, 'bronze-status-failed')}/local"
+    out = bronze.save_bronze(docs, {"local": local, "s3": UNREACHABLE}, ("symbol", "day"))
+    held = bronze.read_bronze(spark, local).groupBy("symbol", "day").agg(F.count("*").alias("n_local"))
+    return out.join(held, ["symbol", "day"], "left").select(
+        "symbol", "day", "ok", F.substring_index("error", ":", 1).alias("error"), F.col("local_uri").isNotNull().alias("in_local"),
+        F.col("s3_uri").isNotNull().alias("in_s3"), "n_local")
 
 
 @register("stream_sessions")
@@ -634,9 +775,9 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     """X4 (session form): activity-session bars, emitted once a session closes."""
     streaming.use_rocksdb(spark)
     src = streaming.event_time(streaming.table_stream(spark, d, "events"))
-    bars = src.select(F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
+    bars = src.select("event_id", F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
                       F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
-    agg = streaming.bars_stream(bars, session_gap=SESSION_GAP, delay=STREAM_DELAY)
+    agg = streaming.bars_stream(bars, session_gap=SESSION_GAP, delay=STREAM_DELAY, tiebreak="event_id")
     out = agg.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("session_start"),
                      F.col("w.end").cast("timestamp_ntz").alias("session_end"),
                      "open", "high", "low", "close", "volume", "n_trades")
@@ -669,53 +810,49 @@ ROLL_BARS = 5
 SPAN_SECONDS = 3600
 
 
-def _bucket():
-    """Halo-window bucket: sized to hold many more rows than the (n-1)^2
-    halo offers.  The test events are sparse (a few per symbol-day), so a
-    week; for one-minute bars a day (390 bars) is the natural choice."""
-    return F.date_trunc("week", "ts")
+def _trades(spark, d):
+    return R.bars(spark, d).select("event_id", "symbol", "ts", "price")
 
 
 @register("rolling_intraday")
 def rolling_intraday(spark: SparkSession, d: str) -> DataFrame:
-    """W2 over raw bars: last 5 bars per symbol, (symbol, week) partitions."""
-    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
-    return intraday.rolling_rows(b, ROLL_BARS, "symbol", "ts", "price", _bucket())
+    """W2 over raw bars: last 5 bars per symbol, in row-balanced buckets."""
+    return intraday.in_row_buckets(_trades(spark, d), lambda b, bucket: intraday.rolling_rows(
+        b, ROLL_BARS, "symbol", "ts", "price", bucket, "event_id"))
 
 
 @register("span_intraday")
 def span_intraday(spark: SparkSession, d: str) -> DataFrame:
     """W3 over raw bars: mean of the last hour per symbol, (symbol, day) partitions."""
-    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
-    return intraday.rolling_span(b, SPAN_SECONDS, "symbol", "ts", "price", 86400)
+    return intraday.rolling_span(_trades(spark, d), SPAN_SECONDS, "symbol", "ts", "price", 86400)
 
 
 @register("returns_intraday")
 def returns_intraday(spark: SparkSession, d: str) -> DataFrame:
-    """W1 over raw bars, (symbol, week) partitions with a one-bar halo."""
-    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
-    return intraday.returns(b, "symbol", "ts", "price", _bucket())
+    """W1 over raw bars, row-balanced buckets with a one-bar halo."""
+    return intraday.in_row_buckets(_trades(spark, d), lambda b, bucket: intraday.returns(
+        b, "symbol", "ts", "price", bucket, "event_id"))
 
 
 @register("drawdown_intraday")
 def drawdown_intraday(spark: SparkSession, d: str) -> DataFrame:
-    """W4 over raw bars: running peak by a two-level scan over (symbol, week)."""
-    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
-    return intraday.drawdown(b, "symbol", "ts", "price", _bucket())
+    """W4 over raw bars: running peak by a two-level scan over row-balanced buckets."""
+    return intraday.in_row_buckets(_trades(spark, d), lambda b, bucket: intraday.drawdown(
+        b, "symbol", "ts", "price", bucket, "event_id"))
 
 
 @register("zscore_intraday")
 def zscore_intraday(spark: SparkSession, d: str) -> DataFrame:
-    """W5 over raw bars: z-score to the last 5 bars, (symbol, week) partitions."""
-    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
-    return intraday.zscore(b, ROLL_BARS, "symbol", "ts", "price", _bucket())
+    """W5 over raw bars: z-score to the last 5 bars, in row-balanced buckets."""
+    return intraday.in_row_buckets(_trades(spark, d), lambda b, bucket: intraday.zscore(
+        b, ROLL_BARS, "symbol", "ts", "price", bucket, "event_id"))
 
 
 @register("vol_regime_intraday")
 def vol_regime_intraday(spark: SparkSession, d: str) -> DataFrame:
     """W7 over raw bars: 3-bar against 10-bar volatility of bar returns."""
-    b = R.bars(spark, d).select("event_id", "symbol", "ts", "price")
-    return intraday.vol_regime(b, 3, 10, "symbol", "ts", "price", _bucket())
+    return intraday.in_row_buckets(_trades(spark, d), lambda b, bucket: intraday.vol_regime(
+        b, 3, 10, "symbol", "ts", "price", bucket, "event_id"))
 
 
 @register("stream_sliding")
@@ -723,9 +860,9 @@ def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
     """X4 (sliding form): 1-day bars sliding every 12 hours, closed windows only."""
     streaming.use_rocksdb(spark)
     src = streaming.event_time(streaming.table_stream(spark, d, "events"))
-    bars = src.select(F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
+    bars = src.select("event_id", F.col("user_id").alias("symbol"), "event_ts", F.col("value").alias("price"),
                       F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
-    agg = streaming.bars_stream(bars, "1 day", "12 hours", delay=STREAM_DELAY)
+    agg = streaming.bars_stream(bars, "1 day", "12 hours", delay=STREAM_DELAY, tiebreak="event_id")
     out = agg.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                      "open", "high", "low", "close", "volume", "n_trades")
     root = streaming.run_available_now(out, "sliding")

@@ -375,7 +375,7 @@ bars AS (
     TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume
   FROM events),
 daily AS (
-  SELECT symbol, CAST(ts AS DATE) AS trade_date, arg_max(price, ts) AS close,
+  SELECT symbol, CAST(ts AS DATE) AS trade_date, last(price ORDER BY ts, event_id) AS close,
     CAST(sum(volume) AS BIGINT) AS volume
   FROM bars GROUP BY symbol, CAST(ts AS DATE)),
 ret AS (
@@ -389,8 +389,8 @@ ret AS (
 def _ohlcv(grain: str) -> str:
     return f"""
 WITH {_BARS}
-SELECT symbol, date_trunc('{grain}', ts) AS bar_start, arg_min(price, ts) AS open, max(price) AS high,
-  min(price) AS low, arg_max(price, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+SELECT symbol, date_trunc('{grain}', ts) AS bar_start, first(price ORDER BY ts, event_id) AS open, max(price) AS high,
+  min(price) AS low, last(price ORDER BY ts, event_id) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
 FROM bars GROUP BY symbol, date_trunc('{grain}', ts)
 """
 
@@ -510,19 +510,66 @@ SELECT a.symbol, a.n, round(a.mean, 9) AS mean, round(a.sd, 6) AS stddev,
 FROM a JOIN c ON c.symbol = a.symbol
 """
 
-ORACLE["benchmark_beta"] = f"""
+ORACLE["dist_monthly"] = f"""
 WITH {_BARS},
+b AS (SELECT symbol, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month, price FROM bars),
+m AS (SELECT symbol, month, avg(price) AS mu FROM b GROUP BY ALL),
+c AS (
+  SELECT b.symbol, b.month, avg(power(price - mu, 2)) AS m2, avg(power(price - mu, 3)) AS m3,
+    avg(power(price - mu, 4)) AS m4
+  FROM b JOIN m ON m.symbol = b.symbol AND m.month = b.month GROUP BY ALL),
+a AS (
+  SELECT symbol, month, count(price) AS n, avg(price) AS mean, stddev_samp(price) AS sd,
+    min(price) AS min_value, max(price) AS max_value, count(DISTINCT price) AS n_distinct,
+    quantile_disc(price, [0.05, 0.25, 0.5, 0.75, 0.95]) AS q
+  FROM b GROUP BY ALL)
+SELECT a.symbol, a.month, a.n, round(a.mean, 9) AS mean, round(a.sd, 6) AS stddev,
+  CASE WHEN a.min_value < a.max_value THEN round(c.m3 / power(c.m2, 1.5), 6) END AS skewness,
+  CASE WHEN a.min_value < a.max_value THEN round(c.m4 / (c.m2 * c.m2) - 3, 6) END AS kurtosis,
+  a.min_value, a.max_value, q[1] AS p05, q[2] AS p25, q[3] AS p50, q[4] AS p75, q[5] AS p95, a.n_distinct
+FROM a JOIN c ON c.symbol = a.symbol AND c.month = a.month
+"""
+
+ORACLE["dist_sketches"] = f"""
+WITH {_BARS}
+SELECT symbol, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month, count(price) AS n, true AS ranks_ok, true AS distinct_ok
+FROM bars GROUP BY ALL
+"""
+
+ORACLE["dist_sketches_yearly"] = f"""
+WITH {_BARS}
+SELECT symbol, year(ts) AS year, count(price) AS n, min(price) AS min_value, max(price) AS max_value
+FROM bars GROUP BY ALL
+"""
+
+_BETA = """
 mkt AS (SELECT trade_date, avg(ret) AS mkt_ret FROM ret WHERE ret IS NOT NULL GROUP BY trade_date),
 j AS (
-  SELECT r.symbol, r.ret, m.mkt_ret FROM ret r JOIN mkt m ON m.trade_date = r.trade_date
-  WHERE r.ret IS NOT NULL AND m.mkt_ret IS NOT NULL),
-a AS (
-  SELECT symbol, count(*) AS n_days, corr(ret, mkt_ret) AS co, covar_samp(ret, mkt_ret) AS cv,
-    var_samp(mkt_ret) AS va
-  FROM j GROUP BY symbol)
-SELECT symbol, n_days, CASE WHEN n_days >= 3 THEN round(co, 6) END AS correlation,
-  CASE WHEN n_days >= 3 AND va > 0 THEN round(cv / va, 6) END AS beta
-FROM a
+  SELECT r.symbol, r.trade_date, CASE WHEN m.mkt_ret IS NOT NULL THEN r.ret END AS x,
+    CASE WHEN r.ret IS NOT NULL THEN round(m.mkt_ret, 9) END AS y
+  FROM ret r LEFT JOIN mkt m ON m.trade_date = r.trade_date)
+"""
+
+
+def _beta(grain: str, period: str) -> str:
+    return f"""
+SELECT symbol, '{grain}' AS grain, {period} AS period, count(x) AS n_days,
+  CASE WHEN count(x) >= 3 AND min(x) < max(x) AND min(y) < max(y) THEN round(corr(x, y), 6) END AS correlation,
+  CASE WHEN count(x) >= 3 AND min(y) < max(y) THEN round(covar_samp(x, y) / var_samp(y), 6) END AS beta
+FROM j GROUP BY ALL
+"""
+
+
+ORACLE["benchmark_beta"] = f"""
+WITH {_BARS}, {_BETA}
+SELECT * EXCLUDE (grain, period) FROM ({_beta("all", "NULL")})
+"""
+
+ORACLE["benchmark_beta_periods"] = f"""
+WITH {_BARS}, {_BETA}
+{_beta("month", "CAST(date_trunc('month', trade_date) AS TIMESTAMP)")}
+UNION ALL {_beta("year", "CAST(date_trunc('year', trade_date) AS TIMESTAMP)")}
+UNION ALL {_beta("all", "CAST(NULL AS TIMESTAMP)")}
 """
 
 ORACLE["enriched_bars"] = f"""
@@ -571,8 +618,8 @@ SELECT event_id, user_id, ts, value FROM events
 
 ORACLE["stream_ohlcv"] = f"""
 WITH {_BARS}
-SELECT symbol, date_trunc('day', ts) AS window_start, arg_min(price, ts) AS open, max(price) AS high,
-  min(price) AS low, arg_max(price, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+SELECT symbol, date_trunc('day', ts) AS window_start, first(price ORDER BY ts, event_id) AS open, max(price) AS high,
+  min(price) AS low, last(price ORDER BY ts, event_id) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
 FROM bars
 GROUP BY symbol, date_trunc('day', ts)
 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
@@ -619,18 +666,55 @@ ORACLE["ohlcv_rollup"] = ORACLE["ohlcv_daily"]
 ORACLE["ohlcv_sessions"] = f"""
 WITH {_BARS},
 g AS (
-  SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY symbol ORDER BY ts) IS NULL
-                   OR ts > lag(ts) OVER (PARTITION BY symbol ORDER BY ts) + INTERVAL 30 MINUTE
+  SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY symbol ORDER BY ts, event_id) IS NULL
+                   OR ts > lag(ts) OVER (PARTITION BY symbol ORDER BY ts, event_id) + INTERVAL 30 MINUTE
                  THEN 1 ELSE 0 END AS new_session
   FROM bars),
-s AS (SELECT *, sum(new_session) OVER (PARTITION BY symbol ORDER BY ts) AS sid FROM g)
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY symbol ORDER BY ts, event_id) AS sid FROM g)
 SELECT symbol, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
-  arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close,
+  first(price ORDER BY ts, event_id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, event_id) AS close,
   CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
 FROM s GROUP BY symbol, sid
 """
 
-ORACLE["stream_silver"] = ORACLE["normalize_bars"]
+ORACLE["stream_silver"] = """
+WITH d AS (
+  SELECT 1 AS delivery, event_id, user_id, ts, props, CASE WHEN day(ts) > 15 THEN value + 1 ELSE value END AS price FROM events
+  UNION ALL SELECT 2, event_id, user_id, ts, props, value FROM events WHERE day(ts) > 15
+  UNION ALL SELECT 3, event_id, user_id, ts, props, -abs(value) - 1 FROM events WHERE event_id % 50 = 0),
+b AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume FROM d)
+SELECT event_id, user_id AS symbol, ts, round(price, 6) AS open, round(price, 6) AS high, round(price, 6) AS low,
+  round(price, 6) AS close, volume,
+  CAST(ts AS DATE) AS trade_date, strftime(ts, '%Y-%m') AS month
+FROM b WHERE price > 0 AND volume >= 0
+QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY delivery DESC, event_id DESC) = 1
+"""
+
+ORACLE["stream_upsert"] = ORACLE["stream_silver"]
+
+ORACLE["stream_summary"] = f"""
+WITH r AS ({ORACLE["stream_ingest"]}),
+s AS (SELECT count(*) AS total_requests, count(*) FILTER (WHERE ok) AS success_requests,
+    count(*) FILTER (WHERE NOT ok) AS error_requests FROM r),
+t AS (SELECT date_diff('microsecond', min(ts), max(ts)) / 1e6 AS duration_seconds FROM events)
+SELECT *, CASE WHEN duration_seconds > 0 THEN total_requests / duration_seconds * 60 ELSE 0.0 END AS requests_per_minute,
+  CASE WHEN total_requests > 0 THEN error_requests / total_requests ELSE 0.0 END AS failed_fraction
+FROM s, t
+"""
+
+ORACLE["stream_save_log"] = """
+WITH n AS (SELECT count(*) AS n FROM events)
+SELECT 'run' AS phase, 'local' AS target, true AS ok, n AS n_rows FROM n
+UNION ALL SELECT 'run', 's3', false, 0 FROM n
+UNION ALL SELECT 'retry', 'local', true, n FROM n
+UNION ALL SELECT 'retry', 's3', true, n FROM n
+"""
+
+ORACLE["bronze_status_failed"] = """
+SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d') AS day, false AS ok, 's3 save failed' AS error,
+  true AS in_local, false AS in_s3, count(*) AS n_local
+FROM events GROUP BY ALL
+"""
 
 ORACLE["stream_sessions"] = f"""
 SELECT * FROM ({ORACLE["ohlcv_sessions"]})
@@ -696,7 +780,7 @@ SELECT event_id, symbol, ts, price,
   CASE WHEN count(price) OVER w = 5 THEN min(price) OVER w END AS roll_min,
   CASE WHEN count(price) OVER w = 5 THEN max(price) OVER w END AS roll_max
 FROM bars
-WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
 """
 
 ORACLE["span_intraday"] = f"""
@@ -708,7 +792,7 @@ WINDOW w AS (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECE
 
 ORACLE["returns_intraday"] = f"""
 WITH {_BARS},
-p AS (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY ts) AS prev FROM bars)
+p AS (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY ts, event_id) AS prev FROM bars)
 SELECT event_id, symbol, ts, price,
   CASE WHEN prev > 0 THEN round(price / prev - 1, 6) END AS ret,
   CASE WHEN prev > 0 AND price > 0 THEN round(ln(price / prev), 6) END AS log_ret
@@ -717,7 +801,7 @@ FROM p
 
 ORACLE["drawdown_intraday"] = f"""
 WITH {_BARS},
-p AS (SELECT *, max(price) OVER (PARTITION BY symbol ORDER BY ts
+p AS (SELECT *, max(price) OVER (PARTITION BY symbol ORDER BY ts, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_peak FROM bars)
 SELECT event_id, symbol, ts, price, running_peak,
   CASE WHEN running_peak > 0 THEN round(price / running_peak - 1, 6) END AS drawdown
@@ -730,33 +814,33 @@ SELECT event_id, symbol, ts, price,
   CASE WHEN count(price) OVER w = 5 AND stddev_samp(price) OVER w > 0
        THEN round((price - avg(price) OVER w) / stddev_samp(price) OVER w, 6) END AS zscore
 FROM bars
-WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
 """
 
 ORACLE["vol_regime_intraday"] = f"""
 WITH {_BARS},
 r AS (
   SELECT *, CASE WHEN prev > 0 THEN round(price / prev - 1, 6) END AS ret
-  FROM (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY ts) AS prev FROM bars)),
+  FROM (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY ts, event_id) AS prev FROM bars)),
 v AS (
   SELECT event_id, symbol, ts, price, ret,
     CASE WHEN count(ret) OVER ws = 3 THEN round(stddev_samp(ret) OVER ws, 6) END AS short_vol,
     CASE WHEN count(ret) OVER wl = 10 THEN round(stddev_samp(ret) OVER wl, 6) END AS long_vol
   FROM r
-  WINDOW ws AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
-         wl AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+  WINDOW ws AS (PARTITION BY symbol ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+         wl AS (PARTITION BY symbol ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
 s AS (
   SELECT *, CASE WHEN short_vol IS NOT NULL AND long_vol IS NOT NULL THEN
     CASE WHEN short_vol > long_vol THEN 'high' ELSE 'normal' END END AS state
   FROM v),
 c AS (
   SELECT *, CASE WHEN state IS NULL THEN 0
-                 WHEN lag(state) OVER (PARTITION BY symbol ORDER BY ts) IS NULL THEN 1
-                 WHEN state <> lag(state) OVER (PARTITION BY symbol ORDER BY ts) THEN 1
+                 WHEN lag(state) OVER (PARTITION BY symbol ORDER BY ts, event_id) IS NULL THEN 1
+                 WHEN state <> lag(state) OVER (PARTITION BY symbol ORDER BY ts, event_id) THEN 1
                  ELSE 0 END AS chg
   FROM s)
 SELECT event_id, symbol, ts, price, ret, short_vol, long_vol, state,
-  CASE WHEN state IS NOT NULL THEN CAST(sum(chg) OVER (PARTITION BY symbol ORDER BY ts
+  CASE WHEN state IS NOT NULL THEN CAST(sum(chg) OVER (PARTITION BY symbol ORDER BY ts, event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END AS regime_id
 FROM c
 """
@@ -766,7 +850,8 @@ FROM c
 # ``catalog.days_as_timestamps``); the same columns are cast here.
 DAY_COLUMNS = {
     "retry_outcome": ["day"], "last_outcome": ["day"], "unresolved_pairs": ["day"],
-    "normalize_bars": ["trade_date"], "stream_silver": ["trade_date"], "returns": ["trade_date"],
+    "normalize_bars": ["trade_date"], "stream_silver": ["trade_date"], "stream_upsert": ["trade_date"],
+    "returns": ["trade_date"],
     "rolling_stats": ["trade_date"], "rolling_range": ["trade_date"], "drawdown": ["trade_date"],
     "zscore": ["trade_date"], "vol_regime": ["trade_date"], "cross_rank": ["trade_date"],
     "top_movers": ["trade_date"],
@@ -781,8 +866,8 @@ w AS (
   SELECT b.*, s.window_start
   FROM bars b, unnest([time_bucket(INTERVAL 12 HOUR, b.ts),
                        time_bucket(INTERVAL 12 HOUR, b.ts) - INTERVAL 12 HOUR]) AS s(window_start))
-SELECT symbol, window_start, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low,
-  arg_max(price, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
+SELECT symbol, window_start, first(price ORDER BY ts, event_id) AS open, max(price) AS high, min(price) AS low,
+  last(price ORDER BY ts, event_id) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n_trades
 FROM w
 GROUP BY symbol, window_start
 HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR

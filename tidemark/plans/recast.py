@@ -139,11 +139,11 @@ def event_docs(spark: SparkSession, data_dir: str) -> DataFrame:
     return docs_from_events(load(spark, data_dir, "events"))
 
 
-def docs_from_events(e: DataFrame) -> DataFrame:
+def docs_from_events(e: DataFrame, keep=()) -> DataFrame:
     from tidemark.operators.silver import bar_document
     price = F.col("value")
     volume = F.get_json_object("props", "$.k").try_cast("bigint")
-    return e.select(F.col("user_id").alias("symbol"), "event_id", "event_type", "ts",
+    return e.select(F.col("user_id").alias("symbol"), "event_id", "event_type", "ts", *keep,
                     bar_document(F.col("ts"), price, price, price, price, volume).alias("body"))
 
 

@@ -34,6 +34,12 @@ def write_bronze(df: DataFrame, path: str, partition_cols: Sequence[str] = ("sym
     write_partitioned(df, path, partition_cols, "overwrite")
 
 
+def failure_text(error: Exception) -> str:
+    """The first line that tells what went wrong (the bridge to the JVM puts one of its own before)."""
+    lines = [line.lstrip(": ") for line in str(error).splitlines() if line.strip()]
+    return next((x for x in lines if not x.startswith("An error occurred while calling")), type(error).__name__)[:200]
+
+
 def save_bronze(df: DataFrame, targets: Mapping[str, str],
                 partition_cols: Sequence[str] = ("symbol", "month")) -> DataFrame:
     """Write to every target, catching each failure; return the status of
@@ -50,7 +56,7 @@ def save_bronze(df: DataFrame, targets: Mapping[str, str],
                 write_bronze(df, path, partition_cols)
                 errors[name] = None
             except Exception as exc:  # noqa: BLE001 - reported as data, like the reference
-                errors[name] = f"{name} save failed: {str(exc).splitlines()[0][:200]}"
+                errors[name] = f"{name} save failed: {failure_text(exc)}"
     finally:
         if many:
             df.unpersist()
@@ -62,6 +68,13 @@ def save_bronze(df: DataFrame, targets: Mapping[str, str],
             .withColumn("ok", F.col("error").isNull()))
 
 
+def require_saved(status: DataFrame) -> None:
+    """Raise if the status of ``save_bronze`` names a failure."""
+    failed = status.where(~F.col("ok")).select("error").first()
+    if failed is not None:
+        raise RuntimeError(failed.error)
+
+
 def append_snapshots(df: DataFrame, path: str, partition_col: str,
                      ingested_at=None) -> None:
     """Append-only snapshots, partitioned by the request key."""

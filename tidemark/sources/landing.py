@@ -18,10 +18,14 @@ def land_raw(docs: DataFrame, path: str, partition_cols: Sequence[str] = ("symbo
              body_col: str = "body") -> None:
     """Write one raw document per key (dynamic overwrite of the touched keys).
 
-    Each key must carry exactly one document, as a vendor response does; the
-    text writer ends the file with one line separator.
+    Each key must carry exactly one document, as a vendor response does: a key with several
+    is refused before anything is written.  The text writer ends the file with one line
+    separator.
     """
     cols = list(partition_cols)
+    twice = docs.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").first()
+    if twice is not None:
+        raise ValueError(f"{twice['_n']} documents for {[twice[c] for c in cols]}: one document per key")
     (docs.select(*cols, body_col).repartition(*cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).text(path))
 

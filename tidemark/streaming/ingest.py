@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.gold import trade_order
 from tidemark.session import shared_dir
 from tidemark.sources.bronze import write_partitioned
 from tidemark.sources.tables import table_path
@@ -109,8 +110,9 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str = "event_ts",
 
 def bars_stream(stream: DataFrame, duration: str | None = None, slide: str | None = None,
                 symbol: str = "symbol", ts: str = "event_ts", price: str = "price", volume: str = "volume",
-                delay: str = "1 hour", session_gap: str | None = None) -> DataFrame:
-    """OHLCV per (window, symbol), emitted when the window closes.
+                delay: str = "1 hour", session_gap: str | None = None, tiebreak: str | None = None) -> DataFrame:
+    """OHLCV per (window, symbol), emitted when the window closes; open and close
+    are the first and last in ``trade_order``.
 
     Tumbling (``duration``), sliding (``duration`` + ``slide``) or session
     windows (``session_gap``).
@@ -119,10 +121,11 @@ def bars_stream(stream: DataFrame, duration: str | None = None, slide: str | Non
         win = F.session_window(ts, session_gap)
     else:
         win = F.window(ts, duration, slide) if slide else F.window(ts, duration)
+    order = trade_order(ts, price, tiebreak)
     return (stream.withWatermark(ts, delay)
             .groupBy(win.alias("w"), F.col(symbol))
-            .agg(F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
-                 F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
+            .agg(F.min_by(price, order).alias("open"), F.max(price).alias("high"),
+                 F.min(price).alias("low"), F.max_by(price, order).alias("close"),
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades")))
 
 
@@ -152,21 +155,30 @@ def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame]
     spark = stream.sparkSession
     width, fmt = (4, "yyyy") if period == "year" else (7, "yyyy-MM")
 
-    def checked(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def checked(bars: DataFrame) -> DataFrame:
         month, day = ("month" if "month" in bars.columns else None), ("trade_date" if "trade_date" in bars.columns else None)
-        return split_valid(validate_bars(bars, symbol_col, ts_col, month, day))
+        return validate_bars(bars, symbol_col, ts_col, month, day)
 
     def newest(bars: DataFrame) -> DataFrame:
-        return dedup_latest(checked(bars)[0], [symbol_col, ts_col], ["batch_id"] if "batch_id" in bars.columns else [])
+        valid, _ = split_valid(checked(bars))
+        return dedup_latest(valid, [symbol_col, ts_col], ["batch_id"] if "batch_id" in bars.columns else [])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        docs = to_docs(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        docs = to_docs(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
+        # its Silver rows are used twice: for the quarantine and for the periods they touch
+        silver = checked(to_silver(docs)).persist()
+        try:
+            recompute(docs, silver, batch_id)
+        finally:
+            silver.unpersist()
+            docs.unpersist()
+
+    def recompute(docs: DataFrame, silver: DataFrame, batch_id: int) -> None:
         write_partitioned(docs, f"{root}/bronze", [day_col, "batch_id"])
+        write_partitioned(split_valid(silver)[1].withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                          f"{root}/quarantine", ["batch_id"])
         # distinct periods of one micro-batch: a handful of values.  The Silver rows tell the
         # period: in another time zone it can differ from that of the batch's own stamps.
-        silver = to_silver(docs)
-        write_partitioned(checked(silver)[1].withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                          f"{root}/quarantine", ["batch_id"])
         day = "trade_date" if "trade_date" in silver.columns else ts_col
         touched = [r[0] for r in silver.select(F.date_format(day, fmt)).distinct().collect()
                    if r[0] is not None]
