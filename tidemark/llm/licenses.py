@@ -6,8 +6,9 @@ text minus place in the template).  Votes are counted per document, template and
 diagonal; diagonals of one template that lie closer than a fifth of its length
 are merged, which lets words be missing or added; a merged span is verified by
 the share of template words that its votes cover.  Each vote is verified by a
-second, independent hash of its words in the reverse order (96 bits in all).  Where spans of several templates overlap,
-those with the largest share stay.  A phrase whose runs all vote on one
+second, independent hash of its words in the reverse order (96 bits in all).  Where
+spans of several templates overlap, one gives its label: that with the largest share,
+then the longest and tightest one, then the first in the table.  A phrase whose runs all vote on one
 diagonal stands there word for word: these are the base places.
 
 The template table is a parameter; up to ``BROADCAST_RUNS`` runs are broadcast, so
@@ -15,7 +16,9 @@ that the join needs no shuffle of the documents and only votes are shuffled.  Al
 functions.
 
 Rows: one result row per row of the documents (repeated rows give equal
-results); a null text counts as empty; a null id stays null.
+results); a null text counts as empty; a null id stays null.  A text of any length is
+scanned whole.  An empty table gives an empty result.  Only the id and the text column are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -29,28 +32,73 @@ from tidemark.llm.store import stored
 GRAM = 3
 #: Phrases that must stand word for word, and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+# Wordings of common licenses, in the words that ``licenses`` sees, and their labels.
 #: Longer wordings that may differ in a few words.
 TEMPLATES = (
     ("released under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
      "documentation files", "mit"),
+    ("the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+     "of the software", "mit"),
+    ("the software is provided as is without warranty of any kind express or implied including but not limited to "
+     "the warranties of merchantability fitness for a particular purpose and noninfringement", "mit"),
     ("licensed under the apache license version 2 0", "apache-2"),
     ("you may not use this file except in compliance with the license", "apache-2"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
+    ("unless required by applicable law or agreed to in writing software distributed under the license is "
+     "distributed on an as is basis without warranties or conditions of any kind", "apache-2"),
     ("licensed under cc by 4 0", "cc-by"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
-    ("creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
-    ("creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd"),
+    ("licensed under cc by nc 4 0", "cc-by-nc"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd"),
     ("creative commons attribution 4 0 international license", "cc-by"),
+    ("creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("creative commons attribution noderivatives 4 0 international license", "cc-by-nd"),
+    ("creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
+    ("creative commons attribution noncommercial sharealike 4 0 international license", "cc-by-nc-sa"),
+    ("creative commons attribution noncommercial noderivatives 4 0 international license", "cc-by-nc-nd"),
+    ("creative commons cc0 1 0 universal public domain dedication", "cc0"),
     ("this work is licensed under the gnu general public license version 3", "gpl-3"),
     ("this work is licensed under the gnu general public license version 2", "gpl-2"),
+    ("distributed under the terms of the gnu general public license version 3", "gpl-3"),
+    ("distributed under the terms of the gnu general public license version 2", "gpl-2"),
+    ("under the terms of the gnu general public license as published by the free software foundation either "
+     "version 3 of the license or at your option any later version", "gpl-3"),
+    ("under the terms of the gnu general public license as published by the free software foundation either "
+     "version 2 of the license or at your option any later version", "gpl-2"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general "
      "public license", "gpl"),
+    ("under the terms of the gnu lesser general public license", "lgpl"),
+    ("under the terms of the gnu affero general public license", "agpl"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission", "bsd-3"),
+    ("bsd 3 clause license", "bsd-3"),
+    ("bsd 2 clause license", "bsd-2"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+     "granted", "isc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("distributed under the boost software license version 1 0", "bsl-1"),
+    ("spdx license identifier mit", "mit"),
+    ("spdx license identifier apache 2 0", "apache-2"),
+    ("spdx license identifier bsd 2 clause", "bsd-2"),
+    ("spdx license identifier bsd 3 clause", "bsd-3"),
+    ("spdx license identifier gpl 2 0", "gpl-2"),
+    ("spdx license identifier gpl 3 0", "gpl-3"),
+    ("spdx license identifier lgpl 2 1", "lgpl"),
+    ("spdx license identifier lgpl 3 0", "lgpl"),
+    ("spdx license identifier agpl 3 0", "agpl"),
+    ("spdx license identifier mpl 2 0", "mpl-2"),
+    ("spdx license identifier isc", "isc"),
+    ("spdx license identifier cc0 1 0", "cc0"),
+    ("spdx license identifier unlicense", "unlicense"),
+    ("spdx license identifier bsl 1 0", "bsl-1"),
 )
 MIN_SHARE = 0.75
+#: Templates of fewer words have none to spare: they must stand in full.
+FULL_BELOW = 8
 #: Template runs that may be broadcast (some 100 bytes each).
 BROADCAST_RUNS = 50_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,15 +166,18 @@ def license_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
         F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         F.col("places"), lambda p: F.sequence(p, p + GRAM - 1)))))
-    verified = merged.withColumn("share", covered / F.col("length")).where(F.col("share") >= min_share)
-    # of overlapping spans, those with the largest share
+    verified = merged.withColumn("share", covered / F.col("length")) \
+        .where((F.col("share") >= min_share) & ((F.col("length") >= FULL_BELOW) | (F.col("share") == 1)))
+    # of overlapping spans one: the largest share, then the longest and tightest, then the first template
+    merit = F.struct("share", "length", (F.col("start") - F.col("last")).alias("tight"), (-F.col("template")).alias("t"),
+                     (-F.col("start")).alias("s"))
     by_start = W.partitionBy("id", "text_hash").orderBy("start", "template", "span")
     before = by_start.rowsBetween(W.unboundedPreceding, -1)
     island = verified.withColumn("end", F.col("last") + F.col("length")) \
         .withColumn("fresh", F.when(F.col("start") < F.max("end").over(before), 0).otherwise(1)) \
         .withColumn("island", F.sum("fresh").over(by_start)) \
-        .withColumn("best", F.max("share").over(W.partitionBy("id", "text_hash", "island")))
-    close = island.where(F.col("share") == F.col("best")) \
+        .withColumn("merit", merit).withColumn("best", F.max("merit").over(W.partitionBy("id", "text_hash", "island")))
+    close = island.where(F.col("merit") == F.col("best")) \
         .select("id", "text_hash", "template", "label", "base", "start", "share")
     return base.union(close)
 
