@@ -15,12 +15,15 @@ move by key; the texts are joined once, by document, with the lines they lose.
 Rows: one result row per row of the documents (a null or empty text is one empty
 line; rows that repeat an id are one document).  A null id counts as larger than
 any other, and all rows with a null id as one document.  Lines whose key is
-shorter than ``min_chars`` always stay.  Extra columns are ignored by
-``line_dedup`` and carried along by ``without_repeated_lines``.
+shorter than ``min_chars`` always stay.  Ids may be numbers, texts or days: batches are
+ranges of their order.  Texts of any length are split whole.  An empty table gives an empty
+result.  Extra columns, whatever their names, are ignored by ``line_dedup`` and carried
+along by ``without_repeated_lines``.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,16 +106,28 @@ def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
                         F.xxhash64(F.length("key"), F.reverse("key")).alias("h2"))
 
 
+def _rank_of(ids: DataFrame) -> Column:
+    """A number that ascends with the id: the id itself or, for one that is no number, the
+    seven bytes of its text behind what the smallest and the largest id begin with alike."""
+    if isinstance(ids.schema["id"].dataType, T.NumericType):
+        return F.col("id")
+    ends = ids.agg(F.min("id").cast("string"), F.max("id").cast("string")).first()
+    shared = len(os.path.commonprefix([e.encode() for e in ends])) if ends[0] is not None else 0
+    part = F.substring(F.encode(F.col("id").cast("string"), "utf-8"), shared + 1, 7)
+    return F.conv(F.rpad(F.hex(part), 14, "0"), 16, 10).cast("bigint")
+
+
 def _batch_of(documents: DataFrame, batches: int) -> Column:
     """The batch of a row: ranges of ids of about equal numbers of rows, in ascending
-    order.  Ids that aren't numbers come in one batch."""
-    bounds = []
-    if batches > 1 and isinstance(documents.schema["id"].dataType, T.NumericType):
+    order.  Equal ids are in one batch."""
+    bounds, rank = [], F.lit(0)
+    if batches > 1:
+        rank = _rank_of(documents)
         shares = F.array(*(F.lit(k / batches) for k in range(1, batches)))
-        bounds = documents.agg(F.percentile_approx("id", shares, 1000)).first()[0] or []
+        bounds = documents.agg(F.percentile_approx(rank, shares, 1000)).first()[0] or []
     number = F.lit(0)
     for bound in sorted(set(bounds)):
-        number = number + F.when(F.col("id") > bound, 1).otherwise(0)
+        number = number + F.when(rank > bound, 1).otherwise(0)
     return F.when(F.col("id").isNull(), len(set(bounds))).otherwise(number)
 
 
@@ -122,14 +137,16 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, batches: int
     lines = stored(_lines(documents, min_chars).withColumn("id", F.col("owner.id"))
                    .withColumn("batch", _batch_of(documents, batches)).drop("id"), "line-hashes")
     store, lost = LineRuns(spark), None
-    for number in range(batches):
-        batch = lines.where(F.col("batch") == number)
-        own = store.add(batch.select(*HASH, "owner"))
-        kept = own.select(*HASH, F.struct(F.col("owner.unknown"), F.col("owner.id")).alias("owner"))
-        out = batch.join(kept.hint("merge"), [*HASH, "owner"], "left_anti").select("owner", "text_hash", "at")
-        lost = out if lost is None else lost.union(out)
-    lost = stored(lost, "lines-lost")
-    store.forget()
+    try:
+        for number in range(batches):
+            batch = lines.where(F.col("batch") == number)
+            own = store.add(batch.select(*HASH, "owner"))
+            kept = own.select(*HASH, F.struct(F.col("owner.unknown"), F.col("owner.id")).alias("owner"))
+            out = batch.join(kept.hint("merge"), [*HASH, "owner"], "left_anti").select("owner", "text_hash", "at")
+            lost = out if lost is None else lost.union(out)
+        lost = stored(lost, "lines-lost")
+    finally:
+        store.forget()
     places = lost.distinct().groupBy("owner", "text_hash").agg(F.sort_array(F.collect_list("at")).alias("dropped"))
     return places.select(F.col("owner.id").alias("id"), "text_hash", "dropped")
 
