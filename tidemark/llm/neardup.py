@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.store import ship_package, stored
+from tidemark.llm.store import looked_up, ship_package, stored
 from tidemark.llm.textblocks import SPACED_LOWER, blocks, hashes, mix, strings, words
 from tidemark.operators.ordering import with_row_index
 
@@ -282,22 +282,26 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components of each family, from the full sets."""
     id_type = families.schema["id"].dataType.simpleString()
-    members = families.join(labels.withColumnRenamed("node", "id"), "id", "left") \
-        .select("family", "id", F.coalesce("component", "id").alias("component"))
-    sized = members.groupBy("family", "component").agg(F.count("*").alias("n")) \
-        .groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                               F.count("*").alias("parts")).where("parts > 1").select("family", "largest")
-    members = members.join(sized, "family").withColumn("query", F.col("component") != F.col("largest")).join(sets, "id")
+    members = stored(families.join(labels.withColumnRenamed("node", "id"), "id", "left")
+                     .select("family", "id", F.coalesce("component", "id").alias("component")), "family-members")
+    total = members.count()
+    sized = stored(members.groupBy("family", "component").agg(F.count("*").alias("n"))
+                   .groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                          F.count("*").alias("parts"), F.sum("n").alias("rows"))
+                   .where("parts > 1").select("family", "largest", "rows"), "families")
+    members = looked_up(members, sized, ["family"], total) \
+        .withColumn("query", F.col("component") != F.col("largest")).join(sets, "id")
     members = stored(members.select("family", "id", "query", "set"), "family-sets")
     cut = members.groupBy("family", "query").agg(F.sum(F.size("set")).alias("total"), F.count("*").alias("n")) \
-        .select("family", "query", F.ceil(F.greatest(F.col("total") / FAMILY_BLOCK, F.col("n") / FAMILY_MEMBERS))
+        .select("family", "query", "n", F.ceil(F.greatest(F.col("total") / FAMILY_BLOCK, F.col("n") / FAMILY_MEMBERS))
                 .cast("int").alias("own"))
     each = [F.coalesce(F.max(F.when(side, F.col("own"))), F.lit(0)) for side in (F.col("query"), ~F.col("query"))]
-    cut = cut.groupBy("family").agg(each[0].alias("queries"), each[1].alias("others"))
+    cut = stored(cut.groupBy("family").agg(each[0].alias("queries"), each[1].alias("others"), F.sum("n").alias("rows")),
+                 "family-blocks")
     place = F.when(F.col("query"), F.pmod(F.hash("id"), "queries")) \
         .otherwise(F.col("queries") + F.pmod(F.hash("id"), "others"))
-    # dealt out by block, as the rows lie by family after the join: a family may hold a third of all rows
-    blocked = members.join(cut, "family") \
+    # dealt out by block: a family may hold a third of all rows
+    blocked = looked_up(members, cut, ["family"], total) \
         .select("family", "id", "set", "queries", (F.col("queries") + F.col("others")).alias("blocks"), place.alias("block")) \
         .repartition("family", "block").groupBy("family", "block", "queries", "blocks") \
         .agg(F.collect_list(F.struct("id", "set")).alias("members"))
@@ -317,8 +321,6 @@ def _family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
 
 
 _SET = ["digest_a", "digest_b", "n_shingles"]
-#: A class with more than this part of all rows is hot.
-SHARES = 1024
 
 
 class _Clusters:
@@ -389,17 +391,6 @@ def _once(rows: DataFrame, twice: DataFrame) -> DataFrame:
     return rows.join(twice, keys, "left_anti").unionByName(rows.join(twice, keys, "left_semi").dropDuplicates(keys))
 
 
-def _of_class(rows: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """``rows`` beside the ``component_id`` of their set's class.  Hot classes, fewer than
-    ``SHARES`` by their definition, are looked up where the rows lie; all other keys of the
-    join hold less than one part in ``SHARES`` of the rows."""
-    hot = classes.where(F.col("rows") * SHARES > total).select(*_SET, F.col("component_id").alias("_hot"))
-    tagged = rows.join(F.broadcast(hot), _SET, "left")
-    cold = tagged.where("_hot IS NULL").drop("_hot") \
-        .join(classes.where(F.col("rows") * SHARES <= total).select(*_SET, "component_id"), _SET)
-    return cold.unionByName(tagged.where("_hot IS NOT NULL").withColumnRenamed("_hot", "component_id"))
-
-
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: ``n_shingles``, ``component_id`` (the smallest id reachable over links of
@@ -412,7 +403,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     by_class = stored(classes.join(component, "node", "left")
                       .select(*_SET, "rows", F.coalesce("component_id", "id").alias("component_id")), "by-class")
     rows, filled = clusters.digests.select("id", *_SET), F.expr("n_shingles > 0 AND id IS NOT NULL")
-    out = _of_class(rows.where(filled), by_class, rows.count()).select("id", "n_shingles", "component_id")
+    out = looked_up(rows.where(filled), by_class, _SET, rows.count()).select("id", "n_shingles", "component_id")
     # an empty text shares the component of its id's other texts
     of_id = own.groupBy("id").agg(F.min("a").alias("node")).join(component, "node").select("id", "component_id")
     bare = rows.where(~filled).join(of_id, "id", "left") \

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import tidemark
 from tidemark.session import shared_dir
@@ -22,6 +23,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than this part of all rows is hot.
+SHARES = 1024
+
+
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """The ``rows`` (``total`` of them) that ``table`` has a row for, beside its columns.
+    ``table`` has one row per key, and in ``rows`` the number of rows that hold it.  Hot keys,
+    fewer than ``SHARES`` by their definition, are looked up where the rows lie; any other key
+    of the join holds less than one part in ``SHARES`` of the rows."""
+    hot = table.where(F.col("rows") * SHARES > total).drop("rows")
+    found = rows.join(F.broadcast(hot), keys)
+    cold = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    return cold.join(table.where(F.col("rows") * SHARES <= total).drop("rows"), keys).unionByName(found)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers once per application, wherever the
     driver runs from.  A package that already comes from an archive is left alone."""
