@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import locate, make_folder
-from tidemark.llm.store import ship_package, stored
+from tidemark.llm.store import looked_up, ship_package, stored
 
 MIN_REVISIT_BYTES = 1000
 DATE = "2025-01-01T00:00:00Z"
@@ -198,12 +198,17 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "utf-8").alias("payload")) \
         .withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
-    first = rows.where((F.col("size") >= min_bytes) & F.col("id").isNotNull()) \
-        .groupBy("digest", "size").agg(F.max("id").alias("response"))
-    marked = rows.join(first, ["digest", "size"], "left") \
-        .select("id", "url", "payload",
-                F.when(F.col("response").isNotNull() & ~F.col("response").eqNullSafe(F.col("id")), F.col("response"))
-                .alias("response"))
+    # a null id comes after all: it refers to its twin and is no one's
+    seen = stored(rows.where(F.col("size") >= min_bytes).groupBy("digest", "size")
+                  .agg(F.max("id").alias("response"), F.count("*").alias("rows"))
+                  .where("rows > 1 AND response IS NOT NULL"), "warc-twins")
+    total = seen.agg(F.sum("rows")).first()[0] or 0
+    candidates = rows.where(F.col("size") >= min_bytes)
+    twins = looked_up(candidates, seen, ["digest", "size"], total) \
+        .select("id", "url", "payload", F.when(~F.col("response").eqNullSafe(F.col("id")), F.col("response")).alias("response"))
+    alone = candidates.join(seen, ["digest", "size"], "left_anti").unionByName(rows.where(F.col("size") < min_bytes)) \
+        .select("id", "url", "payload", F.lit(None).cast(pages.schema[id_col].dataType).alias("response"))
+    marked = twins.unionByName(alone)
 
     def run(batches):
         fs, base = locate(folder)
