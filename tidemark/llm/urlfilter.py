@@ -4,17 +4,23 @@ Rules of host and path decide first (the longest that fits).  The rest is judged
 by two variable-order Markov models over the characters of host and path, one
 for accepted and one for rejected urls, smoothed by Witten-Bell interpolation:
 an order counts as far as the training urls hold its context, and gives way to
-the next lower one.  Training labels are the rules' verdicts and seed words;
-each distinct host and path counts once.  A url is blocked if the mean
-log-likelihood difference per character exceeds a threshold, calibrated on held
-out accepted urls so that at most ``false_blocks`` of them are blocked.
+the next lower one.  Rejected are the urls that a rule blocks or that hold a seed
+word; all others count as accepted, those that no rule and no seed word names too, so
+that at most ``false_blocks`` of these are blocked: urls of a new kind are found as far
+as they look like rejected ones and not like the others.  Each distinct host and path
+counts once.  A url is blocked if the mean log-likelihood difference per character
+exceeds a threshold, calibrated on held out accepted urls so that at most
+``false_blocks`` of them are blocked.
 
 The difference of each distinct n-gram is computed once, in a table of the
 distinct n-grams, and joined to the n-grams of the distinct urls.  Differences
 are whole millionths, so sums don't depend on the order of addition.
 
 Rows: one result row per row of the pages.  A null url, or one without ``://``,
-has an empty host and path, fits no rule, and is allowed.  A null id stays null.
+has an empty host and path, fits no rule, and is allowed.  A null id stays null.  Of
+rules of equal length that fit, a blocking one wins, then the first by host.  Urls of any
+length are scored whole.  An empty table gives an empty result.  Only the id and the url
+column are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.native import ascii_lower, let
-from tidemark.llm.store import stored
+from tidemark.llm.store import looked_up, stored
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
@@ -92,7 +98,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         .select("id", "host", "path", rule.alias("rule"), verdict.alias("ruled"),
                 F.concat("host", "path").alias("address"))
     seeded = F.lower("address").rlike("|".join(seeds)) if seeds else F.lit(False)
-    urls = rows.where("address != ''").groupBy("address").agg(F.max("ruled").alias("ruled"))
+    urls = rows.where("address != ''").groupBy("address").agg(F.max("ruled").alias("ruled"), F.count("*").alias("rows"))
+    sizes = stored(urls.select("address", "rows"), "url-sizes")
     rejected = F.coalesce(F.col("ruled") == "block", seeded)
     urls = urls.select("address", rejected.alias("reject"), (F.pmod(F.crc32("address"), F.lit(5)) == 0).alias("held"))
 
@@ -108,6 +115,10 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     "url-scores")
     limit = scores.where("held AND NOT reject").agg(F.percentile_approx("score", 1 - false_blocks, 10000)).first()[0]
     limit = 0.0 if limit is None else max(0.0, limit)
-    return rows.join(scores.select("address", "score"), "address", "left").select(
+    # pages without an address have no score; an address that very many share is looked up in place
+    total = sizes.agg(F.sum("rows")).first()[0] or 0
+    scored = looked_up(rows.where("address != ''"), scores.select("address", "score").join(sizes, "address"), ["address"], total)
+    bare = rows.where("address = ''").withColumn("score", F.lit(None).cast("double"))
+    return scored.unionByName(bare).select(
         F.col("id").alias(id_col), "host", "path", "rule", "score",
         F.coalesce("ruled", F.when(F.col("score") > limit, "block").otherwise("allow")).alias("verdict"))
