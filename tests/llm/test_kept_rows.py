@@ -123,6 +123,58 @@ def test_many_small_benchmark_files_equal_one(spark, monkeypatch):
     assert held[0] == (files.uris[-1], 10) and len(held[1].items) < 20
 
 
+# ---- licenses, urls, lines, pages ---------------------------------------------------
+
+def test_license_wordings_have_one_label_a_place(spark):
+    texts = {"Distributed under the terms of the GNU General Public License, version 3.": "gpl-3",
+             "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited "
+             "to the warranties of merchantability, fitness for a particular purpose and noninfringement.": "mit",
+             "BSD 3-Clause License": "bsd-3", "// SPDX-License-Identifier: MPL-2.0": "mpl-2",
+             "SPDX-License-Identifier: Zlib": "", "Licensed under CC BY-NC-SA 4.0": "cc-by-nc,cc-by-nc-sa",
+             "Licensed under CC BY-SA 4.0": "cc-by-sa", "SPDX-License-Identifier: MIT and SPDX-License-Identifier: ISC": "isc,mit",
+             "licensed under the Apache License, version 2.0": "apache-2", "": "", None: ""}
+    from tidemark.llm import licenses
+    out = licenses.licenses(docs(spark, [(k, t) for k, t in enumerate(texts)])).collect()
+    assert {r.doc_id: r.labels for r in out} == dict(enumerate(texts.values()))
+
+
+def test_lines_with_ids_that_are_no_numbers(spark):
+    from tidemark.llm import linededup
+    lines = [f"a line of text number {k}" for k in range(40)]
+    rnd = random.Random(12)
+    rows = [(f"doc-2024-{k:04d}", "\n".join(rnd.sample(lines, 8))) for k in range(120)]
+    table = spark.createDataFrame(rows + [(None, lines[0])], "doc_id string, text string").repartition(5)
+    seen, want = set(), {}
+    for i, text in sorted(rows):
+        own = [x for x in text.split("\n") if x not in seen]
+        seen |= set(own)
+        want[i] = (8, 8 - len(own), "\n".join(own))
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in linededup.line_dedup(table).collect()}
+    assert got == want | {None: (1, 1, "")}
+    counts = table.withColumnRenamed("doc_id", "id")
+    sizes = counts.groupBy(linededup._batch_of(counts, 4).alias("b")).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 45
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_hot_pages_and_addresses(spark):
+    from tidemark.llm import urlfilter, warc
+    urls = ["http://a.example.com/x"] * 900 + [None] * 700 + ["no address"] * 300 + [f"http://h{k}.org/p{k}" for k in range(100)]
+    pages = spark.createDataFrame([(k, u, "dup") for k, u in enumerate(urls)], "page_id bigint, url string, host string")
+    out = urlfilter.judge_urls(pages).collect()
+    assert sorted(r.page_id for r in out) == list(range(2000))
+    assert {r.verdict for r in out if r.host == ""} == {"allow"} and sum(r.host == "" for r in out) == 1000
+    assert len({(r.host, r.path, r.score, r.verdict) for r in out if r.host == "a.example.com"}) == 1
+    big = "z" * 1500
+    html = [big] * 500 + [""] * 400 + [None] * 100 + ["only " * 300 + str(k) for k in range(20)]
+    pages = spark.createDataFrame([(k if k % 50 else None, "http://h/", h) for k, h in enumerate(html)],
+                                  "page_id bigint, url string, html string").repartition(4)
+    folder = shared_dir(spark, "t-hot-warc")
+    got = warc.read_warc(spark, folder, warc.write_warc(pages, folder)).collect()
+    assert len(got) == len(html) and sum(r.record_type == "response" for r in got) == len(html) - 499
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {499}
+
+
 # ---- pipeline ---------------------------------------------------------------------
 
 def test_pipeline_of_odd_rows(spark, tmp_path):
