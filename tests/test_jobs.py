@@ -102,3 +102,15 @@ def test_cli_plan_and_worker(spark, dim_uri, tmp_path_factory):
     summary = spark.read.json(f"{folder}/run/summary").first()
     assert summary.total_symbols == 2 and summary.success_requests == 1
     assert spark.read.parquet(f"{folder}/bronze").count() == 1
+
+
+def test_clean_up_takes_the_blocks_folders_alone(spark):
+    import os
+    from tidemark.session import cleaned_up
+    before = shared_dir(spark, "t-before")
+    spark.range(3).write.parquet(before)
+    with pytest.raises(KeyError), cleaned_up(spark):
+        inside = shared_dir(spark, "t-inside")
+        spark.range(3).write.parquet(inside)
+        raise KeyError
+    assert not os.path.exists(inside) and spark.read.parquet(before).count() == 3

@@ -232,3 +232,9 @@ def test_bucketed_windows_keep_null_keys(spark):
     peak = {r.event_id: r.running_peak for r in intraday.drawdown(df, "symbol", "ts", "price", bucket, "event_id").collect()}
     full = w.rowsBetween(Window.unboundedPreceding, 0)
     assert peak == {r.event_id: r.m for r in df.withColumn("m", F.max("price").over(full)).collect()}
+
+
+def test_bucketed_bars_are_not_exchanged_again(spark, smoke_dir):
+    for name in ("ohlcv_bucketed", "enriched_bucketed"):
+        plan = E.queries()[name](spark, smoke_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan, name

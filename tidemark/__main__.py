@@ -16,7 +16,7 @@ import argparse
 import json
 
 from tidemark.jobs import plan_job, worker_job
-from tidemark.session import get_session
+from tidemark.session import cleaned_up, get_session
 
 
 def main(argv=None) -> None:
@@ -36,13 +36,14 @@ def main(argv=None) -> None:
     with open(args.event, encoding="utf-8") as fh:
         event = json.load(fh)
     spark = get_session()
-    if args.cmd == "plan":
-        plan_job(spark, event).write.mode("overwrite").json(args.out)
-    else:
-        attempts = spark.read.parquet(args.attempts)
-        run = worker_job(spark, event, attempts, bronze_path=args.bronze, as_of=args.as_of)
-        run.tasks.write.mode("overwrite").parquet(f"{args.out}/tasks")
-        run.summary.coalesce(1).write.mode("overwrite").json(f"{args.out}/summary")
+    with cleaned_up(spark):
+        if args.cmd == "plan":
+            plan_job(spark, event).write.mode("overwrite").json(args.out)
+        else:
+            attempts = spark.read.parquet(args.attempts)
+            run = worker_job(spark, event, attempts, bronze_path=args.bronze, as_of=args.as_of)
+            run.tasks.write.mode("overwrite").parquet(f"{args.out}/tasks")
+            run.summary.coalesce(1).write.mode("overwrite").json(f"{args.out}/summary")
 
 
 if __name__ == "__main__":

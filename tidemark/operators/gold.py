@@ -45,12 +45,13 @@ def trade_order(ts: str, price: str, tiebreak: str | None = None) -> Column:
 
 
 def ohlcv(bars: DataFrame, grain: str, symbol: str = "symbol", ts: str = "ts", price: str = "price",
-          volume: str = "volume", tiebreak: str | None = None) -> DataFrame:
+          volume: str = "volume", tiebreak: str | None = None, layout: Sequence[str] = ()) -> DataFrame:
     """OHLCV per (symbol, bar_start) at ``grain`` ('minute', 'hour', 'day', 'month', ...);
-    open and close in ``trade_order``."""
+    open and close in ``trade_order``.  ``layout`` names further columns that a table of bars
+    is bucketed by; they have to follow from symbol and period, and stay in the result."""
     start = F.date_trunc(grain, F.col(ts)).cast(bars.schema[ts].dataType)
     order = trade_order(ts, price, tiebreak)
-    return (bars.groupBy(symbol, start.alias("bar_start"))
+    return (bars.groupBy(symbol, *layout, start.alias("bar_start"))
             .agg(F.min_by(price, order).alias("open"), F.max(price).alias("high"),
                  F.min(price).alias("low"), F.max_by(price, order).alias("close"),
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades")))

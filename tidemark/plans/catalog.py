@@ -25,7 +25,7 @@ from tidemark.operators import silver as silver_op
 from tidemark.operators.ordering import with_file_order
 from tidemark.plans import recast as R
 from tidemark.session import shared_dir
-from tidemark.sources import bronze, dimension, landing
+from tidemark.sources import bronze, buckets, dimension, landing
 from tidemark.sources import silver as silver_sink
 from tidemark.sources.tables import load
 from tidemark.streaming import ingest as streaming
@@ -464,6 +464,25 @@ def enriched_bars(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", "symbol", "ts", "price", "volume", "category", "nation")
 
 
+def _bucketed_bars(spark, d):
+    return buckets.save_bucketed(buckets.with_month(R.bars(spark, d)), "bars", sort_cols=("ts",))
+
+
+@register("ohlcv_bucketed")
+def ohlcv_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """G10 over bars laid out by symbol and month: hourly bars without another exchange."""
+    return gold.ohlcv(_bucketed_bars(spark, d), "hour", tiebreak="event_id", layout=["month"]).drop("month")
+
+
+@register("enriched_bucketed")
+def enriched_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """J5 over bars laid out by symbol and month: joined bucket by bucket."""
+    bars = _bucketed_bars(spark, d)
+    dim = buckets.dimension_by_month(bars, R.categories(spark, d))
+    e = gold.enrich(bars, dim.hint("merge"), ["symbol", "month"], "left")
+    return e.select("event_id", "symbol", "ts", "price", "volume", "category", "nation")
+
+
 @register("metrics_cube")
 def metrics_cube(spark: SparkSession, d: str) -> DataFrame:
     e = gold.enrich(R.bars(spark, d), R.categories(spark, d), "symbol", "left")

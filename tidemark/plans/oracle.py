@@ -578,6 +578,9 @@ SELECT b.event_id, b.symbol, b.ts, b.price, b.volume, c.c_mktsegment AS category
 FROM bars b LEFT JOIN customer c ON c.c_custkey = b.symbol
 """
 
+ORACLE["ohlcv_bucketed"] = ORACLE["ohlcv_hourly"]
+ORACLE["enriched_bucketed"] = ORACLE["enriched_bars"]
+
 ORACLE["metrics_cube"] = f"""
 WITH {_BARS}
 SELECT c.c_mktsegment AS category, b.event_type, c.c_nationkey AS nation,

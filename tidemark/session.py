@@ -21,6 +21,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -100,10 +102,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+#: The folders that this process has asked for, in order.
+_made: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A fresh folder below the shared checkpoint folder, for rewrites and streams."""
     base = ensure_checkpoint_dir(spark)
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
-    if "://" in base:
-        return base.rstrip("/") + "/tidemark/" + leaf
-    return os.path.join(base, "tidemark", leaf)
+    path = base.rstrip("/") + "/tidemark/" + leaf if "://" in base else os.path.join(base, "tidemark", leaf)
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def cleaned_up(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the folders that were asked for inside the block.  For whole
+    jobs: results that were not written elsewhere read these folders."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[first:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del _made[first:]
