@@ -62,3 +62,13 @@ def test_month_spine_inclusive_and_empty(spark):
                                "s date, e date")
     out = df.select(F.size(F.coalesce(M.month_spine("s", "e"), F.array())).alias("n")).collect()
     assert [r.n for r in out] == [4, 0]
+
+
+def test_event_time_in_basic_form(spark):
+    same = {"20251217T100000Z": (10, 0, 0), "20251217T1000Z": (10, 0, 0), "20251217": (0, 0, 0), "20251217T100001": (10, 0, 1),
+            "20251217T110000+0100": (10, 0, 0), "20251217T110000+01:00": (10, 0, 0), "2025-12-17T11:00:00+0100": (10, 0, 0),
+            " 20251217T100000.5Z ": (10, 0, 0, 500000)}
+    refused = ["20251317T100000Z", "20251217T1000000Z", "2025121", "20251217T10Z0"]
+    df = spark.createDataFrame([(t,) for t in [*same, *refused]], "t string")
+    got = {r.t: r.ts for r in df.select("t", M.parse_event_time("t", F.lit(datetime(2000, 1, 1))).alias("ts")).collect()}
+    assert got == {t: datetime(2025, 12, 17, *at) for t, at in same.items()} | dict.fromkeys(refused)

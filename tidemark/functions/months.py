@@ -65,13 +65,23 @@ def prev_month(d) -> Column:
     return F.add_months(F.trunc(col_of(d), "MM"), -1)
 
 
+def _extended(s: Column) -> Column:
+    """ISO basic form (``20251217T100000Z``) in extended form; any other text as it is."""
+    day, zone = r"^(\d{4})(\d{2})(\d{2})", r"(Z|[+-]\d{2}:?\d{2})?$"
+    out = F.regexp_replace(s, day + "$", "$1-$2-$3")
+    out = F.regexp_replace(out, day + r"[T ](\d{2})(\d{2})" + zone, "$1-$2-$3T$4:$5:00$6")
+    out = F.regexp_replace(out, day + r"[T ](\d{2})(\d{2})(\d{2})(\.\d{1,6})?" + zone, "$1-$2-$3T$4:$5:$6$7$8")
+    return F.regexp_replace(out, r"(T[\d:.]+[+-]\d{2})(\d{2})$", "$1:$2")
+
+
 def parse_event_time(c, as_of) -> Column:
-    """blank or missing -> ``as_of``; a full ISO date(-time) -> UTC timestamp.
+    """blank or missing -> ``as_of``; a full ISO date(-time), in extended or basic form
+    -> UTC timestamp.
 
     Text that is not blank but does not parse gives NULL, which callers route
     to a rejects status instead of silently using ``as_of``.
     """
-    s = strip(c)
+    s = _extended(strip(c))
     parsed = F.when(s.rlike(EVENT_TIME_PATTERN), s.try_cast("timestamp"))  # 'Z' is a zone id
     return F.when(F.coalesce(s == F.lit(""), F.lit(True)), col_of(as_of)).otherwise(parsed)
 
