@@ -20,7 +20,9 @@ Rows: one result row per row of the documents; empty and null texts, and texts
 without a word, get the score of an empty window.  Labels that are null, or of
 held-out or unknown documents, are not used; of repeated labels of a document the
 largest counts.  A null id stays null and is not held out.  Without any label of
-either class the score is the share of toxic labels (0 without labels).
+either class the score is the share of toxic labels (0 without labels).  An empty table
+gives an empty result.  Only the columns named by the parameters are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from tidemark.llm.textblocks import ALNUM, blocks, hashes, mix, raw, strings, wo
 WINDOW, STRIDE = 32, 16
 #: Labelled documents per class to learn from, and windows of a clean document.
 SAMPLE, CLEAN_WINDOWS = 1500, 6
+#: The longest text to learn from: with SAMPLE, the bound of what the driver holds.
+TRAIN_BYTES = 1 << 18
 BUCKET_BITS, EMBEDDED, HIDDEN = 18, 4, 8
 GRAMS = (4, 5)
 ROUNDS, STEPS, BATCH, RATE = 3, 150, 64, 0.01
@@ -393,7 +397,8 @@ def held_out(id_col: str):
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from up to ``sample`` labelled documents of each class that aren't held out;
-    an id with several rows is learned from its smallest text."""
+    an id with several rows is learned from its smallest text, and texts of more than
+    ``TRAIN_BYTES`` teach nothing (they are scored whole, like any other)."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")) \
         .where("id IS NOT NULL AND label IS NOT NULL").where(~held_out("id")) \
         .groupBy("id").agg(F.max("label").cast("int").alias("label"))
@@ -405,7 +410,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         part = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")) \
+        .where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES).join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")) \
         .orderBy(F.xxhash64("id"), "id").collect()  # 2 * sample rows
     return Model([r["text"] or "" for r in rows], [r["label"] for r in rows], prior)
 
