@@ -3,20 +3,24 @@
 A merge-type (BPE) model segments a text by an agenda: of all neighbouring
 symbols that together are a piece, the best-scored pair (the leftmost on a tie)
 is merged first.  Merge-dropout skips a candidate when it comes up; here a keyed
-hash of (seed, variant, both pieces, place in the unit) decides, so an encoding
-can be repeated anywhere, and other seeds give other segmentations of the same
-text.  A unit is a word with the white space before it; no piece of the model
-crosses a unit's border, so units are segmented on their own.  The variant, one
-of ``variants``, is a hash of the document's id and the unit's place.  Each
-distinct (unit, variant) of a block is segmented once: the agendas of all of
-them run side by side in numpy, one candidate per round each.
+hash of (seed, document, place in the text, both pieces, place in the unit) decides, so
+an encoding can be repeated anywhere, other seeds give other segmentations of the same
+text, and every occurrence of a word is decided for itself.  A unit is a word with the
+white space before it; no piece of the model crosses a unit's border, so units are
+segmented on their own.  The agendas of all distinct units of a block run side by side
+in numpy, one candidate per round each.  All occurrences of a unit begin with one form;
+where a candidate comes up, those that skip it part from those that merge, so that
+occurrences share a form, and its work, as long as they have decided alike.
 
 Decoding gives every text back byte for byte, whatever was skipped: characters
 without a piece become byte pieces, and so does a literal U+2581, which the
 model itself would give back as a space.
 
 Rows: one result row per row of the documents.  A null text counts as empty and
-has no pieces.  A null id is hashed as the empty text.
+has no pieces.  A null id is hashed as the empty text.  Rows that repeat id and text are
+encoded alike.  A text of any length is encoded whole; a run without white space of over
+``_LONG`` characters is segmented on its own.  An empty table gives an empty result.  Only
+the id and the text column are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -34,10 +38,11 @@ from pyspark.sql import types as T
 from tidemark.llm.store import ship_package
 from tidemark.llm.textblocks import blocks, from_raw, hashes, mix, ranges, raw, strings
 
-SEED, DROPOUT, VARIANTS = 20_240, 0.1, 8
+SEED, DROPOUT = 20_240, 0.1
 SPACE = "▁"
 _NONE = np.int64(2**62)
-_CHUNK, _LONG = 60_000, 4096
+#: Units and occurrences that are worked on at once, and the longest unit among them.
+_CHUNK, _OCCURRENCES, _LONG = 60_000, 300_000, 4096
 
 
 def skipped(seed: int, variant, left, right, place) -> np.ndarray:
@@ -149,50 +154,73 @@ class PieceModel:
                 push(before[k])
         return [s for s, g in zip(symbols, gone) if not g]
 
-    def _rounds(self, symbols, place, unit, variants, seed, dropout):
-        """Runs of symbols (``unit`` says which unit each belongs to, ``place`` where in
-        it) merged until nothing is left to do; returns (symbols, unit, skips per unit)."""
-        skips = np.zeros(len(variants), np.int64)
+    def _rounds(self, symbols, place, form, owner, variants, seed, dropout):
+        """Runs of symbols, each the form (``form``, from 0) of one or more occurrences,
+        merged until nothing is left to do.  ``owner`` is the form of each occurrence.  Every
+        round looks at the best candidate of each form; occurrences whose keyed hash skips
+        it part from those that merge, so a form is shared by all that decided alike.
+        Returns (symbols, form), the form of each occurrence and its skips."""
+        forms = int(form[-1]) + 1 if len(form) else 0
+        skips, final = np.zeros(len(owner), np.int64), owner.copy()
         out: list[tuple] = []
-        run = np.cumsum(np.concatenate([[0], (unit[1:] != unit[:-1]) | (place[1:] == 0)])) if len(symbols) else unit
-
-        if len(symbols):
-            to, priority = self._pairs(symbols, place, run, np.arange(len(symbols)))
+        if not len(symbols):
+            return symbols, form, final, skips
+        run, label = form.copy(), np.arange(forms)  # forms at work, numbered anew, and their labels
+        open_ = np.arange(len(owner))
+        own = owner.copy()  # of the open occurrences, the form's number
+        to, priority = self._pairs(symbols, place, run, np.arange(len(symbols)))
         while len(symbols):
             heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
             sizes = np.diff(np.append(heads, len(symbols)))
             best = np.minimum.reduceat(priority, heads)
-            idle = np.repeat(best == _NONE, sizes)
-            if idle.any():
-                out.append((symbols[idle], place[idle], unit[idle]))
-                busy = ~idle
-                symbols, place, unit, run = symbols[busy], place[busy], unit[busy], run[busy]
-                to, priority = to[busy], priority[busy]
-                sizes, best = sizes[best != _NONE], best[best != _NONE]
+            done = best == _NONE
+            if done.any():
+                idle, busy = np.repeat(done, sizes), np.repeat(~done, sizes)
+                out.append((symbols[idle], place[idle], label[run[idle]]))
+                symbols, place, to, priority = symbols[busy], place[busy], to[busy], priority[busy]
+                sizes, best, label, number = sizes[~done], best[~done], label[~done], np.cumsum(~done) - 1
+                run = np.repeat(np.arange(len(label)), sizes)
+                still = ~done[own]
+                open_, own = open_[still], number[own[still]]
                 if not len(symbols):
                     break
             k = np.flatnonzero(priority == np.repeat(best, sizes))
             if dropout:
-                skip = skipped(seed, variants[unit[k]], symbols[k], symbols[k + 1], place[k]) < dropout
-                if skip.any():
-                    np.add.at(skips, unit[k[skip]], 1)
-                    priority[k[skip]] = _NONE
-                    k = k[~skip]
+                skip = skipped(seed, variants[open_], symbols[k][own], symbols[k + 1][own], place[k][own]) < dropout
+                skips[open_[skip]] += 1
+                some = np.bincount(own[skip], minlength=len(label))
+                every = some == np.bincount(own, minlength=len(label))
+                parted = np.flatnonzero((some > 0) & ~every)
+                if len(parted):
+                    # those that skip go on with a copy of the form
+                    first = (np.cumsum(sizes) - sizes)[parted]
+                    copy = ranges(first, sizes[parted])
+                    number = np.full(len(label), -1)
+                    number[parted] = len(label) + np.arange(len(parted))
+                    at = k[parted] - first + len(symbols) + np.cumsum(sizes[parted]) - sizes[parted]
+                    symbols, place, to, priority = (np.concatenate([x, x[copy]]) for x in (symbols, place, to, priority))
+                    run = np.concatenate([run, np.repeat(number[parted], sizes[parted])])
+                    priority[at] = _NONE
+                    moved = skip & (number[own] >= 0)
+                    own = np.where(moved, number[own], own)
+                    label = np.concatenate([label, forms + np.arange(len(parted))])
+                    final[open_[moved]] = label[own[moved]]
+                    forms += len(parted)
+                priority[k[every & (some > 0)]] = _NONE
+                k = k[~(every & (some > 0))]
             if not len(k):
                 continue
             symbols[k] = to[k]
             keep = np.ones(len(symbols), bool)
             keep[k + 1] = False
             new = k - np.arange(len(k))  # each merge before it has taken one symbol away
-            symbols, place, unit, run = symbols[keep], place[keep], unit[keep], run[keep]
+            symbols, place, run = symbols[keep], place[keep], run[keep]
             to, priority = to[keep], priority[keep]
             near = np.unique(np.concatenate([new, new[new > 0] - 1]))
             to[near], priority[near] = self._pairs(symbols, place, run, near)
-        if not out:
-            return symbols, unit, skips
-        symbols, place, unit = (np.concatenate(x) for x in zip(*out))
-        order = np.lexsort((place, unit))
-        return symbols[order], unit[order], skips
+        symbols, place, form = (np.concatenate(x) for x in zip(*out))
+        order = np.lexsort((place, form))
+        return symbols[order], form[order], final, skips
 
     def _pairs(self, symbols, place, run, k):
         """(merged piece, priority) of the pairs that begin at ``k``."""
@@ -203,17 +231,31 @@ class PieceModel:
 
     def segment(self, units: pa.StringArray, variants: np.ndarray, seed: int, dropout: float):
         """(ids, the number of ids of each unit, the number of skips of each unit)."""
-        ids, counts, skips = [], [], []
-        for first in range(0, len(units), _CHUNK):
-            part = units.slice(first, _CHUNK)
-            own = self._segment(part, variants[first:first + _CHUNK], seed, dropout)
-            for all_, x in zip((ids, counts, skips), own):
-                all_.append(x)
-        if not ids:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(ids), np.concatenate(counts), np.concatenate(skips)
-
-    def _segment(self, units, variants, seed, dropout):
+        ids, counts, form, skips = self.forms(units, np.arange(len(units)), variants, seed, dropout)
+        begin = np.cumsum(counts) - counts
+        return ids[ranges(begin[form], counts[form])], counts[form], skips
+
+    def forms(self, units: pa.StringArray, owner: np.ndarray, variants: np.ndarray, seed: int, dropout: float):
+        """Of occurrences of ``units`` (``owner`` names the unit of each, in ascending order)
+        the distinct segmentations: their ids, the number of each one's ids, and of each
+        occurrence its segmentation and its skips."""
+        ids, counts, forms, skips, done = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], [], 0
+        of = np.searchsorted(owner, np.arange(len(units) + 1))
+        first = 0
+        while first < len(units):
+            last = max(first + 1, min(first + _CHUNK, int(np.searchsorted(of, of[first] + _OCCURRENCES, side="right")) - 1))
+            part = slice(of[first], of[last])
+            own = self._segment(units.slice(first, last - first), owner[part] - first, variants[part], seed, dropout)
+            ids.append(own[0])
+            counts.append(own[1])
+            forms.append(own[2] + done)
+            skips.append(own[3])
+            done += len(own[1])
+            first = last
+        none = np.zeros(0, np.int64)
+        return np.concatenate(ids), np.concatenate(counts), np.concatenate([none, *forms]), np.concatenate([none, *skips])
+
+    def _segment(self, units, owner, variants, seed, dropout):
         _, data = raw(units)
         points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
         sizes = pc.utf8_length(units).to_numpy().astype(np.int64)
@@ -221,19 +263,23 @@ class PieceModel:
         place = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         symbols = self.character[points].astype(np.int64)
         symbols = np.where(symbols >= 0, symbols, -1 - points)
-        long = np.flatnonzero(sizes > _LONG)
-        if len(long):  # so many rounds would be slow for the others
-            plain = ~np.isin(unit, long)
-            merged, of, skips = self._rounds(symbols[plain], place[plain], unit[plain], variants, seed, dropout)
-            done = [(merged, of)]
-            for u in long.tolist():
-                one = np.array(self.agenda(symbols[unit == u].tolist(), 0, int(variants[u]), seed, dropout), np.int64)
-                done.append((one, np.full(len(one), u)))
-            merged, of = (np.concatenate(x) for x in zip(*done))
-            order = np.argsort(of, kind="stable")
-            merged, of = merged[order], of[order]
-        else:
-            merged, of, skips = self._rounds(symbols, place, unit, variants, seed, dropout)
+        # so many rounds would be slow for the others; an empty unit has nothing to merge
+        plain = np.flatnonzero((sizes <= _LONG) & (sizes > 0))
+        number = np.full(len(units), -1)
+        number[plain] = np.arange(len(plain))
+        among = number[unit] >= 0
+        short = number[owner] >= 0
+        merged, of, final, own_skips = self._rounds(symbols[among], place[among], number[unit[among]],
+                                                    number[owner[short]], variants[short], seed, dropout)
+        form, skips = np.full(len(owner), -1), np.zeros(len(owner), np.int64)
+        form[short], skips[short] = final, own_skips
+        total = max(int(of[-1]) + 1 if len(of) else 0, len(plain))
+        more = [(merged, of)]
+        for k in np.flatnonzero(~short).tolist():
+            one = np.array(self.agenda(symbols[unit == owner[k]].tolist(), 0, int(variants[k]), seed, dropout), np.int64)
+            more.append((one, np.full(len(one), total)))
+            form[k], total = total, total + 1
+        merged, of = (np.concatenate(x) for x in zip(*more))
         # characters without a piece become byte pieces
         lost = np.flatnonzero(merged < 0)
         width = np.ones(len(merged), np.int64)
@@ -245,13 +291,12 @@ class PieceModel:
             ids[np.repeat(merged < 0, width)] = self.byte[encoded]
         else:
             ids = merged
-        counts = np.bincount(of, weights=width, minlength=len(units)).astype(np.int64)
-        return ids.astype(np.int32), counts, skips
+        counts = np.bincount(of, weights=width, minlength=total).astype(np.int64)
+        return ids.astype(np.int32), counts, form, skips
 
     # -- whole texts --------------------------------------------------------
 
-    def encode(self, texts: pa.StringArray, keys: np.ndarray, seed: int = SEED, dropout: float = DROPOUT,
-               variants: int = VARIANTS):
+    def encode(self, texts: pa.StringArray, keys: np.ndarray, seed: int = SEED, dropout: float = DROPOUT):
         """(ids, ids per text, skips per text); ``keys``: a hash of each document's id."""
         filled = pc.greater(pc.binary_length(texts), 0)
         led = pc.if_else(filled, pc.binary_join_element_wise(" ", texts, ""), texts)  # the model's leading space
@@ -266,26 +311,21 @@ class PieceModel:
         units = np.searchsorted(ends, offsets[1:]) - first
         encoded = from_raw(ends, data).dictionary_encode() if len(ends) > 1 else pa.array([""])[:0].dictionary_encode()
         place = np.arange(len(ends) - 1) - np.repeat(first, units)
-        if dropout and variants > 1:
-            own = mix(np.repeat(keys, units) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                      + np.uint64(seed))
-            code = encoded.indices.to_numpy().astype(np.int64) * variants + (own % np.uint64(variants)).astype(np.int64)
-        else:
-            code = encoded.indices.to_numpy().astype(np.int64) * variants
-        used = np.zeros(len(encoded.dictionary) * variants, bool)
-        used[code] = True
-        distinct = np.flatnonzero(used)
-        number = np.cumsum(used) - 1
-        pool, counts, skips = self.segment(encoded.dictionary.take(pa.array(distinct // variants)),
-                                           distinct % variants, seed, dropout)
-        at = number[code]
+        variant = mix(np.repeat(keys, units) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                      + np.uint64(seed)).view(np.int64)
+        unit = encoded.indices.to_numpy().astype(np.int64)
+        order = np.argsort(unit, kind="stable")
+        pool, counts, form, skips = self.forms(encoded.dictionary, unit[order], variant[order], seed, dropout)
+        at, skipped_ = np.empty_like(form), np.empty_like(skips)
+        at[order], skipped_[order] = form, skips
         begin = np.cumsum(counts) - counts
-        ids = pool[ranges(begin[at], counts[at])]
+        own = counts[at]
+        ids = pool[ranges(begin[at], own)]
 
         def per_text(x):
-            total = np.concatenate([[0], np.cumsum(x[at])])
+            total = np.concatenate([[0], np.cumsum(x)])
             return total[first + units] - total[first]
-        return ids, per_text(counts), per_text(skips)
+        return ids, per_text(own), per_text(skipped_)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, bytes) of the texts, without the leading space."""
@@ -310,7 +350,7 @@ def piece_model(path: str) -> PieceModel:
 
 
 def encode_pieces(documents: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
-                  dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
+                  dropout: float = DROPOUT) -> DataFrame:
     """Per row: ``ids`` of the segmentation, ``n_tokens``, ``n_skipped`` (merges that the
     dropout skipped), ``ids_crc32`` (of the ids as 32-bit little-endian integers) and
     ``lossless``, whether the ids decode to the text byte for byte."""
@@ -326,7 +366,7 @@ def encode_pieces(documents: DataFrame, model: str, id_col: str = "doc_id", text
             for part in blocks(batch, 1):
                 texts = strings(part.column(1))
                 keys = hashes(strings(part.column(0)))
-                ids, counts, skips = codec.encode(texts, keys, seed, dropout, variants)
+                ids, counts, skips = codec.encode(texts, keys, seed, dropout)
                 offsets, data = codec.decode(ids, counts)
                 own_offsets, own = raw(texts)
                 same = np.diff(offsets) == np.diff(own_offsets)
