@@ -199,3 +199,30 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         spark.createDataFrame([], CLASH + ", n_chars int").write.parquet(f"{folder}/documents.parquet")
         spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
         assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+# ---- sentencepiece ------------------------------------------------------------------
+
+def test_every_occurrence_is_decided_for_itself(monkeypatch):
+    from tidemark.llm import pieces
+    model = pieces.piece_model(public_tokenizers.path("piece_bpe_32k.model"))
+    words = [" understanding", " a", " xyz中", "", " internationalisation", "\n"]
+    rnd = np.random.default_rng(3)
+    owner = np.sort(rnd.integers(0, len(words), 400))
+    variants = rnd.integers(-2 ** 62, 2 ** 62, 400)
+    for occurrences in (7, 300_000):
+        monkeypatch.setattr(pieces, "_OCCURRENCES", occurrences)
+        ids, counts, form, skips = model.forms(pa.array(words), owner, variants, 5, 0.3)
+        begin = np.cumsum(counts) - counts
+        seen = set()
+        for k, (u, v) in enumerate(zip(owner.tolist(), variants.tolist())):
+            symbols = [int(model.character[ord(c)]) if model.character[ord(c)] >= 0 else -1 - ord(c) for c in words[u]]
+            want = [x for s in model.agenda(symbols, 0, v, 5, 0.3)
+                    for x in ([s] if s >= 0 else model.byte[list(chr(-1 - s).encode())].tolist())]
+            got = ids[begin[form[k]]:begin[form[k]] + counts[form[k]]].tolist()
+            assert got == want, (words[u], v)
+            seen.add((u, tuple(got)))
+        # more than a handful of segmentations of one word, and far fewer forms than occurrences
+        assert sum(u == 0 for u, _ in seen) > 8
+        if occurrences > 400:
+            assert len(seen) <= len(counts) < 300 and skips.sum() > 100
