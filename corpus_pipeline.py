@@ -5,6 +5,13 @@ Every stage takes all documents that the one before it has kept; between stages
 they are written as Parquet in the shared folder and read again, so a lost
 executor costs a stage's tasks, never the stages before.  All stages but the last
 return the columns of ``documents``, the last one the encoding.
+
+Rows: a null or empty text fails the quality rules and goes.  A row with a null id is
+cleaned like any other, loses lines to documents with ids, and is never dropped as a
+near-copy.  Rows that repeat an id stay as long as their texts are no near-copies.  Texts
+of any length are processed whole.  Extra columns, whatever their names, come along up to
+the fourth stage; ``n_chars`` follows the text.  Of near-copies with equal ids one stays.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
