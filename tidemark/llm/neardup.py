@@ -47,6 +47,8 @@ FAR_APART = 45
 #: members of a family in a block: texts may be short, a block pair is a dense matrix.
 BUCKET_BLOCK, FAMILY_BLOCK, FAMILY_MEMBERS = 1024, 100_000, 1000
 _PART, _COLUMNS = 1 << 15, 1 << 13
+#: Text whose sets are in memory at once.
+BLOCK_BYTES = 4 << 20
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -127,7 +129,7 @@ def _digests(documents: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, 1):
+            for part in blocks(batch, 1, BLOCK_BYTES):
                 values, ends = shingle_sets(strings(part.column(1)), shingle)
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(values ^ np.uint64(salt)), dtype=np.uint64)])
                         for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
@@ -180,7 +182,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, 1):
+            for part in blocks(batch, 1, BLOCK_BYTES):
                 values, ends = shingle_sets(strings(part.column(1)), shingle)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(values))],
