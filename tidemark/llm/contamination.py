@@ -6,10 +6,10 @@ doubling; every document ends in a terminator of its own), the
 Burrows-Wheeler sequence in a wavelet matrix, and every ``SAMPLE``-th suffix
 position.  All benchmark windows are searched backwards at once, occurrences
 are located by walking to the next sampled position, and the word spans of a
-document are merged.  One pass over the documents, no shuffle.  The benchmark lies in
-files of about ``BENCHMARK_BLOCK_BYTES`` of text below the shared folder; a task searches
-its shard for one file's windows after the other and holds one at a time, so neither the
-driver nor a worker ever holds the whole benchmark.
+document are merged.  One pass over the documents, no shuffle.  The benchmark's windows
+lie in files, each made of about ``BENCHMARK_BLOCK_BYTES`` of text, below the shared
+folder; a task searches its shard for one file's windows after the other and holds one at
+a time, so neither the driver nor a worker ever holds the whole benchmark.
 
 Rows: every row of the documents gives one row, repeated rows included.  A null
 or empty text has no words (``n_words`` 0, not contaminated); a null id stays
@@ -20,18 +20,19 @@ An empty benchmark marks nothing.  Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.files import locate
-from tidemark.llm.store import ship_package
+from tidemark.llm.files import locate, make_folder
+from tidemark.llm.store import ship_package, stored
 from tidemark.llm.textblocks import ALNUM, blocks, ranges, strings, words
 from tidemark.session import shared_dir
 
@@ -181,7 +182,7 @@ class Phrases:
             which = which.reshape(-1)
         else:
             distinct, which = np.zeros((0, window + 1), np.int64), np.zeros(0, np.int64)
-        self.lengths, self.patterns = distinct[:, 0], distinct[:, 1:]
+        self.lengths, self.patterns = distinct[:, 0].copy(), distinct[:, 1:].astype(np.int32)
         pairs = np.unique(np.column_stack([which, item]), axis=0) if len(which) else np.zeros((0, 2), np.int64)
         self.pattern_items = pairs[:, 1]
         self.pattern_offsets = np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1))
@@ -226,9 +227,7 @@ class PhraseFiles:
                 PhraseFiles._last = None
                 fs, path = locate(uri)
                 with fs.open_input_file(path) as source:
-                    table = pq.read_table(source)
-                PhraseFiles._last = ((uri, self.window), Phrases(table.column("item").to_pylist(),
-                                                                 table.column("text").to_pylist(), self.window))
+                    PhraseFiles._last = ((uri, self.window), pickle.loads(source.read()))
             yield PhraseFiles._last[1]
 
 
@@ -282,15 +281,32 @@ def _spans(mask: np.ndarray) -> list[dict]:
 
 
 def phrase_files(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> PhraseFiles:
-    """The test items written in as many files as their size asks for; rows that repeat an
-    item and its text count once.  Only the files' names pass through the driver."""
+    """The windows of the test items in as many files as their size asks for, each made by a
+    task; rows that repeat an item and its text count once.  Only the files' names pass
+    through the driver."""
     spark = benchmark.sparkSession
+    ship_package(spark)
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")) \
         .where("item IS NOT NULL AND text IS NOT NULL").distinct()
     size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    path = shared_dir(spark, "benchmark")
-    rows.repartition(max(1, -(-size // BENCHMARK_BLOCK_BYTES)), F.xxhash64("item", "text")).write.parquet(path)
-    return PhraseFiles(sorted(spark.read.schema(rows.schema).parquet(path).inputFiles()) if size else [], window)
+    folder = shared_dir(spark, "benchmark")
+    make_folder(folder)
+
+    def run(batches):
+        items, texts = [], []
+        for batch in batches:
+            items += batch.column(0).to_pylist()
+            texts += batch.column(1).to_pylist()
+        if items:
+            fs, base = locate(folder)
+            name = f"phrases-{uuid.uuid4().hex}"
+            with fs.open_output_stream(f"{base}/{name}") as out:
+                out.write(pickle.dumps(Phrases(items, texts, window), protocol=5))
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    dealt = rows.repartition(max(1, -(-size // BENCHMARK_BLOCK_BYTES)), F.xxhash64("item", "text"))
+    names = stored(dealt.mapInArrow(run, "name string"), "benchmark-files").collect() if size else []  # one row a file
+    return PhraseFiles(sorted(f"{folder}/{r['name']}" for r in names), window)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
