@@ -151,11 +151,12 @@ def sketch_errors(rows: DataFrame, features: DataFrame, keys: Sequence[str], col
     joined = features.withColumnsRenamed(names).join(counts, same, "left")
     held = joined.groupBy(*names.values(), "n", "approx_distinct").agg(
         F.count("_v").alias("_distinct"),
-        *[F.coalesce(F.sum(F.when(F.col("_v") < F.col(p), F.col("_c"))), F.lit(0)).alias(f"_below_{p}") for p in percents],
-        *[F.coalesce(F.sum(F.when(F.col("_v") <= F.col(p), F.col("_c"))), F.lit(0)).alias(f"_upto_{p}") for p in percents])
+        *[F.coalesce(F.sum(F.when(side, F.col("_c"))), F.lit(0)).alias(name + p) for p in percents
+          for side, name in ((F.col("_v") < F.col(p), "_below_"), (F.col("_v") <= F.col(p), "_upto_"))])
     ok = F.lit(True)
     for p, percent in percents.items():
-        n = F.col("n")
-        ok = ok & (F.col(f"_below_{p}") <= (percent / 100 + rank_error) * n) & (F.col(f"_upto_{p}") >= (percent / 100 - rank_error) * n)
+        n, share = F.col("n"), percent / 100
+        ok = ok & (F.col(f"_below_{p}") <= (share + rank_error) * n) & (F.col(f"_upto_{p}") >= (share - rank_error) * n)
+    off = F.abs(F.col("approx_distinct") - F.col("_distinct"))
     return held.select(*[F.col(n).alias(k) for k, n in names.items()], "n", ok.alias("ranks_ok"),
-                       (F.abs(F.col("approx_distinct") - F.col("_distinct")) <= distinct_error * F.col("_distinct")).alias("distinct_ok"))
+                       (off <= distinct_error * F.col("_distinct")).alias("distinct_ok"))

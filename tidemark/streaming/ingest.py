@@ -175,13 +175,15 @@ def recompute_stream(stream: DataFrame, root: str, to_docs: Callable[[DataFrame]
 
     def recompute(docs: DataFrame, silver: DataFrame, batch_id: int) -> None:
         write_partitioned(docs, f"{root}/bronze", [day_col, "batch_id"])
-        write_partitioned(split_valid(silver)[1].withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                          f"{root}/quarantine", ["batch_id"])
         # distinct periods of one micro-batch: a handful of values.  The Silver rows tell the
         # period: in another time zone it can differ from that of the batch's own stamps.
         day = "trade_date" if "trade_date" in silver.columns else ts_col
-        touched = [r[0] for r in silver.select(F.date_format(day, fmt)).distinct().collect()
-                   if r[0] is not None]
+        seen = silver.agg(F.collect_set(F.date_format(day, fmt)).alias("periods"),
+                          F.count_if(~F.col("is_valid")).alias("invalid")).first()
+        touched = seen.periods
+        if seen.invalid:
+            write_partitioned(split_valid(silver)[1].withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                              f"{root}/quarantine", ["batch_id"])
         # filter on the partition column: only the folders of the touched periods, and of
         # the days beside them (time zones), are read
         bronze = spark.read.parquet(f"{root}/bronze")
