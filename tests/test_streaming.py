@@ -111,3 +111,41 @@ def test_streams_read_folder_tables(spark, smoke_dir, tmp_path):
     (empty / "events.parquet").mkdir(parents=True)
     with pytest.raises(Exception):
         S.table_stream(spark, str(empty), "events")
+
+
+@pytest.mark.parametrize("shift, times", [(0, 1), (1, 2)])
+def test_recompute_stream_parses_the_documents_of_a_period_once(spark, tmp_path, shift, times):
+    """Two deliveries: each trigger asks once for the bars of its periods, its own among them; only where
+    documents land in another month than their bars (``shift`` days on) it parses again, and fully."""
+    from datetime import datetime
+
+    from tidemark.operators import silver
+    src, root = tmp_path / "src", shared_dir(spark, "t-stream-once")
+    day = datetime(2024, 1, 31, 12)
+    for k in range(2):
+        rows = [("A", day, float(k + 1)), (f"S{k}", day, 5.0), ("Z", day, -1.0)]
+        spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, price double").coalesce(1) \
+            .write.mode("append").parquet(str(src))
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(body):
+        parsed.add(1)
+        return body
+
+    def to_docs(b):
+        p = F.col("price")
+        return b.select("symbol", F.date_format(F.date_add("ts", shift), "yyyy-MM-dd").alias("day"),
+                        silver.bar_document(F.col("ts"), p, p, p, p, F.lit(1)).alias("body"))
+
+    def to_silver(landed):
+        return silver.normalize_bars(landed.withColumn("body", counted("body")), keep=["batch_id"])
+
+    stream = spark.readStream.schema("symbol string, ts timestamp_ntz, price double") \
+        .option("maxFilesPerTrigger", 1).parquet(str(src))
+    S.recompute_stream(stream, root, to_docs, to_silver, period="month")
+    got = sorted((r.symbol, float(r.open), r.month) for r in spark.read.parquet(f"{root}/silver").collect())
+    assert got == [("A", 2.0, "2024-01"), ("S0", 5.0, "2024-01"), ("S1", 5.0, "2024-01")]
+    bad = spark.read.parquet(f"{root}/quarantine").collect()
+    assert sorted((r.batch_id, r.symbol, tuple(r.violations)) for r in bad) == [("0", "Z", ("bad_price",)), ("1", "Z", ("bad_price",))]
+    assert parsed.value == (3 + 6) * times
