@@ -238,3 +238,29 @@ def test_bucketed_bars_are_not_exchanged_again(spark, smoke_dir):
     for name in ("ohlcv_bucketed", "enriched_bucketed"):
         plan = E.queries()[name](spark, smoke_dir)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Bucketed: true" in plan, name
+
+
+def test_reingested_lines_meet_once_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from tidemark.plans import catalog
+    rnd = random.Random(5)
+    lines = [(rnd.choice([None, *range(40)]), rnd.choice([None, 1, 2]), rnd.choice([None, 1.0, 2.0, -3.0]),
+              rnd.choice([None, "A", "R"])) for _ in range(600)]
+    lines += [(7, 1, 5.0, "R")] * 400  # a line that comes again and again
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(catalog, "LINES_PER_TASK", 100)
+    out = catalog.dedup_reingested(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the lines, and those returned
+    assert plan.count("hashpartitioning(l_orderkey") == 2 and plan.count(", 11), REPARTITION_BY_NUM") == 2
+
+    def null_last(values):
+        return [(v is not None, v if v is not None else 0) for v in values[:2]] + [(values[2] is not None, values[2] or "")]
+
+    best = {}
+    for key, n, q, flag in {*lines}:
+        for row in [(1, q, flag)] + [(2, None if q is None else -q, flag)] * (flag == "R"):
+            if (key, n) not in best or null_last(best[key, n]) < null_last(row):
+                best[key, n] = row
+    got = {(r.l_orderkey, r.l_linenumber): (r.run, r.l_quantity, r.l_returnflag) for r in out.collect()}
+    assert out.count() == len(best) and got == best
